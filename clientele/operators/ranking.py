@@ -10,9 +10,9 @@ everything here is built on one primitive:
    split across partitions because the order includes a tie-break column);
 2. tag every row with ``monotonically_increasing_id`` - partition index in the
    high bits, position inside the sorted partition in the low bits;
-3. freeze that with a reliable ``checkpoint`` (range bounds are sampled, so a
-   recomputation could otherwise renumber rows; the checkpoint also survives
-   executor loss);
+3. freeze that as a parquet table in the shared checkpoint folder (range
+   bounds are sampled, so a recomputation could otherwise renumber rows; the
+   written table also survives executor loss);
 4. per-partition row counts (one row per partition, a proven small bound) give
    exclusive offsets, broadcast back: ``rank = offset + position + 1``.
 
@@ -29,7 +29,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clientele.session import ensure_checkpoint_dir
+from clientele.session import freeze
 
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
@@ -41,9 +41,8 @@ def _cols(names):
 
 def freeze_sorted(df: DataFrame, order_cols) -> DataFrame:
     """Sort ``df`` globally, tag rows with ``_mid`` and checkpoint the result."""
-    ensure_checkpoint_dir(df.sparkSession)
     tagged = df.orderBy(*_cols(order_cols)).withColumn("_mid", F.monotonically_increasing_id())
-    return tagged.checkpoint(eager=True)
+    return freeze(tagged)
 
 
 def _partition_offsets(tagged: DataFrame, weights: dict[str, Column] | None = None) -> DataFrame:
@@ -159,20 +158,21 @@ def qcut_sql(rank_expr: str, n_expr: str, q: int = 5) -> str:
     return f"greatest(1, ({q} * ({rank_expr} - 1) + {n_expr} - 2) // ({n_expr} - 1))"
 
 
-def hash_buckets(df: DataFrame, order_col: str, tie_col: str, by: list[str], fractions) -> Column:
+def hash_buckets(df: DataFrame, order_col: str, tie_col: str, by: list[str], cuts) -> Column:
     """Per-group contiguous slices of the ``(order_col, tie_col)`` order.
 
-    ``fractions`` are cumulative cut points in (0,1); slice i holds the rows
-    whose within-group rank r satisfies ``r <= ceil(cut_i * n_g)``.  Only the
-    boundary rows of each group are fetched (a tiny table: groups x cuts).
-    Returns a Column with the slice index 0..len(fractions).
+    ``cuts`` are cumulative fractions given as integer pairs ``(num, den)``;
+    row with within-group rank r is past cut i when ``r > ceil(num_i * n_g / den_i)``
+    (integer arithmetic, so no float rounding decides a boundary).  Returns a
+    Column with the slice index 0..len(cuts).  Only the boundary rows of each
+    group are fetched (groups x cuts rows - a handful for class labels).
     """
     src = df.select(*[F.col(b) for b in by], F.col(order_col).alias("_v"), F.col(tie_col).alias("_t"))
     ranked = global_rank(src, [*by, "_v", "_t"])
     sizes = ranked.groupBy(*by).agg(F.min("_rank").alias("_start"), F.count(F.lit(1)).alias("_n"))
     ranked = ranked.join(sizes, by)
     rel = F.col("_rank") - F.col("_start") + 1
-    ends = [F.ceil(F.col("_n") * F.lit(float(fr))) for fr in fractions]
+    ends = [F.expr(f"(_n * {int(num)} + {int(den) - 1}) div {int(den)}") for num, den in cuts]
     bounds = ranked.where(reduce(or_, [rel == e for e in ends])).select(
         *by, *[F.when(rel == e, F.struct("_v", "_t")).alias(f"_b{i}") for i, e in enumerate(ends)])
     bounds = bounds.groupBy(*by).agg(*[F.max(f"_b{i}").alias(f"_b{i}") for i in range(len(ends))]).collect()
@@ -183,7 +183,7 @@ def hash_buckets(df: DataFrame, order_col: str, tie_col: str, by: list[str], fra
         past = []
         for i in range(len(ends)):
             b = row[f"_b{i}"]
-            if b is None:  # empty slice boundary (cut * n rounds to 0): every row is past it
+            if b is None:  # the cut falls before the first row (ceil(...) = 0): every row is past it
                 past.append(F.lit(1))
             else:
                 past.append(((v > F.lit(b["_v"])) | ((v == F.lit(b["_v"])) & (t > F.lit(b["_t"])))).cast("int"))

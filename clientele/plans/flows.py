@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from clientele.operators import cleaning, features
-from clientele.session import ensure_checkpoint_dir
+from clientele.session import freeze
 from clientele.sources.customer_base import DEFAULT_REFERENCE_DATE, customer_base
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Freeze ``df`` in the shared checkpoint folder (cuts lineage; survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return freeze(df)
 
 
 def base_table(spark: SparkSession, sf_dir: str, reference_date: str = DEFAULT_REFERENCE_DATE) -> DataFrame:

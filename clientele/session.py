@@ -64,3 +64,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError(
         "spark.checkpoint.dir is not set; point it at a shared folder "
         "(HDFS/S3/ABFS) so frozen intermediate results survive executor loss")
+
+
+def frozen_path(spark: SparkSession, tag: str = "frozen") -> str:
+    """A fresh folder under the checkpoint directory for a written intermediate table."""
+    import uuid
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/clientele-{tag}-{uuid.uuid4().hex}"
+
+
+def freeze(df):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage (later actions re-read the files instead of re-running the
+    plan) and survives executor loss, like ``checkpoint()``, but in one write
+    job and with a columnar, prunable read.
+    """
+    spark = df.sparkSession
+    path = frozen_path(spark)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
