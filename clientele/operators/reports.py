@@ -56,11 +56,23 @@ PROFILE_COLUMNS = ["Age", "Income", "TotalSpend", "TotalPurchases", "TotalAccept
                    "Customer_Tenure_Days", "Response"]
 
 
+def mean(df: DataFrame, c: str) -> Column:
+    """Mean of ``c``; double columns are summed as DECIMAL(38,9).
+
+    A decimal sum is associative, so the result no longer depends on how rows
+    were split into partitions or in which order partial sums were merged
+    (float sums do), and report values are reproducible run to run.
+    """
+    if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+        return F.avg(F.col(c).cast("decimal(38,9)")).cast("double")
+    return F.avg(c)
+
+
 def segment_profile(df: DataFrame, segment_col: str = "RFM_Segment") -> DataFrame:
     """Per-segment means, Response_Rate (%) and Tenure_Years (= mean tenure days / 365.25)."""
     cols = [c for c in PROFILE_COLUMNS if c in df.columns]
     agg = (df.where(F.col(segment_col).isNotNull()).groupBy(segment_col)
-           .agg(*[F.avg(c).alias(c) for c in cols]))
+           .agg(*[mean(df, c).alias(c) for c in cols]))
     extra = {}
     if "Response" in cols:
         extra["Response_Rate"] = F.col("Response") * 100
@@ -226,7 +238,7 @@ def numeric_summary(df: DataFrame, cols=None, exact: bool = True) -> DataFrame:
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
+        aggs += [F.count(x).alias(f"{c}__count"), mean(df, c).cast("double").alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
         if not exact:
             aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).alias(f"{c}__q"))
@@ -330,8 +342,8 @@ def feature_docs(df: DataFrame, important=(), skip=("ID", "Response"), categoric
         c = F.col(f.name)
         if isinstance(f.dataType, NUMERIC_TYPES) and f.name not in categorical:
             # Round first, then print: formatters disagree on how to round ties, round() does not.
-            text = F.format_string("Min: %.2f, Max: %.2f, Mean: %.2f", F.round(F.min(c).cast("double"), 2),
-                                   F.round(F.max(c).cast("double"), 2), F.round(F.avg(c), 2))
+            text = F.format_string("Min: %.2f, Max: %.2f, Mean: %.2f", round_to(F.min(c).cast("double"), 2),
+                                   round_to(F.max(c).cast("double"), 2), round_to(mean(df, f.name), 2))
             kind = "Numeric"
         elif isinstance(f.dataType, T.StringType) or f.name in categorical:
             text = F.concat(F.lit("Unique values: "), F.count_distinct(c).cast("string"))

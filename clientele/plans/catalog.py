@@ -92,10 +92,19 @@ def q_rfm_segments(spark, d):
     return feat(spark, d).select("ID", "RFM_Segment")
 
 
+_DOUBLE_FEATURES = {"Income", "CampaignResponseRate", "AvgSpend", "Income_per_Age", "SpendToIncome",
+                    "CampaignToPurchase", "Spend_per_Year", "Estimated_CLV"} | {
+    f"{c}_Proportion" for c in FT.SPEND_CATEGORIES}
+
+def _avg_sql(c: str) -> str:
+    """Twin of reports.mean: exact decimal mean for the double-typed columns."""
+    return f"CAST(avg(CAST({c} AS DECIMAL(38,9))) AS DOUBLE)" if c in _DOUBLE_FEATURES else f"avg({c})"
+
+
 _PROFILE = ["Age", "Income", "TotalSpend", "TotalPurchases", "TotalAcceptedCampaigns", "Customer_Tenure_Days",
             "Response"]
 SEGMENT_PROFILE_SQL = O.with_features(
-    "SELECT RFM_Segment, " + ", ".join(f"round(avg({c}), 4) AS {c}" for c in _PROFILE)
+    "SELECT RFM_Segment, " + ", ".join(f"round({_avg_sql(c)}, 4) AS {c}" for c in _PROFILE)
     + ", round(avg(Response) * 100, 4) AS Response_Rate, round(avg(Customer_Tenure_Days) / 365.25, 4) AS Tenure_Years"
     + " FROM feat WHERE RFM_Segment IS NOT NULL GROUP BY RFM_Segment")
 
@@ -168,10 +177,6 @@ def _fsel(cols, digits=6):
     return sql(), run
 
 
-_DOUBLE_FEATURES = {"Income", "CampaignResponseRate", "AvgSpend", "Income_per_Age", "SpendToIncome",
-                    "CampaignToPurchase", "Spend_per_Year", "Estimated_CLV"} | {
-    f"{c}_Proportion" for c in FT.SPEND_CATEGORIES}
-
 FEATURE_GROUPS = {
     "tenure_features": ["ID", "Customer_Tenure_Days", "Tenure_Segment", "Enrollment_Year", "Enrollment_Month",
                         "Enrollment_Quarter", "Cohort"],
@@ -335,7 +340,7 @@ _SUMMARY_COLS = ["Income", "Age", "TotalSpend", "TotalPurchases", "Customer_Tenu
 
 
 @register("numeric_summary", O.with_features(" UNION ALL ".join(
-    f"SELECT '{c}' AS column, count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, "
+    f"SELECT '{c}' AS \"column\", count({c}) AS count, round({_avg_sql(c)}, 4) AS mean, round(stddev_samp({c}), 4) AS std, "
     f"round(min({c}), 4) AS min, round(max({c}), 4) AS max, round(quantile_cont({c}, 0.25), 4) AS p25, "
     f"round(quantile_cont({c}, 0.5), 4) AS p50, round(quantile_cont({c}, 0.75), 4) AS p75 FROM feat"
     for c in _SUMMARY_COLS)))
@@ -403,7 +408,7 @@ def _feature_docs_sql() -> str:
         kind = _doc_kind(c)
         if kind == "Numeric":
             stat = (f"printf('Min: %.2f, Max: %.2f, Mean: %.2f', round(CAST(min({c}) AS DOUBLE), 2), "
-                    f"round(CAST(max({c}) AS DOUBLE), 2), round(avg({c}), 2))")
+                    f"round(CAST(max({c}) AS DOUBLE), 2), round({_avg_sql(c)}, 2))")
         elif kind == "Categorical":
             stat = f"'Unique values: ' || CAST(count(DISTINCT {c}) AS VARCHAR)"
         else:
