@@ -33,11 +33,15 @@ def impute_group_median(df: DataFrame, col: str = "Income", group_col: str = "Ed
 
 
 def impute_median(df: DataFrame, col: str) -> DataFrame:
-    """Fill NULL ``col`` with the exact overall median (a single literal)."""
+    """Fill NULL ``col`` with the exact overall median (a single literal).
+
+    A column with missing values is floating point in pandas, so integer
+    columns come back as DOUBLE (a median of 523.5 is kept, not truncated).
+    """
     (med,) = quantile_values(df, col, [0.5])
     if med is None:
         return df
-    return df.withColumn(col, F.coalesce(F.col(col), F.lit(med).cast(df.schema[col].dataType)))
+    return df.withColumn(col, F.coalesce(F.col(col).cast("double"), F.lit(float(med))))
 
 
 def impute_income(df: DataFrame, col: str = "Income", group_col: str = "Education") -> DataFrame:

@@ -230,9 +230,14 @@ def target_correlation_topk(df: DataFrame, target: str = "Response", k: int = 30
     return target_correlation(df, target, cols, id_col).orderBy(F.desc("abs_corr"), "feature").limit(k)
 
 
+def sample_key(seed: int = 42, id_col: str = "ID") -> Column:
+    """md5 of '<ID>-<seed>': a sampling order any engine can reproduce."""
+    return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"-{seed}")))
+
+
 def sample_rows(df: DataFrame, n: int = 1000, seed: int = 42, id_col: str = "ID") -> DataFrame:
-    """Reproducible sample of at most ``n`` rows: the n smallest xxhash64(ID, seed) (a top-k)."""
-    return df.orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), F.col(id_col)).limit(n)
+    """Reproducible sample of at most ``n`` rows: the n smallest sample keys (a top-k, no full sort)."""
+    return df.orderBy(sample_key(seed, id_col), F.col(id_col)).limit(n)
 
 
 def gram_matrix(df: DataFrame, cols) -> np.ndarray:
@@ -276,6 +281,20 @@ def imbalance_rule(df: DataFrame, target: str = "Response", minority_limit_pct:
             "scale_pos_weight": (rows.get(0, 0) / rows[1]) if imbalanced and rows.get(1) else 1.0}
 
 
+def imbalance_report(df: DataFrame, target: str = "Response", minority_limit_pct: float = 15.0) -> DataFrame:
+    """Per class: count, balanced weight n/(k n_c), minority share, the imbalance flag and the metric
+    the rule selects (f1 when imbalanced, else roc_auc).  One group-by; the window runs over the
+    per-class rows only."""
+    from pyspark.sql import Window
+    counts = class_counts(df, target)
+    whole = Window.partitionBy()
+    total, k = F.sum("n").over(whole), F.count(F.lit(1)).over(whole)
+    minority = F.min("n").over(whole) * 100.0 / total
+    return counts.select(F.col(target).alias("class"), "n", (total / (k * F.col("n"))).alias("balanced_weight"),
+                         minority.alias("minority_pct"), (minority < minority_limit_pct).alias("imbalanced"),
+                         F.when(minority < minority_limit_pct, "f1").otherwise("roc_auc").alias("metric"))
+
+
 def with_class_weights(df: DataFrame, weights: dict, target: str = "Response", col: str = "weight") -> DataFrame:
     expr = None
     for k, w in weights.items():

@@ -1,24 +1,33 @@
-"""Exact, distributed order statistics: global rank, quantiles, equal-count buckets.
-
-pandas computes ranks and quantiles over one in-memory array.  Spark's exact
-``percentile`` aggregate instead merges a value->count map of *every distinct
-value* into a single final task, and ``row_number()`` over an unpartitioned
-window pulls the whole table into one task.  Neither survives a large table, so
-everything here is built on one primitive:
-
-1. sort globally (range-partitioned shuffle, spread over all tasks, hot keys
-   split across partitions because the order includes a tie-break column);
-2. tag every row with ``monotonically_increasing_id`` - partition index in the
-   high bits, position inside the sorted partition in the low bits;
-3. freeze that as a parquet table in the shared checkpoint folder (range
-   bounds are sampled, so a recomputation could otherwise renumber rows; the
-   written table also survives executor loss);
-4. per-partition row counts (one row per partition, a proven small bound) give
-   exclusive offsets, broadcast back: ``rank = offset + position + 1``.
-
-Quantiles then only need the handful of rows at the target ranks, and
-equal-count buckets only need the boundary rows - nothing is joined back to the
-full table and no group is ever gathered into one task.
+"""Exact order statistics: ranks, quantiles, equal-count buckets, running totals.
+
+pandas ranks and takes quantiles over one in-memory array.  In Spark the naive
+equivalents do not survive a large table: the exact ``percentile`` aggregate
+merges a value->count map of every distinct value into one final task, and
+``row_number()`` over an unpartitioned window sorts the whole table in one
+task.  Every helper here therefore counts its input first and picks one of two
+plans with identical arithmetic:
+
+* **bounded** - at most ``spark.clientele.singleTaskRows`` rows (default 2M,
+  checked by the count, so the bound is proven): plain window functions; the
+  whole input fits one task comfortably and costs only a couple of jobs;
+
+* **distributed** - anything larger:
+  1. sort globally (range-partitioned shuffle spread over all tasks; hot keys
+     are split across partitions because the order ends in a tie-break column);
+  2. tag each row with ``monotonically_increasing_id`` - partition index in the
+     high bits, position inside the sorted partition in the low bits;
+  3. freeze that as parquet in the shared checkpoint folder (range bounds are
+     sampled, so a recomputation could renumber rows; the files also survive
+     executor loss);
+  4. per-partition row counts (one row per partition - bounded by the
+     partition count) give exclusive offsets, broadcast back:
+     ``rank = offset + position + 1``; group ranks subtract the group's first
+     rank (a one-row-per-group table, joined normally - AQE broadcasts it only
+     when its measured size is small).
+
+Quantiles then need only the 1-2 rows around each target rank, and
+equal-count buckets only the boundary rows: nothing is joined back to the full
+table and no group is ever gathered into one task on the distributed plan.
 """
 
 from __future__ import annotations
@@ -33,14 +42,27 @@ from clientele.session import freeze
 
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
+DEFAULT_SINGLE_TASK_ROWS = 2_000_000
 
 
 def _cols(names):
     return [F.col(c) if isinstance(c, str) else c for c in names]
 
 
+def single_task_rows(spark) -> int:
+    """Largest input (rows) ranked with plain windows; set ``spark.clientele.singleTaskRows``."""
+    return int(spark.conf.get("spark.clientele.singleTaskRows", str(DEFAULT_SINGLE_TASK_ROWS)))
+
+
+def is_bounded(df: DataFrame, n: int | None = None) -> bool:
+    n = df.count() if n is None else n
+    return n <= single_task_rows(df.sparkSession)
+
+
+# ------------------------------------------------------------------ distributed primitives
+
 def freeze_sorted(df: DataFrame, order_cols) -> DataFrame:
-    """Sort ``df`` globally, tag rows with ``_mid`` and checkpoint the result."""
+    """Sort ``df`` globally, tag rows with ``_mid`` and freeze the result as parquet."""
     tagged = df.orderBy(*_cols(order_cols)).withColumn("_mid", F.monotonically_increasing_id())
     return freeze(tagged)
 
@@ -50,6 +72,7 @@ def _partition_offsets(tagged: DataFrame, weights: dict[str, Column] | None = No
     weights = weights or {}
     aggs = [F.count(F.lit(1)).alias("_cnt")] + [F.sum(w).alias(f"_tot_{k}") for k, w in weights.items()]
     per_part = tagged.groupBy(F.shiftright("_mid", _POS_BITS).alias("_part")).agg(*aggs)
+    # This window sees one row per partition of the sort (a configuration-bounded table).
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     outs = [F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off")]
     outs += [F.coalesce(F.sum(f"_tot_{k}").over(before), F.lit(0)).alias(f"_off_{k}") for k in weights]
@@ -57,25 +80,41 @@ def _partition_offsets(tagged: DataFrame, weights: dict[str, Column] | None = No
 
 
 def global_rank(df: DataFrame, order_cols, rank_col: str = "_rank") -> DataFrame:
-    """``df`` plus a 1-based rank in the global order ``order_cols`` (ties must be broken by the caller)."""
+    """``df`` plus a 1-based rank in the global order ``order_cols`` (distributed plan)."""
     tagged = freeze_sorted(df, order_cols)
     offsets = _partition_offsets(tagged)
-    # The offsets table has one row per shuffle partition: its size is bounded by configuration.
     joined = tagged.join(F.broadcast(offsets), F.shiftright("_mid", _POS_BITS) == F.col("_part"))
     pos = F.col("_mid").bitwiseAND(F.lit(_POS_MASK))
     return joined.select(*[F.col(c) for c in df.columns], (F.col("_off") + pos + 1).alias(rank_col))
 
 
-def running_totals(df: DataFrame, order_cols, sums: dict[str, str]) -> DataFrame:
-    """Inclusive running sums of ``sums`` (out_name -> column) in the global order ``order_cols``.
+# ------------------------------------------------------------------ one entry point for both plans
 
-    Partition totals give each sorted partition its starting offsets; the
-    running sum inside a partition is a window keyed by the partition index,
-    so the work stays spread over as many tasks as the sort produced.
-    """
+def ranked(df: DataFrame, order_cols, by=(), n: int | None = None) -> DataFrame:
+    """``df`` plus ``_rank`` (1-based within the ``by`` group, in ``order_cols`` order) and ``_n``
+    (group size).  Ties must be broken by the caller (end ``order_cols`` with a key)."""
+    by = list(by)
+    if is_bounded(df, n):
+        w = Window.partitionBy(*by).orderBy(*_cols(order_cols))
+        return df.select("*", F.row_number().over(w).alias("_rank"),
+                         F.count(F.lit(1)).over(Window.partitionBy(*by)).alias("_n"))
+    keys = by or ["_g"]
+    src = df if by else df.withColumn("_g", F.lit(0))
+    g = global_rank(src, [*keys, *order_cols], "_grank")
+    sizes = g.groupBy(*keys).agg(F.min("_grank").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    out = g.join(sizes, keys).withColumn("_rank", F.col("_grank") - F.col("_start") + 1)
+    return out.select(*[F.col(c) for c in df.columns], "_rank", "_n")
+
+
+def running_totals(df: DataFrame, order_cols, sums: dict[str, str], n: int | None = None) -> DataFrame:
+    """Inclusive running sums of ``sums`` (out_name -> column) in the global order ``order_cols``."""
+    if is_bounded(df, n):
+        w = Window.orderBy(*_cols(order_cols)).rowsBetween(Window.unboundedPreceding, 0)
+        return df.select("*", *[F.sum(F.col(v)).over(w).alias(k) for k, v in sums.items()])
     tagged = freeze_sorted(df, order_cols)
     offsets = _partition_offsets(tagged, {k: F.col(v) for k, v in sums.items()})
     with_part = tagged.withColumn("_part", F.shiftright("_mid", _POS_BITS))
+    # Inside one sorted partition: a window keyed by the partition index keeps the sort's parallelism.
     w = Window.partitionBy("_part").orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
     local = with_part.select("*", *[F.sum(F.col(v)).over(w).alias(f"_loc_{k}") for k, v in sums.items()])
     joined = local.join(F.broadcast(offsets), "_part")
@@ -83,6 +122,8 @@ def running_totals(df: DataFrame, order_cols, sums: dict[str, str]) -> DataFrame
                          *[(F.col(f"_off_{k}") + F.col(f"_loc_{k}")).alias(k) for k in sums])
 
 
+# ------------------------------------------------------------------ quantiles and buckets
+
 def _lerp(lo: Column, hi: Column, t: Column) -> Column:
     # numpy's linear interpolation (used by pandas.quantile): two forms for stability.
     d = hi - lo
@@ -94,32 +135,24 @@ def exact_quantiles(df: DataFrame, col: str, probs, by=(), names=None) -> DataFr
 
     NULL values are skipped; rows whose group key is NULL form no group (the
     pandas groupby rule).  Returns one row per group with one column per
-    probability (``names`` or ``q0``, ``q1`` ...).  Only the 1-2 rows around each
-    target rank per group leave the ranked table.
+    probability (``names`` or ``q0``, ``q1`` ...).
     """
     by = list(by)
     names = list(names or [f"q{i}" for i in range(len(probs))])
-    keys = by or ["_g"]
     src = df.where(F.col(col).isNotNull())
     for b in by:
         src = src.where(F.col(b).isNotNull())
     src = src.select(*[F.col(b) for b in by], F.col(col).cast("double").alias("_x"))
-    if not by:
-        src = src.withColumn("_g", F.lit(0))
-    ranked = global_rank(src, [*keys, "_x"])
-    sizes = ranked.groupBy(*keys).agg(F.min("_rank").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    # ``sizes`` has one row per group; AQE turns this into a broadcast join when it is small.
-    ranked = ranked.join(sizes, keys)
-    rel = F.col("_rank") - F.col("_start")
+    r = ranked(src, ["_x"], by)
+    rel = F.col("_rank") - 1
     pos = [(F.col("_n") - 1).cast("double") * F.lit(float(p)) for p in probs]
-    picks = ranked.where(reduce(or_, [(rel == F.floor(h)) | (rel == F.ceil(h)) for h in pos]))
+    picks = r.where(reduce(or_, [(rel == F.floor(h)) | (rel == F.ceil(h)) for h in pos]))
     aggs = []
     for h, name in zip(pos, names):
         lo = F.max(F.when(rel == F.floor(h), F.col("_x")))
         hi = F.max(F.when(rel == F.ceil(h), F.col("_x")))
         aggs.append(_lerp(lo, hi, F.first(h - F.floor(h))).alias(name))
-    out = picks.groupBy(*keys).agg(*aggs)
-    return out if by else out.drop("_g")
+    return picks.groupBy(*by).agg(*aggs)
 
 
 def quantile_values(df: DataFrame, col: str, probs) -> list[float | None]:
@@ -128,53 +161,48 @@ def quantile_values(df: DataFrame, col: str, probs) -> list[float | None]:
     return [None if row is None else row[i] for i in range(len(probs))]
 
 
+def _past(v: Column, t: Column, bv, bt) -> Column:
+    """1 when (v, t) sorts after the boundary tuple (bv, bt)."""
+    return ((v > F.lit(bv)) | ((v == F.lit(bv)) & (t > F.lit(bt)))).cast("int")
+
+
 def rank_bucket(df: DataFrame, value_col: str, tie_col: str, q: int = 5) -> Column:
     """Column giving ``pd.qcut(value.rank(method='first'), q)`` bucket numbers 1..q.
 
     The rank order is (value, tie_col); NULL values get no bucket.  Bucket k
     ends at rank ``1 + floor(k (n-1) / q)`` (pandas puts edge k at
-    ``1 + (n-1) k / q``, right-closed).  Only the q-1 boundary rows are fetched
-    (an action on a frozen, ranked copy of the two columns); the bucket itself
-    is a projection comparing each row with those boundaries, so no join back.
+    ``1 + (n-1) k / q``, right-closed).  Only the q-1 boundary rows are fetched;
+    the bucket itself is a projection comparing each row with those
+    boundaries, so there is no join back to the table.
     """
     src = df.where(F.col(value_col).isNotNull()).select(
         F.col(value_col).alias("_v"), F.col(tie_col).alias("_t"))
-    ranked = global_rank(src, ["_v", "_t"])
-    n = ranked.count()
+    n = src.count()
     if n == 0:
         return F.lit(None).cast("int")
     lasts = [1 + (k * (n - 1)) // q for k in range(1, q)]
-    rows = {r["_rank"]: (r["_v"], r["_t"]) for r in ranked.where(F.col("_rank").isin(lasts)).collect()}
+    r = ranked(src, ["_v", "_t"], n=n)
+    rows = {x["_rank"]: (x["_v"], x["_t"]) for x in r.where(F.col("_rank").isin(lasts)).collect()}
     v, t = F.col(value_col), F.col(tie_col)
-    above = []
-    for last in lasts:
-        bv, bt = rows[last]
-        above.append(((v > F.lit(bv)) | ((v == F.lit(bv)) & (t > F.lit(bt)))).cast("int"))
+    above = [_past(v, t, *rows[last]) for last in lasts]
     return F.when(v.isNotNull(), reduce(lambda a, b: a + b, above) + F.lit(1)).cast("int")
 
 
-def qcut_sql(rank_expr: str, n_expr: str, q: int = 5) -> str:
-    """SQL twin of the qcut bucket given a 1-based rank and the non-null count."""
-    return f"greatest(1, ({q} * ({rank_expr} - 1) + {n_expr} - 2) // ({n_expr} - 1))"
-
-
 def hash_buckets(df: DataFrame, order_col: str, tie_col: str, by: list[str], cuts) -> Column:
     """Per-group contiguous slices of the ``(order_col, tie_col)`` order.
 
     ``cuts`` are cumulative fractions given as integer pairs ``(num, den)``;
-    row with within-group rank r is past cut i when ``r > ceil(num_i * n_g / den_i)``
+    a row with within-group rank r is past cut i when ``r > ceil(num_i * n_g / den_i)``
     (integer arithmetic, so no float rounding decides a boundary).  Returns a
     Column with the slice index 0..len(cuts).  Only the boundary rows of each
     group are fetched (groups x cuts rows - a handful for class labels).
     """
     src = df.select(*[F.col(b) for b in by], F.col(order_col).alias("_v"), F.col(tie_col).alias("_t"))
-    ranked = global_rank(src, [*by, "_v", "_t"])
-    sizes = ranked.groupBy(*by).agg(F.min("_rank").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    ranked = ranked.join(sizes, by)
-    rel = F.col("_rank") - F.col("_start") + 1
+    r = ranked(src, ["_v", "_t"], by)
     ends = [F.expr(f"(_n * {int(num)} + {int(den) - 1}) div {int(den)}") for num, den in cuts]
-    bounds = ranked.where(reduce(or_, [rel == e for e in ends])).select(
-        *by, *[F.when(rel == e, F.struct("_v", "_t")).alias(f"_b{i}") for i, e in enumerate(ends)])
+    rank = F.col("_rank")
+    bounds = r.where(reduce(or_, [rank == e for e in ends])).select(
+        *by, *[F.when(rank == e, F.struct("_v", "_t")).alias(f"_b{i}") for i, e in enumerate(ends)])
     bounds = bounds.groupBy(*by).agg(*[F.max(f"_b{i}").alias(f"_b{i}") for i in range(len(ends))]).collect()
     v, t = F.col(order_col), F.col(tie_col)
     expr = None
@@ -183,14 +211,17 @@ def hash_buckets(df: DataFrame, order_col: str, tie_col: str, by: list[str], cut
         past = []
         for i in range(len(ends)):
             b = row[f"_b{i}"]
-            if b is None:  # the cut falls before the first row (ceil(...) = 0): every row is past it
-                past.append(F.lit(1))
-            else:
-                past.append(((v > F.lit(b["_v"])) | ((v == F.lit(b["_v"])) & (t > F.lit(b["_t"])))).cast("int"))
+            # No boundary row means the cut falls before the first row (ceil(...) = 0).
+            past.append(F.lit(1) if b is None else _past(v, t, b["_v"], b["_t"]))
         val = reduce(lambda a, b: a + b, past)
         expr = F.when(in_group, val) if expr is None else expr.when(in_group, val)
     return expr if expr is not None else F.lit(None).cast("int")
 
 
-__all__ = ["freeze_sorted", "global_rank", "running_totals", "exact_quantiles", "quantile_values",
-           "rank_bucket", "qcut_sql", "hash_buckets"]
+def qcut_sql(rank_expr: str, n_expr: str, q: int = 5) -> str:
+    """SQL twin of the qcut bucket given a 1-based rank and the non-null count."""
+    return f"greatest(1, ({q} * ({rank_expr} - 1) + {n_expr} - 2) // ({n_expr} - 1))"
+
+
+__all__ = ["single_task_rows", "is_bounded", "freeze_sorted", "global_rank", "ranked", "running_totals",
+           "exact_quantiles", "quantile_values", "rank_bucket", "hash_buckets", "qcut_sql"]

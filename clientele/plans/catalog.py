@@ -48,7 +48,7 @@ def feat(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = _key(spark, sf_dir, "features")
     if k not in _CACHE:
         clean = freeze(CL.clean_customers(base(spark, sf_dir)))
-        _CACHE[k] = freeze(FT.create_features(clean, REF))
+        _CACHE[k] = freeze(FT.create_features(clean, REF))  # same steps as flows.customer_features
     return _CACHE[k]
 
 
@@ -823,3 +823,80 @@ def q_grid_search(spark, d):
     grid = {"numTrees": [20, 40], "maxDepth": [5]}
     _, cvm = ML.grid_search(train, spec, ML.random_forest(20), grid, metric="roc_auc", parallelism=2)
     return ML.grid_results(cvm, grid)
+
+
+# ------------------------------------------------------------------ 9. remaining sources, cleaning and preparation ops
+
+@register("preview", O.with_features(
+    "SELECT ID, RFM_Segment, TotalSpend, Response FROM feat ORDER BY ID LIMIT 100"))
+def q_preview(spark, d):
+    from clientele.sources.sinks import preview
+    return preview(feat(spark, d).select("ID", "RFM_Segment", "TotalSpend", "Response"), 100)
+
+
+@register("fill_medians", O.with_features(
+    "SELECT ID, round(coalesce(CAST(Recency AS DOUBLE), " + O.quantile_sql("Recency", 0.5, "feat")
+    + "), 4) AS Recency, round(coalesce(Income_per_Age, " + O.quantile_sql("Income_per_Age", 0.5, "feat")
+    + "), 4) AS Income_per_Age FROM feat"))
+def q_fill_medians(spark, d):
+    return r4(CL.fill_medians(feat(spark, d).select("ID", "Recency", "Income_per_Age"), ["Recency", "Income_per_Age"]))
+
+
+@register("expand_dates", O.with_features(
+    "SELECT ID, CAST(year(Dt_Customer) AS INTEGER) AS Dt_Customer_Year, CAST(month(Dt_Customer) AS INTEGER) "
+    "AS Dt_Customer_Month, CAST(day(Dt_Customer) AS INTEGER) AS Dt_Customer_Day FROM feat"))
+def q_expand_dates(spark, d):
+    return PR.expand_dates(feat(spark, d).select("ID", "Dt_Customer"))
+
+
+@register("sample_rows", O.with_features(
+    "SELECT ID, Response FROM feat ORDER BY md5(CAST(ID AS VARCHAR) || '-42'), ID LIMIT 1000"))
+def q_sample_rows(spark, d):
+    return PR.sample_rows(feat(spark, d).select("ID", "Response"), 1000, 42)
+
+
+@register("class_weights", O.with_features(
+    "SELECT Response AS class, n, round(sum(n) OVER () / (count(*) OVER () * n), 6) AS balanced_weight, "
+    "round(min(n) OVER () * 100.0 / sum(n) OVER (), 6) AS minority_pct, "
+    "min(n) OVER () * 100.0 / sum(n) OVER () < 15.0 AS imbalanced, "
+    "CASE WHEN min(n) OVER () * 100.0 / sum(n) OVER () < 15.0 THEN 'f1' ELSE 'roc_auc' END AS metric "
+    "FROM (SELECT Response, count(*) AS n FROM feat WHERE Response IS NOT NULL GROUP BY Response)"))
+def q_class_weights(spark, d):
+    return RP.round_doubles(PR.imbalance_report(feat(spark, d)), 6)
+
+
+@register("yeo_johnson_fit")
+def q_yeo_johnson_fit(spark, d):
+    cols = ["Income", "TotalSpend", "AvgSpend", "Spend_per_Year"]
+    lams = PR.fit_yeo_johnson(feat(spark, d), cols)
+    return spark.createDataFrame([(c, float(v)) for c, v in lams.items()], "column string, lambda double")
+
+
+@register("boosted_trees")
+def q_boosted_trees(spark, d):
+    from clientele.operators import modeling as ML
+    f, spec, split = _model_inputs(spark, d)
+    train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
+    out = None
+    for i, (name, clf) in enumerate([("GBT_levelwise", ML.boosted_trees(20, 6, 0.1)),
+                                     ("GBT_leafwise", ML.boosted_trees(20, 5, 0.1, 0.8))]):
+        model = ML.pipeline(spec, clf).fit(ML.prepared(train, spec))
+        m = MT.evaluate(ML.evaluation_frame(model, test, spec), name).withColumn("order", F.lit(i))
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+@register("top_features")
+def q_top_features(spark, d):
+    from clientele.operators import modeling as ML
+    model, spec, _ = _fitted_forest(spark, d)
+    return ML.top_features(ML.feature_importance(model, spec), 10)
+
+
+@register("analysis_summary")
+def q_analysis_summary(spark, d):
+    res = flows.run_analysis(spark, d, REF, num_trees=50, boost_iters=10)
+    rows = [(k, float(v)) for k, v in res["timings"].items()]
+    return (res["metrics"].select("model", "roc_auc", "f1_score")
+            .withColumn("best", F.col("model") == F.lit(res["best_model"]))
+            .withColumn("steps", F.lit(len(rows))))

@@ -32,4 +32,95 @@ def customer_features(spark: SparkSession, sf_dir: str, reference_date: str = DE
     clean = cleaned_customers(spark, sf_dir, reference_date, full)
     if freeze:
         clean = materialize(clean)
-    return features.create_features(clean, reference_date)
+    feats = features.create_features(clean, reference_date)
+    # The processed table is written once (the reference saves it too); every report reads it.
+    return materialize(feats) if freeze else feats
+
+
+def run_analysis(spark: SparkSession, sf_dir: str, reference_date: str = DEFAULT_REFERENCE_DATE,
+                 output_dir: str | None = None, num_trees: int = 100, boost_iters: int = 20,
+                 grid: dict | None = None) -> dict:
+    """The whole batch analysis: load -> quality -> clean -> features -> prepare -> train and
+    evaluate (forest + two boosted-tree variants, optional grid search) -> reports -> save.
+
+    Returns a dict of DataFrames plus ``timings`` (seconds per step) and the
+    chosen model name.  With ``output_dir`` every table and model is written
+    there (overwrite), like the reference's output folder.
+    """
+    import time
+
+    from pyspark.sql import functions as F
+
+    from clientele.operators import metrics as MT
+    from clientele.operators import modeling as ML
+    from clientele.operators import prep as PR
+    from clientele.operators import quality as QA
+    from clientele.operators import reports as RP
+    from clientele.sources import sinks
+
+    timings: dict[str, float] = {}
+    out: dict = {}
+
+    def step(name, fn):
+        t = time.time()
+        r = fn()
+        timings[name] = time.time() - t
+        return r
+
+    base = step("load", lambda: base_table(spark, sf_dir, reference_date))
+    out["quality"] = step("validate", lambda: {
+        "missing": QA.missing_profile(base), "duplicates": QA.duplicate_ids(base),
+        "outliers": QA.iqr_outliers(base), "domain": QA.domain_check(base), "balance": QA.class_balance(base)})
+    clean = step("clean", lambda: materialize(cleaning.clean_customers(base)))
+    feats = step("features", lambda: materialize(features.create_features(clean, reference_date)))
+    out["features"] = feats
+    rule = PR.imbalance_rule(feats)
+    spec = ML.FeatureSpec.from_frame(feats)
+    split = step("split", lambda: materialize(PR.stratified_folds(PR.stratified_split(feats))))
+    train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
+    weight = None
+    if rule["imbalanced"]:
+        train = PR.with_class_weights(train, rule["weights"])
+        weight = "weight"
+    importance = step("select", lambda: ML.rf_importance(train, spec, num_trees, weight))
+    selected = ML.select_features(importance) or spec.columns
+    spec_sel = spec.restrict(selected)
+    candidates = {
+        "RandomForest": ML.random_forest(num_trees, weight_col=weight),
+        "GBT_levelwise": ML.boosted_trees(boost_iters, 6, 0.1, weight_col=weight),
+        "GBT_leafwise": ML.boosted_trees(boost_iters, 5, 0.1, 0.8, weight_col=weight),
+    }
+    models, metrics = {}, None
+    for order, (name, clf) in enumerate(candidates.items()):
+        def fit(clf=clf):
+            if grid and name == "RandomForest":
+                return ML.grid_search(train, spec_sel, clf, grid, rule["metric"])[0]
+            return ML.pipeline(spec_sel, clf).fit(ML.prepared(train, spec_sel))
+        models[name] = step(f"train_{name}", fit)
+        ev = ML.evaluation_frame(models[name], test, spec_sel)
+        m = MT.evaluate(ev, name).withColumn("order", F.lit(order))
+        metrics = m if metrics is None else metrics.unionByName(m)
+    metrics = step("evaluate", lambda: materialize(metrics))
+    key = "f1_score" if rule["metric"] == "f1" else "roc_auc"
+    best = MT.best_model(metrics, key).first()["model"]
+    out.update({
+        "metrics": metrics, "metrics_long": RP.metrics_long(metrics.drop("order")), "best_model": best,
+        "importance": importance, "selected_features": selected, "models": models, "spec": spec_sel,
+        "segment_profile": RP.segment_profile(feats), "segment_counts": RP.segment_counts(feats),
+        "campaign_rates": RP.campaign_rates(feats), "age_spend": RP.age_spend(feats),
+        "segment_response": RP.segment_response(feats),
+        "feature_docs": RP.feature_docs(feats, selected, categorical=PR.SCORE_COLUMNS),
+        "scored": ML.score_customers(models[best], feats, spec_sel),
+    })
+    if output_dir:
+        def save():
+            sinks.write_table(feats, f"{output_dir}/processed_data", "csv")
+            sinks.write_report(out["segment_profile"], f"{output_dir}/segment_profiles")
+            sinks.write_report(out["feature_docs"], f"{output_dir}/feature_documentation")
+            sinks.write_table(metrics, f"{output_dir}/model_results")
+            sinks.save_feature_list(spark, selected, f"{output_dir}/important_features")
+            for name, model in models.items():
+                sinks.save_model(model, f"{output_dir}/{name}_model")
+        step("save", save)
+    out["timings"] = timings
+    return out

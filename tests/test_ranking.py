@@ -7,6 +7,15 @@ from pyspark.sql import functions as F
 from clientele.operators import ranking as RK
 
 
+@pytest.fixture(params=["bounded", "distributed"], autouse=True)
+def plan(request, spark):
+    """Run every test under both plans: plain windows, and the sort/freeze/offsets plan."""
+    if request.param == "distributed":
+        spark.conf.set("spark.clientele.singleTaskRows", "0")
+    yield request.param
+    spark.conf.unset("spark.clientele.singleTaskRows")
+
+
 @pytest.mark.parametrize("n", [5, 7, 8, 9, 12, 13, 14, 101])
 def test_rank_bucket_matches_qcut(spark, n):
     rng = np.random.default_rng(n)
