@@ -1,0 +1,39 @@
+"""The whole analysis end to end (small models) and streaming scoring of arriving files."""
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+SF001 = "/root/testdata/sf0.001"
+
+
+def test_run_analysis_writes_outputs(spark):
+    from clientele.plans import flows
+    out = tempfile.mkdtemp(prefix="clientele-run-")
+    res = flows.run_analysis(spark, SF001, output_dir=out, num_trees=10, boost_iters=5)
+    assert res["best_model"] in {"RandomForest", "GBT_levelwise", "GBT_leafwise"}
+    m = res["metrics"].collect()
+    assert len(m) == 3 and all(0.0 <= r.roc_auc <= 1.0 for r in m)
+    assert res["segment_profile"].count() >= 1
+    assert res["scored"].count() == res["features"].count()
+    for name in ["processed_data", "segment_profiles", "feature_documentation", "model_results",
+                 "important_features", "RandomForest_model"]:
+        assert os.path.exists(os.path.join(out, name)), name
+    assert set(res["timings"]) >= {"load", "clean", "features", "evaluate", "save"}
+
+
+def test_stream_scoring(spark):
+    from clientele.operators import modeling as ML
+    from clientele.plans import catalog
+    from clientele.streaming.scoring import score_files
+    f = catalog.feat(spark, SF001)
+    spec = ML.FeatureSpec.from_frame(f)
+    model = ML.pipeline(spec, ML.random_forest(5)).fit(ML.prepared(f, spec))
+    root = tempfile.mkdtemp(prefix="clientele-stream-")
+    src, sink, ck = (os.path.join(root, x) for x in ("in", "out", "ck"))
+    f.write.parquet(src)
+    q = score_files(spark, model, spec, src, f.schema, sink, ck)
+    q.awaitTermination(120)
+    scored = spark.read.parquet(sink)
+    assert scored.count() == f.count()
+    assert scored.where(F.col("Response_Probability").isNull()).count() == 0
