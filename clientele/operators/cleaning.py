@@ -130,8 +130,13 @@ def date_parse_failures(df: DataFrame, col: str = "Dt_Customer", fmt: str | None
 
 
 def epoch_micros(c: Column) -> Column:
-    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ wall clock (time-zone independent)."""
-    return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), c.cast("timestamp_ntz"))
+    """Microseconds since 1970-01-01 00:00 of a wall-clock timestamp, independent of the session
+    time zone (whole days from the date part plus the time of day; no instant conversion)."""
+    ts = c.cast("timestamp_ntz")
+    days = F.unix_date(ts.cast("date")).cast("long")
+    secs = (F.hour(ts) * 3600 + F.minute(ts) * 60).cast("long")
+    frac = (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("long")
+    return days * F.lit(86_400_000_000) + secs * F.lit(1_000_000) + frac
 
 
 def from_epoch_micros(c: Column) -> Column:

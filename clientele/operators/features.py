@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from clientele.functions.binning import count_positive, cut, first_max_label, ratio_or_zero, row_sum
 from clientele.operators.cleaning import epoch_micros
-from clientele.operators.ranking import rank_bucket
+from clientele.operators.ranking import rank_buckets
 
 # Fixed values that must equal the reference's (labels, bins, column maps).
 TENURE_EDGES = [0, 90, 365, 730, float("inf")]
@@ -148,9 +148,10 @@ def rfm_scores(df: DataFrame, id_col: str = "ID", q: int = 5) -> DataFrame:
     need = ["Customer_Tenure_Days", "TotalPurchases", "TotalSpend"]
     if any(c not in df.columns for c in need):
         return df
-    r = F.lit(q + 1) - rank_bucket(df, "Customer_Tenure_Days", id_col, q)
-    f = rank_bucket(df, "TotalPurchases", id_col, q)
-    m = rank_bucket(df, "TotalSpend", id_col, q)
+    b = rank_buckets(df, need, id_col, q)
+    r = F.lit(q + 1) - b["Customer_Tenure_Days"]
+    f = b["TotalPurchases"]
+    m = b["TotalSpend"]
     df = df.withColumns({"R_Score": r.cast("int"), "F_Score": f.cast("int"), "M_Score": m.cast("int")})
     rc, fc, mc = F.col("R_Score"), F.col("F_Score"), F.col("M_Score")
     return df.withColumns({

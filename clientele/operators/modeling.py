@@ -91,8 +91,13 @@ def pipeline(spec: FeatureSpec, classifier) -> Pipeline:
 
 
 def random_forest(num_trees: int = 100, max_depth: int = 30, min_leaf: int = 1, weight_col: str | None = None):
+    from clientele.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(_spark())
+    # Deep trees: cache each row's node id (checkpointed every 10 iterations into the shared
+    # checkpoint folder) and give node statistics more room, so a level takes fewer passes.
     rf = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=num_trees,
-                                maxDepth=min(max_depth, 30), minInstancesPerNode=min_leaf, seed=SEED)
+                                maxDepth=min(max_depth, 30), minInstancesPerNode=min_leaf, seed=SEED,
+                                cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=10)
     if weight_col:
         rf.setWeightCol(weight_col)
     return rf
@@ -100,8 +105,11 @@ def random_forest(num_trees: int = 100, max_depth: int = 30, min_leaf: int = 1,
 
 def boosted_trees(max_iter: int = 100, max_depth: int = 5, step: float = 0.1, subsample: float = 1.0,
                   feature_subset: str = "all", weight_col: str | None = None):
+    from clientele.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(_spark())
     gbt = GBTClassifier(labelCol="label", featuresCol="features", maxIter=max_iter, maxDepth=max_depth,
-                        stepSize=step, subsamplingRate=subsample, featureSubsetStrategy=feature_subset, seed=SEED)
+                        stepSize=step, subsamplingRate=subsample, featureSubsetStrategy=feature_subset, seed=SEED,
+                        cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=10)
     if weight_col:
         gbt.setWeightCol(weight_col)
     return gbt

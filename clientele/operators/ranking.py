@@ -188,6 +188,33 @@ def rank_bucket(df: DataFrame, value_col: str, tie_col: str, q: int = 5) -> Colu
     return F.when(v.isNotNull(), reduce(lambda a, b: a + b, above) + F.lit(1)).cast("int")
 
 
+def rank_buckets(df: DataFrame, value_cols, tie_col: str, q: int = 5) -> dict[str, Column]:
+    """``rank_bucket`` for several columns at once: one count aggregate for all of them and,
+    on the bounded plan, one ranking job (one window per column) for every boundary row."""
+    value_cols = list(value_cols)
+    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in value_cols]).first()
+    n_all = df.count() if not value_cols else max(counts[c] for c in value_cols)
+    if not is_bounded(df, n_all):
+        return {c: rank_bucket(df, c, tie_col, q) for c in value_cols}
+    lasts = {c: [1 + (k * (counts[c] - 1)) // q for k in range(1, q)] if counts[c] else [] for c in value_cols}
+    t = F.col(tie_col)
+    ranks = [F.when(F.col(c).isNotNull(), F.row_number().over(Window.orderBy(F.col(c).asc_nulls_last(), t)))
+             .alias(f"_r{i}") for i, c in enumerate(value_cols)]
+    r = df.select(t.alias("_t"), *[F.col(c).alias(f"_v{i}") for i, c in enumerate(value_cols)], *ranks)
+    hit = reduce(or_, [F.col(f"_r{i}").isin(lasts[c]) for i, c in enumerate(value_cols) if lasts[c]] or [F.lit(False)])
+    rows = r.where(hit).collect()
+    out = {}
+    for i, c in enumerate(value_cols):
+        if not counts[c]:
+            out[c] = F.lit(None).cast("int")
+            continue
+        at = {x[f"_r{i}"]: (x[f"_v{i}"], x["_t"]) for x in rows if x[f"_r{i}"] in lasts[c]}
+        v = F.col(c)
+        above = [_past(v, t, *at[last]) for last in lasts[c]]
+        out[c] = F.when(v.isNotNull(), reduce(lambda a, b: a + b, above) + F.lit(1)).cast("int")
+    return out
+
+
 def hash_buckets(df: DataFrame, order_col: str, tie_col: str, by: list[str], cuts) -> Column:
     """Per-group contiguous slices of the ``(order_col, tie_col)`` order.
 
@@ -224,4 +251,4 @@ def qcut_sql(rank_expr: str, n_expr: str, q: int = 5) -> str:
 
 
 __all__ = ["single_task_rows", "is_bounded", "freeze_sorted", "global_rank", "ranked", "running_totals",
-           "exact_quantiles", "quantile_values", "rank_bucket", "hash_buckets", "qcut_sql"]
+           "exact_quantiles", "quantile_values", "rank_bucket", "rank_buckets", "hash_buckets", "qcut_sql"]

@@ -57,3 +57,20 @@ def test_drop_duplicates_idempotent(spark):
 def test_detect_dates(spark):
     df = spark.createDataFrame([("2012-01-01", "x", dt.date(2012, 1, 1))], "signup_date string, name string, d date")
     assert CL.detect_date_columns(df) == ["signup_date", "d"]
+
+
+def test_epoch_micros_ignores_session_time_zone(spark):
+    import datetime as dt
+    from clientele.operators.cleaning import epoch_micros, from_epoch_micros
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = spark.createDataFrame([(dt.datetime(2012, 7, 1, 12, 0, 0, 5),), (dt.datetime(2001, 12, 31),)],
+                                   "t timestamp_ntz")
+        rows = df.select("t", epoch_micros(F.col("t")).alias("us"),
+                         from_epoch_micros(epoch_micros(F.col("t"))).alias("back")).collect()
+        for r in rows:
+            assert r.us == (r.t - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+            assert r.back == r.t
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -77,3 +77,15 @@ def test_hash_buckets_balanced(spark):
     for _, g in counts.groupby("y"):
         assert g["count"].max() - g["count"].min() <= 1
         assert sorted(g["f"]) == [0, 1, 2, 3, 4]
+
+
+def test_rank_buckets_match_single(spark):
+    rng = np.random.default_rng(11)
+    pdf = pd.DataFrame({"id": np.arange(57), "a": rng.integers(0, 9, 57).astype(float), "b": rng.integers(0, 4, 57)})
+    pdf.loc[[3, 9], "a"] = None
+    df = spark.createDataFrame(pdf)
+    many = RK.rank_buckets(df, ["a", "b"], "id")
+    got = df.select("id", many["a"].alias("a"), many["b"].alias("b"),
+                    RK.rank_bucket(df, "a", "id").alias("a1"), RK.rank_bucket(df, "b", "id").alias("b1")).collect()
+    assert all(r.a == r.a1 and r.b == r.b1 for r in got)
+    assert sum(r.a is None for r in got) == 2
