@@ -209,24 +209,31 @@ def grid_results(cvm, grid: dict) -> DataFrame:
 
 
 def permutation_importance(model: PipelineModel, test: DataFrame, spec: FeatureSpec, features=None,
-                           sample: int = 100, id_col: str = "ID") -> DataFrame:
-    """Mean |change in probability| when one feature is permuted, on a bounded hash sample.
-
-    Replaces the per-row tree-attribution library (run on <= 100 test rows).
-    The permutation pairs the i-th row in md5(ID) order with the i-th row in
-    md5(reverse ID) order - reproducible in any engine - within the
-    ``sample``-row subset, so the windows here see at most ``sample`` rows.
+                           sample: int | None = None, id_col: str = "ID") -> DataFrame:
+    """Mean |change in probability| when one feature's values are permuted across rows.
+
+    Replaces the per-row tree-attribution library (which the original ran on
+    <= 100 test rows; ``sample=100`` reproduces that bound, ``None`` uses every
+    test row).  The permutation pairs the i-th row in md5(ID) order with the
+    i-th row in md5(reversed ID) order - reproducible in any engine.  Both
+    orders come from :func:`ranking.ranked`, so a large test set is ranked by
+    the distributed plan and the pairing is an equi-join on the rank.
     """
+    from clientele.operators.ranking import ranked
     features = list(features or spec.numeric)
-    base = PR.sample_rows(test, sample, SEED, id_col)
-    base = base.withColumns({
-        "_i": F.row_number().over(_w(F.md5(F.col(id_col).cast("string")))),
-        "_j": F.row_number().over(_w(F.md5(F.reverse(F.col(id_col).cast("string")))))})
+    base = PR.sample_rows(test, sample, SEED, id_col) if sample else test
+    key_a = F.md5(F.col(id_col).cast("string"))
+    key_b = F.md5(F.reverse(F.col(id_col).cast("string")))
+    slots = ranked(base.select(id_col, key_a.alias("_ka")), ["_ka", id_col]).select(id_col, F.col("_rank").alias("_i"))
+    donors = ranked(base.select(id_col, key_b.alias("_kb")), ["_kb", id_col]).select(
+        F.col(id_col).alias("_donor_id"), F.col("_rank").alias("_i"))
+    pairs = slots.join(donors, "_i")  # row id -> donor id, one-to-one
     ref = score(model, base, spec).select(id_col, F.col("Response_Probability").alias("_p0"))
+    donor_vals = base.select(F.col(id_col).alias("_donor_id"), *[F.col(c).alias(f"_d_{c}") for c in features])
+    paired = base.join(pairs, id_col).join(donor_vals, "_donor_id")
     results = None
     for c in features:
-        donor = base.select(F.col("_j").alias("_i"), F.col(c).alias("_donor"))
-        permuted = base.join(donor, "_i").withColumn(c, F.col("_donor")).drop("_donor")
+        permuted = paired.withColumn(c, F.col(f"_d_{c}")).drop(*[f"_d_{x}" for x in features], "_donor_id", "_i")
         delta = (score(model, permuted, spec).join(ref, id_col)
                  .agg(F.avg(F.abs(F.col("Response_Probability") - F.col("_p0"))).alias("importance"))
                  .select(F.lit(c).alias("feature"), "importance"))
@@ -234,11 +241,6 @@ def permutation_importance(model: PipelineModel, test: DataFrame, spec: FeatureS
     return results.orderBy(F.desc("importance"), "feature")
 
 
-def _w(order):
-    from pyspark.sql import Window
-    return Window.orderBy(order)
-
-
 def customer_clusters(df: DataFrame, cols, k: int = 3, seed: int = SEED):
     """KMeans on standardised columns: (cluster profile DataFrame, silhouette)."""
     stats = PR.scale_stats(df, cols)

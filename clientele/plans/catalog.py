@@ -263,7 +263,7 @@ _CH_SHORT = FT.short_names(list(FT.CHANNELS))
 
 
 @register("category_totals", O.with_features(" UNION ALL ".join(
-    f"SELECT '{_CAT_SHORT[c]}' AS Category, sum({c}) AS Total FROM feat" for c in FT.SPEND_CATEGORIES)))
+    f"SELECT '{_CAT_SHORT[c]}' AS Category, CAST(sum({c}) AS BIGINT) AS Total FROM feat" for c in FT.SPEND_CATEGORIES)))
 def q_category_totals(spark, d):
     return RP.category_totals(feat(spark, d))
 
@@ -280,7 +280,7 @@ def q_generation_category_spend(spark, d):
 
 
 @register("channel_totals", O.with_features(" UNION ALL ".join(
-    f"SELECT '{_CH_SHORT[c]}' AS Channel, sum({c}) AS Purchases FROM feat" for c in FT.CHANNELS)))
+    f"SELECT '{_CH_SHORT[c]}' AS Channel, CAST(sum({c}) AS BIGINT) AS Purchases FROM feat" for c in FT.CHANNELS)))
 def q_channel_totals(spark, d):
     return RP.channel_totals(feat(spark, d))
 
@@ -428,10 +428,12 @@ def q_feature_docs(spark, d):
 
 @register("cohort_trend", O.with_features(
     "SELECT Cohort, customers, responders, acceptances, round(responders * 100.0 / customers, 4) AS response_rate, "
-    "sum(customers) OVER (ORDER BY Cohort ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_customers, "
+    "CAST(sum(customers) OVER (ORDER BY Cohort ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) "
+    "AS cum_customers, "
     "round(sum(responders) OVER (ORDER BY Cohort ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) * 100.0 / "
     "sum(customers) OVER (ORDER BY Cohort ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS cum_response_rate "
-    "FROM (SELECT Cohort, count(*) AS customers, sum(Response) AS responders, sum(TotalAcceptedCampaigns) AS acceptances "
+    "FROM (SELECT Cohort, count(*) AS customers, CAST(sum(Response) AS BIGINT) AS responders, "
+    "CAST(sum(TotalAcceptedCampaigns) AS BIGINT) AS acceptances "
     "FROM feat WHERE Cohort IS NOT NULL GROUP BY Cohort)"))
 def q_cohort_trend(spark, d):
     return r4(RP.cohort_trend(feat(spark, d)))

@@ -19,6 +19,11 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE", "decimal": "DECIMAL",
+                 "smallint": "SMALLINT", "float": "FLOAT", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
 def duck(sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
@@ -77,6 +82,10 @@ def compare(spark, sf_dir: str, names=None) -> dict:
             continue
         sc, sr = canon(scols, srows)
         dc, dr = canon(dcols, drows)
+        stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString().split("(")[0], f.dataType.simpleString())
+                  for f in sdf.schema.fields}
+        dtypes = {c: str(t).split("(")[0] for c, t in zip(rel.columns, rel.types)}
+        type_diff = {c: (stypes[c], dtypes.get(c)) for c in stypes if c in dtypes and stypes[c] != dtypes[c]}
         if sc != dc:
             results[name] = f"COLUMNS differ spark={sc} duck={dc}"
         elif len(sr) != len(dr):
@@ -85,7 +94,7 @@ def compare(spark, sf_dir: str, names=None) -> dict:
             diffs = [(a, b) for a, b in zip(sr, dr) if a != b][:2]
             results[name] = f"VALUES differ e.g. {diffs}"
         else:
-            results[name] = f"ok {len(sr)} rows ({st:.1f}s)"
+            results[name] = f"ok {len(sr)} rows ({st:.1f}s)" + (f" TYPES {type_diff}" if type_diff else "")
     return results
 
 
