@@ -142,8 +142,11 @@ def exact_quantiles(df: DataFrame, col: str, probs, by=(), names=None) -> DataFr
     src = df.where(F.col(col).isNotNull())
     for b in by:
         src = src.where(F.col(b).isNotNull())
-    src = src.select(*[F.col(b) for b in by], F.col(col).cast("double").alias("_x"))
-    r = ranked(src, ["_x"], by)
+    # The row id only breaks ties: a value repeated on a third of the rows would otherwise be one
+    # sort key that range partitioning cannot split.  Equal values are interchangeable here.
+    src = src.select(*[F.col(b) for b in by], F.col(col).cast("double").alias("_x"),
+                     F.monotonically_increasing_id().alias("_tie"))
+    r = ranked(src, ["_x", "_tie"], by)
     rel = F.col("_rank") - 1
     pos = [(F.col("_n") - 1).cast("double") * F.lit(float(p)) for p in probs]
     picks = r.where(reduce(or_, [(rel == F.floor(h)) | (rel == F.ceil(h)) for h in pos]))

@@ -52,6 +52,11 @@ def feat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _CACHE[k]
 
 
+def reset() -> None:
+    """Forget the cached customer/feature tables (the next query rebuilds them)."""
+    _CACHE.clear()
+
+
 def r4(df: DataFrame, digits: int = 4) -> DataFrame:
     return RP.round_doubles(df, digits)
 

@@ -30,3 +30,22 @@ def test_oracle_parity_sf0001(spark):
     res = compare(spark, SF001, names)
     bad = {k: v for k, v in res.items() if not v.startswith("ok")}
     assert not bad, bad
+
+
+RANKING_QUERIES = ["impute_income", "cap_income", "fill_dates", "clean_customers", "rfm_scores", "segment_profile",
+                   "numeric_summary", "iqr_outliers", "stratified_split", "stratified_folds", "roc_curve", "roc_auc",
+                   "pr_auc", "cumulative_importance", "fill_medians", "best_model"]
+
+
+def test_oracle_parity_distributed_plan(spark):
+    """Same answers when every order statistic takes the sort/freeze/offsets plan."""
+    from clientele.plans import catalog
+    catalog.reset()
+    spark.conf.set("spark.clientele.singleTaskRows", "0")
+    try:
+        res = compare(spark, SF001, RANKING_QUERIES)
+    finally:
+        spark.conf.unset("spark.clientele.singleTaskRows")
+        catalog.reset()
+    bad = {k: v for k, v in res.items() if not v.startswith("ok")}
+    assert not bad, bad

@@ -89,3 +89,20 @@ def test_rank_buckets_match_single(spark):
                     RK.rank_bucket(df, "a", "id").alias("a1"), RK.rank_bucket(df, "b", "id").alias("b1")).collect()
     assert all(r.a == r.a1 and r.b == r.b1 for r in got)
     assert sum(r.a is None for r in got) == 2
+
+
+def test_hot_value_is_split_across_partitions(spark):
+    """A third of the rows share one value: the distributed sort must still spread them."""
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise(F.col("id").cast("double")).alias("x"))
+    q = RK.quantile_values(df, "x", [0.5])[0]
+    assert q == float(np.quantile(np.where(np.arange(3000) % 3 == 0, 5.0, np.arange(3000.0)), 0.5))
+    if spark.conf.get("spark.clientele.singleTaskRows", None) == "0":
+        # Small data would be coalesced into one partition by AQE; look at the raw range split.
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            src = df.select("x", F.monotonically_increasing_id().alias("_tie"))
+            tagged = RK.freeze_sorted(src, ["x", "_tie"])
+            parts = tagged.groupBy(F.shiftright("_mid", 33).alias("p")).count().collect()
+        finally:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        assert len(parts) > 4 and max(r["count"] for r in parts) < 1000
