@@ -337,25 +337,45 @@ def feature_docs(df: DataFrame, important=(), skip=("ID", "Response"), categoric
     spark = df.sparkSession
     important = list(important)
     fields = [f for f in df.schema.fields if f.name not in skip]
-    aggs, specs = [], []
+    numeric, distinct, other = [], [], []
     for i, f in enumerate(fields):
         c = F.col(f.name)
         if isinstance(f.dataType, NUMERIC_TYPES) and f.name not in categorical:
-            # Round first, then print: formatters disagree on how to round ties, round() does not.
-            text = F.format_string("Min: %.2f, Max: %.2f, Mean: %.2f", round_to(F.min(c).cast("double"), 2),
-                                   round_to(F.max(c).cast("double"), 2), round_to(mean(df, f.name), 2))
-            kind = "Numeric"
+            numeric.append((i, f.name, "Numeric", [F.min(c).cast("double"), F.max(c).cast("double"),
+                                                    mean(df, f.name).cast("double")]))
         elif isinstance(f.dataType, T.StringType) or f.name in categorical:
-            text = F.concat(F.lit("Unique values: "), F.count_distinct(c).cast("string"))
-            kind = "Categorical"
+            distinct.append((i, f.name, "Categorical", [F.count_distinct(c)]))
         else:
-            text, kind = F.lit(""), "Other"
-        aggs.append(text.alias(f"s{i}"))
-        specs.append((i, f.name, kind))
-    wide = df.agg(*aggs)
-    stack = F.stack(F.lit(len(fields)), *[v for i, name, kind in specs
-                                          for v in (F.lit(i), F.lit(name), F.lit(kind), F.col(f"s{i}"))])
-    long = wide.select(stack.alias("position", "Feature", "Type", "Statistics"))
+            other.append((i, f.name, "Other", F.lit("")))
+
+    def long_form(specs, text):
+        # One aggregate per kind (distinct counts stay out of the numeric aggregate, where Spark's
+        # distinct rewrite would replicate every numeric input per distinct column); the text is
+        # formatted afterwards on the one-row result, keeping the aggregate itself plain.
+        wide = df.agg(*[e.alias(f"s{i}_{j}") for i, _, _, es in specs for j, e in enumerate(es)])
+        stack = F.stack(F.lit(len(specs)), *[v for i, name, kind, es in specs
+                                             for v in (F.lit(i), F.lit(name), F.lit(kind), text(i, len(es)))])
+        return wide.select(stack.alias("position", "Feature", "Type", "Statistics"))
+
+    def numeric_text(i, _):
+        # Round first, then print: formatters disagree on how to round ties, round() does not.
+        return F.format_string("Min: %.2f, Max: %.2f, Mean: %.2f",
+                               *[round_to(F.col(f"s{i}_{j}"), 2) for j in range(3)])
+
+    def distinct_text(i, _):
+        return F.concat(F.lit("Unique values: "), F.col(f"s{i}_0").cast("string"))
+
+    parts = []
+    if numeric:
+        parts.append(long_form(numeric, numeric_text))
+    if distinct:
+        parts.append(long_form(distinct, distinct_text))
+    if other:
+        parts.append(spark.createDataFrame([(i, n, k, "") for i, n, k, _ in other],
+                                           "position int, Feature string, Type string, Statistics string"))
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
     ranks = spark.createDataFrame([(f, i + 1) for i, f in enumerate(important)] or [("", 0)],
                                   "Feature string, rank int").where(F.col("rank") > 0)
     out = long.join(F.broadcast(ranks), "Feature", "left")

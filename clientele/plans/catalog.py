@@ -907,3 +907,19 @@ def q_analysis_summary(spark, d):
     return (res["metrics"].select("model", "roc_auc", "f1_score")
             .withColumn("best", F.col("model") == F.lit(res["best_model"]))
             .withColumn("steps", F.lit(len(rows))))
+
+
+@register("pr_curve", O.with_features(
+    "SELECT round(CAST(threshold AS DOUBLE), 6) AS threshold, round(cum_pos / (cum_pos + cum_neg), 6) AS precision, "
+    f"round(cum_pos / P, 6) AS recall FROM ({_steps_sql(_rule_sql())}) "
+    f"WHERE threshold >= (SELECT max(threshold) FROM ({_steps_sql(_rule_sql())}) WHERE cum_pos = P) "
+    "UNION ALL SELECT 'Infinity'::DOUBLE, 1.0, 0.0"))
+def q_pr_curve(spark, d):
+    return RP.round_doubles(MT.pr_curve(scored_rule(feat(spark, d))), 6)
+
+
+@register("value_loyalty_density", O.with_features(
+    "SELECT floor(TotalSpend / 100.0) * 100.0 AS spend_bin, floor(AvgSpend / 10.0) * 10.0 AS avg_spend_bin, "
+    "RFM_Segment, count(*) AS customers FROM feat GROUP BY 1, 2, 3"))
+def q_value_loyalty_density(spark, d):
+    return RP.value_loyalty_density(feat(spark, d))
