@@ -12,13 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clientele.operators.ranking import exact_quantiles, quantile_values
+from clientele.operators.ranking import approx_quantiles, exact_quantiles, quantile_values
 
 _EPOCH = "1970-01-01 00:00:00"
 DATE_NAME_HINTS = ("date", "dt", "time")
 
 
-def impute_group_median(df: DataFrame, col: str = "Income", group_col: str = "Education") -> DataFrame:
+def impute_group_median(df: DataFrame, col: str = "Income", group_col: str = "Education",
+                        approx: bool = False) -> DataFrame:
     """Fill NULL ``col`` with the exact median of its ``group_col`` group.
 
     Rows whose group key is NULL stay NULL (pandas drops NaN group keys).  The
@@ -26,43 +27,45 @@ def impute_group_median(df: DataFrame, col: str = "Income", group_col: str = "Ed
     AQE broadcasts it when its measured size is small (it usually is: a
     handful of groups), otherwise it stays a shuffle join.
     """
-    med = exact_quantiles(df, col, [0.5], by=[group_col], names=["_grp_median"])
+    quantiles = approx_quantiles if approx else exact_quantiles
+    med = quantiles(df, col, [0.5], by=[group_col], names=["_grp_median"])
     joined = df.join(med, on=group_col, how="left")
     return joined.select(*[F.coalesce(F.col(c), F.col("_grp_median")).alias(c) if c == col else F.col(c)
                            for c in df.columns])
 
 
-def impute_median(df: DataFrame, col: str) -> DataFrame:
+def impute_median(df: DataFrame, col: str, approx: bool = False) -> DataFrame:
     """Fill NULL ``col`` with the exact overall median (a single literal).
 
     A column with missing values is floating point in pandas, so integer
     columns come back as DOUBLE (a median of 523.5 is kept, not truncated).
     """
-    (med,) = quantile_values(df, col, [0.5])
+    (med,) = quantile_values(df, col, [0.5], approx)
     if med is None:
         return df
     return df.withColumn(col, F.coalesce(F.col(col).cast("double"), F.lit(float(med))))
 
 
-def impute_income(df: DataFrame, col: str = "Income", group_col: str = "Education") -> DataFrame:
+def impute_income(df: DataFrame, col: str = "Income", group_col: str = "Education",
+                  approx: bool = False) -> DataFrame:
     """Group median, then overall median of the already-filled column (the order matters)."""
     if col not in df.columns:
         return df
-    out = impute_group_median(df, col, group_col) if group_col in df.columns else df
-    return impute_median(out, col)
+    out = impute_group_median(df, col, group_col, approx) if group_col in df.columns else df
+    return impute_median(out, col, approx)
 
 
-def iqr_bounds(df: DataFrame, col: str, k: float) -> tuple[float, float] | None:
-    q1, q3 = quantile_values(df, col, [0.25, 0.75])
+def iqr_bounds(df: DataFrame, col: str, k: float, approx: bool = False) -> tuple[float, float] | None:
+    q1, q3 = quantile_values(df, col, [0.25, 0.75], approx)
     if q1 is None:
         return None
     iqr = q3 - q1
     return q1 - k * iqr, q3 + k * iqr
 
 
-def cap_upper_iqr(df: DataFrame, col: str = "Income", k: float = 3.0) -> DataFrame:
+def cap_upper_iqr(df: DataFrame, col: str = "Income", k: float = 3.0, approx: bool = False) -> DataFrame:
     """Cap values above ``q3 + k*IQR`` at that bound; no lower cap; NULL stays NULL."""
-    b = iqr_bounds(df, col, k)
+    b = iqr_bounds(df, col, k, approx)
     if b is None:
         return df
     upper = F.lit(b[1])

@@ -158,9 +158,24 @@ def exact_quantiles(df: DataFrame, col: str, probs, by=(), names=None) -> DataFr
     return picks.groupBy(*by).agg(*aggs)
 
 
-def quantile_values(df: DataFrame, col: str, probs) -> list[float | None]:
-    """Driver-side list of exact quantiles (a single small row)."""
-    row = exact_quantiles(df, col, probs).first()
+def approx_quantiles(df: DataFrame, col: str, probs, by=(), names=None, accuracy: int = 10000) -> DataFrame:
+    """One-pass ``percentile_approx`` (bounded memory per group, rank error ~1/accuracy).
+
+    The explicit opt-in for tables where an exact order statistic is not
+    needed; it does not interpolate between neighbours like pandas does.
+    """
+    names = list(names or [f"q{i}" for i in range(len(probs))])
+    q = F.percentile_approx(F.col(col).cast("double"), [float(p) for p in probs], accuracy)
+    src = df
+    for b in by:
+        src = src.where(F.col(b).isNotNull())
+    agg = src.groupBy(*by).agg(q.alias("_q"))
+    return agg.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+
+
+def quantile_values(df: DataFrame, col: str, probs, approx: bool = False) -> list[float | None]:
+    """Driver-side list of quantiles (a single small row); exact unless ``approx``."""
+    row = (approx_quantiles(df, col, probs) if approx else exact_quantiles(df, col, probs)).first()
     return [None if row is None else row[i] for i in range(len(probs))]
 
 
@@ -254,4 +269,4 @@ def qcut_sql(rank_expr: str, n_expr: str, q: int = 5) -> str:
 
 
 __all__ = ["single_task_rows", "is_bounded", "freeze_sorted", "global_rank", "ranked", "running_totals",
-           "exact_quantiles", "quantile_values", "rank_bucket", "rank_buckets", "hash_buckets", "qcut_sql"]
+           "exact_quantiles", "approx_quantiles", "quantile_values", "rank_bucket", "rank_buckets", "hash_buckets", "qcut_sql"]

@@ -74,3 +74,10 @@ def test_epoch_micros_ignores_session_time_zone(spark):
             assert r.back == r.t
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_approx_opt_in_close_to_exact(spark):
+    df = spark.range(0, 5000).select((F.col("id") * 7 % 1000).cast("double").alias("Income"))
+    exact = CL.iqr_bounds(df, "Income", 3.0)
+    approx = CL.iqr_bounds(df, "Income", 3.0, approx=True)
+    assert abs(exact[1] - approx[1]) < 0.02 * abs(exact[1])
