@@ -33,6 +33,7 @@ CATEGORY_LEVELS = {
     "M_Score": ["1", "2", "3", "4", "5"],
 }
 HIGH_CARDINALITY = 10
+MAX_LEVELS = 10_000  # one-hot width limit; also bounds what category_levels collects
 SKEW_LIMIT = 1.0
 
 
@@ -94,6 +95,11 @@ def category_levels(df: DataFrame, cols) -> dict[str, list[str]]:
     levels = {c: list(CATEGORY_LEVELS[c]) for c in cols if c in CATEGORY_LEVELS}
     rest = [c for c in cols if c not in levels]
     if rest:
+        # Prove the bound before collecting: one HyperLogLog pass over every column.
+        card = df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in rest]).first()
+        too_many = {c: card[c] for c in rest if card[c] > MAX_LEVELS}
+        if too_many:
+            raise ValueError(f"too many levels to one-hot encode (limit {MAX_LEVELS}): {too_many}")
         row = df.agg(*[F.collect_set(F.col(c).cast("string")).alias(c) for c in rest]).first()
         for c in rest:
             levels[c] = sorted(row[c])

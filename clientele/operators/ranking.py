@@ -43,6 +43,7 @@ from clientele.session import freeze
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 DEFAULT_SINGLE_TASK_ROWS = 2_000_000
+MAX_GROUPS = 1_000  # strata whose boundary rows hash_buckets fetches to the driver
 
 
 def _cols(names):
@@ -243,6 +244,9 @@ def hash_buckets(df: DataFrame, order_col: str, tie_col: str, by: list[str], cut
     group are fetched (groups x cuts rows - a handful for class labels).
     """
     src = df.select(*[F.col(b) for b in by], F.col(order_col).alias("_v"), F.col(tie_col).alias("_t"))
+    n_groups = src.select(*by).distinct().limit(MAX_GROUPS + 1).count()
+    if n_groups > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} strata; stratify on a coarser key")
     r = ranked(src, ["_v", "_t"], by)
     ends = [F.expr(f"(_n * {int(num)} + {int(den) - 1}) div {int(den)}") for num, den in cuts]
     rank = F.col("_rank")
