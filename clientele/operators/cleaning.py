@@ -179,9 +179,26 @@ def truncate_millis(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(col, F.date_trunc("MILLISECOND", F.col(col)).cast("timestamp_ntz"))
 
 
-def drop_duplicate_rows(df: DataFrame) -> DataFrame:
-    """Exact duplicate rows removed; map-side partial aggregation collapses hot duplicates early."""
-    return df.dropDuplicates()
+def drop_duplicate_rows(df: DataFrame, key: str | None = "ID") -> DataFrame:
+    """Exact duplicate rows removed.
+
+    Two identical rows share their ``key``, so only rows whose key repeats can
+    be duplicates.  The key counts are a narrow shuffle (one column, combined
+    map-side); when no key repeats - the normal case - the table is returned
+    untouched instead of shuffling every column.  Otherwise only the rows of
+    repeated keys (NULL keys compare equal, as in pandas) go through
+    ``dropDuplicates``.  ``key=None`` deduplicates the whole table directly.
+    """
+    if key is None or key not in df.columns:
+        return df.dropDuplicates()
+    repeated = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+                .select(F.col(key).alias("_dup_key")))
+    if not repeated.take(1):
+        return df
+    cond = df[key].eqNullSafe(repeated["_dup_key"])
+    singles = df.join(repeated, cond, "left_anti")
+    doubles = df.join(repeated, cond, "left_semi").dropDuplicates()
+    return singles.unionByName(doubles)
 
 
 def normalize_types(df: DataFrame) -> DataFrame:

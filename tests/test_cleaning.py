@@ -81,3 +81,13 @@ def test_approx_opt_in_close_to_exact(spark):
     exact = CL.iqr_bounds(df, "Income", 3.0)
     approx = CL.iqr_bounds(df, "Income", 3.0, approx=True)
     assert abs(exact[1] - approx[1]) < 0.02 * abs(exact[1])
+
+
+def test_drop_duplicates_by_key_matches_full(spark):
+    rows = [(1, "a"), (1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "d"), (None, "e"), (3, None), (3, None)]
+    df = spark.createDataFrame(rows, "ID long, x string")
+    got = sorted(CL.drop_duplicate_rows(df).collect(), key=str)
+    want = sorted(df.dropDuplicates().collect(), key=str)
+    assert got == want and len(got) == 6
+    clean = spark.createDataFrame([(1, "a"), (2, "a")], "ID long, x string")
+    assert CL.drop_duplicate_rows(clean) is clean  # no repeated key: table returned as is
