@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clientele.operators.ranking import exact_quantiles
-from clientele.operators.reports import NUMERIC_TYPES, numeric_columns
+from clientele.operators.reports import NUMERIC_TYPES, column_quantiles, numeric_columns
 
 REQUIRED_BATCH = ["ID", "Year_Birth", "Income", "Dt_Customer", "Response"]
 REQUIRED_APP = ["Year_Birth", "Income", "Response"]
@@ -75,10 +74,7 @@ def iqr_outliers(df: DataFrame, cols=None, k: float = 1.5) -> DataFrame:
     its bounds (a few literals per column).
     """
     cols = cols or numeric_columns(df)
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
-                                         for c in cols])).alias("_kv")).select("_kv.column", "_kv.v")
-    qs = {r["column"]: (r["q1"], r["q3"]) for r in
-          exact_quantiles(long, "v", [0.25, 0.75], by=["column"], names=["q1", "q3"]).collect()}
+    qs = {r["column"]: (r["q1"], r["q3"]) for r in column_quantiles(df, cols, [0.25, 0.75], ["q1", "q3"]).collect()}
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for c in cols:
         q1, q3 = qs.get(c, (None, None))

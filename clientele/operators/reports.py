@@ -251,12 +251,23 @@ def numeric_summary(df: DataFrame, cols=None, exact: bool = True) -> DataFrame:
     moments = wide.select(stack.alias(*names))
     if not exact:
         return moments
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
-                                         for c in cols])).alias("_kv")).select("_kv.column", "_kv.v")
-    qs = exact_quantiles(long, "v", [0.25, 0.5, 0.75], by=["column"], names=["p25", "p50", "p75"])
+    qs = column_quantiles(df, cols, [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
     return moments.join(qs, "column", "left")
 
 
+def column_values(df: DataFrame, cols) -> DataFrame:
+    """Unpivot ``cols`` to (_c, v) rows keyed by a small column index (cheaper to shuffle than names)."""
+    pairs = [F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)]
+    return df.select(F.explode(F.array(*pairs)).alias("_kv")).select("_kv._c", "_kv.v")
+
+
+def column_quantiles(df: DataFrame, cols, probs, names) -> DataFrame:
+    """Exact quantiles of every column in ``cols`` from ONE ranking of the unpivoted values."""
+    qs = exact_quantiles(column_values(df, cols), "v", probs, by=["_c"], names=names)
+    label = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("_c") + 1)
+    return qs.select(label.alias("column"), *names)
+
+
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     """Equal-width histogram over [min, max] with ``bins`` bins (the max lands in the last bin).
 
