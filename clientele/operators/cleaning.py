@@ -16,6 +16,7 @@ from clientele.operators.ranking import approx_quantiles, exact_quantiles, quant
 
 _EPOCH = "1970-01-01 00:00:00"
 DATE_NAME_HINTS = ("date", "dt", "time")
+MAX_LITERAL_GROUPS = 1_000
 
 
 def impute_group_median(df: DataFrame, col: str = "Income", group_col: str = "Education",
@@ -29,6 +30,16 @@ def impute_group_median(df: DataFrame, col: str = "Income", group_col: str = "Ed
     """
     quantiles = approx_quantiles if approx else exact_quantiles
     med = quantiles(df, col, [0.5], by=[group_col], names=["_grp_median"])
+    # A bounded fetch proves the size: up to MAX_LITERAL_GROUPS medians become a literal map, so
+    # the fill is a plain projection and later actions never recompute the medians; beyond that
+    # the medians stay a table joined back by key.
+    rows = med.limit(MAX_LITERAL_GROUPS + 1).collect()
+    if len(rows) <= MAX_LITERAL_GROUPS:
+        if not rows:
+            return df
+        lookup = F.create_map(*[e for r in rows for e in (F.lit(r[group_col]), F.lit(r["_grp_median"]))])
+        fill = F.try_element_at(lookup, F.col(group_col))
+        return df.withColumn(col, F.coalesce(F.col(col), fill.cast(df.schema[col].dataType)))
     joined = df.join(med, on=group_col, how="left")
     return joined.select(*[F.coalesce(F.col(c), F.col("_grp_median")).alias(c) if c == col else F.col(c)
                            for c in df.columns])

@@ -91,3 +91,12 @@ def test_drop_duplicates_by_key_matches_full(spark):
     assert got == want and len(got) == 6
     clean = spark.createDataFrame([(1, "a"), (2, "a")], "ID long, x string")
     assert CL.drop_duplicate_rows(clean) is clean  # no repeated key: table returned as is
+
+
+def test_group_median_join_path(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a", 1.0), (2, "a", 3.0), (3, "a", None), (4, None, None), (5, "b", None)],
+                               "ID long, Education string, Income double")
+    lit = {r.ID: r.Income for r in CL.impute_group_median(df).collect()}
+    monkeypatch.setattr(CL, "MAX_LITERAL_GROUPS", 0)
+    joined = {r.ID: r.Income for r in CL.impute_group_median(df).collect()}
+    assert lit == joined and joined[3] == 2.0 and joined[4] is None
