@@ -44,7 +44,7 @@ def test_metrics_zero_division_and_auc(spark):
     one_class = spark.createDataFrame([(0, 0.2, 0), (0, 0.4, 0)], "label int, score double, prediction int")
     r = MT.binary_metrics(one_class).first()
     assert r.precision == 0.0 and r.recall == 0.0 and r.f1_score == 0.0 and r.accuracy == 1.0
-    from sklearn_free_auc import auc_reference  # local helper below
+    from brute_auc import auc_reference
     rng = np.random.default_rng(3)
     y = rng.integers(0, 2, 300)
     s = np.round(rng.random(300), 2)  # ties across classes
