@@ -14,8 +14,6 @@ Patterns used throughout:
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -448,4 +446,4 @@ def round_doubles(df: DataFrame, digits: int = 4) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("reduce", "annotations")]
+__all__ = [n for n in dir() if not n.startswith("_") and n != "annotations"]

@@ -61,10 +61,6 @@ def r4(df: DataFrame, digits: int = 4) -> DataFrame:
     return RP.round_doubles(df, digits)
 
 
-def _rsql(cols: list[str], digits: int = 4) -> str:
-    return ", ".join(f"round({c}, {digits}) AS {c}" for c in cols)
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
