@@ -67,3 +67,12 @@ def test_life_stage_unknown_for_null_age(spark):
     df = spark.createDataFrame([(None, 0), (20, 1), (40, 0), (60, 1)], "Age int, HasChildren int")
     got = [r.s for r in df.select(FT.life_stage(F.col("Age"), F.col("HasChildren")).alias("s")).collect()]
     assert got == ["Unknown", "Young Family", "Middle-Aged Single/Couple", "Older Family"]
+
+
+def test_first_max_skips_leading_null(spark):
+    cols = list(FT.CHANNELS)[:3]
+    df = spark.createDataFrame([(None, 1, 1)], ", ".join(f"{c} long" for c in cols))
+    from clientele.functions.binning import first_max_label
+    got = df.select(first_max_label(cols, ["A", "B", "C"]).alias("p")).first().p
+    want = pd.DataFrame([[None, 1, 1]], columns=cols, dtype="float64").idxmax(axis=1)[0]
+    assert got == "B" and want == cols[1]

@@ -16,7 +16,7 @@ def plan(request, spark):
     spark.conf.unset("spark.clientele.singleTaskRows")
 
 
-@pytest.mark.parametrize("n", [5, 7, 8, 9, 12, 13, 14, 101])
+@pytest.mark.parametrize("n", [5, 7, 8, 9, 12, 13, 14, 101, 2240])
 def test_rank_bucket_matches_qcut(spark, n):
     rng = np.random.default_rng(n)
     vals = rng.integers(0, max(3, n // 3), n)  # plenty of ties, broken by id
