@@ -111,9 +111,12 @@ SEGMENT_PROFILE_SQL = O.with_features(
 
 
 def segment_profile_flow(spark: SparkSession, d: str) -> DataFrame:
-    """The flagship: star schema -> customer table -> clean -> features -> segment profile, from scratch."""
-    features = flows.customer_features(spark, d, REF)
-    return r4(RP.segment_profile(features))
+    """The flagship: star schema -> customer table -> clean -> features -> segment profile.
+
+    Builds (and freezes) the customer and feature tables when this session has
+    not built them yet; later report queries reuse them.
+    """
+    return r4(RP.segment_profile(feat(spark, d)))
 
 
 @register("segment_profile", SEGMENT_PROFILE_SQL)
