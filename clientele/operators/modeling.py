@@ -228,17 +228,23 @@ def permutation_importance(model: PipelineModel, test: DataFrame, spec: FeatureS
     donors = ranked(base.select(id_col, key_b.alias("_kb")), ["_kb", id_col]).select(
         F.col(id_col).alias("_donor_id"), F.col("_rank").alias("_i"))
     pairs = slots.join(donors, "_i")  # row id -> donor id, one-to-one
-    ref = score(model, base, spec).select(id_col, F.col("Response_Probability").alias("_p0"))
     donor_vals = base.select(F.col(id_col).alias("_donor_id"), *[F.col(c).alias(f"_d_{c}") for c in features])
     paired = base.join(pairs, id_col).join(donor_vals, "_donor_id")
-    results = None
-    for c in features:
-        permuted = paired.withColumn(c, F.col(f"_d_{c}")).drop(*[f"_d_{x}" for x in features], "_donor_id", "_i")
-        delta = (score(model, permuted, spec).join(ref, id_col)
-                 .agg(F.avg(F.abs(F.col("Response_Probability") - F.col("_p0"))).alias("importance"))
-                 .select(F.lit(c).alias("feature"), "importance"))
-        results = delta if results is None else results.unionByName(delta)
-    return results.orderBy(F.desc("importance"), "feature")
+    # One scoring pass for every feature: each row is repeated once per feature (plus the
+    # unpermuted copy, _f = -1) and copy f takes the donor's value of feature f only.
+    copies = paired.withColumn("_f", F.explode(F.array(*[F.lit(i) for i in range(-1, len(features))])))
+    permuted = copies.withColumns({c: F.when(F.col("_f") == i, F.col(f"_d_{c}")).otherwise(F.col(c))
+                                   for i, c in enumerate(features)})
+    permuted = permuted.drop(*[f"_d_{c}" for c in features], "_donor_id", "_i")
+    scored = score(model, permuted, spec)
+    # The unpermuted probability of the same row: a window over its len(features)+1 copies.
+    from pyspark.sql import Window
+    p0 = F.max(F.when(F.col("_f") == -1, F.col("Response_Probability"))).over(Window.partitionBy(id_col))
+    names = F.array(*[F.lit(c) for c in features])
+    return (scored.withColumn("_p0", p0).where(F.col("_f") >= 0)
+            .groupBy("_f").agg(F.avg(F.abs(F.col("Response_Probability") - F.col("_p0"))).alias("importance"))
+            .select(F.element_at(names, F.col("_f") + 1).alias("feature"), "importance")
+            .orderBy(F.desc("importance"), "feature"))
 
 
 def customer_clusters(df: DataFrame, cols, k: int = 3, seed: int = SEED):
