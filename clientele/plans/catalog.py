@@ -47,7 +47,9 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feat(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = _key(spark, sf_dir, "features")
     if k not in _CACHE:
-        clean = freeze(CL.clean_customers(base(spark, sf_dir)))
+        # Cleaning is a projection of the frozen customer table (bounds are literals by now), so it is
+        # recomputed by the two jobs that read it rather than written out; the features are frozen.
+        clean = CL.clean_customers(base(spark, sf_dir))
         _CACHE[k] = freeze(FT.create_features(clean, REF))  # same steps as flows.customer_features
     return _CACHE[k]
 

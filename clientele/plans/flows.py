@@ -29,9 +29,9 @@ def cleaned_customers(spark: SparkSession, sf_dir: str, reference_date: str = DE
 def customer_features(spark: SparkSession, sf_dir: str, reference_date: str = DEFAULT_REFERENCE_DATE,
                       full: bool = True, freeze: bool = True) -> DataFrame:
     """Cleaned + featurised customer table (the shared input of every report)."""
+    # The cleaned table is a projection of the frozen customer table (its bounds are literals), so
+    # it is not written out; the featurised table is.
     clean = cleaned_customers(spark, sf_dir, reference_date, full)
-    if freeze:
-        clean = materialize(clean)
     feats = features.create_features(clean, reference_date)
     # The processed table is written once (the reference saves it too); every report reads it.
     return materialize(feats) if freeze else feats
@@ -71,7 +71,7 @@ def run_analysis(spark: SparkSession, sf_dir: str, reference_date: str = DEFAULT
     out["quality"] = step("validate", lambda: {
         "missing": QA.missing_profile(base), "duplicates": QA.duplicate_ids(base),
         "outliers": QA.iqr_outliers(base), "domain": QA.domain_check(base), "balance": QA.class_balance(base)})
-    clean = step("clean", lambda: materialize(cleaning.clean_customers(base)))
+    clean = step("clean", lambda: cleaning.clean_customers(base))
     feats = step("features", lambda: materialize(features.create_features(clean, reference_date)))
     out["features"] = feats
     rule = PR.imbalance_rule(feats)
