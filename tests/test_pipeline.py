@@ -37,3 +37,11 @@ def test_stream_scoring(spark):
     scored = spark.read.parquet(sink)
     assert scored.count() == f.count()
     assert scored.where(F.col("Response_Probability").isNull()).count() == 0
+
+
+def test_run_analysis_with_grid_search(spark):
+    from clientele.plans import flows
+    res = flows.run_analysis(spark, SF001, num_trees=5, boost_iters=3,
+                             grid={"numTrees": [5, 10], "maxDepth": [3]})
+    assert res["metrics"].count() == 3
+    assert "train_RandomForest" in res["timings"]
