@@ -76,8 +76,10 @@ def run_analysis(spark: SparkSession, sf_dir: str, reference_date: str = DEFAULT
     out["features"] = feats
     rule = PR.imbalance_rule(feats)
     spec = ML.FeatureSpec.from_frame(feats)
-    split = step("split", lambda: materialize(PR.stratified_folds(PR.stratified_split(feats))))
-    train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
+    split = step("split", lambda: materialize(PR.stratified_split(feats)))
+    # Folds are assigned within the training rows only (the held-out rows form no fold).
+    train = step("folds", lambda: PR.stratified_folds(split.where(~F.col("is_test"))))
+    test = split.where(F.col("is_test"))
     weight = None
     if rule["imbalanced"]:
         train = PR.with_class_weights(train, rule["weights"])
