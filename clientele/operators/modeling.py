@@ -21,7 +21,7 @@ from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator, ClusteringEvaluator,
                                    MulticlassClassificationEvaluator)
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
@@ -78,15 +78,29 @@ class FeatureSpec:
 
 
 def prepared(df: DataFrame, spec: FeatureSpec, target: str = "Response") -> DataFrame:
-    """Frame with numeric NULLs filled by 0 so the assembler never sees a NULL."""
-    fill = {c: 0 for c in spec.numeric}
-    return df.withColumn("label", F.col(target).cast("double")).fillna(fill)
+    """Frame with the double ``label`` column the estimators read."""
+    return df.withColumn("label", F.col(target).cast("double"))
+
+
+def imputed(c: str) -> str:
+    return f"_imp_{c}"
 
 
 def pipeline(spec: FeatureSpec, classifier) -> Pipeline:
-    stages = [SQLTransformer(statement=encoder_sql(spec.levels)),
-              VectorAssembler(inputCols=spec.columns, outputCol="features", handleInvalid="keep"),
-              classifier]
+    """Encoding, median imputation and assembly frozen into one fitted model.
+
+    Missing numeric inputs take the column median (the interactive scoring
+    rule); ``Imputer`` computes all medians in one pass with mergeable
+    quantile summaries (bounded memory) and keeps them in the model, so
+    scoring new rows reuses the training medians.
+    """
+    stages = [SQLTransformer(statement=encoder_sql(spec.levels))]
+    inputs = list(spec.dummies)
+    if spec.numeric:
+        stages.append(Imputer(strategy="median", inputCols=spec.numeric,
+                              outputCols=[imputed(c) for c in spec.numeric]))
+        inputs = [imputed(c) for c in spec.numeric] + inputs
+    stages += [VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"), classifier]
     return Pipeline(stages=stages)
 
 
@@ -147,8 +161,8 @@ def top_features(importance: DataFrame, k: int = 10) -> DataFrame:
 def score(model: PipelineModel, df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Append Predicted_Response and Response_Probability (encoding frozen inside the model)."""
     cols = df.columns
-    out = model.transform(prepared(df, spec) if "Response" in df.columns else
-                          df.withColumn("label", F.lit(None).cast("double")).fillna({c: 0 for c in spec.numeric}))
+    src = df if "Response" in df.columns else df.withColumn("Response", F.lit(None).cast("int"))
+    out = model.transform(prepared(src, spec))
     return out.select(*cols, F.col("prediction").cast("int").alias("Predicted_Response"),
                       vector_to_array("probability")[1].alias("Response_Probability"))
 
@@ -250,7 +264,8 @@ def permutation_importance(model: PipelineModel, test: DataFrame, spec: FeatureS
 def customer_clusters(df: DataFrame, cols, k: int = 3, seed: int = SEED):
     """KMeans on standardised columns: (cluster profile DataFrame, silhouette)."""
     stats = PR.scale_stats(df, cols)
-    z = PR.standard_scale(df.fillna({c: 0 for c in cols}), cols, stats)
+    # Standardise first, then fill: a missing value lands on the column mean (0 after scaling).
+    z = PR.standard_scale(df, cols, stats).fillna({c: 0.0 for c in cols})
     vec = VectorAssembler(inputCols=cols, outputCol="features").transform(z)
     model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(vec)
     assigned = model.transform(vec)
