@@ -164,44 +164,54 @@ def yeo_johnson_apply(df: DataFrame, lambdas: dict[str, float]) -> DataFrame:
     return df.withColumns({c: yeo_johnson(F.col(c), lam) for c, lam in lambdas.items()})
 
 
-def _yj_loglik_aggs(cols, lams_per_col):
-    """Aggregates for the profile log-likelihood of each (column, lambda) candidate."""
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        for j, lam in enumerate(lams_per_col[c]):
-            aggs.append(F.var_pop(yeo_johnson(x, lam)).alias(f"v_{c}_{j}"))
-        aggs.append(F.sum(F.signum(x) * F.log1p(F.abs(x))).alias(f"s_{c}"))
-        aggs.append(F.count(x).alias(f"n_{c}"))
-    return aggs
+def _yeo_johnson_col(x: Column, lam: Column) -> Column:
+    """psi_lambda(x) for a per-row lambda column (used while fitting)."""
+    eps = F.lit(1e-12)
+    pos = F.when(F.abs(lam) < eps, F.log1p(x)).otherwise(F.try_divide(F.pow(x + 1.0, lam) - 1.0, lam))
+    two = F.lit(2.0) - lam
+    neg = F.when(F.abs(two) < eps, -F.log1p(-x)).otherwise(-F.try_divide(F.pow(1.0 - x, two) - 1.0, two))
+    return F.when(x >= 0, pos).otherwise(neg)
 
 
 def fit_yeo_johnson(df: DataFrame, cols, lo: float = -3.0, hi: float = 3.0, grid: int = 13,
                     rounds: int = 3) -> dict[str, float]:
     """Maximum-likelihood lambda per column (Yeo & Johnson 2000) with a few aggregate passes.
 
-    Each pass evaluates a lambda grid for ALL columns in one aggregate
-    (var_pop of the transformed column per candidate), then narrows the
-    bracket around the best candidate.
+    The columns are unpivoted to (column index, value) rows; each pass is ONE
+    aggregate grouped by column that evaluates a ``grid``-point lambda bracket
+    (var_pop of the transformed values per candidate), after which every
+    column's bracket narrows around its best candidate.  The plan stays the
+    same size whatever the number of columns.
     """
-    brackets = {c: (lo, hi) for c in cols}
-    best = {c: 1.0 for c in cols}
+    from clientele.operators.reports import column_values
+    cols = list(cols)
+    if not cols:
+        return {}
+    long = column_values(df, cols).where(F.col("v").isNotNull())
+    brackets = [(lo, hi) for _ in cols]
+    best = [1.0 for _ in cols]
     for _ in range(rounds):
-        lams = {c: list(np.linspace(brackets[c][0], brackets[c][1], grid)) for c in cols}
-        row = df.agg(*_yj_loglik_aggs(cols, lams)).first()
-        for c in cols:
-            n, s = row[f"n_{c}"], row[f"s_{c}"] or 0.0
+        starts = F.element_at(F.array(*[F.lit(float(b[0])) for b in brackets]), F.col("_c") + 1)
+        steps = F.element_at(F.array(*[F.lit((b[1] - b[0]) / (grid - 1)) for b in brackets]), F.col("_c") + 1)
+        x = F.col("v")
+        aggs = [F.var_pop(_yeo_johnson_col(x, starts + steps * j)).alias(f"v{j}") for j in range(grid)]
+        aggs += [F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("s"), F.count(x).alias("n")]
+        rows = {r["_c"]: r for r in long.groupBy("_c").agg(*aggs).collect()}
+        for i in range(len(cols)):
+            r = rows.get(i)
+            if r is None:
+                continue
+            b0, step = brackets[i][0], (brackets[i][1] - brackets[i][0]) / (grid - 1)
             scores = []
-            for j, lam in enumerate(lams[c]):
-                v = row[f"v_{c}_{j}"]
-                ll = -math.inf if (v is None or v <= 0 or not math.isfinite(v)) else \
-                    -n / 2.0 * math.log(v) + (lam - 1.0) * s
-                scores.append(ll)
+            for j in range(grid):
+                v = r[f"v{j}"]
+                lam = b0 + step * j
+                ok = v is not None and v > 0 and math.isfinite(v)
+                scores.append(-r["n"] / 2.0 * math.log(v) + (lam - 1.0) * (r["s"] or 0.0) if ok else -math.inf)
             j = int(np.argmax(scores))
-            best[c] = float(lams[c][j])
-            step = (brackets[c][1] - brackets[c][0]) / (grid - 1)
-            brackets[c] = (best[c] - step, best[c] + step)
-    return best
+            best[i] = b0 + step * j
+            brackets[i] = (best[i] - step, best[i] + step)
+    return {c: float(b) for c, b in zip(cols, best)}
 
 
 def standard_scale(df: DataFrame, cols=None, stats: dict[str, tuple[float, float]] | None = None) -> DataFrame:

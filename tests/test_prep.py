@@ -75,3 +75,19 @@ def test_high_cardinality_guard(spark):
             pass
     finally:
         PR.MAX_LEVELS = old
+
+
+def test_prepare_for_modeling(spark):
+    from pyspark.sql import types as T
+    from clientele.plans import catalog
+    f = catalog.feat(spark, "/root/testdata/sf0.001")
+    out, params = PR.prepare_for_modeling(f)
+    assert not any(isinstance(x.dataType, (T.StringType, T.TimestampNTZType)) for x in out.schema.fields)
+    assert "Education_BUILDING" in out.columns and "Education_AUTOMOBILE" not in out.columns
+    assert "R_Score_4" in out.columns and "R_Score_5" not in out.columns
+    stats = out.agg(*[F.avg(c).alias(f"m_{c}") for c in params["numeric"]],
+                    *[F.stddev_pop(c).alias(f"s_{c}") for c in params["numeric"]]).first()
+    for c in params["numeric"]:
+        assert abs(stats[f"m_{c}"]) < 1e-9
+        assert stats[f"s_{c}"] is None or abs(stats[f"s_{c}"] - 1.0) < 1e-9 or stats[f"s_{c}"] == 0.0
+    assert params["lambdas"]  # skewed spend columns trigger the power transform
