@@ -21,9 +21,10 @@ plans with identical arithmetic:
      executor loss);
   4. per-partition row counts (one row per partition - bounded by the
      partition count) give exclusive offsets, broadcast back:
-     ``rank = offset + position + 1``; group ranks subtract the group's first
-     rank (a one-row-per-group table, joined normally - AQE broadcasts it only
-     when its measured size is small).
+     ``rank = offset + position + 1``; without groups that is the rank, with
+     groups the group's first rank is subtracted (a one-row-per-group table,
+     broadcast once a bounded fetch proves it has at most ``MAX_GROUPS`` rows,
+     otherwise a shuffle join that AQE can split on hot groups).
 
 Quantiles then need only the 1-2 rows around each target rank, and
 equal-count buckets only the boundary rows: nothing is joined back to the full
@@ -95,15 +96,24 @@ def ranked(df: DataFrame, order_cols, by=(), n: int | None = None) -> DataFrame:
     """``df`` plus ``_rank`` (1-based within the ``by`` group, in ``order_cols`` order) and ``_n``
     (group size).  Ties must be broken by the caller (end ``order_cols`` with a key)."""
     by = list(by)
+    n = df.count() if n is None else n
     if is_bounded(df, n):
         w = Window.partitionBy(*by).orderBy(*_cols(order_cols))
         return df.select("*", F.row_number().over(w).alias("_rank"),
                          F.count(F.lit(1)).over(Window.partitionBy(*by)).alias("_n"))
-    keys = by or ["_g"]
-    src = df if by else df.withColumn("_g", F.lit(0))
-    g = global_rank(src, [*keys, *order_cols], "_grank")
-    sizes = g.groupBy(*keys).agg(F.min("_grank").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    out = g.join(sizes, keys).withColumn("_rank", F.col("_grank") - F.col("_start") + 1)
+    if not by:
+        # One group: the global rank is the rank and the size is the count already taken.
+        g = global_rank(df, order_cols, "_rank")
+        return g.withColumn("_n", F.lit(n).cast("bigint"))
+    g = global_rank(df, [*by, *order_cols], "_grank")
+    sizes = g.groupBy(*by).agg(F.min("_grank").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    # The group table is broadcast only once a bounded fetch proves it small; a hot group then
+    # never meets a single join task.  More groups than that stay a shuffle join (AQE splits
+    # skewed partitions of the ranked side).
+    rows = sizes.limit(MAX_GROUPS + 1).collect()
+    if len(rows) <= MAX_GROUPS:
+        sizes = F.broadcast(df.sparkSession.createDataFrame(rows, sizes.schema))
+    out = g.join(sizes, by).withColumn("_rank", F.col("_grank") - F.col("_start") + 1)
     return out.select(*[F.col(c) for c in df.columns], "_rank", "_n")
 
 

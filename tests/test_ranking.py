@@ -106,3 +106,21 @@ def test_hot_value_is_split_across_partitions(spark):
         finally:
             spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
         assert len(parts) > 4 and max(r["count"] for r in parts) < 1000
+
+
+def test_grouped_ranks_with_a_hot_group(spark, plan):
+    """Ranks within groups where one group holds a third of the rows; on the distributed plan the
+    only joins are broadcasts (no shuffle join that could put the hot group in one task)."""
+    df = spark.range(0, 900).select(F.col("id"), F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                                    .otherwise((F.col("id") % 7).cast("string")).alias("g"))
+    r = RK.ranked(df, ["id"], ["g"])
+    got = r.toPandas().sort_values("id")
+    pdf = df.toPandas().sort_values("id")
+    assert got["_rank"].tolist() == pdf.groupby("g").cumcount().add(1).tolist()
+    assert got["_n"].tolist() == pdf.groupby("g")["id"].transform("size").tolist()
+    if plan == "distributed":
+        for frame in (r, RK.ranked(df, ["id"])):
+            text = frame._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
+        whole = RK.ranked(df, ["id"]).orderBy("id").collect()
+        assert [x._rank for x in whole] == list(range(1, 901)) and {x._n for x in whole} == {900}
