@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from clientele.operators import features as FT
 from clientele.operators.ranking import hash_buckets
-from clientele.operators.reports import NUMERIC_TYPES, safe_corr
+from clientele.operators.reports import NUMERIC_TYPES, pair_correlations
 
 DATE_PART_COLUMNS = ["Enrollment_Year", "Enrollment_Month", "Enrollment_Quarter"]
 SCORE_COLUMNS = ["R_Score", "F_Score", "M_Score"]
@@ -233,11 +233,13 @@ def scale_stats(df: DataFrame, cols) -> dict[str, tuple[float, float]]:
 
 
 def target_correlation(df: DataFrame, target: str = "Response", cols=None, id_col: str = "ID") -> DataFrame:
-    """(feature, corr, abs_corr) of every numeric column (target included) with the target; one aggregate."""
+    """(feature, corr, abs_corr) of every numeric column (target included) with the target; one aggregate
+    grouped by column (see ``reports.pair_correlations``)."""
     cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES) and f.name != id_col]
-    wide = df.agg(*[safe_corr(F.col(c), F.col(target)).alias(c) for c in cols])
-    return (wide.unpivot([], cols, "feature", "corr").where(F.col("corr").isNotNull())
-            .withColumn("abs_corr", F.abs("corr")))
+    stats = pair_correlations(df, [(c, target) for c in cols])
+    names = F.array(*[F.lit(c) for c in cols])
+    return (stats.where(F.col("corr").isNotNull())
+            .select(F.element_at(names, F.col("_p") + 1).alias("feature"), "corr", F.abs("corr").alias("abs_corr")))
 
 
 def target_correlation_topk(df: DataFrame, target: str = "Response", k: int = 30, cols=None,

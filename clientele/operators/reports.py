@@ -308,17 +308,33 @@ def correlation_columns(df: DataFrame, limit: int = 15) -> list[str]:
     return cols
 
 
+def pair_correlations(df: DataFrame, pairs) -> DataFrame:
+    """(_p, corr) for each (x column, y column) pair ``_p`` (0-based), from ONE aggregate grouped by pair.
+
+    Every row is unpivoted into its (pair, x, y) triples and the pair
+    statistics are one small grouped aggregate: the plan size does not grow
+    with the number of pairs (a wide aggregate of many covariances outgrows
+    code generation long before the data matters), and the partial aggregate
+    leaves one row per pair per task, so the shuffle is tiny.
+    """
+    triples = F.stack(F.lit(len(pairs)), *[e for i, (a, b) in enumerate(pairs)
+                                           for e in (F.lit(i), F.col(a).cast("double"), F.col(b).cast("double"))])
+    long = df.select(triples.alias("_p", "_x", "_y"))
+    return long.groupBy("_p").agg(safe_corr(F.col("_x"), F.col("_y")).alias("corr"))
+
+
 def correlation_matrix(df: DataFrame, cols=None) -> DataFrame:
-    """Full Pearson matrix (col_a, col_b, corr) from ONE aggregate of k(k+1)/2 pair statistics."""
+    """Full Pearson matrix (col_a, col_b, corr): k(k+1)/2 pair statistics in one aggregate; the
+    mirrored half of the matrix comes from the same aggregate."""
     cols = cols or correlation_columns(df)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    wide = df.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"{a}__{b}") for a, b in pairs])
-    entries = []
-    for a, b in pairs:
-        entries += [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"{a}__{b}").alias("corr"))]
-        if a != b:
-            entries += [F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(f"{a}__{b}").alias("corr"))]
-    return wide.select(F.explode(F.array(*entries)).alias("_e")).select("_e.col_a", "_e.col_b", "_e.corr")
+    stats = pair_correlations(df, pairs)
+    name_a = F.element_at(F.array(*[F.lit(a) for a, _ in pairs]), F.col("_p") + 1)
+    name_b = F.element_at(F.array(*[F.lit(b) for _, b in pairs]), F.col("_p") + 1)
+    entry = lambda x, y: F.struct(x.alias("col_a"), y.alias("col_b"), F.col("corr").alias("corr"))
+    both = F.when(name_a == name_b, F.array(entry(name_a, name_b))).otherwise(
+        F.array(entry(name_a, name_b), entry(name_b, name_a)))
+    return stats.select(F.explode(both).alias("_e")).select("_e.col_a", "_e.col_b", "_e.corr")
 
 
 def value_loyalty(df: DataFrame, color: str = "RFM_Segment", id_col: str = "ID") -> DataFrame:
