@@ -353,58 +353,67 @@ def value_loyalty_density(df: DataFrame, color: str = "RFM_Segment", spend_width
 # ---------------------------------------------------------------- documentation, trend, metrics
 
 def feature_docs(df: DataFrame, important=(), skip=("ID", "Response"), categorical=()) -> DataFrame:
-    """Per column: Type, Statistics text, Important flag and rank (one aggregate + unpivot).
+    """Per column: Type, Statistics text, Important flag and rank.
 
     Numeric -> "Min: x, Max: y, Mean: z" (2 decimals); string -> "Unique values: n";
     other types (dates) -> empty text.  ``important`` is the ordered list of
     selected features; its 1-based position is the rank.
+
+    The columns are unpivoted to (column index, value) rows: the numeric
+    statistics are one aggregate grouped by column index and the distinct
+    counts one distinct aggregate grouped the same way (its first shuffle is
+    keyed by index and value, so a column is never one task).  The plan stays
+    small whatever the number of columns.  Statistics enter the column list
+    (a literal table, one row per column) by a left join, so every column is
+    documented even when the table is empty.
     """
     spark = df.sparkSession
     important = list(important)
     fields = [f for f in df.schema.fields if f.name not in skip]
-    numeric, distinct, other = [], [], []
+    numeric, distinct, columns = [], [], []
     for i, f in enumerate(fields):
-        c = F.col(f.name)
         if isinstance(f.dataType, NUMERIC_TYPES) and f.name not in categorical:
-            numeric.append((i, f.name, "Numeric", [F.min(c).cast("double"), F.max(c).cast("double"),
-                                                    mean(df, f.name).cast("double")]))
+            numeric.append((i, f.name))
+            columns.append((i, f.name, "Numeric"))
         elif isinstance(f.dataType, T.StringType) or f.name in categorical:
-            distinct.append((i, f.name, "Categorical", [F.count_distinct(c)]))
+            distinct.append((i, f.name))
+            columns.append((i, f.name, "Categorical"))
         else:
-            other.append((i, f.name, "Other", F.lit("")))
-
-    def long_form(specs, text):
-        # One aggregate per kind (distinct counts stay out of the numeric aggregate, where Spark's
-        # distinct rewrite would replicate every numeric input per distinct column); the text is
-        # formatted afterwards on the one-row result, keeping the aggregate itself plain.
-        wide = df.agg(*[e.alias(f"s{i}_{j}") for i, _, _, es in specs for j, e in enumerate(es)])
-        stack = F.stack(F.lit(len(specs)), *[v for i, name, kind, es in specs
-                                             for v in (F.lit(i), F.lit(name), F.lit(kind), text(i, len(es)))])
-        return wide.select(stack.alias("position", "Feature", "Type", "Statistics"))
-
-    def numeric_text(i, _):
-        # Round first, then print: formatters disagree on how to round ties, round() does not.
-        return F.format_string("Min: %.2f, Max: %.2f, Mean: %.2f",
-                               *[round_to(F.col(f"s{i}_{j}"), 2) for j in range(3)])
-
-    def distinct_text(i, _):
-        return F.concat(F.lit("Unique values: "), F.col(f"s{i}_0").cast("string"))
-
-    parts = []
+            columns.append((i, f.name, "Other"))
+
+    def long_form(specs, cast):
+        st = F.stack(F.lit(len(specs)), *[e for i, name in specs for e in (F.lit(i), F.col(name).cast(cast))])
+        return df.select(st.alias("position", "_v"))
+
+    none = F.lit(None).cast("double")
+    stats = []
     if numeric:
-        parts.append(long_form(numeric, numeric_text))
+        v = F.col("_v")
+        stats.append(long_form(numeric, "double").groupBy("position").agg(
+            F.min(v).alias("_min"), F.max(v).alias("_max"),
+            # Summed as DECIMAL(38,9) like ``mean``: exact, so independent of partitioning.
+            F.avg(v.cast("decimal(38,9)")).cast("double").alias("_mean"), F.lit(None).cast("bigint").alias("_n")))
     if distinct:
-        parts.append(long_form(distinct, distinct_text))
-    if other:
-        parts.append(spark.createDataFrame([(i, n, k, "") for i, n, k, _ in other],
-                                           "position int, Feature string, Type string, Statistics string"))
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
+        stats.append(long_form(distinct, "string").groupBy("position").agg(
+            none.alias("_min"), none.alias("_max"), none.alias("_mean"), F.count_distinct("_v").alias("_n")))
+    listing = spark.createDataFrame(columns, "position int, Feature string, Type string")
     ranks = spark.createDataFrame([(f, i + 1) for i, f in enumerate(important)] or [("", 0)],
                                   "Feature string, rank int").where(F.col("rank") > 0)
-    out = long.join(F.broadcast(ranks), "Feature", "left")
-    return (out.select("position", "Feature", "Type", "Statistics",
+    out = listing.join(F.broadcast(ranks), "Feature", "left")
+    if stats:
+        by_pos = stats[0] if len(stats) == 1 else stats[0].unionByName(stats[1])
+        out = out.join(F.broadcast(by_pos), "position", "left")  # one row per column at most
+    else:
+        out = out.select("*", none.alias("_min"), none.alias("_max"), none.alias("_mean"),
+                         F.lit(None).cast("bigint").alias("_n"))
+    # Round first, then print: formatters disagree on how to round ties, round() does not.
+    numeric_text = F.format_string("Min: %.2f, Max: %.2f, Mean: %.2f",
+                                   *[round_to(F.col(c), 2) for c in ("_min", "_max", "_mean")])
+    # An empty table has no groups: no distinct values.
+    distinct_text = F.concat(F.lit("Unique values: "), F.coalesce(F.col("_n"), F.lit(0)).cast("string"))
+    text = (F.when(F.col("Type") == "Numeric", numeric_text)
+            .when(F.col("Type") == "Categorical", distinct_text).otherwise(F.lit("")))
+    return (out.select("position", "Feature", "Type", text.alias("Statistics"),
                        F.when(F.col("rank").isNotNull(), "Yes").otherwise("No").alias("Important"),
                        F.coalesce(F.col("rank").cast("string"), F.lit("-")).alias("Importance_Rank"))
             .orderBy("position").drop("position"))

@@ -98,3 +98,30 @@ def test_yeo_johnson_fit_improves_likelihood(spark):
     assert -1.5 < lam < 0.8  # log-normal data wants a log-like transform
     t = PR.yeo_johnson_apply(df, {"x": lam})
     assert abs(PR.skewness(t, ["x"]).first().skewness) < abs(PR.skewness(df, ["x"]).first().skewness)
+
+
+def test_feature_docs_micro_table(spark):
+    import datetime as dt
+    rows = [(1, 1.125, 3, "a", dt.date(2012, 1, 1), 0), (2, 2.5, None, "b", None, 1), (3, None, 5, "a", None, 0)]
+    df = spark.createDataFrame(rows, "ID long, x double, n long, s string, d date, Response int")
+    got = {r.Feature: r for r in RP.feature_docs(df, ["n"], categorical=()).collect()}
+    assert list(got) == ["x", "n", "s", "d"]
+    assert got["x"].Statistics == "Min: 1.13, Max: 2.50, Mean: 1.81"  # exact ties round away from zero and got["x"].Type == "Numeric"
+    assert got["n"].Statistics == "Min: 3.00, Max: 5.00, Mean: 4.00" and got["n"].Importance_Rank == "1"
+    assert got["s"].Statistics == "Unique values: 2" and got["s"].Important == "No"
+    assert got["d"].Type == "Other" and got["d"].Statistics == ""
+    empty = RP.feature_docs(df.where(F.lit(False)), categorical=("n",)).collect()
+    assert [r.Feature for r in empty] == ["x", "n", "s", "d"]
+    assert [r.Statistics for r in empty][1:] == ["Unique values: 0", "Unique values: 0", ""]
+
+
+def test_pair_correlations_match_numpy(spark):
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"a": rng.normal(size=200), "b": rng.normal(size=200), "c": rng.integers(0, 5, 200)})
+    pdf.loc[::7, "a"] = None
+    df = spark.createDataFrame(pdf)
+    m = {(r.col_a, r.col_b): r.corr for r in RP.correlation_matrix(df, ["a", "b", "c"]).collect()}
+    assert len(m) == 9
+    want = pdf.corr()  # pairwise-complete, like the operator
+    for (a, b), v in m.items():
+        assert abs(v - want.loc[a, b]) < 1e-9 and abs(m[(b, a)] - v) < 1e-15
