@@ -20,7 +20,7 @@ MAX_LITERAL_GROUPS = 1_000
 
 
 def impute_group_median(df: DataFrame, col: str = "Income", group_col: str = "Education",
-                        approx: bool = False) -> DataFrame:
+                        approx: bool = False, max_rows: int | None = None) -> DataFrame:
     """Fill NULL ``col`` with the exact median of its ``group_col`` group.
 
     Rows whose group key is NULL stay NULL (pandas drops NaN group keys).  The
@@ -28,8 +28,10 @@ def impute_group_median(df: DataFrame, col: str = "Income", group_col: str = "Ed
     AQE broadcasts it when its measured size is small (it usually is: a
     handful of groups), otherwise it stays a shuffle join.
     """
-    quantiles = approx_quantiles if approx else exact_quantiles
-    med = quantiles(df, col, [0.5], by=[group_col], names=["_grp_median"])
+    if approx:
+        med = approx_quantiles(df, col, [0.5], by=[group_col], names=["_grp_median"])
+    else:
+        med = exact_quantiles(df, col, [0.5], by=[group_col], names=["_grp_median"], max_rows=max_rows)
     # A bounded fetch proves the size: up to MAX_LITERAL_GROUPS medians become a literal map, so
     # the fill is a plain projection and later actions never recompute the medians; beyond that
     # the medians stay a table joined back by key.
@@ -45,38 +47,40 @@ def impute_group_median(df: DataFrame, col: str = "Income", group_col: str = "Ed
                            for c in df.columns])
 
 
-def impute_median(df: DataFrame, col: str, approx: bool = False) -> DataFrame:
+def impute_median(df: DataFrame, col: str, approx: bool = False, max_rows: int | None = None) -> DataFrame:
     """Fill NULL ``col`` with the exact overall median (a single literal).
 
     A column with missing values is floating point in pandas, so integer
     columns come back as DOUBLE (a median of 523.5 is kept, not truncated).
     """
-    (med,) = quantile_values(df, col, [0.5], approx)
+    (med,) = quantile_values(df, col, [0.5], approx, max_rows)
     if med is None:
         return df
     return df.withColumn(col, F.coalesce(F.col(col).cast("double"), F.lit(float(med))))
 
 
 def impute_income(df: DataFrame, col: str = "Income", group_col: str = "Education",
-                  approx: bool = False) -> DataFrame:
+                  approx: bool = False, max_rows: int | None = None) -> DataFrame:
     """Group median, then overall median of the already-filled column (the order matters)."""
     if col not in df.columns:
         return df
-    out = impute_group_median(df, col, group_col, approx) if group_col in df.columns else df
-    return impute_median(out, col, approx)
+    out = impute_group_median(df, col, group_col, approx, max_rows) if group_col in df.columns else df
+    return impute_median(out, col, approx, max_rows)
 
 
-def iqr_bounds(df: DataFrame, col: str, k: float, approx: bool = False) -> tuple[float, float] | None:
-    q1, q3 = quantile_values(df, col, [0.25, 0.75], approx)
+def iqr_bounds(df: DataFrame, col: str, k: float, approx: bool = False,
+               max_rows: int | None = None) -> tuple[float, float] | None:
+    q1, q3 = quantile_values(df, col, [0.25, 0.75], approx, max_rows)
     if q1 is None:
         return None
     iqr = q3 - q1
     return q1 - k * iqr, q3 + k * iqr
 
 
-def cap_upper_iqr(df: DataFrame, col: str = "Income", k: float = 3.0, approx: bool = False) -> DataFrame:
+def cap_upper_iqr(df: DataFrame, col: str = "Income", k: float = 3.0, approx: bool = False,
+                  max_rows: int | None = None) -> DataFrame:
     """Cap values above ``q3 + k*IQR`` at that bound; no lower cap; NULL stays NULL."""
-    b = iqr_bounds(df, col, k, approx)
+    b = iqr_bounds(df, col, k, approx, max_rows)
     if b is None:
         return df
     upper = F.lit(b[1])
@@ -157,10 +161,10 @@ def from_epoch_micros(c: Column) -> Column:
     return F.timestamp_add("MICROSECOND", c, F.lit(_EPOCH).cast("timestamp_ntz"))
 
 
-def fill_median_date(df: DataFrame, col: str = "Dt_Customer") -> DataFrame:
+def fill_median_date(df: DataFrame, col: str = "Dt_Customer", max_rows: int | None = None) -> DataFrame:
     """Fill NULL timestamps with the median timestamp (midpoint for an even count, e.g. 12:00)."""
     micros = df.select(epoch_micros(F.col(col)).alias("_us"))
-    (med,) = quantile_values(micros, "_us", [0.5])
+    (med,) = quantile_values(micros, "_us", [0.5], max_rows=max_rows)
     if med is None:
         return df
     fill = from_epoch_micros(F.lit(int(med)).cast("bigint"))
@@ -235,15 +239,22 @@ def fill_medians(df: DataFrame, cols) -> DataFrame:
 def clean_customers(df: DataFrame, reference_cols=("Z_CostContact", "Z_Revenue"),
                     date_col: str = "Dt_Customer", date_fmt: str | None = None,
                     drop_constants: bool = True, dedupe: bool = True) -> DataFrame:
-    """The batch cleaning sequence: impute, cap, drop constants and named columns, dates, dedupe."""
-    out = impute_income(df)
+    """The batch cleaning sequence: impute, cap, drop constants and named columns, dates, dedupe.
+
+    Every step before deduplication keeps the rows of ``df``, so one count of
+    the input bounds every order statistic in the sequence (each would
+    otherwise count its own input to choose between the window and the
+    distributed plan).
+    """
+    rows = df.count()
+    out = impute_income(df, max_rows=rows)
     if "Income" in out.columns:
-        out = cap_upper_iqr(out, "Income", 3.0)
+        out = cap_upper_iqr(out, "Income", 3.0, max_rows=rows)
     if drop_constants:
         out = drop_constant_columns(out)
     out = drop_columns(out, reference_cols)
     if date_col in out.columns:
-        out = fill_median_date(parse_dates(out, date_col, date_fmt), date_col)
+        out = fill_median_date(parse_dates(out, date_col, date_fmt), date_col, max_rows=rows)
     if dedupe:
         out = drop_duplicate_rows(out)
     return out

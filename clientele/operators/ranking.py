@@ -92,12 +92,20 @@ def global_rank(df: DataFrame, order_cols, rank_col: str = "_rank") -> DataFrame
 
 # ------------------------------------------------------------------ one entry point for both plans
 
-def ranked(df: DataFrame, order_cols, by=(), n: int | None = None) -> DataFrame:
+def ranked(df: DataFrame, order_cols, by=(), n: int | None = None, max_rows: int | None = None) -> DataFrame:
     """``df`` plus ``_rank`` (1-based within the ``by`` group, in ``order_cols`` order) and ``_n``
-    (group size).  Ties must be broken by the caller (end ``order_cols`` with a key)."""
+    (group size).  Ties must be broken by the caller (end ``order_cols`` with a key).
+
+    ``n`` is the exact row count when the caller has it; ``max_rows`` a proven upper bound
+    (e.g. the row count of the table ``df`` filters).  A bound within the single-task limit
+    picks the window plan without counting."""
     by = list(by)
-    n = df.count() if n is None else n
-    if is_bounded(df, n):
+    if n is None and max_rows is not None and max_rows <= single_task_rows(df.sparkSession):
+        bounded = True
+    else:
+        n = df.count() if n is None else n
+        bounded = is_bounded(df, n)
+    if bounded:
         w = Window.partitionBy(*by).orderBy(*_cols(order_cols))
         return df.select("*", F.row_number().over(w).alias("_rank"),
                          F.count(F.lit(1)).over(Window.partitionBy(*by)).alias("_n"))
@@ -141,7 +149,7 @@ def _lerp(lo: Column, hi: Column, t: Column) -> Column:
     return F.when(t >= 0.5, hi - d * (F.lit(1.0) - t)).otherwise(lo + d * t)
 
 
-def exact_quantiles(df: DataFrame, col: str, probs, by=(), names=None) -> DataFrame:
+def exact_quantiles(df: DataFrame, col: str, probs, by=(), names=None, max_rows: int | None = None) -> DataFrame:
     """Linear-interpolated quantiles of ``col`` per ``by`` group (pandas/numpy 'linear').
 
     NULL values are skipped; rows whose group key is NULL form no group (the
@@ -157,7 +165,7 @@ def exact_quantiles(df: DataFrame, col: str, probs, by=(), names=None) -> DataFr
     # sort key that range partitioning cannot split.  Equal values are interchangeable here.
     src = src.select(*[F.col(b) for b in by], F.col(col).cast("double").alias("_x"),
                      F.monotonically_increasing_id().alias("_tie"))
-    r = ranked(src, ["_x", "_tie"], by)
+    r = ranked(src, ["_x", "_tie"], by, max_rows=max_rows)
     rel = F.col("_rank") - 1
     pos = [(F.col("_n") - 1).cast("double") * F.lit(float(p)) for p in probs]
     picks = r.where(reduce(or_, [(rel == F.floor(h)) | (rel == F.ceil(h)) for h in pos]))
@@ -184,9 +192,11 @@ def approx_quantiles(df: DataFrame, col: str, probs, by=(), names=None, accuracy
     return agg.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
 
-def quantile_values(df: DataFrame, col: str, probs, approx: bool = False) -> list[float | None]:
+def quantile_values(df: DataFrame, col: str, probs, approx: bool = False,
+                    max_rows: int | None = None) -> list[float | None]:
     """Driver-side list of quantiles (a single small row); exact unless ``approx``."""
-    row = (approx_quantiles(df, col, probs) if approx else exact_quantiles(df, col, probs)).first()
+    q = approx_quantiles(df, col, probs) if approx else exact_quantiles(df, col, probs, max_rows=max_rows)
+    row = q.first()
     return [None if row is None else row[i] for i in range(len(probs))]
 
 
