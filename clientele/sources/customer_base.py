@@ -37,6 +37,16 @@ PURCHASE_COLUMNS = ["NumDealsPurchases", "NumWebPurchases", "NumCatalogPurchases
 CAMPAIGN_YEARS = [1995, 1996, 1997, 1998, 1999]
 CAMPAIGN_COLUMNS = ["AcceptedCmp1", "AcceptedCmp2", "AcceptedCmp3", "AcceptedCmp4", "AcceptedCmp5"]
 DEFAULT_REFERENCE_DATE = "2001-12-31"
+# Columns read from each star-schema table (types as stored in the parquet files).
+SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_orderdate TIMESTAMP_NTZ, "
+              "o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_quantity DOUBLE",
+    "part": "p_partkey BIGINT, p_type STRING",
+}
 ENROLL_FROM = "1999-01-01"
 
 
@@ -44,14 +54,12 @@ def customer_base(spark: SparkSession, sf_dir: str,
                   reference_date: str = DEFAULT_REFERENCE_DATE) -> DataFrame:
     """One row per customer with the campaign-table schema (see module doc)."""
     ref = _dt.date.fromisoformat(reference_date)
-    customer = read_table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    orders = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    lineitem = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    customer = read_table(spark, sf_dir, "customer", SCHEMAS["customer"])
+    nation = read_table(spark, sf_dir, "nation", SCHEMAS["nation"])
+    region = read_table(spark, sf_dir, "region", SCHEMAS["region"])
+    orders = read_table(spark, sf_dir, "orders", SCHEMAS["orders"])
+    lineitem = read_table(spark, sf_dir, "lineitem", SCHEMAS["lineitem"])
+    part = read_table(spark, sf_dir, "part", SCHEMAS["part"])
 
     # Spend per order and category: lineitem x part, reduced to one row per order.
     typed = lineitem.join(part, lineitem.l_partkey == part.p_partkey)

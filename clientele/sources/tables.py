@@ -10,6 +10,11 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """``spark.read.parquet`` of ``<sf_dir>/<name>.parquet``; projections and filters push into the scan."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def read_table(spark: SparkSession, sf_dir: str, name: str, schema: str | None = None) -> DataFrame:
+    """``spark.read.parquet`` of ``<sf_dir>/<name>.parquet``; projections and filters push into the scan.
+
+    ``schema`` (DDL) declares the columns to read: the scan reads exactly those
+    and no job is spent inferring the schema from file footers.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
