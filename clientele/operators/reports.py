@@ -34,9 +34,15 @@ def labels_frame(spark, name: str, labels) -> DataFrame:
 
 
 def densify(agg: DataFrame, key: str, labels, fill: dict | None = None) -> DataFrame:
-    """Left-join the aggregate onto the full ordered label list of ``key``."""
+    """Left-join the aggregate onto the full ordered label list of ``key``.
+
+    Only label keys can match, so the aggregate is restricted to them first: the
+    broadcast side then has at most ``len(labels)`` rows whatever the input
+    (the filter on the grouping key is pushed below the aggregation).
+    """
     dim = labels_frame(agg.sparkSession, key, labels)
-    out = dim.join(F.broadcast(agg), key, "left")
+    bounded = agg.where(F.col(key).isin(list(labels)))
+    out = dim.join(F.broadcast(bounded), key, "left")
     if fill:
         out = out.fillna(fill)
     return out
