@@ -16,12 +16,19 @@ def score_files(spark: SparkSession, model: PipelineModel, spec, source_dir: str
     example the projection-only feature steps).  The query checkpoints its
     progress in ``checkpoint_location`` (shared storage), so a restarted or
     failed job resumes without rescoring or skipping files.
+
+    Each micro-batch is written to its own ``batch_id=<n>`` folder under
+    ``sink_dir`` in overwrite mode.  A batch that is run again after a restart
+    (its output committed, its progress not yet) replaces its own folder
+    instead of appending a second copy, so the sink holds every row exactly
+    once.  Reading ``sink_dir`` yields a ``batch_id`` partition column.
     """
     from clientele.operators.modeling import score
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         frame = prepare(batch) if prepare else batch
-        score(model, frame, spec).write.mode("append").format(fmt).save(sink_dir)
+        out = f"{sink_dir.rstrip('/')}/batch_id={batch_id}"
+        score(model, frame, spec).write.mode("overwrite").format(fmt).save(out)
 
     stream = spark.readStream.schema(schema).format(fmt).load(source_dir)
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_location)

@@ -37,6 +37,12 @@ def test_stream_scoring(spark):
     scored = spark.read.parquet(sink)
     assert scored.count() == f.count()
     assert scored.where(F.col("Response_Probability").isNull()).count() == 0
+    # Replaying a batch (a restart between its commit and the progress log) leaves one copy.
+    batch = spark.read.parquet(src)
+    from clientele.operators.modeling import score
+    first = scored.agg(F.min("batch_id")).first()[0]
+    score(model, batch, spec).write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={first}"))
+    assert spark.read.parquet(sink).count() == f.count()
 
 
 def test_run_analysis_with_grid_search(spark):
