@@ -34,7 +34,7 @@ def test_oracle_parity_sf0001(spark):
 
 RANKING_QUERIES = ["impute_income", "cap_income", "fill_dates", "clean_customers", "rfm_scores", "segment_profile",
                    "numeric_summary", "iqr_outliers", "stratified_split", "stratified_folds", "roc_curve", "roc_auc",
-                   "pr_auc", "cumulative_importance", "fill_medians", "best_model"]
+                   "pr_auc", "pr_curve", "metrics_long", "cumulative_importance", "fill_medians", "best_model"]
 
 
 def test_oracle_parity_distributed_plan(spark):
