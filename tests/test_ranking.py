@@ -124,3 +124,21 @@ def test_grouped_ranks_with_a_hot_group(spark, plan):
             assert "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
         whole = RK.ranked(df, ["id"]).orderBy("id").collect()
         assert [x._rank for x in whole] == list(range(1, 901)) and {x._n for x in whole} == {900}
+
+
+def test_row_bound_skips_the_count_but_not_the_answer(spark, plan):
+    """A proven row bound picks the window plan without a count; a bound above the single-task
+    limit (the forced distributed plan here) falls back to counting.  Same quantiles either way."""
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"g": rng.choice(["a", "b"], 301), "x": rng.normal(size=301)})
+    pdf.loc[::11, "x"] = None
+    df = spark.createDataFrame(pdf)
+    plain = RK.exact_quantiles(df, "x", [0.25, 0.5], by=["g"]).orderBy("g").collect()
+    bound = RK.exact_quantiles(df, "x", [0.25, 0.5], by=["g"], max_rows=301).orderBy("g").collect()
+    assert plain == bound
+    assert RK.quantile_values(df, "x", [0.5], max_rows=301) == [float(pdf["x"].median())]
+    if plan == "distributed":
+        # 301 > singleTaskRows = 0, so the sort/freeze plan ran: ranks come from partition offsets.
+        r = RK.ranked(df.select("x", "g").where(F.col("x").isNotNull()), ["x"], max_rows=301)
+        text = r._jdf.queryExecution().executedPlan().toString()
+        assert "_off" in text and "row_number" not in text
