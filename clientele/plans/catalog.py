@@ -842,6 +842,36 @@ def q_preview(spark, d):
     return preview(feat(spark, d).select("ID", "RFM_Segment", "TotalSpend", "Response"), 100)
 
 
+def _csv_columns_sql() -> str:
+    from clientele.sources.csv import CUSTOMER_SCHEMA
+    return ", ".join("CAST(Dt_Customer AS VARCHAR) AS Dt_Customer" if f.name == "Dt_Customer" else f.name
+                     for f in CUSTOMER_SCHEMA.fields)
+
+
+@register("csv_source", O.with_base("SELECT " + _csv_columns_sql() + " FROM base"))
+def q_csv_source(spark, d):
+    """The customer table written as comma-separated text with a header (in the campaign
+    file's column order) to the shared checkpoint folder, then read back by the CSV source, whose
+    ';' default does not split that header, so the delimiter is detected."""
+    from clientele.session import frozen_path
+    from clientele.sources.csv import CUSTOMER_SCHEMA, read_customers_csv
+    from clientele.sources.sinks import write_table
+    path = frozen_path(spark, "csv")
+    write_table(base(spark, d).select(*[f.name for f in CUSTOMER_SCHEMA.fields]), path, "csv")
+    return read_customers_csv(spark, path, sep=";", schema=CUSTOMER_SCHEMA)
+
+
+@register("report_sink", SEGMENT_PROFILE_SQL)
+def q_report_sink(spark, d):
+    """The segment profile report written as CSV with a header and read back."""
+    from clientele.session import frozen_path
+    from clientele.sources.sinks import write_report
+    report = q_segment_profile(spark, d)
+    path = frozen_path(spark, "report")
+    write_report(report, path)
+    return spark.read.option("header", True).schema(report.schema).csv(path)
+
+
 @register("fill_medians", O.with_features(
     "SELECT ID, round(coalesce(CAST(Recency AS DOUBLE), " + O.quantile_sql("Recency", 0.5, "feat")
     + "), 4) AS Recency, round(coalesce(Income_per_Age, " + O.quantile_sql("Income_per_Age", 0.5, "feat")
