@@ -205,7 +205,7 @@ def _past(v: Column, t: Column, bv, bt) -> Column:
     return ((v > F.lit(bv)) | ((v == F.lit(bv)) & (t > F.lit(bt)))).cast("int")
 
 
-def rank_bucket(df: DataFrame, value_col: str, tie_col: str, q: int = 5) -> Column:
+def rank_bucket(df: DataFrame, value_col: str, tie_col: str, q: int = 5, n: int | None = None) -> Column:
     """Column giving ``pd.qcut(value.rank(method='first'), q)`` bucket numbers 1..q.
 
     The rank order is (value, tie_col); NULL values get no bucket.  Bucket k
@@ -216,7 +216,7 @@ def rank_bucket(df: DataFrame, value_col: str, tie_col: str, q: int = 5) -> Colu
     """
     src = df.where(F.col(value_col).isNotNull()).select(
         F.col(value_col).alias("_v"), F.col(tie_col).alias("_t"))
-    n = src.count()
+    n = src.count() if n is None else n  # ``n``: the non-NULL count, when the caller has it
     if n == 0:
         return F.lit(None).cast("int")
     lasts = [1 + (k * (n - 1)) // q for k in range(1, q)]
@@ -234,7 +234,7 @@ def rank_buckets(df: DataFrame, value_cols, tie_col: str, q: int = 5) -> dict[st
     counts = df.agg(*[F.count(F.col(c)).alias(c) for c in value_cols]).first()
     n_all = df.count() if not value_cols else max(counts[c] for c in value_cols)
     if not is_bounded(df, n_all):
-        return {c: rank_bucket(df, c, tie_col, q) for c in value_cols}
+        return {c: rank_bucket(df, c, tie_col, q, counts[c]) for c in value_cols}
     lasts = {c: [1 + (k * (counts[c] - 1)) // q for k in range(1, q)] if counts[c] else [] for c in value_cols}
     t = F.col(tie_col)
     ranks = [F.when(F.col(c).isNotNull(), F.row_number().over(Window.orderBy(F.col(c).asc_nulls_last(), t)))
