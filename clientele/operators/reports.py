@@ -233,28 +233,28 @@ def segment_channel_usage(df: DataFrame) -> DataFrame:
 def numeric_summary(df: DataFrame, cols=None, exact: bool = True) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 %, max per numeric column (``describe``).
 
-    Moments come from ONE aggregate.  Exact quartiles rank all columns together
-    after an unpivot to (column, value) - one distributed sort for every
-    column, grouped by column; ``exact=False`` uses ``percentile_approx``
-    inside the same single aggregate instead.
+    The columns are unpivoted to (column index, value) rows.  Moments are then
+    ONE aggregate grouped by column index, whose plan does not grow with the
+    number of columns.  Exact quartiles rank all columns together, with one
+    distributed sort for every column, grouped by column.  ``exact=False``
+    uses ``percentile_approx`` inside the same grouped aggregate instead.
+    Every column gets a row (count 0) even when the table is empty.
     """
     cols = cols or numeric_columns(df)
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__count"), mean(df, c).cast("double").alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
-        if not exact:
-            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).alias(f"{c}__q"))
-    wide = df.agg(*aggs)
-    stack = F.stack(F.lit(len(cols)), *[v for c in cols for v in (
-        F.lit(c), F.col(f"{c}__count"), F.col(f"{c}__mean"), F.col(f"{c}__std"),
-        F.col(f"{c}__min"), F.col(f"{c}__max"),
-        *( [F.col(f"{c}__q")[0], F.col(f"{c}__q")[1], F.col(f"{c}__q")[2]] if not exact else []))])
-    names = ["column", "count", "mean", "std", "min", "max"] + ([] if exact else ["p25", "p50", "p75"])
-    moments = wide.select(stack.alias(*names))
+    v = F.col("v")
+    aggs = [F.count(v).alias("count"),
+            # Summed as DECIMAL(38,9) like ``mean``: exact, so independent of partitioning.
+            F.avg(v.cast("decimal(38,9)")).cast("double").alias("mean"),
+            F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max")]
+    if not exact:
+        aggs.append(F.percentile_approx(v, [0.25, 0.5, 0.75], 10000).alias("_q"))
+    stats = column_values(df, cols).groupBy("_c").agg(*aggs)
+    listing = df.sparkSession.createDataFrame(list(enumerate(cols)), "_c int, column string")
+    joined = listing.join(F.broadcast(stats), "_c", "left")  # one row per column at most
+    out = [F.col("column"), F.coalesce(F.col("count"), F.lit(0)).alias("count"), "mean", "std", "min", "max"]
     if not exact:
-        return moments
+        return joined.select(*out, *[F.col("_q")[i].alias(n) for i, n in enumerate(["p25", "p50", "p75"])])
+    moments = joined.select(*out)
     qs = column_quantiles(df, cols, [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
     return moments.join(qs, "column", "left")
 

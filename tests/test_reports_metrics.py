@@ -125,3 +125,21 @@ def test_pair_correlations_match_numpy(spark):
     want = pdf.corr()  # pairwise-complete, like the operator
     for (a, b), v in m.items():
         assert abs(v - want.loc[a, b]) < 1e-9 and abs(m[(b, a)] - v) < 1e-15
+
+
+def test_numeric_summary_matches_describe(spark):
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame({"a": rng.normal(size=97), "n": rng.integers(0, 50, 97)})
+    pdf.loc[::9, "a"] = None
+    df = spark.createDataFrame(pdf)
+    got = {r.column: r for r in RP.numeric_summary(df, ["a", "n"]).collect()}
+    want = pdf.describe()
+    for c in ("a", "n"):
+        assert got[c]["count"] == int(want.loc["count", c])
+        for spark_name, pandas_name in [("mean", "mean"), ("std", "std"), ("min", "min"), ("p25", "25%"),
+                                        ("p50", "50%"), ("p75", "75%"), ("max", "max")]:
+            assert abs(got[c][spark_name] - want.loc[pandas_name, c]) < 1e-9, (c, spark_name)
+    empty = {r.column: r for r in RP.numeric_summary(df.where(F.lit(False)), ["a", "n"]).collect()}
+    assert set(empty) == {"a", "n"} and all(r["count"] == 0 and r["mean"] is None for r in empty.values())
+    approx = {r.column: r for r in RP.numeric_summary(df, ["a", "n"], exact=False).collect()}
+    assert approx["n"]["count"] == 97 and approx["n"]["p50"] is not None
