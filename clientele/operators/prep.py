@@ -130,18 +130,22 @@ def one_hot(df: DataFrame, cols=None, levels: dict[str, list[str]] | None = None
 
 
 def skewness(df: DataFrame, cols=None) -> DataFrame:
-    """(column, skewness, skewed) - bias-corrected sample skewness (pandas ``skew``), one aggregate."""
+    """(column, skewness, skewed) - bias-corrected sample skewness (pandas ``skew``).
+
+    One aggregate grouped by column index over the unpivoted values (the plan
+    does not grow with the number of columns); every column gets a row.
+    """
+    from clientele.operators.reports import column_values
     cols = cols or numeric_feature_columns(df)
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        n = F.count(x).cast("double")
-        g1 = F.when(F.stddev_pop(x) > 0, F.skewness(x))
-        corr = F.sqrt(n * (n - 1)) / (n - 2)
-        aggs.append(F.when(n > 2, F.when(F.stddev_pop(x) > 0, g1 * corr).otherwise(F.lit(0.0))).alias(c))
-    wide = df.agg(*aggs)
-    return (wide.unpivot([], cols, "column", "skewness")
-            .withColumn("skewed", F.abs(F.col("skewness")) > SKEW_LIMIT))
+    x = F.col("v")
+    n = F.count(x).cast("double")
+    g1 = F.when(F.stddev_pop(x) > 0, F.skewness(x))
+    corr = F.sqrt(n * (n - 1)) / (n - 2)
+    skew = F.when(n > 2, F.when(F.stddev_pop(x) > 0, g1 * corr).otherwise(F.lit(0.0)))
+    stats = column_values(df, cols).groupBy("_c").agg(skew.alias("skewness"))
+    listing = df.sparkSession.createDataFrame(list(enumerate(cols)), "_c int, column string")
+    return (listing.join(F.broadcast(stats), "_c", "left")  # one row per column at most
+            .select("column", "skewness", (F.abs(F.col("skewness")) > SKEW_LIMIT).alias("skewed")))
 
 
 def yeo_johnson(x: Column, lam: float) -> Column:
