@@ -114,14 +114,18 @@ def ranked(df: DataFrame, order_cols, by=(), n: int | None = None, max_rows: int
         g = global_rank(df, order_cols, "_rank")
         return g.withColumn("_n", F.lit(n).cast("bigint"))
     g = global_rank(df, [*by, *order_cols], "_grank")
-    sizes = g.groupBy(*by).agg(F.min("_grank").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    keys = [f"_k{i}" for i in range(len(by))]
+    sizes = g.groupBy(*[F.col(b).alias(k) for b, k in zip(by, keys)]).agg(
+        F.min("_grank").alias("_start"), F.count(F.lit(1)).alias("_n"))
     # The group table is broadcast only once a bounded fetch proves it small; a hot group then
     # never meets a single join task.  More groups than that stay a shuffle join (AQE splits
     # skewed partitions of the ranked side).
     rows = sizes.limit(MAX_GROUPS + 1).collect()
     if len(rows) <= MAX_GROUPS:
         sizes = F.broadcast(df.sparkSession.createDataFrame(rows, sizes.schema))
-    out = g.join(sizes, by).withColumn("_rank", F.col("_grank") - F.col("_start") + 1)
+    # NULL keys form a group, as in the window plan: the keys are matched null-safely.
+    cond = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(k)) for b, k in zip(by, keys)])
+    out = g.join(sizes, cond).withColumn("_rank", F.col("_grank") - F.col("_start") + 1)
     return out.select(*[F.col(c) for c in df.columns], "_rank", "_n")
 
 
