@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clientele.llm import bpe
+from clientele.llm import bpe, language_id, license_templates, prefix_hash, quality
 from clientele.llm.common import read_table
 
 
@@ -16,12 +17,37 @@ def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    train = F.crc32(F.col("doc_id").cast("string")) % 5 != 0
+    model = language_id.learn(docs, train)
+    held_out = (quality.remainder("doc_id", 5) == 0).alias("held_out")
+    return language_id.identify(docs.select("doc_id", held_out, "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats, model = quality.learned(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return quality.scored(stats, model).select("doc_id", "held_out", "score", "predicted")
+
+
+def op6_prefix_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_hash.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+def op7_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_templates.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digests(bpe.encode(docs, public_tokenizer()))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_language_id": op3_language_id,
+    "op4_quality": op4_quality,
+    "op6_prefix_hash": op6_prefix_hash,
+    "op7_license_templates": op7_license_templates,
     "op10_bpe": op10_bpe,
 }
 
