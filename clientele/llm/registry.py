@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import bpe, language_id, license_templates, prefix_hash, quality
+from clientele.llm import bpe, language_id, license_templates, prefix_hash, quality, source_mix
 from clientele.llm.common import read_table
 
 
@@ -17,6 +17,10 @@ def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.report(read_table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     train = F.crc32(F.col("doc_id").cast("string")) % 5 != 0
@@ -44,6 +48,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_source_mix": op2_source_mix,
     "op3_language_id": op3_language_id,
     "op4_quality": op4_quality,
     "op6_prefix_hash": op6_prefix_hash,
