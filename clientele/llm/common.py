@@ -124,3 +124,43 @@ def row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def as_long(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """Whole groups of rows with equal first ``keys`` integer columns, from batches sorted by them."""
+    held = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        change = np.zeros(batch.num_rows - 1, dtype=bool)
+        for k in range(keys):
+            col = batch.column(k).to_numpy(zero_copy_only=False)
+            change |= col[1:] != col[:-1]
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist()]
+        for lo, hi in zip(cuts, cuts[1:]):
+            yield batch.slice(lo, hi - lo)
+        held = batch.slice(cuts[-1])
+    if held is not None:
+        yield held
+
+
+def smallest_reachable(links: DataFrame) -> DataFrame:
+    """Connected components of undirected links (``a``, ``b``): each linked node ``v`` with the smallest node
+    ``c`` it reaches.  Labels go to neighbours and then jump to their label's label, until nothing changes;
+    every round is written, so no lineage grows."""
+    from clientele.session import freeze
+    sides = links.select(F.col("a").alias("v"), F.col("b").alias("u")).filter("v <> u")
+    edges = freeze(sides.unionByName(sides.select(F.col("u").alias("v"), F.col("v").alias("u"))).distinct())
+    labels = freeze(edges.groupBy("v").agg(F.min("u").alias("u")).select("v", F.least("v", "u").alias("c")))
+    total = None
+    while True:
+        near = (edges.join(labels.select(F.col("v").alias("u"), "c"), "u").groupBy("v").agg(F.min("c").alias("n")))
+        step = labels.join(near, "v").select("v", F.least("c", "n").alias("c"))
+        jump = labels.select(F.col("v").alias("c"), F.col("c").alias("j"))
+        labels = freeze(step.join(jump, "c", "left").select("v", F.least("c", F.coalesce("j", "c")).alias("c")))
+        now = labels.agg(F.sum(F.col("c").cast("decimal(38,0)"))).first()[0]
+        if now == total:
+            return labels
+        total = now

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import bpe, language_id, license_templates, prefix_hash, quality, source_mix
+from clientele.llm import bpe, language_id, license_templates, odd_sketch, prefix_hash, quality, source_mix
 from clientele.llm.common import read_table
 
 
@@ -42,6 +42,11 @@ def op7_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_templates.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op9_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return odd_sketch.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digests(bpe.encode(docs, public_tokenizer()))
@@ -53,7 +58,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op6_prefix_hash": op6_prefix_hash,
     "op7_license_templates": op7_license_templates,
+    "op9_odd_sketch": op9_odd_sketch,
     "op10_bpe": op10_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+_LOWER_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
+
+ORACLE: dict[str, str] = {
+    "op9_odd_sketch": f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_LOWER_WORDS} AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM g x JOIN g y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(v, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON r.v = e.a)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.c) AS component_id, d.doc_id = min(r.c) AS kept
+FROM documents d JOIN r ON r.v = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id""",
+}
