@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import bpe, language_id, license_templates, odd_sketch, prefix_hash, quality, source_mix
+from clientele.llm import ann_curves, bpe, language_id, license_templates, odd_sketch, prefix_hash, quality, source_mix
 from clientele.llm.common import read_table
 
 
@@ -17,6 +17,10 @@ def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ann_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_curves.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.report(read_table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ann_curves": op1_ann_curves,
     "op2_source_mix": op2_source_mix,
     "op3_language_id": op3_language_id,
     "op4_quality": op4_quality,
