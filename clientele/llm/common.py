@@ -24,7 +24,16 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, unless they find it already."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import ann_curves, bpe, language_id, license_templates, odd_sketch, prefix_hash, quality, source_mix
+from clientele.llm import ann_curves, bpe, bwt_dedup, language_id, license_templates, odd_sketch, prefix_hash, quality, source_mix
 from clientele.llm.common import read_table
 
 
@@ -46,6 +46,10 @@ def op7_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_templates.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op8_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt_dedup.report(read_table(spark, sf_dir, "documents"))
+
+
 def op9_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return odd_sketch.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op6_prefix_hash": op6_prefix_hash,
     "op7_license_templates": op7_license_templates,
+    "op8_bwt_dedup": op8_bwt_dedup,
     "op9_odd_sketch": op9_odd_sketch,
     "op10_bpe": op10_bpe,
 }
