@@ -85,3 +85,21 @@ def freeze(df):
     path = frozen_path(spark)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def release(*frames) -> None:
+    """Delete the folders of frozen tables that are no longer read, and let Spark drop the shuffle files of
+    frames that nothing refers to any more (its cleaner acts on the JVM's garbage collection)."""
+    import gc
+    for df in frames:
+        spark = df.sparkSession
+        jvm = spark._jvm
+        for file in df.inputFiles()[:1]:
+            folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
+            if folder.getName().startswith("clientele-"):
+                folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+    if frames:
+        spark = frames[0].sparkSession
+        del frames, df
+        gc.collect()
+        spark._jvm.System.gc()
