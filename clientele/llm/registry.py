@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import ann_curves, bpe, bwt_dedup, language_id, license_templates, odd_sketch, prefix_hash, quality, source_mix
+from clientele.llm import ann_curves, bpe, bwt_dedup, language_id, license_templates, odd_sketch, pii, prefix_hash, quality, source_mix
 from clientele.llm.common import read_table
 
 
@@ -38,6 +38,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(stats, model).select("doc_id", "held_out", "score", "predicted")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(read_table(spark, sf_dir, "documents"))
+
+
 def op6_prefix_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_hash.fingerprints(read_table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mix": op2_source_mix,
     "op3_language_id": op3_language_id,
     "op4_quality": op4_quality,
+    "op5_pii": op5_pii,
     "op6_prefix_hash": op6_prefix_hash,
     "op7_license_templates": op7_license_templates,
     "op8_bwt_dedup": op8_bwt_dedup,
