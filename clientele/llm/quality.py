@@ -228,11 +228,11 @@ def remainder(id_col: str, modulus: int) -> Column:
 
 
 def learned(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-            held_out: Column | None = None) -> tuple[DataFrame, Model | None]:
+            held_out: Column | None = None, extra: tuple[Column, ...] = ()) -> tuple[DataFrame, Model | None]:
     """Statistics of every document (id, held_out, statistics; written once) and the model fitted on the labels
-    of those not held out."""
+    of those not held out; ``extra`` columns go along."""
     held_out = remainder(id_col, 3) == 1 if held_out is None else held_out
-    stats = freeze(with_statistics(docs.select(F.col(id_col), held_out.alias("held_out"), F.col(text_col)), text_col))
+    stats = freeze(with_statistics(docs.select(F.col(id_col), held_out.alias("held_out"), *extra, F.col(text_col)), text_col))
     marks = (labels.filter(F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("_label_id"))
              .agg(F.avg(F.col("quality").cast("double")).alias("_label")))
     train = stats.filter(~F.col("held_out")).join(marks, F.col(id_col) == F.col("_label_id"))
