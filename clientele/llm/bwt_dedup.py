@@ -259,13 +259,14 @@ def _counted(pieces: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Rows with ``kept`` (the remaining bytes) and ``spans`` (removed stretches of bytes, end exclusive), and the
+    """Rows with ``n_bytes``, ``kept`` (the remaining bytes) and ``spans`` (removed stretches of bytes, end exclusive), and the
     columns named in ``keep``."""
-    names = [n for n in keep if n not in ("kept", "spans")]
+    names = [n for n in keep if n not in ("n_bytes", "kept", "spans")]
     key = row_key(docs, *names, text_col)
-    source = docs.select(*[F.col(f"`{n}`") for n in names], key.alias("_row"), F.col(text_col).alias("_text"))
+    carried = F.struct(F.lit(0), *[F.col(f"`{n}`") for n in names])  # one column, so that no name clashes
+    source = docs.select(carried.alias("_doc"), key.alias("_row"), F.col(text_col).alias("_text"))
     marks, _ = _marks(source.select("_row", "_text"), shuffle_partitions(docs.sparkSession))
-    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in source.schema.fields if f.name in names)
+    kind = source.schema["_doc"].dataType.simpleString()
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -299,13 +300,14 @@ def deduplicate(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] =
                     kept.append(b"".join(left))
                     spans.append([{"start": a, "end": b} for a, b in merged])
                 own = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([*[own.column(own.schema.get_field_index(n)) for n in names], pa.array(np.diff(offs)),
+                yield pa.RecordBatch.from_arrays([own.column(0), pa.array(np.diff(offs)),
                                                   pa.array(kept, pa.binary()),
                                                   pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
-                                                 names=[*names, "n_bytes", "kept", "spans"])
+                                                 names=["_doc", "n_bytes", "kept", "spans"])
 
-    return (source.join(marks, "_row", "left").select(*[F.col(f"`{n}`") for n in names], "_text", "marks")
-            .mapInArrow(remove, f"{kinds}n_bytes long, kept binary, spans array<struct<start: bigint, end: bigint>>"))
+    return (source.join(marks, "_row", "left").select("_doc", "_text", "marks")
+            .mapInArrow(remove, f"_doc {kind}, n_bytes long, kept binary, spans array<struct<start: bigint, end: bigint>>")
+            .select(*[F.col(f"_doc.`{n}`") for n in names], "n_bytes", "kept", "spans"))
 
 
 def report(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -196,11 +196,12 @@ def added(found: DataFrame, sample: int = SAMPLE) -> DataFrame | None:
     return out.select("_row", clear.alias("added"))
 
 
-def find(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (), sample: int = SAMPLE) -> DataFrame:
-    """The columns in ``keep``, ``base`` and ``spans``: for each kind its sorted spans, base ones and added ones."""
+def find(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (), sample: int = SAMPLE, row_col: str = "_row") -> DataFrame:
+    """The columns in ``keep``, the row's key, ``base`` and ``spans``: for each kind its sorted spans, base ones and added ones."""
     names = [n for n in keep if n not in ("base", "spans")]
     key = row_key(docs, *names, text_col)
-    found = detect(docs.select(*[F.col(f"`{n}`") for n in names], key.alias("_row"), F.col(text_col).alias("_body")), "_body")
+    carried = F.struct(F.lit(0), *[F.col(f"`{n}`") for n in names])  # one column, so that no name clashes
+    found = detect(docs.select(carried.alias("_doc"), key.alias("_row"), F.col(text_col).alias("_body")), "_body")
     found = freeze(found.drop("_body"))
     more = added(found, sample)
     if more is None:
@@ -210,7 +211,7 @@ def find(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (), sa
     extra = lambda n: F.transform(F.filter(F.coalesce("added", F.array()), lambda s: s["kind"] == n),
                                   lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
     spans = F.struct(*[F.array_sort(F.concat(F.col(f"base.{k}"), extra(n))).alias(k) for n, k in enumerate(KINDS)])
-    return rows.select(*[F.col(f"`{n}`") for n in names], "_row", "base", spans.alias("spans"))
+    return rows.select(*[F.col(f"_doc.`{n}`") for n in names], F.col("_row").alias(row_col), "base", spans.alias("spans"))
 
 
 def listed(col: str) -> Column:
@@ -232,16 +233,19 @@ def report(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows with every span of the text replaced by its kind in angle brackets (overlapping spans by the first's kind)."""
     names = docs.columns
-    found = find(docs, text_col, keep=tuple(n for n in names if n != text_col))
+    rest = [n for n in names if n != text_col]
+    carried = F.struct(*[F.col(f"`{n}`") for n in names])
+    rows = docs.select(row_key(docs, *rest, text_col).alias("_row"), F.col(text_col).alias("_text"), carried.alias("_doc"))
+    plain = docs.select(*[F.col(f"`{n}`").alias(f"c{k}") for k, n in enumerate(rest)], F.col(text_col).alias("text"))
+    found = find(plain, "text", keep=tuple(f"c{k}" for k in range(len(rest))))
 
     def marked(kind: str):
         return lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind"))
 
     spans = F.array_sort(F.concat(*[F.transform(F.col(f"spans.{k}"), marked(k)) for k in KINDS]))
     found = found.select("_row", spans.alias("_spans")).filter(F.size("_spans") > 0).dropDuplicates(["_row"])
-    whole = [n for n in names if n != text_col]
-    rows = docs.withColumn("_row", row_key(docs, *whole, text_col)).join(found, "_row", "left")
-    text = F.col(text_col)
+    rows = rows.join(found, "_row", "left")
+    text = F.col("_text")
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -251,4 +255,5 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["parts"], piece).alias("parts"))
 
     clean = F.aggregate("_spans", start, step, lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
-    return rows.withColumn(text_col, F.when(F.col("_spans").isNotNull(), clean).otherwise(text)).select(*[F.col(f"`{n}`") for n in names])
+    clean = F.when(F.col("_spans").isNotNull(), clean).otherwise(text)
+    return rows.select(*[clean.alias(n) if n == text_col else F.col(f"_doc.`{n}`") for n in names])

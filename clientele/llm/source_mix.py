@@ -142,8 +142,8 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
          shard_words: int = SHARD_WORDS, keep: tuple[str, ...] = ()) -> Mix:
     """Plan the mix; ``keep`` names columns that the planned documents carry on (ids for a report, all for a corpus)."""
     key = F.xxhash64(F.lit(_SEED), F.col(id_col), F.col(source_col), F.col(text_col))
-    carried = [F.col(f"`{c}`") for c in keep]
-    whole = docs.select(*carried, F.col(source_col).alias("_source"), word_count(F.col(text_col)).alias("_size"), key.alias("_key"))
+    carried = F.struct(*[F.col(f"`{c}`") for c in keep])  # one column, so that no name clashes
+    whole = docs.select(carried.alias("_doc"), F.col(source_col).alias("_source"), word_count(F.col(text_col)).alias("_size"), key.alias("_key"))
     narrow = text_col not in keep
     base = freeze(whole if narrow else whole.select("_source", "_size", "_key"))  # read by every step
     sizes = base.select("_source", "_size")
@@ -204,10 +204,10 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
 def report(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """For each document its size, its source's size and target, and the words the mix takes of it."""
     mixed = plan(docs, id_col=id_col, keep=(id_col,), **options).taken()
-    return mixed.select(F.col(id_col), F.col("_size").alias("size"), "source_size", F.col("target").cast("double").alias("target"), "taken")
+    return mixed.select(F.col(f"_doc.`{id_col}`"), F.col("_size").alias("size"), "source_size", F.col("target").cast("double").alias("target"), "taken")
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: rows of ``docs`` (all columns), repeated as drawn, shard by shard in shuffled order."""
     names = tuple(docs.columns)
-    return plan(docs, keep=names, **options).shuffled().select(*[F.col(f"`{n}`") for n in names])
+    return plan(docs, keep=names, **options).shuffled().select(*[F.col(f"_doc.`{n}`") for n in names])

@@ -21,8 +21,8 @@ ORACLE_SQL = None
 
 
 def _with_row(docs: DataFrame) -> DataFrame:
-    """Rows with a key of their content by which a decision finds them again."""
-    return docs.withColumn("_row", row_key(docs, "doc_id", "text"))
+    """Whole rows (one column, so that no name clashes) with a key of their content by which a decision finds them again."""
+    return docs.select(F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("_doc"), row_key(docs, "doc_id", "text").alias("_row"))
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +30,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     importable(spark)
     stats, model = quality.learned(docs, read_table(spark, sf_dir, "labels"), extra=(row_key(docs, "doc_id", "text").alias("_row"),))
     rejected = quality.scored(stats, model).filter("predicted = 0").select("_row").distinct()
-    return _with_row(docs).join(rejected, "_row", "left_anti").select(*docs.columns)
+    return _with_row(docs).join(rejected, "_row", "left_anti").select("_doc.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     twice = linked.groupBy("_row").agg(F.count("*").alias("_n")).filter("_n > 1").select("_row")
     if not twice.isEmpty():  # wholly equal rows
         rows = rows.join(twice, "_row", "left_anti").unionByName(rows.join(twice, "_row", "left_semi").dropDuplicates(["_row"]))
-    return rows.select(*docs.columns)
+    return rows.select("_doc.*")
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
