@@ -243,7 +243,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
         return lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind"))
 
     spans = F.array_sort(F.concat(*[F.transform(F.col(f"spans.{k}"), marked(k)) for k in KINDS]))
-    found = found.select("_row", spans.alias("_spans")).filter(F.size("_spans") > 0).dropDuplicates(["_row"])
+    found = freeze(found.select("_row", spans.alias("_spans"))).filter(F.size("_spans") > 0).dropDuplicates(["_row"])
     rows = rows.join(found, "_row", "left")
     text = F.col("_text")
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
