@@ -16,11 +16,10 @@ from clientele.operators.ranking import approx_quantiles, exact_quantiles, quant
 
 _EPOCH = "1970-01-01 00:00:00"
 DATE_NAME_HINTS = ("date", "dt", "time")
-MAX_LITERAL_GROUPS = 1_000
 
 
 def impute_group_median(df: DataFrame, col: str = "Income", group_col: str = "Education",
-                        approx: bool = False, max_rows: int | None = None) -> DataFrame:
+                        approx: bool = False) -> DataFrame:
     """Fill NULL ``col`` with the exact median of its ``group_col`` group.
 
     Rows whose group key is NULL stay NULL (pandas drops NaN group keys).  The
@@ -31,46 +30,38 @@ def impute_group_median(df: DataFrame, col: str = "Income", group_col: str = "Ed
     if approx:
         med = approx_quantiles(df, col, [0.5], by=[group_col], names=["_grp_median"])
     else:
-        med = exact_quantiles(df, col, [0.5], by=[group_col], names=["_grp_median"], max_rows=max_rows)
-    # A bounded fetch proves the size: up to MAX_LITERAL_GROUPS medians become a literal map, so
-    # the fill is a plain projection and later actions never recompute the medians; beyond that
-    # the medians stay a table joined back by key.
-    rows = med.limit(MAX_LITERAL_GROUPS + 1).collect()
-    if len(rows) <= MAX_LITERAL_GROUPS:
-        if not rows:
-            return df
-        lookup = F.create_map(*[e for r in rows for e in (F.lit(r[group_col]), F.lit(r["_grp_median"]))])
-        fill = F.try_element_at(lookup, F.col(group_col))
-        return df.withColumn(col, F.coalesce(F.col(col), fill.cast(df.schema[col].dataType)))
+        med = exact_quantiles(df, col, [0.5], by=[group_col], names=["_grp_median"])
+    # A column with missing values is floating point in pandas: the filled column is DOUBLE.
+    filled = F.coalesce(F.when(~F.isnan(F.col(col).cast("double")), F.col(col).cast("double")), F.col("_grp_median"))
     joined = df.join(med, on=group_col, how="left")
-    return joined.select(*[F.coalesce(F.col(c), F.col("_grp_median")).alias(c) if c == col else F.col(c)
-                           for c in df.columns])
+    return joined.select(*[filled.alias(c) if c == col else F.col(c) for c in df.columns])
 
 
-def impute_median(df: DataFrame, col: str, approx: bool = False, max_rows: int | None = None) -> DataFrame:
+def impute_median(df: DataFrame, col: str, approx: bool = False) -> DataFrame:
     """Fill NULL ``col`` with the exact overall median (a single literal).
 
     A column with missing values is floating point in pandas, so integer
     columns come back as DOUBLE (a median of 523.5 is kept, not truncated).
     """
-    (med,) = quantile_values(df, col, [0.5], approx, max_rows)
+    (med,) = quantile_values(df, col, [0.5], approx)
     if med is None:
         return df
-    return df.withColumn(col, F.coalesce(F.col(col).cast("double"), F.lit(float(med))))
+    x = F.col(col).cast("double")
+    return df.withColumn(col, F.coalesce(F.when(~F.isnan(x), x), F.lit(float(med))))
 
 
 def impute_income(df: DataFrame, col: str = "Income", group_col: str = "Education",
-                  approx: bool = False, max_rows: int | None = None) -> DataFrame:
+                  approx: bool = False) -> DataFrame:
     """Group median, then overall median of the already-filled column (the order matters)."""
     if col not in df.columns:
         return df
-    out = impute_group_median(df, col, group_col, approx, max_rows) if group_col in df.columns else df
-    return impute_median(out, col, approx, max_rows)
+    out = impute_group_median(df, col, group_col, approx) if group_col in df.columns else df
+    return impute_median(out, col, approx)
 
 
 def iqr_bounds(df: DataFrame, col: str, k: float, approx: bool = False,
-               max_rows: int | None = None) -> tuple[float, float] | None:
-    q1, q3 = quantile_values(df, col, [0.25, 0.75], approx, max_rows)
+               ) -> tuple[float, float] | None:
+    q1, q3 = quantile_values(df, col, [0.25, 0.75], approx)
     if q1 is None:
         return None
     iqr = q3 - q1
@@ -78,9 +69,9 @@ def iqr_bounds(df: DataFrame, col: str, k: float, approx: bool = False,
 
 
 def cap_upper_iqr(df: DataFrame, col: str = "Income", k: float = 3.0, approx: bool = False,
-                  max_rows: int | None = None) -> DataFrame:
+                  ) -> DataFrame:
     """Cap values above ``q3 + k*IQR`` at that bound; no lower cap; NULL stays NULL."""
-    b = iqr_bounds(df, col, k, approx, max_rows)
+    b = iqr_bounds(df, col, k, approx)
     if b is None:
         return df
     upper = F.lit(b[1])
@@ -123,11 +114,24 @@ def drop_columns(df: DataFrame, cols=("Z_CostContact", "Z_Revenue")) -> DataFram
     return df.drop(*[c for c in cols if c in df.columns])
 
 
+#: Formats tried in this order on the first value of a column.
+DATE_FORMATS = ("yyyy-MM-dd", "dd-MM-yyyy", "MM-dd-yyyy", "yyyy/MM/dd", "dd/MM/yyyy", "MM/dd/yyyy", "dd.MM.yyyy", "yyyyMMdd")
+
+
+def infer_date_format(df: DataFrame, col: str) -> str | None:
+    """The first of DATE_FORMATS that parses the column's first non-null value; None (ISO parsing) if none
+    does.  Reads one row."""
+    value = F.trim(F.col(col).cast("string"))
+    row = df.where(F.col(col).isNotNull()).select(*[F.try_to_timestamp(value, F.lit(f)).isNotNull() for f in DATE_FORMATS]).first()
+    return next((f for f, ok in zip(DATE_FORMATS, row or ()) if ok), None)
+
+
 def parse_dates(df: DataFrame, col: str = "Dt_Customer", fmt: str | None = None) -> DataFrame:
     """Parse ``col`` to TIMESTAMP_NTZ; unparseable values become NULL (``errors='coerce'``).
 
     Already-typed date/timestamp columns are only cast.  Strings use
-    ``try_to_timestamp`` with ``fmt`` (or Spark's default ISO parsing).
+    ``try_to_timestamp`` with ``fmt``; without one it is inferred from the
+    column's first value, see :func:`infer_date_format`.
     """
     dtype = df.schema[col].dataType
     c = F.col(col)
@@ -135,6 +139,7 @@ def parse_dates(df: DataFrame, col: str = "Dt_Customer", fmt: str | None = None)
         parsed = c.cast("timestamp_ntz")
     else:
         s = c.cast("string")
+        fmt = fmt or infer_date_format(df, col)
         ts = F.try_to_timestamp(s, F.lit(fmt)) if fmt else F.try_to_timestamp(s)
         parsed = ts.cast("timestamp_ntz")
     return df.withColumn(col, parsed)
@@ -161,10 +166,10 @@ def from_epoch_micros(c: Column) -> Column:
     return F.timestamp_add("MICROSECOND", c, F.lit(_EPOCH).cast("timestamp_ntz"))
 
 
-def fill_median_date(df: DataFrame, col: str = "Dt_Customer", max_rows: int | None = None) -> DataFrame:
+def fill_median_date(df: DataFrame, col: str = "Dt_Customer") -> DataFrame:
     """Fill NULL timestamps with the median timestamp (midpoint for an even count, e.g. 12:00)."""
     micros = df.select(epoch_micros(F.col(col)).alias("_us"))
-    (med,) = quantile_values(micros, "_us", [0.5], max_rows=max_rows)
+    (med,) = quantile_values(micros, "_us", [0.5])
     if med is None:
         return df
     fill = from_epoch_micros(F.lit(int(med)).cast("bigint"))
@@ -222,7 +227,7 @@ def normalize_types(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.FloatType, T.DecimalType)):
             out.append(F.col(f.name).cast("double").alias(f.name))
-        elif isinstance(f.dataType, (T.ShortType, T.ByteType)):
+        elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             out.append(F.col(f.name).cast("bigint").alias(f.name))
         else:
             out.append(F.col(f.name))
@@ -239,22 +244,15 @@ def fill_medians(df: DataFrame, cols) -> DataFrame:
 def clean_customers(df: DataFrame, reference_cols=("Z_CostContact", "Z_Revenue"),
                     date_col: str = "Dt_Customer", date_fmt: str | None = None,
                     drop_constants: bool = True, dedupe: bool = True) -> DataFrame:
-    """The batch cleaning sequence: impute, cap, drop constants and named columns, dates, dedupe.
-
-    Every step before deduplication keeps the rows of ``df``, so one count of
-    the input bounds every order statistic in the sequence (each would
-    otherwise count its own input to choose between the window and the
-    distributed plan).
-    """
-    rows = df.count()
-    out = impute_income(df, max_rows=rows)
+    """The batch cleaning sequence: impute, cap, drop constants and named columns, dates, dedupe."""
+    out = impute_income(df)
     if "Income" in out.columns:
-        out = cap_upper_iqr(out, "Income", 3.0, max_rows=rows)
+        out = cap_upper_iqr(out, "Income", 3.0)
     if drop_constants:
         out = drop_constant_columns(out)
     out = drop_columns(out, reference_cols)
     if date_col in out.columns:
-        out = fill_median_date(parse_dates(out, date_col, date_fmt), date_col, max_rows=rows)
+        out = fill_median_date(parse_dates(out, date_col, date_fmt), date_col)
     if dedupe:
         out = drop_duplicate_rows(out)
     return out

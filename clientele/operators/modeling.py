@@ -104,13 +104,20 @@ def pipeline(spec: FeatureSpec, classifier) -> Pipeline:
     return Pipeline(stages=stages)
 
 
+def _depth(max_depth: int) -> int:
+    """Spark's trees are at most 30 levels deep; a deeper request is an error, not clipped."""
+    if max_depth > 30:
+        raise ValueError(f"max_depth {max_depth} is above 30, the deepest trees Spark ML grows")
+    return max_depth
+
+
 def random_forest(num_trees: int = 100, max_depth: int = 30, min_leaf: int = 1, weight_col: str | None = None):
     from clientele.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(_spark())
     # Deep trees: cache each row's node id (checkpointed every 10 iterations into the shared
     # checkpoint folder) and give node statistics more room, so a level takes fewer passes.
     rf = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=num_trees,
-                                maxDepth=min(max_depth, 30), minInstancesPerNode=min_leaf, seed=SEED,
+                                maxDepth=_depth(max_depth), minInstancesPerNode=min_leaf, seed=SEED,
                                 cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=10)
     if weight_col:
         rf.setWeightCol(weight_col)

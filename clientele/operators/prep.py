@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clientele.operators import features as FT
-from clientele.operators.ranking import hash_buckets
+from clientele.operators.ranking import with_slices
 from clientele.operators.reports import NUMERIC_TYPES, pair_correlations
 
 DATE_PART_COLUMNS = ["Enrollment_Year", "Enrollment_Month", "Enrollment_Quarter"]
@@ -88,21 +88,22 @@ def high_cardinality(df: DataFrame, cols=None, threshold: int = HIGH_CARDINALITY
 def category_levels(df: DataFrame, cols) -> dict[str, list[str]]:
     """Level list per column: fixed order for bin/score columns, sorted distinct values otherwise.
 
-    The distinct values of every other column come from ONE aggregate of
-    ``collect_set`` - bounded by the column cardinality, which is what a
-    one-hot encoding is sized by anyway.
+    The distinct values of every other column come from one distinct over
+    (column, value) pairs, at most MAX_LEVELS of each column (a one-hot
+    encoding has a column for each; more raise an error).
     """
     levels = {c: list(CATEGORY_LEVELS[c]) for c in cols if c in CATEGORY_LEVELS}
     rest = [c for c in cols if c not in levels]
     if rest:
-        # Prove the bound before collecting: one HyperLogLog pass over every column.
-        card = df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in rest]).first()
-        too_many = {c: card[c] for c in rest if card[c] > MAX_LEVELS}
+        # Distinct (column, value) pairs, combined map-side; their exact number is proven before the fetch.
+        pairs = df.select(*[F.col(c).cast("string").alias(c) for c in rest]).unpivot([], rest, "column", "value")
+        pairs = pairs.where(F.col("value").isNotNull()).distinct()
+        too_many = {r[0]: r[1] for r in pairs.groupBy("column").count().where(F.col("count") > MAX_LEVELS).collect()}
         if too_many:
             raise ValueError(f"too many levels to one-hot encode (limit {MAX_LEVELS}): {too_many}")
-        row = df.agg(*[F.collect_set(F.col(c).cast("string")).alias(c) for c in rest]).first()
-        for c in rest:
-            levels[c] = sorted(row[c])
+        levels |= {c: [] for c in rest}
+        for c, value in sorted(map(tuple, pairs.collect())):
+            levels[c].append(value)
     return levels
 
 
@@ -277,16 +278,34 @@ def vif(df: DataFrame, cols, flag_above: float = 10.0) -> DataFrame:
     """Variance inflation factor per column, no intercept: VIF_i = G_ii * (G^-1)_ii.
 
     Equal to 1 / (1 - R_i^2) of the uncentred regression of column i on the
-    others.  The k x k matrix (k <= 30 in the reference flow) is inverted on
-    the driver; the data pass is one aggregate over all rows.
+    others, so never below 1.  G is scaled to unit diagonal; a column that
+    takes part in an exact linear dependency (a null direction of G) gets
+    infinity, as does a column of zeros, and the others are regressed on the
+    column space that remains.  The k x k matrix (k <= 30 in the reference
+    flow) is decomposed on the driver; the data pass is one aggregate over the
+    rows that are complete in ``cols`` (impute first to use all).
     """
     g = gram_matrix(df, cols)
-    inv = np.linalg.pinv(g)
-    vals = [float(g[i, i] * inv[i, i]) for i in range(len(cols))]
+    vals = vif_values(g)
     return df.sparkSession.createDataFrame([(c, v, v > flag_above) for c, v in zip(cols, vals)],
                                            "feature string, VIF double, high boolean")
 
 
+def vif_values(g: np.ndarray, tolerance: float = 1e-10) -> list[float]:
+    """VIF of each column from an uncentred Gram matrix."""
+    size = np.sqrt(np.diag(g))
+    live = np.flatnonzero(size > 0)
+    out = np.full(len(g), np.inf)
+    if len(live):
+        scaled = g[np.ix_(live, live)] / np.outer(size[live], size[live])
+        values, vectors = np.linalg.eigh(scaled)
+        null = values < tolerance * len(live)
+        dependent = (vectors[:, null] ** 2).sum(axis=1) > 1e-8
+        inverse = (vectors[:, ~null] / values[~null]) @ vectors[:, ~null].T
+        out[live] = np.where(dependent, np.inf, np.maximum(1.0, np.diag(inverse)))
+    return [float(v) for v in out]
+
+
 def class_counts(df: DataFrame, target: str = "Response") -> DataFrame:
     return df.where(F.col(target).isNotNull()).groupBy(target).agg(F.count(F.lit(1)).alias("n"))
 
@@ -334,15 +353,14 @@ def stratified_split(df: DataFrame, target: str = "Response", test_fraction: flo
     """Adds ``is_test``: per class, the first ceil(fraction * n_class) rows in md5(ID) order."""
     fr = Fraction(test_fraction).limit_denominator(1000)
     keyed = df.withColumn("_h", hash_key(id_col))
-    slice_ = hash_buckets(keyed, "_h", id_col, [target], [(fr.numerator, fr.denominator)])
-    return keyed.withColumn("is_test", (slice_ == 0)).drop("_h")
+    sliced = with_slices(keyed, "_h", id_col, [target], [(fr.numerator, fr.denominator)], "is_test")
+    return sliced.withColumn("is_test", F.col("is_test") == 0).drop("_h")
 
 
 def stratified_folds(df: DataFrame, target: str = "Response", k: int = 5, id_col: str = "ID") -> DataFrame:
     """Adds ``fold`` 0..k-1: per class, consecutive equal-count slices of the md5(ID) order."""
     keyed = df.withColumn("_h", hash_key(id_col))
-    fold = hash_buckets(keyed, "_h", id_col, [target], [(i, k) for i in range(1, k)])
-    return keyed.withColumn("fold", fold.cast("int")).drop("_h")
+    return with_slices(keyed, "_h", id_col, [target], [(i, k) for i in range(1, k)], "fold").drop("_h")
 
 
 def prepare_for_modeling(df: DataFrame, target: str = "Response", id_col: str = "ID",

@@ -53,10 +53,12 @@ def duplicate_ids(df: DataFrame, key: str = "ID") -> DataFrame:
 
 
 def missing_profile(df: DataFrame) -> DataFrame:
-    """(column, missing, missing_pct, type) for columns with at least one NULL; one aggregate."""
+    """(column, missing, missing_pct, type) for columns with at least one NULL or NaN; one aggregate."""
     cols = df.columns
     n = F.count(F.lit(1))
-    wide = df.agg(n.alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    floats = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
+    missing = lambda c: F.col(c).isNull() | F.isnan(F.col(c)) if c in floats else F.col(c).isNull()
+    wide = df.agg(n.alias("_rows"), *[F.count_if(missing(c)).alias(c) for c in cols])
     long = wide.unpivot(["_rows"], cols, "column", "missing")
     types = df.sparkSession.createDataFrame([(f.name, f.dataType.simpleString()) for f in df.schema.fields],
                                             "column string, type string")
@@ -83,7 +85,7 @@ def iqr_outliers(df: DataFrame, cols=None, k: float = 1.5) -> DataFrame:
             continue
         lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
         x = F.col(c).cast("double")
-        aggs.append(F.count_if((x < F.lit(lo)) | (x > F.lit(hi))).alias(c))
+        aggs.append(F.count_if(~F.isnan(x) & ((x < F.lit(lo)) | (x > F.lit(hi)))).alias(c))
     wide = df.agg(*aggs)
     return (wide.unpivot(["_rows"], cols, "column", "outliers")
             .select("column", F.col("outliers").cast("bigint").alias("outliers"),

@@ -4,31 +4,25 @@ pandas ranks and takes quantiles over one in-memory array.  In Spark the naive
 equivalents do not survive a large table: the exact ``percentile`` aggregate
 merges a value->count map of every distinct value into one final task, and
 ``row_number()`` over an unpartitioned window sorts the whole table in one
-task.  Every helper here therefore counts its input first and picks one of two
-plans with identical arithmetic:
-
-* **bounded** - at most ``spark.clientele.singleTaskRows`` rows (default 2M,
-  checked by the count, so the bound is proven): plain window functions; the
-  whole input fits one task comfortably and costs only a couple of jobs;
-
-* **distributed** - anything larger:
-  1. sort globally (range-partitioned shuffle spread over all tasks; hot keys
-     are split across partitions because the order ends in a tie-break column);
-  2. tag each row with ``monotonically_increasing_id`` - partition index in the
-     high bits, position inside the sorted partition in the low bits;
-  3. freeze that as parquet in the shared checkpoint folder (range bounds are
-     sampled, so a recomputation could renumber rows; the files also survive
-     executor loss);
-  4. per-partition row counts (one row per partition - bounded by the
-     partition count) give exclusive offsets, broadcast back:
-     ``rank = offset + position + 1``; without groups that is the rank, with
-     groups the group's first rank is subtracted (a one-row-per-group table,
-     broadcast once a bounded fetch proves it has at most ``MAX_GROUPS`` rows,
-     otherwise a shuffle join that AQE can split on hot groups).
-
-Quantiles then need only the 1-2 rows around each target rank, and
-equal-count buckets only the boundary rows: nothing is joined back to the full
-table and no group is ever gathered into one task on the distributed plan.
+task.  Every helper here uses one plan for every size:
+
+1. sort globally (range-partitioned shuffle spread over all tasks; hot keys
+   are split across partitions because the order ends in a tie-break column,
+   or are counted into one row each before the sort);
+2. tag each row with ``monotonically_increasing_id`` - partition index in the
+   high bits, position inside the sorted partition in the low bits;
+3. freeze that as parquet in the shared checkpoint folder (range bounds are
+   sampled, so a recomputation could renumber rows; the files also survive
+   executor loss);
+4. per-partition row counts (one row per partition - bounded by the
+   partition count) give exclusive offsets, broadcast back:
+   ``rank = offset + position + 1``; without groups that is the rank, with
+   groups the group's first rank is subtracted (a one-row-per-group table that
+   AQE broadcasts when it is small).
+
+Quantiles need only the values around each target rank, and equal-count
+buckets only the boundary rows: nothing is joined back to the full table and no
+group is ever gathered into one task.
 """
 
 from __future__ import annotations
@@ -43,24 +37,12 @@ from clientele.session import freeze
 
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
-DEFAULT_SINGLE_TASK_ROWS = 2_000_000
-MAX_GROUPS = 1_000  # strata whose boundary rows hash_buckets fetches to the driver
 
 
 def _cols(names):
     return [F.col(c) if isinstance(c, str) else c for c in names]
 
 
-def single_task_rows(spark) -> int:
-    """Largest input (rows) ranked with plain windows; set ``spark.clientele.singleTaskRows``."""
-    return int(spark.conf.get("spark.clientele.singleTaskRows", str(DEFAULT_SINGLE_TASK_ROWS)))
-
-
-def is_bounded(df: DataFrame, n: int | None = None) -> bool:
-    n = df.count() if n is None else n
-    return n <= single_task_rows(df.sparkSession)
-
-
 # ------------------------------------------------------------------ distributed primitives
 
 def freeze_sorted(df: DataFrame, order_cols) -> DataFrame:
@@ -90,25 +72,15 @@ def global_rank(df: DataFrame, order_cols, rank_col: str = "_rank") -> DataFrame
     return joined.select(*[F.col(c) for c in df.columns], (F.col("_off") + pos + 1).alias(rank_col))
 
 
-# ------------------------------------------------------------------ one entry point for both plans
+# ------------------------------------------------------------------ ranks and running totals
 
-def ranked(df: DataFrame, order_cols, by=(), n: int | None = None, max_rows: int | None = None) -> DataFrame:
+def ranked(df: DataFrame, order_cols, by=(), n: int | None = None) -> DataFrame:
     """``df`` plus ``_rank`` (1-based within the ``by`` group, in ``order_cols`` order) and ``_n``
     (group size).  Ties must be broken by the caller (end ``order_cols`` with a key).
 
-    ``n`` is the exact row count when the caller has it; ``max_rows`` a proven upper bound
-    (e.g. the row count of the table ``df`` filters).  A bound within the single-task limit
-    picks the window plan without counting."""
+    ``n`` is the exact row count when the caller has it."""
     by = list(by)
-    if n is None and max_rows is not None and max_rows <= single_task_rows(df.sparkSession):
-        bounded = True
-    else:
-        n = df.count() if n is None else n
-        bounded = is_bounded(df, n)
-    if bounded:
-        w = Window.partitionBy(*by).orderBy(*_cols(order_cols))
-        return df.select("*", F.row_number().over(w).alias("_rank"),
-                         F.count(F.lit(1)).over(Window.partitionBy(*by)).alias("_n"))
+    n = df.count() if n is None and not by else n
     if not by:
         # One group: the global rank is the rank and the size is the count already taken.
         g = global_rank(df, order_cols, "_rank")
@@ -117,23 +89,14 @@ def ranked(df: DataFrame, order_cols, by=(), n: int | None = None, max_rows: int
     keys = [f"_k{i}" for i in range(len(by))]
     sizes = g.groupBy(*[F.col(b).alias(k) for b, k in zip(by, keys)]).agg(
         F.min("_grank").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    # The group table is broadcast only once a bounded fetch proves it small; a hot group then
-    # never meets a single join task.  More groups than that stay a shuffle join (AQE splits
-    # skewed partitions of the ranked side).
-    rows = sizes.limit(MAX_GROUPS + 1).collect()
-    if len(rows) <= MAX_GROUPS:
-        sizes = F.broadcast(df.sparkSession.createDataFrame(rows, sizes.schema))
-    # NULL keys form a group, as in the window plan: the keys are matched null-safely.
+    # NULL keys form a group, as in a window: the keys are matched null-safely.
     cond = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(k)) for b, k in zip(by, keys)])
     out = g.join(sizes, cond).withColumn("_rank", F.col("_grank") - F.col("_start") + 1)
     return out.select(*[F.col(c) for c in df.columns], "_rank", "_n")
 
 
-def running_totals(df: DataFrame, order_cols, sums: dict[str, str], n: int | None = None) -> DataFrame:
+def running_totals(df: DataFrame, order_cols, sums: dict[str, str]) -> DataFrame:
     """Inclusive running sums of ``sums`` (out_name -> column) in the global order ``order_cols``."""
-    if is_bounded(df, n):
-        w = Window.orderBy(*_cols(order_cols)).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select("*", *[F.sum(F.col(v)).over(w).alias(k) for k, v in sums.items()])
     tagged = freeze_sorted(df, order_cols)
     offsets = _partition_offsets(tagged, {k: F.col(v) for k, v in sums.items()})
     with_part = tagged.withColumn("_part", F.shiftright("_mid", _POS_BITS))
@@ -153,30 +116,39 @@ def _lerp(lo: Column, hi: Column, t: Column) -> Column:
     return F.when(t >= 0.5, hi - d * (F.lit(1.0) - t)).otherwise(lo + d * t)
 
 
-def exact_quantiles(df: DataFrame, col: str, probs, by=(), names=None, max_rows: int | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, col: str, probs, by=(), names=None) -> DataFrame:
     """Linear-interpolated quantiles of ``col`` per ``by`` group (pandas/numpy 'linear').
 
-    NULL values are skipped; rows whose group key is NULL form no group (the
-    pandas groupby rule).  Returns one row per group with one column per
+    NULL and NaN values are skipped; rows whose group key is NULL form no group
+    (the pandas groupby rule).  Returns one row per group with one column per
     probability (``names`` or ``q0``, ``q1`` ...).
+
+    Equal values are counted into one row before the sort (combined map-side),
+    so a value that fills a third of the table is one row of the sorted table.
     """
     by = list(by)
     names = list(names or [f"q{i}" for i in range(len(probs))])
-    src = df.where(F.col(col).isNotNull())
+    x = F.col(col).cast("double")
+    src = df.where(x.isNotNull() & ~F.isnan(x))
     for b in by:
         src = src.where(F.col(b).isNotNull())
-    # The row id only breaks ties: a value repeated on a third of the rows would otherwise be one
-    # sort key that range partitioning cannot split.  Equal values are interchangeable here.
-    src = src.select(*[F.col(b) for b in by], F.col(col).cast("double").alias("_x"),
-                     F.monotonically_increasing_id().alias("_tie"))
-    r = ranked(src, ["_x", "_tie"], by, max_rows=max_rows)
-    rel = F.col("_rank") - 1
+    values = src.groupBy(*[F.col(b) for b in by], x.alias("_x")).agg(F.count(F.lit(1)).alias("_w"))
+    run = running_totals(values, [*by, "_x"], {"_cum": "_w"})
+    if by:
+        sizes = run.groupBy(*by).agg(F.min(F.col("_cum") - F.col("_w")).alias("_start"), F.sum("_w").alias("_n"))
+        run = run.join(sizes, by)
+    else:
+        total = run.agg(F.max("_cum")).first()[0]
+        run = run.withColumns({"_start": F.lit(0), "_n": F.lit(total or 0)})
+    last = F.col("_cum") - F.col("_start")  # the value stands at places last - _w .. last - 1
+    first = last - F.col("_w")
     pos = [(F.col("_n") - 1).cast("double") * F.lit(float(p)) for p in probs]
-    picks = r.where(reduce(or_, [(rel == F.floor(h)) | (rel == F.ceil(h)) for h in pos]))
+    at = lambda place: (first <= place) & (place < last)
+    picks = run.where(reduce(or_, [at(F.floor(h)) | at(F.ceil(h)) for h in pos]))
     aggs = []
     for h, name in zip(pos, names):
-        lo = F.max(F.when(rel == F.floor(h), F.col("_x")))
-        hi = F.max(F.when(rel == F.ceil(h), F.col("_x")))
+        lo = F.max(F.when(at(F.floor(h)), F.col("_x")))
+        hi = F.max(F.when(at(F.ceil(h)), F.col("_x")))
         aggs.append(_lerp(lo, hi, F.first(h - F.floor(h))).alias(name))
     return picks.groupBy(*by).agg(*aggs)
 
@@ -196,99 +168,90 @@ def approx_quantiles(df: DataFrame, col: str, probs, by=(), names=None, accuracy
     return agg.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
 
-def quantile_values(df: DataFrame, col: str, probs, approx: bool = False,
-                    max_rows: int | None = None) -> list[float | None]:
+def quantile_values(df: DataFrame, col: str, probs, approx: bool = False) -> list[float | None]:
     """Driver-side list of quantiles (a single small row); exact unless ``approx``."""
-    q = approx_quantiles(df, col, probs) if approx else exact_quantiles(df, col, probs, max_rows=max_rows)
+    q = approx_quantiles(df, col, probs) if approx else exact_quantiles(df, col, probs)
     row = q.first()
     return [None if row is None else row[i] for i in range(len(probs))]
 
 
-def _past(v: Column, t: Column, bv, bt) -> Column:
-    """1 when (v, t) sorts after the boundary tuple (bv, bt)."""
-    return ((v > F.lit(bv)) | ((v == F.lit(bv)) & (t > F.lit(bt)))).cast("int")
+def _after(x: Column, bound) -> Column:
+    """Does ``x`` sort after the boundary value (NULL first, as in an ascending sort)?"""
+    return x.isNotNull() if bound is None else F.coalesce(x > F.lit(bound), F.lit(False))
+
+
+def _past(cols, bounds) -> Column:
+    """1 when the row's tuple sorts after the boundary tuple, compared null-safely."""
+    out = F.lit(False)
+    for x, bound in reversed(list(zip(cols, bounds))):
+        out = _after(x, bound) | (x.eqNullSafe(F.lit(bound)) & out)
+    return out.cast("int")
+
+
+def _row_hash(df: DataFrame) -> Column:
+    """Last tie-break of rows that share a key; only rows equal in every column still tie."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def rank_bucket(df: DataFrame, value_col: str, tie_col: str, q: int = 5, n: int | None = None) -> Column:
     """Column giving ``pd.qcut(value.rank(method='first'), q)`` bucket numbers 1..q.
 
-    The rank order is (value, tie_col); NULL values get no bucket.  Bucket k
-    ends at rank ``1 + floor(k (n-1) / q)`` (pandas puts edge k at
-    ``1 + (n-1) k / q``, right-closed).  Only the q-1 boundary rows are fetched;
-    the bucket itself is a projection comparing each row with those
-    boundaries, so there is no join back to the table.
+    The rank order is (value, tie_col, hash of the row); NULL values get no
+    bucket, a NULL tie key sorts first.  Bucket k ends at rank
+    ``1 + floor(k (n-1) / q)`` (pandas puts edge k at ``1 + (n-1) k / q``,
+    right-closed).  Only the q-1 boundary rows are fetched; the bucket itself
+    is a projection comparing each row with those boundaries, so there is no
+    join back to the table.  Rows equal in every column share a bucket.
     """
-    src = df.where(F.col(value_col).isNotNull()).select(
-        F.col(value_col).alias("_v"), F.col(tie_col).alias("_t"))
+    v, t, h = F.col(value_col), F.col(tie_col), _row_hash(df)
+    src = df.where(v.isNotNull()).select(v.alias("_v"), t.alias("_t"), h.alias("_h"))
     n = src.count() if n is None else n  # ``n``: the non-NULL count, when the caller has it
     if n == 0:
         return F.lit(None).cast("int")
     lasts = [1 + (k * (n - 1)) // q for k in range(1, q)]
-    r = ranked(src, ["_v", "_t"], n=n)
-    rows = {x["_rank"]: (x["_v"], x["_t"]) for x in r.where(F.col("_rank").isin(lasts)).collect()}
-    v, t = F.col(value_col), F.col(tie_col)
-    above = [_past(v, t, *rows[last]) for last in lasts]
+    r = ranked(src, ["_v", "_t", "_h"], n=n)
+    rows = {x["_rank"]: (x["_v"], x["_t"], x["_h"]) for x in r.where(F.col("_rank").isin(lasts)).collect()}
+    above = [_past((v, t, h), rows[last]) for last in lasts]
     return F.when(v.isNotNull(), reduce(lambda a, b: a + b, above) + F.lit(1)).cast("int")
 
 
 def rank_buckets(df: DataFrame, value_cols, tie_col: str, q: int = 5) -> dict[str, Column]:
-    """``rank_bucket`` for several columns at once: one count aggregate for all of them and,
-    on the bounded plan, one ranking job (one window per column) for every boundary row."""
+    """``rank_bucket`` for several columns, with one count aggregate for all of them."""
     value_cols = list(value_cols)
+    if not value_cols:
+        return {}
     counts = df.agg(*[F.count(F.col(c)).alias(c) for c in value_cols]).first()
-    n_all = df.count() if not value_cols else max(counts[c] for c in value_cols)
-    if not is_bounded(df, n_all):
-        return {c: rank_bucket(df, c, tie_col, q, counts[c]) for c in value_cols}
-    lasts = {c: [1 + (k * (counts[c] - 1)) // q for k in range(1, q)] if counts[c] else [] for c in value_cols}
-    t = F.col(tie_col)
-    ranks = [F.when(F.col(c).isNotNull(), F.row_number().over(Window.orderBy(F.col(c).asc_nulls_last(), t)))
-             .alias(f"_r{i}") for i, c in enumerate(value_cols)]
-    r = df.select(t.alias("_t"), *[F.col(c).alias(f"_v{i}") for i, c in enumerate(value_cols)], *ranks)
-    hit = reduce(or_, [F.col(f"_r{i}").isin(lasts[c]) for i, c in enumerate(value_cols) if lasts[c]] or [F.lit(False)])
-    rows = r.where(hit).collect()
-    out = {}
-    for i, c in enumerate(value_cols):
-        if not counts[c]:
-            out[c] = F.lit(None).cast("int")
-            continue
-        at = {x[f"_r{i}"]: (x[f"_v{i}"], x["_t"]) for x in rows if x[f"_r{i}"] in lasts[c]}
-        v = F.col(c)
-        above = [_past(v, t, *at[last]) for last in lasts[c]]
-        out[c] = F.when(v.isNotNull(), reduce(lambda a, b: a + b, above) + F.lit(1)).cast("int")
-    return out
-
-
-def hash_buckets(df: DataFrame, order_col: str, tie_col: str, by: list[str], cuts) -> Column:
-    """Per-group contiguous slices of the ``(order_col, tie_col)`` order.
+    return {c: rank_bucket(df, c, tie_col, q, counts[c]) for c in value_cols}
+
+
+def with_slices(df: DataFrame, order_col: str, tie_col: str, by: list[str], cuts, out: str) -> DataFrame:
+    """``df`` plus ``out``, the index 0..len(cuts) of contiguous slices of each group's
+    ``(order_col, tie_col)`` order.
 
     ``cuts`` are cumulative fractions given as integer pairs ``(num, den)``;
     a row with within-group rank r is past cut i when ``r > ceil(num_i * n_g / den_i)``
-    (integer arithmetic, so no float rounding decides a boundary).  Returns a
-    Column with the slice index 0..len(cuts).  Only the boundary rows of each
-    group are fetched (groups x cuts rows - a handful for class labels).
+    (integer arithmetic, so no float rounding decides a boundary).  The boundary
+    rows (one row per group) are joined back null-safely; any number of groups works.
     """
     src = df.select(*[F.col(b) for b in by], F.col(order_col).alias("_v"), F.col(tie_col).alias("_t"))
-    n_groups = src.select(*by).distinct().limit(MAX_GROUPS + 1).count()
-    if n_groups > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} strata; stratify on a coarser key")
     r = ranked(src, ["_v", "_t"], by)
     ends = [F.expr(f"(_n * {int(num)} + {int(den) - 1}) div {int(den)}") for num, den in cuts]
     rank = F.col("_rank")
-    bounds = r.where(reduce(or_, [rank == e for e in ends])).select(
-        *by, *[F.when(rank == e, F.struct("_v", "_t")).alias(f"_b{i}") for i, e in enumerate(ends)])
-    bounds = bounds.groupBy(*by).agg(*[F.max(f"_b{i}").alias(f"_b{i}") for i in range(len(ends))]).collect()
+    hit = F.struct("_v", "_t")
+    bounds = r.groupBy(*[F.col(b).alias(f"_g{i}") for i, b in enumerate(by)]).agg(
+        *[F.max(F.when(rank == e, hit)).alias(f"_b{i}") for i, e in enumerate(ends)])
+    cond = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(f"_g{i}")) for i, b in enumerate(by)])
     v, t = F.col(order_col), F.col(tie_col)
-    expr = None
-    for row in bounds:
-        in_group = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.lit(row[b])) for b in by])
-        past = []
-        for i in range(len(ends)):
-            b = row[f"_b{i}"]
-            # No boundary row means the cut falls before the first row (ceil(...) = 0).
-            past.append(F.lit(1) if b is None else _past(v, t, b["_v"], b["_t"]))
-        val = reduce(lambda a, b: a + b, past)
-        expr = F.when(in_group, val) if expr is None else expr.when(in_group, val)
-    return expr if expr is not None else F.lit(None).cast("int")
+
+    def past(i: int) -> Column:
+        bound = F.col(f"_b{i}")
+        later_tie = F.when(bound["_t"].isNull(), t.isNotNull()).otherwise(F.coalesce(t > bound["_t"], F.lit(False)))
+        later = F.coalesce(v > bound["_v"], F.lit(False)) | (v.eqNullSafe(bound["_v"]) & later_tie)
+        # No boundary row means the cut falls before the first row (ceil(...) = 0).
+        return F.when(bound.isNull() | later, 1).otherwise(0)
+
+    index = reduce(lambda a, b: a + b, [past(i) for i in range(len(ends))])
+    return df.join(bounds, cond, "left").select(*[F.col(f"`{c}`") for c in df.columns], index.cast("int").alias(out))
 
 
 def qcut_sql(rank_expr: str, n_expr: str, q: int = 5) -> str:
@@ -296,5 +259,5 @@ def qcut_sql(rank_expr: str, n_expr: str, q: int = 5) -> str:
     return f"greatest(1, ({q} * ({rank_expr} - 1) + {n_expr} - 2) // ({n_expr} - 1))"
 
 
-__all__ = ["single_task_rows", "is_bounded", "freeze_sorted", "global_rank", "ranked", "running_totals",
-           "exact_quantiles", "approx_quantiles", "quantile_values", "rank_bucket", "rank_buckets", "hash_buckets", "qcut_sql"]
+__all__ = ["freeze_sorted", "global_rank", "ranked", "running_totals", "exact_quantiles", "approx_quantiles",
+           "quantile_values", "rank_bucket", "rank_buckets", "with_slices", "qcut_sql"]

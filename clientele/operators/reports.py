@@ -278,6 +278,7 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     min/max are one tiny aggregate; the binning is a projection + group-by and
     every bin 1..bins is present (count 0 when empty).
     """
+    df = df.where(~F.isnan(F.col(col).cast("double")))  # NaN is missing
     row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
     lo, hi = row["lo"], row["hi"]
     spark = df.sparkSession
@@ -307,9 +308,11 @@ def safe_corr(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(xs, ys), F.stddev_pop(xs) * F.stddev_pop(ys))
 
 
-def correlation_columns(df: DataFrame, limit: int = 15) -> list[str]:
-    cols = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.LongType, T.DoubleType))]
-    if len(cols) > limit:
+def correlation_columns(df: DataFrame, limit: int | None = None) -> list[str]:
+    """All integer and double columns; with ``limit`` (15 in the reference's chart) the first so many
+    that are no proportions, if there are more."""
+    cols = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.IntegralType, T.DoubleType))]
+    if limit is not None and len(cols) > limit:
         cols = [c for c in cols if "Proportion" not in c][:limit]
     return cols
 

@@ -34,7 +34,11 @@ _CACHE: dict[tuple, DataFrame] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what)
+    """A cached table's key: the session, the folder with the state of its files, and the table's name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listStatus(path)
+    state = tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
+    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), state, what)
 
 
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -731,13 +735,12 @@ def q_target_correlation_topk(spark, d):
     return RP.round_doubles(PR.target_correlation_topk(feat(spark, d), "Response", 30, _TC_COLS), 6)
 
 
-_VIF_COLS = ["Income", "Recency", "TotalSpend", "TotalPurchases", "Age", "Customer_Tenure_Days", "Children",
-             "NumWebVisitsMonth"]
-
-
 @register("vif")
 def q_vif(spark, d):
-    return RP.round_doubles(PR.vif(feat(spark, d), _VIF_COLS), 6)
+    f = feat(spark, d)
+    top = [r["feature"] for r in PR.target_correlation_topk(f, "Response", 30).collect() if r["feature"] != "Response"]
+    missing = f.select(*[F.max(F.col(c).isNull()).alias(c) for c in top]).first()
+    return RP.round_doubles(PR.vif(CL.fill_medians(f.select(*top), [c for c in top if missing[c]]), top), 6)
 
 
 _STRAT = ("SELECT ID, Response, row_number() OVER (PARTITION BY Response ORDER BY md5(CAST(ID AS VARCHAR)), ID) AS rn, "
@@ -861,6 +864,22 @@ def q_csv_source(spark, d):
     return read_customers_csv(spark, path, sep=";", schema=CUSTOMER_SCHEMA)
 
 
+@register("customer_features_from_file", O.with_features(
+    "SELECT * REPLACE (" + ", ".join(f"round({c}, 4) AS {c}" for c in sorted(_DOUBLE_FEATURES)) + ") FROM feat"))
+def q_customer_features_from_file(spark, d):
+    """The customer table as a ';' file with its columns in another order and dates as
+    dd-MM-yyyy, then the whole chain from the file: header, types, date format, cleaning, features."""
+    from clientele.session import frozen_path
+    table = base(spark, d)
+    names = sorted(table.columns, key=lambda c: c[::-1])
+    text = table.withColumn("Dt_Customer", F.date_format("Dt_Customer", "dd-MM-yyyy")).select(*names)
+    path = frozen_path(spark, "file") + ".csv"
+    text.write.option("header", True).option("sep", ";").csv(path)
+    feats = flows.customer_features(spark, path, REF, freeze=False)
+    like = feat(spark, d)
+    return r4(feats.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in like.schema.fields]))
+
+
 @register("report_sink", SEGMENT_PROFILE_SQL)
 def q_report_sink(spark, d):
     """The segment profile report written as CSV with a header and read back."""
@@ -943,7 +962,6 @@ def q_analysis_summary(spark, d):
 @register("pr_curve", O.with_features(
     "SELECT round(CAST(threshold AS DOUBLE), 6) AS threshold, round(cum_pos / (cum_pos + cum_neg), 6) AS precision, "
     f"round(cum_pos / P, 6) AS recall FROM ({_steps_sql(_rule_sql())}) "
-    f"WHERE threshold >= (SELECT max(threshold) FROM ({_steps_sql(_rule_sql())}) WHERE cum_pos = P) "
     "UNION ALL SELECT 'Infinity'::DOUBLE, 1.0, 0.0"))
 def q_pr_curve(spark, d):
     return RP.round_doubles(MT.pr_curve(scored_rule(feat(spark, d))), 6)

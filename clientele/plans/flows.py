@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clientele.operators import cleaning, features
+from clientele.operators import cleaning, features, quality
 from clientele.session import freeze
+from clientele.sources.csv import CUSTOMER_SCHEMA, read_customers_csv
 from clientele.sources.customer_base import DEFAULT_REFERENCE_DATE, customer_base
 
 
@@ -14,8 +15,22 @@ def materialize(df: DataFrame) -> DataFrame:
     return freeze(df)
 
 
+FILE_ENDINGS = (".csv", ".txt", ".tsv")
+
+
 def base_table(spark: SparkSession, sf_dir: str, reference_date: str = DEFAULT_REFERENCE_DATE) -> DataFrame:
-    """The customer table, built once from the star schema and frozen (every later step re-reads it)."""
+    """The customer table, frozen (every later step re-reads it): read from a delimited file (or a folder of
+    them) whose name ends in one of FILE_ENDINGS, else built from the star schema in the folder.
+
+    A file's columns go by its header, its delimiter is detected if ';' does not split the header, rows
+    that do not fit the schema are left out (``sources.csv.bad_rows`` counts them) and missing required
+    columns raise an error."""
+    if sf_dir.rstrip("/").lower().endswith(FILE_ENDINGS):
+        rows = read_customers_csv(spark, sf_dir, schema=CUSTOMER_SCHEMA)
+        missing = [r["column"] for r in quality.missing_required(rows).collect()]
+        if missing:
+            raise ValueError(f"required columns are missing: {missing}")
+        return materialize(cleaning.normalize_types(rows))
     return materialize(customer_base(spark, sf_dir, reference_date))
 
 
@@ -85,7 +100,9 @@ def run_analysis(spark: SparkSession, sf_dir: str, reference_date: str = DEFAULT
         train = PR.with_class_weights(train, rule["weights"])
         weight = "weight"
     importance = step("select", lambda: ML.rf_importance(train, spec, num_trees, weight))
-    selected = ML.select_features(importance) or spec.columns
+    selected = ML.select_features(importance)
+    if not selected:  # one feature alone is above the limit
+        selected = [importance.orderBy(F.desc("importance"), "feature").first()["feature"]]
     spec_sel = spec.restrict(selected)
     candidates = {
         "RandomForest": ML.random_forest(num_trees, weight_col=weight),

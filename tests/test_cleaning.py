@@ -93,10 +93,27 @@ def test_drop_duplicates_by_key_matches_full(spark):
     assert CL.drop_duplicate_rows(clean) is clean  # no repeated key: table returned as is
 
 
-def test_group_median_join_path(spark, monkeypatch):
+def test_group_medians_keep_halves(spark):
     df = spark.createDataFrame([(1, "a", 1.0), (2, "a", 3.0), (3, "a", None), (4, None, None), (5, "b", None)],
                                "ID long, Education string, Income double")
-    lit = {r.ID: r.Income for r in CL.impute_group_median(df).collect()}
-    monkeypatch.setattr(CL, "MAX_LITERAL_GROUPS", 0)
-    joined = {r.ID: r.Income for r in CL.impute_group_median(df).collect()}
-    assert lit == joined and joined[3] == 2.0 and joined[4] is None
+    got = {r.ID: r.Income for r in CL.impute_group_median(df).collect()}
+    assert got[3] == 2.0 and got[4] is None and got[5] is None
+    whole = spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, "a", None)], "ID long, Education string, Income int")
+    assert {r.ID: r.Income for r in CL.impute_group_median(whole).collect()} == {1: 1.0, 2: 2.0, 3: 1.5}
+
+
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1, 1.0), (2, nan), (3, 3.0), (4, None)], "ID long, Income double")
+    assert {r.ID: r.Income for r in CL.impute_median(df, "Income").collect()} == {1: 1.0, 2: 2.0, 3: 3.0, 4: 2.0}
+
+
+def test_date_format_is_inferred_from_the_first_value(spark):
+    df = spark.createDataFrame([(1, "04-09-2012"), (2, "21-08-2013"), (3, "bad"), (4, None)], "ID long, Dt_Customer string").coalesce(1)
+    got = {r.ID: r.Dt_Customer for r in CL.parse_dates(df).collect()}
+    assert str(got[1]) == "2012-09-04 00:00:00" and str(got[2]) == "2013-08-21 00:00:00" and got[3] is None and got[4] is None
+
+
+def test_integers_become_bigint(spark):
+    df = spark.createDataFrame([(1, 2, 1.5)], "a int, b smallint, c float")
+    assert dict(CL.normalize_types(df).dtypes) == {"a": "bigint", "b": "bigint", "c": "double"}

@@ -7,15 +7,6 @@ from pyspark.sql import functions as F
 from clientele.operators import ranking as RK
 
 
-@pytest.fixture(params=["bounded", "distributed"], autouse=True)
-def plan(request, spark):
-    """Run every test under both plans: plain windows, and the sort/freeze/offsets plan."""
-    if request.param == "distributed":
-        spark.conf.set("spark.clientele.singleTaskRows", "0")
-    yield request.param
-    spark.conf.unset("spark.clientele.singleTaskRows")
-
-
 @pytest.mark.parametrize("n", [5, 7, 8, 9, 12, 13, 14, 101, 2240])
 def test_rank_bucket_matches_qcut(spark, n):
     rng = np.random.default_rng(n)
@@ -70,15 +61,40 @@ def test_running_totals(spark):
     assert out["cum"].tolist() == (out["o"] % 3).cumsum().tolist()
 
 
-def test_hash_buckets_balanced(spark):
+def test_slices_balanced(spark):
     df = spark.range(0, 103).select(F.col("id"), (F.col("id") % 2).alias("y"), F.md5(F.col("id").cast("string")).alias("h"))
-    out = df.select("y", RK.hash_buckets(df, "h", "id", ["y"], [(i, 5) for i in range(1, 5)]).alias("f"))
+    out = RK.with_slices(df, "h", "id", ["y"], [(i, 5) for i in range(1, 5)], "f")
+    assert out.columns == ["id", "y", "h", "f"]
     counts = out.groupBy("y", "f").count().toPandas()
     for _, g in counts.groupby("y"):
         assert g["count"].max() - g["count"].min() <= 1
         assert sorted(g["f"]) == [0, 1, 2, 3, 4]
 
 
+def test_slices_of_many_groups_with_null_keys(spark):
+    """More groups than any fetch would hold, NULL groups, NULL ties: every row gets its slice."""
+    rows = [(None if g == 7 else g, f"h{k}", None if k == 0 else k) for g in range(1200) for k in range(3)]
+    df = spark.createDataFrame(rows, "g long, h string, id long")
+    got = RK.with_slices(df, "h", "id", ["g"], [(1, 3), (2, 3)], "s").collect()
+    assert len(got) == 3600 and all(r.s == int(r.h[1:]) for r in got)
+
+
+def test_quantiles_skip_nan_and_null(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "x double")
+    assert RK.quantile_values(df, "x", [0.5]) == [2.0]
+    sparse = spark.range(1000).select(F.when(F.col("id") < 3, F.col("id").cast("double")).alias("x"))
+    assert RK.quantile_values(sparse, "x", [0.0, 0.5, 1.0]) == [0.0, 1.0, 2.0]
+    assert RK.quantile_values(df.where(F.lit(False)), "x", [0.5]) == [None]
+
+
+def test_buckets_with_null_and_duplicate_ids(spark):
+    """A NULL tie key sorts first; rows that share an ID are told apart by their other columns."""
+    rows = [(None if k == 4 else 1 if k < 6 else k, 5.0, k) for k in range(10)]
+    df = spark.createDataFrame(rows, "id long, v double, other long")
+    got = [r[0] for r in df.select(RK.rank_bucket(df, "v", "id")).collect()]
+    assert sorted(got) == [1, 1, 2, 2, 3, 3, 4, 4, 5, 5]
+
+
 def test_rank_buckets_match_single(spark):
     rng = np.random.default_rng(11)
     pdf = pd.DataFrame({"id": np.arange(57), "a": rng.integers(0, 9, 57).astype(float), "b": rng.integers(0, 4, 57)})
@@ -96,51 +112,21 @@ def test_hot_value_is_split_across_partitions(spark):
     df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise(F.col("id").cast("double")).alias("x"))
     q = RK.quantile_values(df, "x", [0.5])[0]
     assert q == float(np.quantile(np.where(np.arange(3000) % 3 == 0, 5.0, np.arange(3000.0)), 0.5))
-    if spark.conf.get("spark.clientele.singleTaskRows", None) == "0":
-        # Small data would be coalesced into one partition by AQE; look at the raw range split.
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-        try:
-            src = df.select("x", F.monotonically_increasing_id().alias("_tie"))
-            tagged = RK.freeze_sorted(src, ["x", "_tie"])
-            parts = tagged.groupBy(F.shiftright("_mid", 33).alias("p")).count().collect()
-        finally:
-            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        assert len(parts) > 4 and max(r["count"] for r in parts) < 1000
-
-
-def test_grouped_ranks_with_a_hot_group(spark, plan):
-    """Ranks within groups where one group holds a third of the rows; on the distributed plan the
-    only joins are broadcasts (no shuffle join that could put the hot group in one task)."""
+    # Equal values are one row of the sorted table.
+    src = df.groupBy(F.col("x").alias("_x")).count()
+    assert src.where("_x = 5.0").first()["count"] == 1001
+
+
+def test_grouped_ranks_with_a_hot_group(spark):
+    """Ranks within groups where one group holds a third of the rows and NULL is a group."""
     df = spark.range(0, 900).select(F.col("id"), F.when(F.col("id") % 3 == 0, F.lit("hot"))
                                     .when(F.col("id") % 10 == 1, F.lit(None))
                                     .otherwise((F.col("id") % 7).cast("string")).alias("g"))
     r = RK.ranked(df, ["id"], ["g"])
     got = r.toPandas().sort_values("id")
     pdf = df.toPandas().sort_values("id")
-    # NULL keys are one group on both plans (pandas: dropna=False).
+    # NULL keys are one group (pandas: dropna=False).
     assert got["_rank"].tolist() == pdf.groupby("g", dropna=False).cumcount().add(1).tolist()
     assert got["_n"].tolist() == pdf.groupby("g", dropna=False)["id"].transform("size").tolist()
-    if plan == "distributed":
-        for frame in (r, RK.ranked(df, ["id"])):
-            text = frame._jdf.queryExecution().executedPlan().toString()
-            assert "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
-        whole = RK.ranked(df, ["id"]).orderBy("id").collect()
-        assert [x._rank for x in whole] == list(range(1, 901)) and {x._n for x in whole} == {900}
-
-
-def test_row_bound_skips_the_count_but_not_the_answer(spark, plan):
-    """A proven row bound picks the window plan without a count; a bound above the single-task
-    limit (the forced distributed plan here) falls back to counting.  Same quantiles either way."""
-    rng = np.random.default_rng(5)
-    pdf = pd.DataFrame({"g": rng.choice(["a", "b"], 301), "x": rng.normal(size=301)})
-    pdf.loc[::11, "x"] = None
-    df = spark.createDataFrame(pdf)
-    plain = RK.exact_quantiles(df, "x", [0.25, 0.5], by=["g"]).orderBy("g").collect()
-    bound = RK.exact_quantiles(df, "x", [0.25, 0.5], by=["g"], max_rows=301).orderBy("g").collect()
-    assert plain == bound
-    assert RK.quantile_values(df, "x", [0.5], max_rows=301) == [float(pdf["x"].median())]
-    if plan == "distributed":
-        # 301 > singleTaskRows = 0, so the sort/freeze plan ran: ranks come from partition offsets.
-        r = RK.ranked(df.select("x", "g").where(F.col("x").isNotNull()), ["x"], max_rows=301)
-        text = r._jdf.queryExecution().executedPlan().toString()
-        assert "_off" in text and "row_number" not in text
+    whole = RK.ranked(df, ["id"]).orderBy("id").collect()
+    assert [x._rank for x in whole] == list(range(1, 901)) and {x._n for x in whole} == {900}

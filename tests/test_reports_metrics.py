@@ -91,6 +91,34 @@ def test_vif_no_intercept(spark):
         assert abs(got[name] - 1 / (1 - r2)) < 1e-6 * got[name]
 
 
+def test_vif_of_dependent_columns_is_infinite(spark):
+    rng = np.random.default_rng(2)
+    a, c = rng.normal(size=300), rng.normal(size=300)
+    df = spark.createDataFrame(pd.DataFrame({"a": a, "a2": a, "a3": 1e6 * a, "c": c, "z": 0.0 * a}))
+    got = {r.feature: (r.VIF, r.high) for r in PR.vif(df, ["a", "a2", "a3", "c", "z"]).collect()}
+    assert all(got[k] == (float("inf"), True) for k in ("a", "a2", "a3", "z"))
+    assert 1.0 <= got["c"][0] < 1.1 and not got["c"][1]
+
+
+def test_pr_curve_has_every_threshold(spark):
+    df = spark.createDataFrame([(1, 0.9), (0, 0.8), (1, 0.7), (0, 0.4), (0, 0.1)], "label int, score double")
+    got = {r.threshold: (r.precision, r.recall) for r in MT.pr_curve(df).collect()}
+    assert got == {float("inf"): (1.0, 0.0), 0.9: (1.0, 0.5), 0.8: (0.5, 0.5), 0.7: (2 / 3, 1.0), 0.4: (0.5, 1.0), 0.1: (0.4, 1.0)}
+
+
+def test_nan_counts_as_missing_and_stays_out_of_histograms(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "x double")
+    assert QA.missing_profile(df).first()["missing"] == 2
+    bins = RP.histogram(df, "x", 2).collect()
+    assert [(b["lower"], b["count"]) for b in bins] == [(1.0, 1), (2.0, 1)]
+    assert QA.iqr_outliers(df, ["x"]).first()["outliers"] == 0
+
+
+def test_correlation_columns_take_all_integers(spark):
+    df = spark.createDataFrame([(1, 2, 3.0, "a")], "i int, l long, d double, s string")
+    assert RP.correlation_columns(df) == ["i", "l", "d"] and RP.correlation_columns(df, 2) == ["i", "l"]
+
+
 def test_yeo_johnson_fit_improves_likelihood(spark):
     rng = np.random.default_rng(1)
     df = spark.createDataFrame(pd.DataFrame({"x": rng.lognormal(size=500)}))

@@ -71,3 +71,16 @@ def test_required_columns_and_types(spark):
     assert [r.column for r in QA.missing_required(df).collect()] == ["Income", "Dt_Customer"]
     assert [r.column for r in QA.missing_required(df, QA.REQUIRED_APP).collect()] == ["Income"]
     assert not QA.type_check(df, "Year_Birth")
+
+
+def test_csv_columns_go_by_name_and_bad_rows_are_counted(spark, tmp_path):
+    from clientele.sources.csv import CUSTOMER_SCHEMA, bad_rows, read_customers_csv
+    names = [f.name for f in CUSTOMER_SCHEMA.fields][::-1] + ["Extra"]
+    line = lambda **own: ";".join(str(own.get(n, 0)) for n in names)
+    lines = [";".join(names), line(ID=1, AcceptedCmp1=1, Education="PhD", Extra="e"), line(ID=2, AcceptedCmp3=1), "1;2;3", line(ID="x")]
+    path = tmp_path / "customers.csv"
+    path.write_text("\n".join(lines) + "\n")
+    got = {r.ID: r for r in read_customers_csv(spark, str(path), schema=CUSTOMER_SCHEMA).collect()}
+    assert set(got) == {1, 2} and got[1].Education == "PhD" and got[1].Extra == "e"
+    assert (got[1].AcceptedCmp1, got[1].AcceptedCmp3, got[2].AcceptedCmp1, got[2].AcceptedCmp3) == (1, 0, 0, 1)
+    assert bad_rows(spark, str(path)).first()[0] == 2
