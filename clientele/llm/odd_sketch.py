@@ -9,8 +9,8 @@ whose estimate is far below the threshold are left out, the others confirmed on
 No bucket's pairs are all emitted.  Equal sets are one class from the start.  First each class is
 compared with the best (by sketch) of the smallest members of its buckets, and links make components.
 Then, within buckets that still hold several components, members outside the bucket's largest
-component are compared with members of other components: first their three best, then, components
-renewed, all that the sketches allow.  So any link between two components is found.  Large buckets
+component are compared with members of other components by finer bitmaps (the parity of the whole set
+in FINE bits): first their three best, then, components renewed, all that the bitmaps allow.  So any link between two components is found.  Large buckets
 are cut into blocks, in each of which the members of the largest component stand once.
 
 Misses: two documents at the threshold share no band with probability (1 - 0.75**4)**32 = 5e-6 and fall
@@ -41,6 +41,9 @@ BAND = 4
 SKETCH = 512
 #: Estimates this far below the threshold rule a pair out (five standard deviations).
 MARGIN = 0.2
+#: Bits of the parity bitmap of a whole set, whose estimates err by less than 0.01, and their margin.
+FINE = 8192
+FINE_MARGIN = 0.05
 #: Members of a bucket's largest component that are compared in one block.
 BLOCK = 4096
 BEST = 3
@@ -152,23 +155,40 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "_sa", "_sb").mapInArrow(run, "a long, b long")
 
 
+def _folded(sets: DataFrame) -> DataFrame:
+    """The odd sketch of each whole set, with its size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = [np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in batch.column(1)]
+            bits = [np.packbits((np.bincount((mix64(s) % np.uint64(FINE)).astype(np.int64), minlength=FINE) & 1).astype(np.uint8)).tobytes()
+                    for s in whole]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in whole], pa.int32()), pa.array(bits, pa.binary())],
+                                             names=["_v", "_size", "_fine"])
+
+    return sets.mapInArrow(run, "_v long, _size int, _fine binary").dropDuplicates(["_v"])
+
+
 def _between(members: DataFrame, partitions: int, least: float, best: int | None) -> DataFrame:
-    """Pairs (a < b) of different components within a bucket's block whose sketches allow a link; ``best``: only
+    """Pairs (a < b) of different components within a bucket's block whose bitmaps allow a link; ``best``: only
     the best few for each member outside the largest component."""
-    words = SKETCH // 64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, 2):
-            v, comp, other = (group.column(k).to_numpy(zero_copy_only=False) for k in (2, 3, 4))
-            sketch = group.column(5).flatten().to_numpy().view(np.uint64).reshape(len(v), words)
+            v, comp, other, size = (group.column(k).to_numpy(zero_copy_only=False) for k in (2, 3, 4, 5))
+            fine = np.frombuffer(b"".join(group.column(6).to_pylist()), dtype=np.uint64).reshape(len(v), -1)
             first = group.column(1)[0].as_py() == 0
             out_a, out_b = [], []
             for i in np.flatnonzero(other).tolist():
                 apart = np.flatnonzero((comp != comp[i]) & (~other | first))
+                # sizes alone rule out most of a mixed bucket
+                apart = apart[np.minimum(size[apart], size[i]) >= least * np.maximum(size[apart], size[i])]
                 if not len(apart):
                     continue
-                differ = np.bitwise_count(sketch[apart] ^ sketch[i]).sum(axis=1, dtype=np.int64)
-                est = 1 + np.log(np.maximum(1e-9, 1 - 2 * differ / SKETCH)) * (SKETCH / 4 / MINHASHES)
+                odd = np.bitwise_count(fine[apart] ^ fine[i]).sum(axis=1, dtype=np.int64)
+                differ = np.log(np.maximum(1e-9, 1 - 2 * odd / FINE)) * (-FINE / 2)
+                total = size[apart] + size[i]
+                est = (total - differ) / (total + differ)
                 good = np.flatnonzero(est >= least)
                 if best is not None and len(good) > best:
                     good = good[np.argpartition(-est[good], best - 1)[:best]]
@@ -179,7 +199,7 @@ def _between(members: DataFrame, partitions: int, least: float, best: int | None
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
 
     return (members.repartition(partitions, "_band", "_block").sortWithinPartitions("_band", "_block")
-            .select("_band", "_block", "_v", "_c", "_other", "_sketch").mapInArrow(run, "a long, b long").distinct())
+            .select("_band", "_block", "_v", "_c", "_other", "_size", "_fine").mapInArrow(run, "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75) -> DataFrame:
@@ -215,6 +235,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star = star.groupBy("_v").agg(F.max_by("_a", "_est").alias("_a")).select(F.col("_a").alias("a"), F.col("_v").alias("b"))
     links = freeze(_confirm(star, sets, percent).distinct())
     labels = smallest_reachable(links)
+    fine = freeze(_folded(sets))
     for best in (BEST, None):
         named = (member.select("_band", "_v", "_k").join(labels.select(F.col("v").alias("_v"), F.col("c").alias("_c")), "_v", "left")
                  .withColumn("_c", F.coalesce("_c", "_v")))
@@ -224,8 +245,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         placed = named.drop("_k").join(mixed, "_band").withColumn("_other", F.col("_c") != F.col("_main"))
         block = F.when(F.col("_other"), F.sequence(F.lit(0), F.col("_blocks") - 1)).otherwise(
             F.array(F.pmod(F.xxhash64("_v"), F.col("_blocks")).cast("int")))
-        placed = placed.select("_band", "_v", "_c", "_other", F.explode(block).alias("_block")).join(sketches, "_v")
-        pairs = freeze(_between(placed, shuffle_partitions(spark), least, best))
+        placed = placed.select("_band", "_v", "_c", "_other", F.explode(block).alias("_block")).join(fine, "_v")
+        pairs = freeze(_between(placed, shuffle_partitions(spark), percent / 100 - FINE_MARGIN, best))
         found = _confirm(pairs, sets, percent)
         more = freeze(links.unionByName(found).distinct())
         if more.count() == links.count():
