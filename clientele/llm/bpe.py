@@ -30,11 +30,11 @@ from pyspark.sql import types as T
 from clientele.llm.common import mix64
 
 #: Chunks kept in each of the two generations of a worker's cache.
-CACHE = 300_000
+CACHE = 80_000
 #: Bytes of words of one length that are read together.
 GROUP_BYTES = 1 << 20
 #: Bits of the table of pair tests.
-FIT_BITS = 20
+FIT_BITS = 19
 
 _LOADED: dict[str, Tokenizer] = {}
 _ODD_SPACE = re.compile(r"[\x1c-\x1f]")
@@ -358,8 +358,8 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(tokenizer_path)
         for whole in batches:
-            for lo in range(0, whole.num_rows, 1000):
-                batch = whole.slice(lo, 1000)
+            for lo in range(0, whole.num_rows, 500):
+                batch = whole.slice(lo, 500)
                 texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
                 got = tok.encode_batch([t or "" for t in texts])
                 offsets = np.zeros(len(got) + 1, dtype=np.int32)
