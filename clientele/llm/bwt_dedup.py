@@ -39,6 +39,9 @@ GRAM = 16
 STEP = 50
 #: Distinct runs of one gram above which its strings are counted over the cluster.
 HOT = 4096
+#: Runs that stand more often (and more than once in a thousand members, so at most a thousand of
+#: them) are marked by a broadcast of their keys, not by a shuffle that brings their members together.
+OFTEN = 50_000
 #: Suffixes merged at a time.
 MERGE = 1 << 20
 
@@ -223,7 +226,10 @@ def _marks(docs: DataFrame, partitions: int) -> tuple[DataFrame, list[DataFrame]
     # a run that stands twice is repeated as a whole; of the others what was found within
     decided = (runs.select("h", "r", "n").join(looked_into, ["h", "r"], "left").filter("n > 1 OR ranges IS NOT NULL")
                .select("h", "r", F.when(F.col("n") == 1, F.col("ranges")).alias("ranges")))
-    marks = (members.join(decided, ["h", "r"]).groupBy("_row").agg(F.collect_set(F.struct("j", "ranges")).alias("marks")))
+    often = F.broadcast(runs.filter(F.col("n") > max(OFTEN, members.count() // 1000)).select("h", "r"))
+    whole = members.join(often, ["h", "r"]).select("_row", "j", F.lit(None).cast("binary").alias("ranges"))
+    others = members.join(often, ["h", "r"], "left_anti").join(decided, ["h", "r"]).select("_row", "j", "ranges")
+    marks = whole.unionByName(others).groupBy("_row").agg(F.collect_set(F.struct("j", "ranges")).alias("marks"))
     marks = freeze(marks)
     release(members, runs, looked_into)
     return marks, [marks]
