@@ -268,7 +268,7 @@ def deduplicate(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] =
     """Rows with ``n_bytes``, ``kept`` (the remaining bytes) and ``spans`` (removed stretches of bytes, end exclusive), and the
     columns named in ``keep``."""
     names = [n for n in keep if n not in ("n_bytes", "kept", "spans")]
-    key = row_key(docs, *names, text_col)
+    key = row_key(docs, *names[:1], text_col)  # the result depends on the text; one more column spreads equal texts
     carried = F.struct(F.lit(0), *[F.col(f"`{n}`") for n in names])  # one column, so that no name clashes
     source = docs.select(carried.alias("_doc"), key.alias("_row"), F.col(text_col).alias("_text"))
     marks, _ = _marks(source.select("_row", "_text"), shuffle_partitions(docs.sparkSession))
