@@ -177,7 +177,8 @@ def _between(members: DataFrame, partitions: int, least: float, best: int | None
         for group in groups(batches, 2):
             v, comp, other, size = (group.column(k).to_numpy(zero_copy_only=False) for k in (2, 3, 4, 5))
             fine = np.frombuffer(b"".join(group.column(6).to_pylist()), dtype=np.uint64).reshape(len(v), -1)
-            first = group.column(1)[0].as_py() == 0
+            bands = group.column(7).flatten().to_numpy().reshape(len(v), -1)
+            here, first = group.column(0)[0].as_py(), group.column(1)[0].as_py() == 0
             out_a, out_b = [], []
             for i in np.flatnonzero(other).tolist():
                 apart = np.flatnonzero((comp != comp[i]) & (~other | first))
@@ -190,6 +191,9 @@ def _between(members: DataFrame, partitions: int, least: float, best: int | None
                 total = size[apart] + size[i]
                 est = (total - differ) / (total + differ)
                 good = np.flatnonzero(est >= least)
+                # two members meet in each band they share: the first one gives the pair
+                shared = bands[apart[good]] == bands[i]
+                good = good[bands[i][shared.argmax(axis=1)] == here]
                 if best is not None and len(good) > best:
                     good = good[np.argpartition(-est[good], best - 1)[:best]]
                 hit = v[apart[good]]
@@ -199,7 +203,7 @@ def _between(members: DataFrame, partitions: int, least: float, best: int | None
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
 
     return (members.repartition(partitions, "_band", "_block").sortWithinPartitions("_band", "_block")
-            .select("_band", "_block", "_v", "_c", "_other", "_size", "_fine").mapInArrow(run, "a long, b long").distinct())
+            .select("_band", "_block", "_v", "_c", "_other", "_size", "_fine", "_bands").mapInArrow(run, "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75) -> DataFrame:
@@ -246,6 +250,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         block = F.when(F.col("_other"), F.sequence(F.lit(0), F.col("_blocks") - 1)).otherwise(
             F.array(F.pmod(F.xxhash64("_v"), F.col("_blocks")).cast("int")))
         placed = placed.select("_band", "_v", "_c", "_other", F.explode(block).alias("_block")).join(fine, "_v")
+        placed = placed.join(classes.select("_v", "_bands"), "_v")
         pairs = freeze(_between(placed, shuffle_partitions(spark), percent / 100 - FINE_MARGIN, best))
         found = _confirm(pairs, sets, percent)
         more = freeze(links.unionByName(found).distinct())
