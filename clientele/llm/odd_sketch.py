@@ -9,8 +9,8 @@ whose estimate is far below the threshold are left out, the others confirmed on
 No bucket's pairs are all emitted.  Equal sets are one class from the start.  First each class is
 compared with the best (by sketch) of the smallest members of its buckets, and links make components.
 Then, within buckets that still hold several components, members outside the bucket's largest
-component are compared with members of other components by finer bitmaps (the parity of the whole set
-in FINE bits): first their three best, then, components renewed, all that the bitmaps allow.  So any link between two components is found.  Large buckets
+component are compared with members of other components by finer bitmaps (the parity in FINE bits of the
+whole set or, above WHOLE shingles, of those in a part of the hash range, the same for both): first their three best, then, components renewed, all that the bitmaps allow.  So any link between two components is found.  Large buckets
 are cut into blocks, in each of which the members of the largest component stand once.
 
 Misses: two documents at the threshold share no band with probability (1 - 0.75**4)**32 = 5e-6 and fall
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,9 +42,12 @@ BAND = 4
 SKETCH = 512
 #: Estimates this far below the threshold rule a pair out (five standard deviations).
 MARGIN = 0.2
-#: Bits of the parity bitmap of a whole set, whose estimates err by less than 0.01, and their margin.
+#: Bits of the finer parity bitmaps, and the margin of their estimates (over six standard deviations).
 FINE = 8192
 FINE_MARGIN = 0.05
+#: Sets up to this size are folded whole; of larger ones a half, a quarter, ... of the hash range, so that
+#: their bitmaps are never near saturation.
+WHOLE = 2 * FINE
 #: Members of a bucket's largest component that are compared in one block.
 BLOCK = 4096
 BEST = 3
@@ -155,18 +159,30 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "_sa", "_sb").mapInArrow(run, "a long, b long")
 
 
-def _folded(sets: DataFrame) -> DataFrame:
-    """The odd sketch of each whole set, with its size."""
+def _level(size: np.ndarray) -> np.ndarray:
+    """How often the hash range is halved for a set of this size."""
+    return np.maximum(0, np.ceil(np.log2(np.maximum(1, size) / WHOLE))).astype(np.int64)
+
+
+def _folded(sets: DataFrame, least: float) -> DataFrame:
+    """Each set's size and odd sketches, with the number of shingles in each: from its own level to that of the
+    largest set whose similarity with it can be ``least``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            whole = [np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in batch.column(1)]
-            bits = [np.packbits((np.bincount((mix64(s) % np.uint64(FINE)).astype(np.int64), minlength=FINE) & 1).astype(np.uint8)).tobytes()
-                    for s in whole]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in whole], pa.int32()), pa.array(bits, pa.binary())],
-                                             names=["_v", "_size", "_fine"])
+            sizes, counts, bits = [], [], []
+            for s in batch.column(1):
+                mixed = mix64(np.frombuffer(s.as_buffer(), dtype=np.uint64))
+                low, top = _level(np.array([len(mixed), len(mixed) / least + 1]))
+                parts = [mixed[mixed >> np.uint64(64 - k) == 0] if k else mixed for k in range(low, top + 1)]
+                sizes.append(len(mixed))
+                counts.append([len(part) for part in parts])
+                bits.append(b"".join(np.packbits((np.bincount((part % np.uint64(FINE)).astype(np.int64), minlength=FINE) & 1).astype(np.uint8)).tobytes()
+                                     for part in parts))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(counts, pa.list_(pa.int32())), pa.array(bits, pa.binary())],
+                                             names=["_v", "_size", "_counts", "_fine"])
 
-    return sets.mapInArrow(run, "_v long, _size int, _fine binary").dropDuplicates(["_v"])
+    return sets.mapInArrow(run, "_v long, _size int, _counts array<int>, _fine binary").dropDuplicates(["_v"])
 
 
 def _between(members: DataFrame, partitions: int, least: float, best: int | None) -> DataFrame:
@@ -176,7 +192,10 @@ def _between(members: DataFrame, partitions: int, least: float, best: int | None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, 2):
             v, comp, other, size = (group.column(k).to_numpy(zero_copy_only=False) for k in (2, 3, 4, 5))
-            fine = np.frombuffer(b"".join(group.column(6).to_pylist()), dtype=np.uint64).reshape(len(v), -1)
+            fine = np.frombuffer(b"".join(group.column(6).to_pylist()), dtype=np.uint64).reshape(-1, FINE // 64)
+            counts, level = group.column(8).flatten().to_numpy(), _level(size)
+            # where the sketch of each member's level 0 would stand
+            zero = np.cumsum([0, *pc.list_value_length(group.column(8)).to_pylist()])[:-1] - level
             bands = group.column(7).flatten().to_numpy().reshape(len(v), -1)
             here, first = group.column(0)[0].as_py(), group.column(1)[0].as_py() == 0
             out_a, out_b = [], []
@@ -186,9 +205,12 @@ def _between(members: DataFrame, partitions: int, least: float, best: int | None
                 apart = apart[np.minimum(size[apart], size[i]) >= least * np.maximum(size[apart], size[i])]
                 if not len(apart):
                     continue
-                odd = np.bitwise_count(fine[apart] ^ fine[i]).sum(axis=1, dtype=np.int64)
+                at = np.maximum(level[apart], level[i])
+                theirs, own = zero[apart] + at, zero[i] + at
+                mine = fine[own] if (at > level[i]).any() else fine[own[0]]
+                odd = np.bitwise_count(fine[theirs] ^ mine).sum(axis=1, dtype=np.int64)
                 differ = np.log(np.maximum(1e-9, 1 - 2 * odd / FINE)) * (-FINE / 2)
-                total = size[apart] + size[i]
+                total = counts[theirs] + counts[own]
                 est = (total - differ) / (total + differ)
                 good = np.flatnonzero(est >= least)
                 # two members meet in each band they share: the first one gives the pair
@@ -203,7 +225,7 @@ def _between(members: DataFrame, partitions: int, least: float, best: int | None
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
 
     return (members.repartition(partitions, "_band", "_block").sortWithinPartitions("_band", "_block")
-            .select("_band", "_block", "_v", "_c", "_other", "_size", "_fine", "_bands").mapInArrow(run, "a long, b long").distinct())
+            .select("_band", "_block", "_v", "_c", "_other", "_size", "_fine", "_bands", "_counts").mapInArrow(run, "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75) -> DataFrame:
@@ -239,7 +261,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star = star.groupBy("_v").agg(F.max_by("_a", "_est").alias("_a")).select(F.col("_a").alias("a"), F.col("_v").alias("b"))
     links = freeze(_confirm(star, sets, percent).distinct())
     labels = smallest_reachable(links)
-    fine = freeze(_folded(sets))
+    fine = freeze(_folded(sets, percent / 100 - FINE_MARGIN))
     for best in (BEST, None):
         named = (member.select("_band", "_v", "_k").join(labels.select(F.col("v").alias("_v"), F.col("c").alias("_c")), "_v", "left")
                  .withColumn("_c", F.coalesce("_c", "_v")))

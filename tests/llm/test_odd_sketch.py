@@ -74,3 +74,21 @@ def test_estimates_follow_similarity(spark):
     df = spark.createDataFrame(rows_, "share double, a array<long>, b array<long>")
     for share, est in df.select("share", odd_sketch.estimate(df.a, df.b)).collect():
         assert share == 0 or abs(est - share) < 0.15
+
+
+def test_links_of_long_texts(spark):
+    """Pairs of 100,000 shingles at similarity 0.76 to 0.9 that only the finer bitmaps can bring together: the
+    smallest members of their buckets are copies below the threshold."""
+    rng = np.random.default_rng(5)
+    n, docs, want = 100_000, [], {}
+    for t, similar in enumerate((0.76, 0.78, 0.8, 0.85, 0.9)):
+        base = rng.integers(0, 1 << 40, n)
+        share = (2 * similar / (1 + similar)) ** 0.5
+        for k in range(10):
+            keep = share if k >= 8 else 2 * 0.7 / 1.7 / share
+            own = np.where(rng.random(n) < keep, base, rng.integers(1 << 40, 1 << 41, n))
+            docs.append((100 * t + k, " ".join(map(hex, own))))
+            want[100 * t + k] = 100 * t + min(k, 8)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
+    got = {r["doc_id"]: r["component_id"] for r in odd_sketch.near_duplicates(df, size=1).collect()}
+    assert got == want
