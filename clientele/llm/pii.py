@@ -124,11 +124,13 @@ def detect(docs: DataFrame, text_col: str = "text") -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     docs = docs.withColumn("_text", text)
     text = F.col("_text")
-    numbers = text.rlike("[0-9][0-9]|[0-9]\\.[0-9]")
-    possible = {"email": F.contains(text, F.lit("@")), "ip": numbers, "card": numbers, "phone": F.contains(text, F.lit("+"))}
+    # what every match of a pattern holds
+    quads, numbers = text.rlike("[0-9] ?\\. ?[0-9]"), text.rlike("[0-9][ -]?[0-9]")
+    possible = {"email": F.contains(text, F.lit("@")), "ip": quads, "card": numbers, "phone": F.contains(text, F.lit("+"))}
     written = F.contains(text, F.lit("(at)")) | F.contains(text, F.lit("[at]"))
     docs = docs.withColumns({f"_m{k}": _matches(text, _BASE[k], possible[k]) for k in KINDS})
-    docs = docs.withColumns({f"_p{k}": _matches(text, p, written if k == "email" else numbers) for k, p in _MORE.items()})
+    proposed = {"email": written, "ip": quads, "phone": numbers}
+    docs = docs.withColumns({f"_p{k}": _matches(text, p, proposed[k]) for k, p in _MORE.items()})
 
     def passes(kind: str):
         return lambda s: _valid(kind, s["value"])

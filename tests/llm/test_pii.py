@@ -85,3 +85,16 @@ def _all(edge_rows):
 def test_main_path_is_native(spark):
     plan = pii.detect(table(spark))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_numbers_written_digit_by_digit(spark):
+    """Cards and dotted quads without two adjacent digits, in texts that hold no other number."""
+    card = "4111111111111111"
+    texts = [" ".join(card), "-".join(card), "pay " + " ".join(card) + " now", "é " + " ".join(card[:8]) + "-" + "-".join(card[8:]),
+             " ".join("4111111111111112"), "1.1.1.1", "1 . 2", "+1 2 3 4 5 6 7 8 9"]
+    check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), dict(enumerate(texts)))
+    assert sum(len(base(t)) for t in texts[:4]) == 4
+    got = pii.redact(spark.createDataFrame([(1, "pay " + " ".join(card) + " now")], "doc_id long, text string")).collect()
+    assert [r["text"] for r in got] == ["pay <CARD> now"]
+    quad = pii.detect(spark.createDataFrame([("at 1 . 2 . 3 . 4 we",)], "text string")).collect()
+    assert [(c["start"], c["end"]) for c in quad[0]["candidates"]] == [(3, 16)]
