@@ -11,7 +11,7 @@ compared with the best (by sketch) of the smallest members of its buckets, and l
 Then, within buckets that still hold several components, members outside the bucket's largest
 component are compared with members of other components by finer bitmaps (the parity in FINE bits of the
 whole set or, above WHOLE shingles, of those in a part of the hash range, the same for both): first their three best, then, components renewed, all that the bitmaps allow.  So any link between two components is found.  Large buckets
-are cut into blocks, in each of which the members of the largest component stand once.
+are cut into blocks of about BLOCK members, in and outside the largest component; a group holds two of them.
 
 Misses: two documents at the threshold share no band with probability (1 - 0.75**4)**32 = 5e-6 and fall
 below the sketch's margin with less than 1e-6.  Hashes have 64 bits, a class's key 128.
@@ -48,7 +48,7 @@ FINE_MARGIN = 0.05
 #: Sets up to this size are folded whole; of larger ones a half, a quarter, ... of the hash range, so that
 #: their bitmaps are never near saturation.
 WHOLE = 2 * FINE
-#: Members of a bucket's largest component that are compared in one block.
+#: Members of a bucket, of its largest component or outside, that make one block.
 BLOCK = 4096
 BEST = 3
 #: Ids from here on stand for classes without an id.
@@ -185,22 +185,47 @@ def _folded(sets: DataFrame, least: float) -> DataFrame:
     return sets.mapInArrow(run, "_v long, _size int, _counts array<int>, _fine binary").dropDuplicates(["_v"])
 
 
+def _blocks(members: Column) -> Column:
+    return F.greatest(F.lit(1), F.ceil(members / BLOCK)).cast("int")
+
+
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """Members with each group (``_block``) of their bucket in which they meet others, and their side of it.
+
+    A hash deals members outside the largest component into ``_p`` parts and the others into ``_q``.  Each of
+    the former meets each of the latter, and each part's pairs are made with the first of these; then the
+    parts meet one another."""
+    part = F.pmod(F.xxhash64("_v"), F.when(F.col("_other"), F.col("_p")).otherwise(F.col("_q"))).cast("int")
+    p, q, at = F.col("_p"), F.col("_q"), F.col("_at")
+    meets = lambda block, side, own: F.struct(block.cast("long").alias("_block"), side.alias("_left"), own.alias("_own"))
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    wide = p.cast("long")
+    left = F.concat(F.transform(upto(q), lambda k: meets(at * q.cast("long") + k, F.lit(True), k == 0)),
+                    F.transform(F.filter(upto(p), lambda k: k != at),
+                                lambda k: meets(wide * q + F.least(at, k) * wide + F.greatest(at, k), at < k, F.lit(False))))
+    right = F.transform(upto(p), lambda k: meets(k * q.cast("long") + at, F.lit(False), at == 0))
+    return (members.withColumn("_at", part).select("_band", "_v", "_c", F.explode(F.when(F.col("_other"), left).otherwise(right)).alias("_m"))
+            .select("_band", "_v", "_c", "_m.*"))
+
+
 def _between(members: DataFrame, partitions: int, least: float, best: int | None) -> DataFrame:
     """Pairs (a < b) of different components within a bucket's block whose bitmaps allow a link; ``best``: only
-    the best few for each member outside the largest component."""
+    the best few for each member of its left side."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, 2):
-            v, comp, other, size = (group.column(k).to_numpy(zero_copy_only=False) for k in (2, 3, 4, 5))
+            v, comp, left, size = (group.column(k).to_numpy(zero_copy_only=False) for k in (2, 3, 4, 5))
             fine = np.frombuffer(b"".join(group.column(6).to_pylist()), dtype=np.uint64).reshape(-1, FINE // 64)
             counts, level = group.column(8).flatten().to_numpy(), _level(size)
             # where the sketch of each member's level 0 would stand
             zero = np.cumsum([0, *pc.list_value_length(group.column(8)).to_pylist()])[:-1] - level
             bands = group.column(7).flatten().to_numpy().reshape(len(v), -1)
-            here, first = group.column(0)[0].as_py(), group.column(1)[0].as_py() == 0
+            here, within = group.column(0)[0].as_py(), group.column(9)[0].as_py()
+            place = np.arange(len(v))
             out_a, out_b = [], []
-            for i in np.flatnonzero(other).tolist():
-                apart = np.flatnonzero((comp != comp[i]) & (~other | first))
+            for i in np.flatnonzero(left).tolist():
+                # each pair of the left side once, but for a choice from both of its ends
+                apart = np.flatnonzero((comp != comp[i]) & (~left | (within & ((place > i) | (best is not None)))))
                 # sizes alone rule out most of a mixed bucket
                 apart = apart[np.minimum(size[apart], size[i]) >= least * np.maximum(size[apart], size[i])]
                 if not len(apart):
@@ -225,7 +250,7 @@ def _between(members: DataFrame, partitions: int, least: float, best: int | None
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
 
     return (members.repartition(partitions, "_band", "_block").sortWithinPartitions("_band", "_block")
-            .select("_band", "_block", "_v", "_c", "_other", "_size", "_fine", "_bands", "_counts").mapInArrow(run, "a long, b long").distinct())
+            .select("_band", "_block", "_v", "_c", "_left", "_size", "_fine", "_bands", "_counts", "_own").mapInArrow(run, "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75) -> DataFrame:
@@ -266,12 +291,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         named = (member.select("_band", "_v", "_k").join(labels.select(F.col("v").alias("_v"), F.col("c").alias("_c")), "_v", "left")
                  .withColumn("_c", F.coalesce("_c", "_v")))
         mixed = (named.groupBy("_band", "_c").agg(F.count("*").alias("_n"), F.max("_k").alias("_k"))
-                 .groupBy("_band").agg(F.max_by("_c", "_n").alias("_main"), F.count("*").alias("_parts"), F.max("_k").alias("_k"))
-                 .filter("_parts > 1").select("_band", "_main", F.ceil(F.col("_k") / BLOCK).cast("int").alias("_blocks")))
+                 .groupBy("_band").agg(F.max_by("_c", "_n").alias("_main"), F.max("_n").alias("_most"), F.count("*").alias("_parts"), F.max("_k").alias("_k"))
+                 .filter("_parts > 1").select("_band", "_main", _blocks(F.col("_k") - F.col("_most")).alias("_p"),
+                         _blocks(F.col("_most")).alias("_q")))
         placed = named.drop("_k").join(mixed, "_band").withColumn("_other", F.col("_c") != F.col("_main"))
-        block = F.when(F.col("_other"), F.sequence(F.lit(0), F.col("_blocks") - 1)).otherwise(
-            F.array(F.pmod(F.xxhash64("_v"), F.col("_blocks")).cast("int")))
-        placed = placed.select("_band", "_v", "_c", "_other", F.explode(block).alias("_block")).join(fine, "_v")
+        placed = _in_blocks(placed).join(fine, "_v")
         placed = placed.join(classes.select("_v", "_bands"), "_v")
         pairs = freeze(_between(placed, shuffle_partitions(spark), percent / 100 - FINE_MARGIN, best))
         found = _confirm(pairs, sets, percent)

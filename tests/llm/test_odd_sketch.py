@@ -92,3 +92,33 @@ def test_links_of_long_texts(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
     got = {r["doc_id"]: r["component_id"] for r in odd_sketch.near_duplicates(df, size=1).collect()}
     assert got == want
+
+
+def test_unlinked_members_of_a_bucket_are_dealt_into_blocks(spark, monkeypatch):
+    """Copies of a template that share buckets but hardly link: every pair is made, by groups of two blocks."""
+    monkeypatch.setattr(odd_sketch, "BLOCK", 16)
+    largest, between = [], odd_sketch._between
+
+    def watched(members, *rest):
+        largest.append(members.groupBy("_band", "_block").count().agg({"count": "max"}).first()[0])
+        return between(members, *rest)
+
+    monkeypatch.setattr(odd_sketch, "_between", watched)
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(200)]
+    docs = []
+    for k in range(160):
+        own = [w if rng.random() < 0.86 else f"own{k}x{i}" for i, w in enumerate(base)]
+        docs.append((k, " ".join(own)))
+        if k % 20 == 0:
+            docs.append((1000 + k, " ".join([*own[:180], *(f"end{k}x{i}" for i in range(20))])))
+    sets = {i: set(t.split()) for i, t in docs}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    label = {i: i for i in sets}
+    for _ in sets:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in odd_sketch.near_duplicates(df, size=1).collect()}
+    assert got == label
+    assert max(largest) <= 3 * odd_sketch.BLOCK  # two blocks, unevenly filled
