@@ -4,7 +4,7 @@ Every source's target (in words) is its share by weight of the mix, at most ``ma
 size; what is above is shared out again by weight.  A hash deals a source's documents into blocks of
 about ``block_words`` words, so blocks are exchangeable random parts of the source.  A target takes
 whole passes over all blocks and, for the rest, the first blocks and, up to the target, documents of the
-next FILL_BLOCKS.  The blocks to draw are exact quotas by source; a tree splits them among the output shards:
+next FILL_BLOCKS, or of as many as it takes where long documents do not fit.  The blocks to draw are exact quotas by source; a tree splits them among the output shards:
 at each node the left half's quotas are one multivariate hypergeometric draw from the node's, so shards
 get disjoint random parts of equal size.  A shard takes its run of each source's permuted blocks (another
 permutation for each pass), and its rows are shuffled locally, by a hash.  All draws are seeded: reruns agree.
@@ -31,8 +31,10 @@ from clientele.session import freeze
 WEIGHTS = (3, 1, 2)
 BLOCK_WORDS = 16_384
 SHARD_WORDS = 4_000_000
-#: Blocks whose documents may fill the rest of a target.
+#: Blocks whose documents may fill the rest of a target (more, if it stays larger than a block).
 FILL_BLOCKS = 4
+#: A target is filled when at most this part of a block is left.
+FILLED = 64
 #: Depth of the subtree that one step of the splitting tree expands.
 DEPTH = 6
 _GROUP = 1024
@@ -71,11 +73,57 @@ def _fill(group: pd.DataFrame) -> pd.DataFrame:
         take = size <= left
         left -= size if take else 0
         kept.append(take)
-    if left > 0:  # the smallest remaining document, if that comes nearer
-        rest = group[~np.array(kept)]
-        if len(rest) and rest["_size"].min() < 2 * left:
-            kept[group.index.get_loc(rest["_size"].idxmin())] = True
-    return group.loc[kept, ["_source", "_key"]]
+    return group.loc[kept, ["_source", "_key", "_size"]]
+
+
+def _filled(base: DataFrame, sources: DataFrame, block_words: int) -> tuple[DataFrame, DataFrame]:
+    """Documents that fill what is left of the targets (``_source``, ``_key``), and where their blocks end.
+
+    First the FILL_BLOCKS blocks at the border; while more than a part (FILLED) of a block is left, as long
+    documents stood there, the next blocks up to that many words of documents that still fit and FILL_BLOCKS more."""
+    same = lambda name: F.col("_source").eqNullSafe(F.col(name))
+    docs = base.select("_source", "_size", "_key", "_block").filter("_size > 0")
+    state = (sources.filter("_left > 0")
+             .select(F.col("_source").alias("_ls"), F.col("_blocks").alias("_all"), "_upto", F.col("_upto").alias("_from"),
+                     F.least(F.col("_upto") + FILL_BLOCKS, F.col("_blocks")).alias("_to"), "_left"))
+    chosen = None
+    while True:
+        fits = docs.join(state, same("_ls") & (F.col("_block") >= F.col("_from")) & (F.col("_block") < F.col("_to"))).filter("_size <= _left")
+        part = freeze(fits.select("_source", "_block", "_key", "_size", "_left").groupBy("_source")
+                      .applyInPandas(_fill, "_source string, _key long, _size long"))
+        chosen = part if chosen is None else chosen.unionByName(part)
+        took = part.groupBy(F.col("_source").alias("_ts")).agg(F.sum("_size").alias("_took"))
+        state = freeze(state.join(took, F.col("_ls").eqNullSafe(F.col("_ts")), "left")
+                       .select("_ls", "_all", "_upto", "_from", "_to", (F.col("_left") - F.coalesce("_took", F.lit(0))).alias("_left")))
+        unfilled = state.filter((F.col("_left") * FILLED > block_words) & (F.col("_to") < F.col("_all")))
+        if unfilled.isEmpty():
+            break
+        fits = docs.join(unfilled, same("_ls") & (F.col("_block") >= F.col("_to"))).filter("_size <= _left")
+        done = _running(fits.groupBy("_source", "_block").agg(F.sum("_size").alias("_words"), F.first("_left").alias("_left")))
+        reach = (done.filter(F.col("_done") < F.col("_left") + FILL_BLOCKS * block_words)
+                 .groupBy(F.col("_source").alias("_rs")).agg((F.max("_block") + 1).alias("_reach")))
+        more = (F.col("_left") * FILLED > block_words) & (F.col("_to") < F.col("_all"))
+        state = freeze(state.join(reach, F.col("_ls").eqNullSafe(F.col("_rs")), "left")
+                       .select("_ls", "_all", "_upto", F.col("_to").alias("_from"),
+                               F.when(more, F.coalesce("_reach", "_all")).otherwise(F.col("_to")).alias("_to"), "_left"))
+    # the smallest remaining document, if that comes nearer
+    taken = chosen.select(F.col("_source").alias("_cs"), F.col("_key").alias("_ck")).distinct()
+    rest = docs.join(state.filter("_left > 0"), same("_ls") & (F.col("_block") >= F.col("_upto")) & (F.col("_block") < F.col("_to")))
+    rest = rest.filter(F.col("_size") < 2 * F.col("_left")).join(taken, same("_cs") & (F.col("_key") == F.col("_ck")), "left_anti")
+    rest = rest.groupBy("_source").agg(F.min(F.struct("_size", "_block", "_key")).alias("_best")).select("_source", "_best._key")
+    return freeze(chosen.select("_source", "_key").unionByName(rest)), state.select("_ls", F.col("_to").alias("_end"))
+
+
+def _running(words: DataFrame) -> DataFrame:
+    """Blocks with the words of their source's blocks before (``_done``), in two steps of bounded windows."""
+    words = freeze(words.withColumn("_group", F.floor(F.col("_block") / _GROUP)))
+    before = Window.partitionBy("_source").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = (words.groupBy("_source", "_group").agg(F.sum("_words").alias("_sum"))
+              .select(F.col("_source").alias("_gs"), F.col("_group").alias("_g"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before")))
+    run = Window.partitionBy("_source", "_group").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    return (words.withColumn("_run", F.coalesce(F.sum("_words").over(run), F.lit(0)))
+            .join(groups, F.col("_source").eqNullSafe(F.col("_gs")) & (F.col("_group") == F.col("_g")))
+            .withColumn("_done", F.col("_before") + F.col("_run")))
 
 
 def _split(quotas: pd.DataFrame) -> pd.DataFrame:
@@ -174,13 +222,10 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
             .select(F.col("_source").alias("_ls"), F.col("_block").alias("_upto"), (F.col("_over") - F.col("_done")).alias("_left")))
     sources = freeze(sources.join(last, F.col("_source").eqNullSafe(F.col("_ls")), "left").drop("_ls")
                      .withColumn("_upto", F.coalesce("_upto", F.lit(0).cast("long"))))
-    border = sources.filter("_left > 0").select(F.col("_source").alias("_ls"), F.col("_upto").alias("_lb"), "_left")
-    chosen = freeze(base.select("_source", "_size", "_key", "_block").filter("_size > 0")
-                    .join(border, F.col("_source").eqNullSafe(F.col("_ls")) & F.col("_block").between(F.col("_lb"), F.col("_lb") + FILL_BLOCKS - 1))
-                    .select("_source", "_block", "_key", "_size", "_left").groupBy("_source")
-                    .applyInPandas(_fill, "_source string, _key long"))
+    chosen, ends = _filled(base, sources, block_words)
     # exact quotas: whole passes over all blocks, and the last pass's blocks
-    part = F.when(F.col("_left") > 0, F.least(F.col("_upto") + FILL_BLOCKS, F.col("_blocks"))).otherwise(F.col("_upto"))
+    sources = freeze(sources.join(ends, F.col("_source").eqNullSafe(F.col("_ls")), "left").drop("_ls"))
+    part = F.coalesce("_end", "_upto")
     quota = F.col("_passes") * F.col("_blocks") + part
     sources = sources.withColumn("_quota", F.when(F.col("source_size") > 0, quota).otherwise(0))
     total = sources.agg(F.sum("target")).first()[0] or 0.0

@@ -70,3 +70,19 @@ def test_splitting_tree_keeps_quotas():
     assert out.groupby("_source", dropna=False)["_quota"].sum().to_dict().get("a") == 1000 and out["_quota"].sum() == 1363
     sums = out.groupby("_lo")["_quota"].sum()
     assert sums.max() - sums.min() <= 2
+
+
+def test_a_document_with_most_of_a_sources_words(spark):
+    """What a long document leaves of a target is filled from later blocks."""
+    docs = [(1000 * s + k, words(1000 * s + k, 20), f"s{s}") for s in range(6) for k in range(90)]
+    docs += [(9000 + s, words(9000 + s, 3600), f"s{s}") for s in range(6)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(4)
+    for over in (0.2, 0.3):
+        taken = collections.Counter()
+        for r in source_mix.report(df, block_words=100, share=10.0, max_repeats=1 + over).collect():
+            taken[f"s{(r['doc_id'] - 9000) if r['doc_id'] >= 9000 else r['doc_id'] // 1000}"] += r["taken"]
+            assert abs(r["target"] - (1 + over) * r["source_size"]) < 1e-6 * r["target"]
+        size = collections.Counter()
+        for _, text, source in docs:
+            size[source] += count(text)
+        assert all(abs(taken[s] - (1 + over) * size[s]) <= 30 for s in size), (taken, size)
