@@ -1,9 +1,9 @@
 """Cleaning operators (imputation, capping, constant/named column drops, dates, duplicates).
 
-All bounds (medians, quartiles) are exact and computed with the distributed
-order statistics in :mod:`clientele.operators.ranking`; they reach the row-level
-projection either as a join with a one-row-per-group table (group medians) or as
-literals (a few global scalars), never via a cross join.
+All bounds (medians, quartiles) are exact; they come from bracket selection
+(:mod:`clientele.operators.selection`: two scans for all columns, no sort) and only where
+something is missing.  They reach the row-level projection as literals, or for many groups as a
+join with a written one-row-per-group table, never via a cross join.
 """
 
 from __future__ import annotations
@@ -12,29 +12,51 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clientele.operators.ranking import approx_quantiles, exact_quantiles, quantile_values
+from clientele.operators.ranking import approx_quantiles, column_quantile_values, exact_quantiles, quantile_values
+from clientele.operators.selection import present
+from clientele.session import freeze
 
 _EPOCH = "1970-01-01 00:00:00"
 DATE_NAME_HINTS = ("date", "dt", "time")
 
 
+#: Groups whose medians reach the projection as literals; more are joined.
+FEW_GROUPS = 1000
+
+
+def _filled(c: str, fill: Column) -> Column:
+    """``c`` as DOUBLE (a column with missing values is floating point in pandas), missing values replaced."""
+    return F.coalesce(present(F.col(f"`{c}`")), fill.cast("double"))
+
+
+def missing_counts(df: DataFrame, cols) -> dict[str, int]:
+    """Missing values (NULL, or NaN in a number) of every column, in one aggregate."""
+    row = df.agg(*[F.count_if(_absent(df, c)).alias(f"_{i}") for i, c in enumerate(cols)]).first()
+    return dict(zip(cols, row))
+
+
+def _absent(df: DataFrame, c: str) -> Column:
+    x = F.col(f"`{c}`")
+    return x.isNull() | F.isnan(x) if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)) else x.isNull()
+
+
 def impute_group_median(df: DataFrame, col: str = "Income", group_col: str = "Education",
                         approx: bool = False) -> DataFrame:
     """Fill NULL ``col`` with the exact median of its ``group_col`` group.
 
     Rows whose group key is NULL stay NULL (pandas drops NaN group keys).  The
-    medians table has one row per group and is joined back with a left join;
-    AQE broadcasts it when its measured size is small (it usually is: a
-    handful of groups), otherwise it stays a shuffle join.
+    medians of up to FEW_GROUPS groups become literals; a larger medians table
+    (one row per group) is written and joined back with a left join.
     """
-    if approx:
-        med = approx_quantiles(df, col, [0.5], by=[group_col], names=["_grp_median"])
-    else:
-        med = exact_quantiles(df, col, [0.5], by=[group_col], names=["_grp_median"])
-    # A column with missing values is floating point in pandas: the filled column is DOUBLE.
-    filled = F.coalesce(F.when(~F.isnan(F.col(col).cast("double")), F.col(col).cast("double")), F.col("_grp_median"))
-    joined = df.join(med, on=group_col, how="left")
-    return joined.select(*[filled.alias(c) if c == col else F.col(c) for c in df.columns])
+    quantiles = approx_quantiles if approx else exact_quantiles
+    med = quantiles(df, col, [0.5], by=[group_col], names=["_grp_median"])
+    few = med.take(FEW_GROUPS + 1)
+    if len(few) <= FEW_GROUPS:
+        known = [F.lit(v) for r in few for v in (r[group_col], r["_grp_median"])]
+        fill = F.try_element_at(F.create_map(*known), F.col(f"`{group_col}`")) if known else F.lit(None)
+        return df.withColumn(col, _filled(col, fill))
+    joined = df.join(freeze(med), on=group_col, how="left")
+    return joined.select(*[_filled(c, F.col("_grp_median")).alias(c) if c == col else F.col(f"`{c}`") for c in df.columns])
 
 
 def impute_median(df: DataFrame, col: str, approx: bool = False) -> DataFrame:
@@ -44,19 +66,27 @@ def impute_median(df: DataFrame, col: str, approx: bool = False) -> DataFrame:
     columns come back as DOUBLE (a median of 523.5 is kept, not truncated).
     """
     (med,) = quantile_values(df, col, [0.5], approx)
-    if med is None:
-        return df
-    x = F.col(col).cast("double")
-    return df.withColumn(col, F.coalesce(F.when(~F.isnan(x), x), F.lit(float(med))))
+    return df if med is None else df.withColumn(col, _filled(col, F.lit(float(med))))
 
 
 def impute_income(df: DataFrame, col: str = "Income", group_col: str = "Education",
                   approx: bool = False) -> DataFrame:
-    """Group median, then overall median of the already-filled column (the order matters)."""
+    """Group median, then overall median of the already-filled column (the order matters).
+
+    One count per group tells first whether the group medians are needed, and whether anything stays missing
+    after them (groups without a value, rows without a group)."""
     if col not in df.columns:
         return df
-    out = impute_group_median(df, col, group_col, approx) if group_col in df.columns else df
-    return impute_median(out, col, approx)
+    if group_col not in df.columns:
+        return impute_median(df, col, approx)
+    x = present(F.col(col))
+    groups = df.groupBy(F.col(group_col).alias("_g")).agg(F.count(x).alias("_n"), F.count_if(x.isNull()).alias("_m"))
+    unfilled = F.col("_g").isNull() | (F.col("_n") == 0)
+    missing, left = groups.agg(F.sum("_m"), F.sum(F.when(unfilled, F.col("_m")))).first()
+    if not missing:
+        return df.withColumn(col, _filled(col, F.lit(None)))
+    out = impute_group_median(df, col, group_col, approx) if missing > (left or 0) else df
+    return impute_median(out, col, approx) if left else out
 
 
 def iqr_bounds(df: DataFrame, col: str, k: float, approx: bool = False,
@@ -72,11 +102,12 @@ def cap_upper_iqr(df: DataFrame, col: str = "Income", k: float = 3.0, approx: bo
                   ) -> DataFrame:
     """Cap values above ``q3 + k*IQR`` at that bound; no lower cap; NULL stays NULL."""
     b = iqr_bounds(df, col, k, approx)
-    if b is None:
-        return df
-    upper = F.lit(b[1])
+    return df if b is None else df.withColumn(col, _capped(col, b[1]))
+
+
+def _capped(col: str, upper: float) -> Column:
     c = F.col(col)
-    return df.withColumn(col, F.when(c > upper, upper).otherwise(c))
+    return F.when(c > F.lit(upper), F.lit(upper)).otherwise(c)
 
 
 def constant_columns(df: DataFrame) -> list[str]:
@@ -168,12 +199,15 @@ def from_epoch_micros(c: Column) -> Column:
 
 def fill_median_date(df: DataFrame, col: str = "Dt_Customer") -> DataFrame:
     """Fill NULL timestamps with the median timestamp (midpoint for an even count, e.g. 12:00)."""
+    if not missing_counts(df, [col])[col]:
+        return df.withColumn(col, F.col(col).cast("timestamp_ntz"))
     micros = df.select(epoch_micros(F.col(col)).alias("_us"))
     (med,) = quantile_values(micros, "_us", [0.5])
-    if med is None:
-        return df
-    fill = from_epoch_micros(F.lit(int(med)).cast("bigint"))
-    return df.withColumn(col, F.coalesce(F.col(col).cast("timestamp_ntz"), fill))
+    return df if med is None else df.withColumn(col, _dated(col, med))
+
+
+def _dated(col: str, median_micros: float) -> Column:
+    return F.coalesce(F.col(col).cast("timestamp_ntz"), from_epoch_micros(F.lit(int(median_micros)).cast("bigint")))
 
 
 def detect_date_columns(df: DataFrame, always=("Dt_Customer",)) -> list[str]:
@@ -235,24 +269,39 @@ def normalize_types(df: DataFrame) -> DataFrame:
 
 
 def fill_medians(df: DataFrame, cols) -> DataFrame:
-    """Fill NULLs in every column of ``cols`` with its exact median."""
-    for c in cols:
-        df = impute_median(df, c)
-    return df
+    """Fill NULLs in every column of ``cols`` with its exact median: one count of the gaps, then two scans for
+    all columns that have any."""
+    cols = list(cols)
+    if not cols:
+        return df
+    gaps = missing_counts(df, cols)
+    medians = column_quantile_values(df, [c for c in cols if gaps[c]], [0.5])
+    return df.withColumns({c: _filled(c, F.lit(medians[c][0] if gaps[c] else None)) for c in cols})
 
 
 def clean_customers(df: DataFrame, reference_cols=("Z_CostContact", "Z_Revenue"),
                     date_col: str = "Dt_Customer", date_fmt: str | None = None,
                     drop_constants: bool = True, dedupe: bool = True) -> DataFrame:
-    """The batch cleaning sequence: impute, cap, drop constants and named columns, dates, dedupe."""
+    """The batch cleaning sequence: impute, cap, drop constants and named columns, dates, dedupe.
+
+    Every date column (:func:`detect_date_columns`) is parsed, filled and cut to milliseconds.  The income
+    quartiles and the median dates come from the same two scans."""
     out = impute_income(df)
-    if "Income" in out.columns:
-        out = cap_upper_iqr(out, "Income", 3.0)
+    dates = detect_date_columns(out, (date_col,))
+    for c in dates:
+        out = parse_dates(out, c, date_fmt)
+    gaps = missing_counts(out, dates) if dates else {}
+    asked = out.select(*[F.col("Income")] * ("Income" in out.columns), *[epoch_micros(F.col(c)).alias(f"_us_{c}") for c in dates if gaps[c]])
+    q = column_quantile_values(asked, asked.columns, [0.25, 0.5, 0.75])
+    if q.get("Income", [None])[0] is not None:
+        q1, _, q3 = q["Income"]
+        out = out.withColumn("Income", _capped("Income", q3 + 3.0 * (q3 - q1)))
+    for c in dates:
+        median = q.get(f"_us_{c}", [None] * 3)[1]
+        out = truncate_millis(out if median is None else out.withColumn(c, _dated(c, median)), c)
     if drop_constants:
         out = drop_constant_columns(out)
     out = drop_columns(out, reference_cols)
-    if date_col in out.columns:
-        out = fill_median_date(parse_dates(out, date_col, date_fmt), date_col)
     if dedupe:
         out = drop_duplicate_rows(out)
     return out

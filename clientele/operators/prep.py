@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clientele.operators import features as FT
+from clientele.operators import gram
 from clientele.operators.ranking import with_slices
 from clientele.operators.reports import NUMERIC_TYPES, pair_correlations
 
@@ -221,20 +222,20 @@ def fit_yeo_johnson(df: DataFrame, cols, lo: float = -3.0, hi: float = 3.0, grid
 
 def standard_scale(df: DataFrame, cols=None, stats: dict[str, tuple[float, float]] | None = None) -> DataFrame:
     """(x - mean) / population std, std 0 -> 1 (``StandardScaler``); stats from ONE aggregate."""
-    cols = cols or numeric_feature_columns(df)
+    cols = list(cols or numeric_feature_columns(df))
     if stats is None:
         stats = scale_stats(df, cols)
     return df.withColumns({c: (F.col(c) - F.lit(m)) / F.lit(s) for c, (m, s) in stats.items()})
 
 
 def scale_stats(df: DataFrame, cols) -> dict[str, tuple[float, float]]:
-    row = df.agg(*[e for c in cols for e in (F.avg(F.col(c).cast("double")).alias(f"m_{c}"),
-                                             F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}"))]).first()
-    out = {}
-    for c in cols:
-        m, s = row[f"m_{c}"], row[f"s_{c}"]
-        out[c] = (m or 0.0, s if s else 1.0)
-    return out
+    """Mean and population deviation of every column, from one aggregate grouped by column (its plan does not
+    grow with the columns); a constant or empty column has deviation 1."""
+    from clientele.operators.reports import column_values
+    cols = list(cols)
+    v = F.col("v")
+    got = {r["_c"]: r for r in column_values(df, cols).groupBy("_c").agg(F.avg(v).alias("m"), F.stddev_pop(v).alias("s")).collect()} if cols else {}
+    return {c: ((got[i]["m"] or 0.0, got[i]["s"] or 1.0) if i in got else (0.0, 1.0)) for i, c in enumerate(cols)}
 
 
 def target_correlation(df: DataFrame, target: str = "Response", cols=None, id_col: str = "ID") -> DataFrame:
@@ -263,15 +264,24 @@ def sample_rows(df: DataFrame, n: int = 1000, seed: int = 42, id_col: str = "ID"
     return df.orderBy(sample_key(seed, id_col), F.col(id_col)).limit(n)
 
 
+def complete_rows(df: DataFrame, cols) -> DataFrame:
+    """``cols`` as doubles, rows without a gap (NULL or NaN) in any of them."""
+    return df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols]).na.drop()
+
+
 def gram_matrix(df: DataFrame, cols) -> np.ndarray:
-    """Uncentred Gram matrix X'X of ``cols`` over complete rows, from ONE aggregate of k(k+1)/2 sums."""
-    src = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).na.drop()
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    row = src.agg(*[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"g{i}_{j}") for i, j in pairs]).first()
-    g = np.zeros((len(cols), len(cols)))
-    for i, j in pairs:
-        g[i, j] = g[j, i] = row[f"g{i}_{j}"] or 0.0
-    return g
+    """Uncentred Gram matrix X'X of ``cols`` over complete rows, from one pass (:mod:`gram`)."""
+    return gram.raw(complete_rows(df, cols), list(cols))[1]
+
+
+def gram_cosines(df: DataFrame, cols) -> DataFrame:
+    """(feature_a, feature_b, rows, cosine) of the uncentred Gram matrix that :func:`vif` inverts: X'X scaled to unit diagonal."""
+    cols = list(cols)
+    n, g = gram.raw(complete_rows(df, cols), cols)
+    size = np.sqrt(np.diag(g))
+    rows = [(a, b, int(n[i, j]), float(g[i, j] / (size[i] * size[j])) if size[i] * size[j] > 0 else None)
+            for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, rows bigint, cosine double")
 
 
 def vif(df: DataFrame, cols, flag_above: float = 10.0) -> DataFrame:

@@ -1,8 +1,8 @@
 """Data-quality profiling: each check returns a small report DataFrame (one pass per check).
 
 Per-column checks are ONE aggregate over all columns reshaped with ``unpivot``;
-IQR fences use the exact distributed quartiles of every numeric column in one
-ranked pass (grouped by column name) and then one conditional-count aggregate.
+IQR fences use the exact quartiles of every numeric column (two scans for all of them)
+and then one conditional-count aggregate.
 """
 
 from __future__ import annotations
@@ -71,9 +71,8 @@ def missing_profile(df: DataFrame) -> DataFrame:
 def iqr_outliers(df: DataFrame, cols=None, k: float = 1.5) -> DataFrame:
     """(column, outliers, outlier_pct): values strictly outside [q1 - k IQR, q3 + k IQR] per numeric column.
 
-    All columns' quartiles come from ONE distributed ranking of the unpivoted
-    (column, value) pairs; counting is ONE aggregate comparing each column with
-    its bounds (a few literals per column).
+    All columns' quartiles come from two scans without a sort; counting is ONE aggregate comparing
+    each column with its bounds (a few literals per column).
     """
     cols = cols or numeric_columns(df)
     qs = {r["column"]: (r["q1"], r["q3"]) for r in column_quantiles(df, cols, [0.25, 0.75], ["q1", "q3"]).collect()}

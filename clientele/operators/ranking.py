@@ -4,7 +4,8 @@ pandas ranks and takes quantiles over one in-memory array.  In Spark the naive
 equivalents do not survive a large table: the exact ``percentile`` aggregate
 merges a value->count map of every distinct value into one final task, and
 ``row_number()`` over an unpartitioned window sorts the whole table in one
-task.  Every helper here uses one plan for every size:
+task.  Quantiles, buckets and slices need only the values at a few ranks and come from
+:mod:`selection` without a sort.  Whole ranks and running totals use one plan for every size:
 
 1. sort globally (range-partitioned shuffle spread over all tasks; hot keys
    are split across partitions because the order ends in a tie-break column,
@@ -20,19 +21,18 @@ task.  Every helper here uses one plan for every size:
    groups the group's first rank is subtracted (a one-row-per-group table that
    AQE broadcasts when it is small).
 
-Quantiles need only the values around each target rank, and equal-count
-buckets only the boundary rows: nothing is joined back to the full table and no
-group is ever gathered into one task.
+No group is ever gathered into one task.
 """
 
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from clientele.operators.selection import present, quantiles_long, select_rows
 from clientele.session import freeze
 
 _POS_BITS = 33
@@ -110,47 +110,27 @@ def running_totals(df: DataFrame, order_cols, sums: dict[str, str]) -> DataFrame
 
 # ------------------------------------------------------------------ quantiles and buckets
 
-def _lerp(lo: Column, hi: Column, t: Column) -> Column:
-    # numpy's linear interpolation (used by pandas.quantile): two forms for stability.
-    d = hi - lo
-    return F.when(t >= 0.5, hi - d * (F.lit(1.0) - t)).otherwise(lo + d * t)
-
-
 def exact_quantiles(df: DataFrame, col: str, probs, by=(), names=None) -> DataFrame:
     """Linear-interpolated quantiles of ``col`` per ``by`` group (pandas/numpy 'linear').
 
     NULL and NaN values are skipped; rows whose group key is NULL form no group
     (the pandas groupby rule).  Returns one row per group with one column per
-    probability (``names`` or ``q0``, ``q1`` ...).
-
-    Equal values are counted into one row before the sort (combined map-side),
-    so a value that fills a third of the table is one row of the sorted table.
+    probability (``names`` or ``q0``, ``q1`` ...); see :mod:`selection`.
     """
     by = list(by)
     names = list(names or [f"q{i}" for i in range(len(probs))])
-    x = F.col(col).cast("double")
-    src = df.where(x.isNotNull() & ~F.isnan(x))
-    for b in by:
-        src = src.where(F.col(b).isNotNull())
-    values = src.groupBy(*[F.col(b) for b in by], x.alias("_x")).agg(F.count(F.lit(1)).alias("_w"))
-    run = running_totals(values, [*by, "_x"], {"_cum": "_w"})
-    if by:
-        sizes = run.groupBy(*by).agg(F.min(F.col("_cum") - F.col("_w")).alias("_start"), F.sum("_w").alias("_n"))
-        run = run.join(sizes, by)
-    else:
-        total = run.agg(F.max("_cum")).first()[0]
-        run = run.withColumns({"_start": F.lit(0), "_n": F.lit(total or 0)})
-    last = F.col("_cum") - F.col("_start")  # the value stands at places last - _w .. last - 1
-    first = last - F.col("_w")
-    pos = [(F.col("_n") - 1).cast("double") * F.lit(float(p)) for p in probs]
-    at = lambda place: (first <= place) & (place < last)
-    picks = run.where(reduce(or_, [at(F.floor(h)) | at(F.ceil(h)) for h in pos]))
-    aggs = []
-    for h, name in zip(pos, names):
-        lo = F.max(F.when(at(F.floor(h)), F.col("_x")))
-        hi = F.max(F.when(at(F.ceil(h)), F.col("_x")))
-        aggs.append(_lerp(lo, hi, F.first(h - F.floor(h))).alias(name))
-    return picks.groupBy(*by).agg(*aggs)
+    long = quantiles_long(df, [col], probs, by)
+    return long.groupBy(*by).agg(*[F.max(F.when(F.col("_p") == i, F.col("q"))).alias(n) for i, n in enumerate(names)])
+
+
+def column_quantile_values(df: DataFrame, cols, probs) -> dict[str, list[float | None]]:
+    """Quantiles of every column in ``cols`` (two scans for all of them); None for a column without values."""
+    cols = list(cols)
+    out = {c: [None] * len(probs) for c in cols}
+    if cols:
+        for r in quantiles_long(df, cols, probs).collect():
+            out[cols[r["_c"]]][r["_p"]] = r["q"]
+    return out
 
 
 def approx_quantiles(df: DataFrame, col: str, probs, by=(), names=None, accuracy: int = 10000) -> DataFrame:
@@ -170,58 +150,78 @@ def approx_quantiles(df: DataFrame, col: str, probs, by=(), names=None, accuracy
 
 def quantile_values(df: DataFrame, col: str, probs, approx: bool = False) -> list[float | None]:
     """Driver-side list of quantiles (a single small row); exact unless ``approx``."""
-    q = approx_quantiles(df, col, probs) if approx else exact_quantiles(df, col, probs)
-    row = q.first()
+    if not approx:
+        return column_quantile_values(df, [col], probs)[col]
+    row = approx_quantiles(df, col, probs).first()
     return [None if row is None else row[i] for i in range(len(probs))]
 
 
-def _after(x: Column, bound) -> Column:
-    """Does ``x`` sort after the boundary value (NULL first, as in an ascending sort)?"""
-    return x.isNotNull() if bound is None else F.coalesce(x > F.lit(bound), F.lit(False))
+def _row_hash(df: DataFrame) -> Column:
+    """Last tie-break of rows that share a key; only rows equal in every column still tie."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def _past(cols, bounds) -> Column:
-    """1 when the row's tuple sorts after the boundary tuple, compared null-safely."""
-    out = F.lit(False)
-    for x, bound in reversed(list(zip(cols, bounds))):
-        out = _after(x, bound) | (x.eqNullSafe(F.lit(bound)) & out)
-    return out.cast("int")
+def _sort_key(df: DataFrame, col: str) -> list[Column]:
+    """``col`` as numbers that sort like it, NULL first: a number itself, a hexadecimal digest (``md5``) in three parts."""
+    x = F.col(f"`{col}`")
+    if isinstance(df.schema[col].dataType, T.StringType):
+        part = lambda at, size: F.coalesce(F.conv(F.substring(x, at, size), 16, 10).cast("long"), F.lit(-1))
+        return [part(1, 15), part(16, 15), part(31, 2)]
+    if isinstance(df.schema[col].dataType, T.IntegralType):
+        return [F.coalesce(x.cast("long"), F.lit(-(1 << 63)))]
+    x = x.cast("double")
+    return [F.coalesce(x, F.lit(float("-inf")))]
 
 
-def _row_hash(df: DataFrame) -> Column:
-    """Last tie-break of rows that share a key; only rows equal in every column still tie."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+def _div(a: Column, b: int) -> Column:
+    """Whole quotient of longs (a >= 0), without going through doubles."""
+    return ((a - a % b) / b).cast("long")
 
 
-def rank_bucket(df: DataFrame, value_col: str, tie_col: str, q: int = 5, n: int | None = None) -> Column:
-    """Column giving ``pd.qcut(value.rank(method='first'), q)`` bucket numbers 1..q.
+def rank_bucket(df: DataFrame, value_col: str, tie_col: str, q: int = 5) -> Column:
+    """Column giving ``pd.qcut(value.rank(method='first'), q)`` bucket numbers 1..q; see :func:`rank_buckets`."""
+    return rank_buckets(df, [value_col], tie_col, q)[value_col]
+
+
+def rank_buckets(df: DataFrame, value_cols, tie_col: str, q: int = 5) -> dict[str, Column]:
+    """Equal-count buckets 1..q of several columns.
 
-    The rank order is (value, tie_col, hash of the row); NULL values get no
-    bucket, a NULL tie key sorts first.  Bucket k ends at rank
+    The rank order is (value, tie_col, hash of the row); NULL and NaN values get no
+    bucket, a NULL tie key sorts first (``tie_col`` is a number).  Bucket k ends at rank
     ``1 + floor(k (n-1) / q)`` (pandas puts edge k at ``1 + (n-1) k / q``,
-    right-closed).  Only the q-1 boundary rows are fetched; the bucket itself
+    right-closed).  The q-1 boundary rows of all columns come from two scans, and two more of the
+    rows that tie with them (:mod:`selection`); the bucket itself
     is a projection comparing each row with those boundaries, so there is no
     join back to the table.  Rows equal in every column share a bucket.
     """
-    v, t, h = F.col(value_col), F.col(tie_col), _row_hash(df)
-    src = df.where(v.isNotNull()).select(v.alias("_v"), t.alias("_t"), h.alias("_h"))
-    n = src.count() if n is None else n  # ``n``: the non-NULL count, when the caller has it
-    if n == 0:
-        return F.lit(None).cast("int")
-    lasts = [1 + (k * (n - 1)) // q for k in range(1, q)]
-    r = ranked(src, ["_v", "_t", "_h"], n=n)
-    rows = {x["_rank"]: (x["_v"], x["_t"], x["_h"]) for x in r.where(F.col("_rank").isin(lasts)).collect()}
-    above = [_past((v, t, h), rows[last]) for last in lasts]
-    return F.when(v.isNotNull(), reduce(lambda a, b: a + b, above) + F.lit(1)).cast("int")
+    value_cols = list(value_cols)
+    h = _row_hash(df)
+    out = {}
+    floating = [c for c in value_cols if not isinstance(df.schema[c].dataType, T.IntegralType)]
+    for same_type, kind in ((floating, "double"), ([c for c in value_cols if c not in floating], "long")):
+        if not same_type:
+            continue
+        number = (lambda c: present(F.col(c))) if kind == "double" else (lambda c: F.col(c).cast("long"))
+        orders = [[number(c), *_sort_key(df, tie_col), h] for c in same_type]
+        rows = select_rows(df, orders, [(k, q) for k in range(1, q)], rank=lambda n, k, q: _div((n - 1) * k, q) + 1)
+        for o, c in enumerate(same_type):
+            lasts = [rows[o, (), k] for k in range(q - 1) if (o, (), k) in rows]
+            above = [_past_keys(orders[o], last) for last in lasts]
+            out[c] = F.when(orders[o][0].isNotNull(), reduce(lambda a, b: a + b, above, F.lit(1))).cast("int")
+    return {c: out[c] for c in value_cols}
+
+
+def _past_keys(keys, bounds) -> Column:
+    """1 when a row's keys sort after a boundary row's; a key that no tie made necessary is not compared."""
+    out = F.lit(False)
+    for x, bound in reversed(list(zip(keys, bounds))):
+        if bound is not None:
+            out = (x > F.lit(bound)) | ((x == F.lit(bound)) & out)
+    return out.cast("int")
 
 
-def rank_buckets(df: DataFrame, value_cols, tie_col: str, q: int = 5) -> dict[str, Column]:
-    """``rank_bucket`` for several columns, with one count aggregate for all of them."""
-    value_cols = list(value_cols)
-    if not value_cols:
-        return {}
-    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in value_cols]).first()
-    return {c: rank_bucket(df, c, tie_col, q, counts[c]) for c in value_cols}
+#: Groups whose slice boundaries reach the driver and the projection as literals.
+FEW_GROUPS = 64
 
 
 def with_slices(df: DataFrame, order_col: str, tie_col: str, by: list[str], cuts, out: str) -> DataFrame:
@@ -230,9 +230,25 @@ def with_slices(df: DataFrame, order_col: str, tie_col: str, by: list[str], cuts
 
     ``cuts`` are cumulative fractions given as integer pairs ``(num, den)``;
     a row with within-group rank r is past cut i when ``r > ceil(num_i * n_g / den_i)``
-    (integer arithmetic, so no float rounding decides a boundary).  The boundary
-    rows (one row per group) are joined back null-safely; any number of groups works.
+    (integer arithmetic, so no float rounding decides a boundary).  Up to FEW_GROUPS groups, the boundary
+    rows come from bracket selection (two scans, no sort) and rows are marked by comparison; more groups
+    are ranked and the boundary rows joined back null-safely.  ``order_col`` is a number or a hexadecimal digest.
     """
+    groups = df.select(*[F.col(b) for b in by]).distinct().take(FEW_GROUPS + 1)
+    if len(groups) > FEW_GROUPS or not isinstance(df.schema[tie_col].dataType, T.NumericType):
+        return _ranked_slices(df, order_col, tie_col, by, cuts, out)
+    keys = [*_sort_key(df, order_col), *_sort_key(df, tie_col)]
+    rows = select_rows(df, [keys], list(cuts), by, rank=lambda n, num, den: _div(n * num + (den - 1), den))
+    index = F.lit(None).cast("int")
+    for g in map(tuple, groups):
+        mine = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.lit(v)) for b, v in zip(by, g)])
+        # no boundary row means the cut falls before the first row (ceil(...) = 0)
+        past = [_past_keys(keys, rows[0, g, i]) if (0, g, i) in rows else F.lit(1) for i in range(len(cuts))]
+        index = F.when(mine, reduce(lambda a, b: a + b, past)).otherwise(index)
+    return df.select(*[F.col(f"`{c}`") for c in df.columns], index.cast("int").alias(out))
+
+
+def _ranked_slices(df: DataFrame, order_col: str, tie_col: str, by: list[str], cuts, out: str) -> DataFrame:
     src = df.select(*[F.col(b) for b in by], F.col(order_col).alias("_v"), F.col(tie_col).alias("_t"))
     r = ranked(src, ["_v", "_t"], by)
     ends = [F.expr(f"(_n * {int(num)} + {int(den) - 1}) div {int(den)}") for num, den in cuts]
@@ -260,4 +276,4 @@ def qcut_sql(rank_expr: str, n_expr: str, q: int = 5) -> str:
 
 
 __all__ = ["freeze_sorted", "global_rank", "ranked", "running_totals", "exact_quantiles", "approx_quantiles",
-           "quantile_values", "rank_bucket", "rank_buckets", "with_slices", "qcut_sql"]
+           "quantile_values", "column_quantile_values", "rank_bucket", "rank_buckets", "with_slices", "qcut_sql"]

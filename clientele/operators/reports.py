@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clientele.operators import features as FT
-from clientele.operators.ranking import exact_quantiles
+from clientele.operators.gram import correlation, head_shift, pair_sums
+from clientele.operators.selection import quantiles_long
+from clientele.session import freeze
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -61,15 +63,20 @@ PROFILE_COLUMNS = ["Age", "Income", "TotalSpend", "TotalPurchases", "TotalAccept
 
 
 def mean(df: DataFrame, c: str) -> Column:
-    """Mean of ``c``; double columns are summed as DECIMAL(38,9).
+    """Mean of ``c``; double columns by :func:`stable_mean`."""
+    return stable_mean(F.col(c)) if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)) else F.avg(c)
+
+
+def stable_mean(x: Column) -> Column:
+    """Mean of doubles, summed as DECIMAL(38,9).
 
     A decimal sum is associative, so the result no longer depends on how rows
     were split into partitions or in which order partial sums were merged
-    (float sums do), and report values are reproducible run to run.
+    (float sums do), and report values are reproducible run to run.  With a value that
+    decimals do not hold (1e18 and more, infinite, NaN) it is the plain mean.
     """
-    if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
-        return F.avg(F.col(c).cast("decimal(38,9)")).cast("double")
-    return F.avg(c)
+    exact = F.avg(F.when(F.abs(x) < 1e18, x).cast("decimal(38,9)")).cast("double")
+    return F.when(F.max(F.abs(x)) < 1e18, exact).otherwise(F.avg(x))
 
 
 def segment_profile(df: DataFrame, segment_col: str = "RFM_Segment") -> DataFrame:
@@ -125,9 +132,14 @@ def response_distribution(df: DataFrame, target: str = "Response") -> DataFrame:
             .withColumn("label", FT.response_label(F.col(target))).orderBy(F.desc("customers")))
 
 
-def _dimension_sets(df: DataFrame, dims, aggs: dict[str, Column]) -> DataFrame:
+#: Category-typed dimensions: their empty labels appear in reports too.
+DENSE_LABELS = {"Generation": FT.GENERATION_LABELS, "AgeGroup": FT.AGE_GROUP_LABELS, "Tenure_Segment": FT.TENURE_LABELS}
+
+
+def _dimension_sets(df: DataFrame, dims, aggs: dict[str, Column], empty: dict | None = None) -> DataFrame:
     """ONE grouping-sets aggregate over several single-column dimensions, returned long:
-    (dimension, value, <aggs>).  NULL dimension values are dropped."""
+    (dimension, value, <aggs>).  NULL dimension values are dropped; labels of a category-typed dimension
+    (DENSE_LABELS) that no row has appear with NULLs, or the values in ``empty``."""
     dims = [d for d in dims if d in df.columns]
     gid = F.grouping_id(*dims).alias("_gid")
     grouped = (df.groupingSets([[F.col(d)] for d in dims], *[F.col(d) for d in dims])
@@ -142,8 +154,16 @@ def _dimension_sets(df: DataFrame, dims, aggs: dict[str, Column]) -> DataFrame:
         name = F.when(cond, F.lit(d)) if name is None else name.when(cond, F.lit(d))
         value = (F.when(cond, F.col(d).cast("string")) if value is None
                  else value.when(cond, F.col(d).cast("string")))
-    out = grouped.select(name.alias("dimension"), value.alias("value"), *aggs)
-    return out.where(F.col("value").isNotNull())
+    out = grouped.select(name.alias("dimension"), value.alias("value"), *aggs).where(F.col("value").isNotNull())
+    dense = [(d, label) for d in dims for label in DENSE_LABELS.get(d, ())]
+    if not dense:
+        return out
+    # labels that stand in no row: a few literal rows against the few rows of their dimensions
+    listing = df.sparkSession.createDataFrame(dense, "dimension string, value string")
+    have = out.where(F.col("dimension").isin([d for d in dims if d in DENSE_LABELS])).select("dimension", "value")
+    types = {f.name: f.dataType for f in out.schema.fields}
+    absent = listing.join(have, ["dimension", "value"], "left_anti")
+    return out.unionByName(absent.select("*", *[F.lit((empty or {}).get(k)).cast(types[k]).alias(k) for k in aggs]))
 
 
 DEMOGRAPHIC_DIMS = ["Generation", "Education", "Marital_Status", "LifeStage"]
@@ -152,7 +172,7 @@ SEGMENT_DIMS = ["Generation", "Education", "Marital_Status", "RFM_Segment"]
 
 def demographic_counts(df: DataFrame, dims=DEMOGRAPHIC_DIMS) -> DataFrame:
     """Customers per value of each demographic dimension (one grouping-sets pass)."""
-    return _dimension_sets(df, dims, {"customers": F.count(F.lit(1))})
+    return _dimension_sets(df, dims, {"customers": F.count(F.lit(1))}, {"customers": 0})
 
 
 def spend_by_demographic(df: DataFrame, dims=DEMOGRAPHIC_DIMS, value: str = "TotalSpend") -> DataFrame:
@@ -235,16 +255,15 @@ def numeric_summary(df: DataFrame, cols=None, exact: bool = True) -> DataFrame:
 
     The columns are unpivoted to (column index, value) rows.  Moments are then
     ONE aggregate grouped by column index, whose plan does not grow with the
-    number of columns.  Exact quartiles rank all columns together, with one
-    distributed sort for every column, grouped by column.  ``exact=False``
+    number of columns.  Exact quartiles of all columns come from two scans
+    without a sort (:mod:`selection`).  ``exact=False``
     uses ``percentile_approx`` inside the same grouped aggregate instead.
     Every column gets a row (count 0) even when the table is empty.
     """
     cols = cols or numeric_columns(df)
     v = F.col("v")
     aggs = [F.count(v).alias("count"),
-            # Summed as DECIMAL(38,9) like ``mean``: exact, so independent of partitioning.
-            F.avg(v.cast("decimal(38,9)")).cast("double").alias("mean"),
+            stable_mean(v).alias("mean"),
             F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max")]
     if not exact:
         aggs.append(F.percentile_approx(v, [0.25, 0.5, 0.75], 10000).alias("_q"))
@@ -266,8 +285,8 @@ def column_values(df: DataFrame, cols) -> DataFrame:
 
 
 def column_quantiles(df: DataFrame, cols, probs, names) -> DataFrame:
-    """Exact quantiles of every column in ``cols`` from ONE ranking of the unpivoted values."""
-    qs = exact_quantiles(column_values(df, cols), "v", probs, by=["_c"], names=names)
+    """Exact quantiles of every column in ``cols`` that has values, from two scans for all of them."""
+    qs = quantiles_long(df, cols, probs).groupBy("_c").agg(*[F.max(F.when(F.col("_p") == i, F.col("q"))).alias(n) for i, n in enumerate(names)])
     label = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("_c") + 1)
     return qs.select(label.alias("column"), *names)
 
@@ -333,17 +352,17 @@ def pair_correlations(df: DataFrame, pairs) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, cols=None) -> DataFrame:
-    """Full Pearson matrix (col_a, col_b, corr): k(k+1)/2 pair statistics in one aggregate; the
-    mirrored half of the matrix comes from the same aggregate."""
-    cols = cols or correlation_columns(df)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    stats = pair_correlations(df, pairs)
-    name_a = F.element_at(F.array(*[F.lit(a) for a, _ in pairs]), F.col("_p") + 1)
-    name_b = F.element_at(F.array(*[F.lit(b) for _, b in pairs]), F.col("_p") + 1)
-    entry = lambda x, y: F.struct(x.alias("col_a"), y.alias("col_b"), F.col("corr").alias("corr"))
-    both = F.when(name_a == name_b, F.array(entry(name_a, name_b))).otherwise(
-        F.array(entry(name_a, name_b), entry(name_b, name_a)))
-    return stats.select(F.explode(both).alias("_e")).select("_e.col_a", "_e.col_b", "_e.corr")
+    """Full Pearson matrix (col_a, col_b, corr) over pairwise-complete rows, NULL for a constant side, from one
+    pass over the rows for all pairs (:mod:`gram`)."""
+    cols = list(cols or correlation_columns(df))
+    stats = pair_sums(df, cols, head_shift(df, cols)).select("i", "j", correlation().alias("corr"))
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    listing = df.sparkSession.createDataFrame(pairs, "i int, j int")  # an empty table has every pair too
+    names = F.array(*[F.lit(c) for c in cols])
+    entry = lambda x, y: F.struct(F.element_at(names, F.col(x) + 1).alias("col_a"), F.element_at(names, F.col(y) + 1).alias("col_b"),
+                                  F.col("corr").alias("corr"))
+    both = F.when(F.col("i") == F.col("j"), F.array(entry("i", "j"))).otherwise(F.array(entry("i", "j"), entry("j", "i")))
+    return listing.join(F.broadcast(stats), ["i", "j"], "left").select(F.explode(both).alias("_e")).select("_e.col_a", "_e.col_b", "_e.corr")
 
 
 def value_loyalty(df: DataFrame, color: str = "RFM_Segment", id_col: str = "ID") -> DataFrame:
@@ -352,11 +371,43 @@ def value_loyalty(df: DataFrame, color: str = "RFM_Segment", id_col: str = "ID")
 
 
 def value_loyalty_density(df: DataFrame, color: str = "RFM_Segment", spend_width: float = 100.0,
-                          avg_width: float = 10.0) -> DataFrame:
-    """2-D binned counts of the same chart (bounded output size at any table size)."""
-    return (df.groupBy((F.floor(F.col("TotalSpend") / spend_width) * spend_width).alias("spend_bin"),
-                       (F.floor(F.col("AvgSpend") / avg_width) * avg_width).alias("avg_spend_bin"), color)
-            .agg(F.count(F.lit(1)).alias("customers")))
+                          avg_width: float = 10.0, most: int | None = None) -> DataFrame:
+    """2-D binned counts of the same chart: lower edges of the cells, colour, customers.
+
+    With ``most`` (4 or more), at most so many rows come out at any range of values: while there are more, cells
+    merge two by two along the axis that has more of them (widths double); the two cells about 0 become one when
+    nothing else is left, and at last the rarest colours merge into a NULL colour.  The input is read once:
+    merging works on the cells' counts, written in the checkpoint folder."""
+    x, y = F.col("TotalSpend").cast("double"), F.col("AvgSpend").cast("double")
+    cells = (df.groupBy(F.floor(x / spend_width).alias("_x"), F.floor(y / avg_width).alias("_y"), F.col(color))
+             .agg(F.count(F.lit(1)).alias("customers")))
+    index = {"_x": F.col("_x"), "_y": F.col("_y")}
+    widths = {"_x": spend_width, "_y": avg_width}
+    if most is not None:
+        if most < 4:
+            raise ValueError("most must be 4 or more")
+        fine = freeze(cells)
+        halvings, left = {"_x": 0, "_y": 0}, None
+        while True:
+            cells = fine.groupBy(index["_x"].alias("_x"), index["_y"].alias("_y"), color).agg(F.sum("customers").alias("customers"))
+            n, *sizes = cells.agg(F.count(F.lit(1)), F.count_distinct("_x"), F.count_distinct("_y")).first()
+            size = dict(zip(index, sizes))
+            axis = max(size, key=size.get)
+            if n <= most or size[axis] <= 1:
+                break
+            if left == (axis, 2) and size[axis] == 2:  # the cells on either side of 0 never meet by halving
+                index[axis] = F.when(F.col(axis).isNotNull(), F.lit(-1)).cast("long")
+            else:
+                left = (axis, size[axis])
+                halvings[axis] += 1
+                widths[axis] *= 2
+                index[axis] = F.shiftright(F.col(axis), halvings[axis])
+        if n > most:  # at most 4 cells a colour (present or NULL on either axis)
+            few = [r[0] for r in cells.groupBy(color).agg(F.sum("customers").alias("_n")).where(F.col(color).isNotNull())
+                   .orderBy(F.desc("_n"), color).limit(most // 4 - 1).collect()]
+            kept = F.when(F.col(color).isin(few), F.col(color)) if few else F.lit(None).cast(df.schema[color].dataType)
+            cells = cells.withColumn(color, kept).groupBy("_x", "_y", color).agg(F.sum("customers").alias("customers"))
+    return cells.select((F.col("_x") * widths["_x"]).alias("spend_bin"), (F.col("_y") * widths["_y"]).alias("avg_spend_bin"), color, "customers")
 
 
 # ---------------------------------------------------------------- documentation, trend, metrics
@@ -400,8 +451,7 @@ def feature_docs(df: DataFrame, important=(), skip=("ID", "Response"), categoric
         v = F.col("_v")
         stats.append(long_form(numeric, "double").groupBy("position").agg(
             F.min(v).alias("_min"), F.max(v).alias("_max"),
-            # Summed as DECIMAL(38,9) like ``mean``: exact, so independent of partitioning.
-            F.avg(v.cast("decimal(38,9)")).cast("double").alias("_mean"), F.lit(None).cast("bigint").alias("_n")))
+            stable_mean(v).alias("_mean"), F.lit(None).cast("bigint").alias("_n")))
     if distinct:
         stats.append(long_form(distinct, "string").groupBy("position").agg(
             none.alias("_min"), none.alias("_max"), none.alias("_mean"), F.count_distinct("_v").alias("_n")))

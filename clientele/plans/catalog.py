@@ -248,16 +248,24 @@ def q_segment_response(spark, d):
     return r4(RP.segment_response(feat(spark, d)))
 
 
-def _dims_sql(dims, agg_sql: dict[str, str]) -> str:
+_GENERATIONS = ("Gen Z", "Millennials", "Gen X", "Boomers", "Silent")
+
+
+def _dims_sql(dims, agg_sql: dict[str, str], empty: dict[str, str] | None = None) -> str:
+    """Aggregates of each dimension's values; a generation that no row has appears too."""
     parts = []
     for dim in dims:
         aggs = ", ".join(f"{e} AS {k}" for k, e in agg_sql.items())
         parts.append(f"SELECT '{dim}' AS dimension, CAST({dim} AS VARCHAR) AS value, {aggs} FROM feat "
                      f"WHERE {dim} IS NOT NULL GROUP BY {dim}")
+        if dim == "Generation":
+            nothing = ", ".join(f"{(empty or {}).get(k, 'NULL')} AS {k}" for k in agg_sql)
+            parts.append(f"SELECT 'Generation', g, {nothing} FROM (VALUES " + ", ".join(f"('{g}')" for g in _GENERATIONS)
+                         + ") t(g) WHERE g NOT IN (SELECT Generation FROM feat WHERE Generation IS NOT NULL)")
     return " UNION ALL ".join(parts)
 
 
-@register("demographic_counts", O.with_features(_dims_sql(RP.DEMOGRAPHIC_DIMS, {"customers": "count(*)"})))
+@register("demographic_counts", O.with_features(_dims_sql(RP.DEMOGRAPHIC_DIMS, {"customers": "count(*)"}, {"customers": "0"})))
 def q_demographic_counts(spark, d):
     return RP.demographic_counts(feat(spark, d))
 
@@ -319,9 +327,8 @@ _CAMP_SHORT = FT.short_names(_CAMPS)
 
 
 @register("campaign_by_segment", O.with_features(" UNION ALL ".join(
-    f"SELECT '{dim}' AS dimension, CAST({dim} AS VARCHAR) AS value, 'Campaign {_CAMP_SHORT[c]}' AS Campaign, "
-    f"round(avg({c}) * 100, 4) AS AcceptanceRate FROM feat WHERE {dim} IS NOT NULL GROUP BY {dim}"
-    for dim in RP.SEGMENT_DIMS for c in _CAMPS)))
+    f"SELECT dimension, value, 'Campaign {_CAMP_SHORT[c]}' AS Campaign, rate AS AcceptanceRate FROM ("
+    + _dims_sql(RP.SEGMENT_DIMS, {"rate": f"round(avg({c}) * 100, 4)"}) + ")" for c in _CAMPS)))
 def q_campaign_by_segment(spark, d):
     return r4(RP.campaign_by_segment(feat(spark, d)))
 
@@ -345,17 +352,27 @@ def q_response_by_dimension(spark, d):
     return r4(RP.response_by_dimension(feat(spark, d)))
 
 
-_SUMMARY_COLS = ["Income", "Age", "TotalSpend", "TotalPurchases", "Customer_Tenure_Days", "Recency", "AvgSpend",
-                 "Spend_per_Year"]
+_NUMBERS = ["Income", "Kidhome", "Teenhome", "Recency", *FT.SPEND_CATEGORIES, *FT.CHANNELS, "NumWebVisitsMonth", *FT.CAMPAIGNS,
+            "Complain", "Response", "Customer_Tenure_Days", "Enrollment_Year", "Enrollment_Month", "Enrollment_Quarter", "TotalSpend",
+            *[f"{c}_Proportion" for c in FT.SPEND_CATEGORIES], "SpendingDiversity", "TotalAcceptedCampaigns", "CampaignResponseRate",
+            "Children", "HasChildren", "Age", "TotalPurchases", "ChannelDiversity", "AvgSpend", "R_Score", "F_Score", "M_Score",
+            "Income_per_Age", "SpendToIncome", "CampaignToPurchase", "Spend_per_Year", "Estimated_CLV"]
+_MODEL_NUMBERS = [c for c in _NUMBERS if c not in ("Response", *PR.DATE_PART_COLUMNS, *PR.SCORE_COLUMNS)]
+
+
+def _long_sql(cols) -> str:
+    """(ID, column, v) of the present values of ``cols``."""
+    return ('UNPIVOT (SELECT ID, ' + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+            + ' FROM feat) ON COLUMNS(* EXCLUDE (ID)) INTO NAME "column" VALUE v')
 
 
 @register("numeric_summary", O.with_features(" UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count({c}) AS count, round({_avg_sql(c)}, 4) AS mean, round(stddev_samp({c}), 4) AS std, "
     f"round(min({c}), 4) AS min, round(max({c}), 4) AS max, round(quantile_cont({c}, 0.25), 4) AS p25, "
     f"round(quantile_cont({c}, 0.5), 4) AS p50, round(quantile_cont({c}, 0.75), 4) AS p75 FROM feat"
-    for c in _SUMMARY_COLS)))
+    for c in _NUMBERS)))
 def q_numeric_summary(spark, d):
-    return r4(RP.numeric_summary(feat(spark, d), _SUMMARY_COLS))
+    return r4(RP.numeric_summary(feat(spark, d), _NUMBERS))
 
 
 def _hist_sql(col: str, bins: int = 20) -> str:
@@ -376,15 +393,13 @@ def q_histogram(spark, d):
     return r4(RP.histogram(f, "Age").unionByName(RP.histogram(f, "Income")))
 
 
-_CORR_COLS = ["Income", "Recency", "TotalSpend", "TotalPurchases", "AvgSpend", "Customer_Tenure_Days",
-              "SpendToIncome", "Spend_per_Year"]
-
-
-@register("correlation_matrix", O.with_features(" UNION ALL ".join(
-    f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) AS corr FROM feat"
-    for a in _CORR_COLS for b in _CORR_COLS)))
+@register("correlation_matrix", O.with_features(
+    "SELECT a.c AS col_a, b.c AS col_b, round(r.corr, 6) AS corr FROM (VALUES " + ", ".join(f"('{c}')" for c in _NUMBERS) + ") a(c) "
+    "CROSS JOIN (VALUES " + ", ".join(f"('{c}')" for c in _NUMBERS) + ") b(c) LEFT JOIN (SELECT x.\"column\" AS a, y.\"column\" AS b, "
+    "CASE WHEN min(x.v) < max(x.v) AND min(y.v) < max(y.v) THEN corr(x.v, y.v) END AS corr FROM (" + _long_sql(_NUMBERS) + ") x JOIN ("
+    + _long_sql(_NUMBERS) + ") y ON x.ID = y.ID GROUP BY ALL) r ON r.a = a.c AND r.b = b.c"))
 def q_correlation_matrix(spark, d):
-    return RP.round_doubles(RP.correlation_matrix(feat(spark, d), _CORR_COLS), 6)
+    return RP.round_doubles(RP.correlation_matrix(feat(spark, d), _NUMBERS), 6)
 
 
 @register("value_loyalty", O.with_features("SELECT ID, TotalSpend, round(AvgSpend, 4) AS AvgSpend, RFM_Segment FROM feat"))
@@ -680,18 +695,16 @@ def q_high_cardinality(spark, d):
     return PR.high_cardinality(feat(spark, d), _CAT_COLS)
 
 
-_SKEW_COLS = ["Income", "Recency", "MntWines", "TotalSpend", "TotalPurchases", "AvgSpend", "Age",
-              "Customer_Tenure_Days", "SpendToIncome", "Spend_per_Year"]
-
-
 @register("skewness", O.with_features(" UNION ALL ".join(
-    f"SELECT '{c}' AS column, round(skewness({c}), 6) AS skewness, abs(skewness({c})) > 1.0 AS skewed FROM feat"
-    for c in _SKEW_COLS)))
+    f"SELECT '{c}' AS column, round(CASE WHEN min({c}) = max({c}) AND count({c}) > 2 THEN 0.0 ELSE skewness({c}) END, 6) AS skewness, "
+    f"abs(CASE WHEN min({c}) = max({c}) AND count({c}) > 2 THEN 0.0 ELSE skewness({c}) END) > 1.0 AS skewed FROM feat"
+    for c in _MODEL_NUMBERS)))
 def q_skewness(spark, d):
-    return RP.round_doubles(PR.skewness(feat(spark, d), _SKEW_COLS), 6)
+    return RP.round_doubles(PR.skewness(feat(spark, d), _MODEL_NUMBERS), 6)
 
 
-_YJ = {"Income": 0.5, "TotalSpend": 0.0, "Recency": 2.0, "Income_centered": 1.5, "Age": -0.5}
+# lambdas of every kind: zero, two, negative, beyond; Income_centered has negative values
+_YJ = {c: (0.5, 0.0, 2.0, -0.5, 1.25, 0.1)[i % 6] for i, c in enumerate(_MODEL_NUMBERS)} | {"Income_centered": 1.5}
 
 
 def _yj_sql(x: str, lam: float) -> str:
@@ -702,14 +715,13 @@ def _yj_sql(x: str, lam: float) -> str:
 
 @register("yeo_johnson_apply", O.with_features(
     "SELECT ID, " + ", ".join(f"round({_yj_sql(c, lam)}, 6) AS {c}" for c, lam in _YJ.items())
-    + " FROM (SELECT ID, Income, TotalSpend, Recency, Age, (Income - 50000) / 1000 AS Income_centered FROM feat)"))
+    + " FROM (SELECT *, (Income - 50000) / 1000 AS Income_centered FROM feat)"))
 def q_yeo_johnson_apply(spark, d):
-    f = feat(spark, d).select("ID", "Income", "TotalSpend", "Recency", "Age",
-                              ((F.col("Income") - 50000) / 1000).alias("Income_centered"))
+    f = feat(spark, d).select("ID", *_MODEL_NUMBERS, ((F.col("Income") - 50000) / 1000).alias("Income_centered"))
     return RP.round_doubles(PR.yeo_johnson_apply(f, _YJ), 6)
 
 
-_SCALE_COLS = ["Income", "TotalSpend", "Age", "Customer_Tenure_Days", "AvgSpend"]
+_SCALE_COLS = _MODEL_NUMBERS
 
 
 @register("standard_scale", O.with_features(
@@ -739,8 +751,16 @@ def q_target_correlation_topk(spark, d):
 def q_vif(spark, d):
     f = feat(spark, d)
     top = [r["feature"] for r in PR.target_correlation_topk(f, "Response", 30).collect() if r["feature"] != "Response"]
-    missing = f.select(*[F.max(F.col(c).isNull()).alias(c) for c in top]).first()
-    return RP.round_doubles(PR.vif(CL.fill_medians(f.select(*top), [c for c in top if missing[c]]), top), 6)
+    return RP.round_doubles(PR.vif(CL.fill_medians(f.select(*top), top), top), 6)
+
+
+@register("vif_gram", O.with_features(
+    "SELECT x.\"column\" AS feature_a, y.\"column\" AS feature_b, count(*) AS rows, "
+    "round(sum(x.v * y.v) / sqrt(nullif(sum(x.v * x.v) * sum(y.v * y.v), 0)), 6) AS cosine FROM (" + _long_sql(_MODEL_NUMBERS)
+    + ") x JOIN (" + _long_sql(_MODEL_NUMBERS) + ") y ON x.ID = y.ID WHERE x.ID IN (SELECT ID FROM feat WHERE "
+    + " AND ".join(f"{c} IS NOT NULL" for c in _MODEL_NUMBERS) + ") GROUP BY ALL"))
+def q_vif_gram(spark, d):
+    return RP.round_doubles(PR.gram_cosines(feat(spark, d), _MODEL_NUMBERS), 6)
 
 
 _STRAT = ("SELECT ID, Response, row_number() OVER (PARTITION BY Response ORDER BY md5(CAST(ID AS VARCHAR)), ID) AS rn, "
@@ -891,12 +911,14 @@ def q_report_sink(spark, d):
     return spark.read.option("header", True).schema(report.schema).csv(path)
 
 
+_GAPS = ["Recency", "Income_per_Age"]  # the only columns with missing values; the others keep their type and values
+
+
 @register("fill_medians", O.with_features(
-    "SELECT ID, round(coalesce(CAST(Recency AS DOUBLE), " + O.quantile_sql("Recency", 0.5, "feat")
-    + "), 4) AS Recency, round(coalesce(Income_per_Age, " + O.quantile_sql("Income_per_Age", 0.5, "feat")
-    + "), 4) AS Income_per_Age FROM feat"))
+    "SELECT ID, " + ", ".join(f"round(coalesce(CAST({c} AS DOUBLE), {O.quantile_sql(c, 0.5, 'feat')}), 4) AS {c}" if c in _GAPS
+                              else f"round(CAST({c} AS DOUBLE), 4) AS {c}" for c in _MODEL_NUMBERS) + " FROM feat"))
 def q_fill_medians(spark, d):
-    return r4(CL.fill_medians(feat(spark, d).select("ID", "Recency", "Income_per_Age"), ["Recency", "Income_per_Age"]))
+    return r4(CL.fill_medians(feat(spark, d).select("ID", *_MODEL_NUMBERS), _MODEL_NUMBERS))
 
 
 @register("expand_dates", O.with_features(
