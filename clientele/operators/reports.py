@@ -280,8 +280,7 @@ def numeric_summary(df: DataFrame, cols=None, exact: bool = True) -> DataFrame:
 
 def column_values(df: DataFrame, cols) -> DataFrame:
     """Unpivot ``cols`` to (_c, v) rows keyed by a small column index (cheaper to shuffle than names)."""
-    pairs = [F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)]
-    return df.select(F.explode(F.array(*pairs)).alias("_kv")).select("_kv._c", "_kv.v")
+    return df.select(F.posexplode(F.array(*[F.col(f"`{c}`").cast("double") for c in cols])).alias("_c", "v"))
 
 
 def column_quantiles(df: DataFrame, cols, probs, names) -> DataFrame:

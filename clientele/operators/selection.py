@@ -18,6 +18,7 @@ a wanted one, with the rank left among them, as long as any do.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
@@ -30,16 +31,25 @@ ACCURACY = 20_000
 DISTANCES = ((2 / ACCURACY, 30_000), (1e-3, 3_000), (1e-2, 300), (1e-1, 30), (1.0, 0))
 
 
+def _number(v) -> str:
+    """A number as a SQL literal."""
+    if isinstance(v, int):
+        return f"{v}L" if v >= -(1 << 63) + 1 else "(-9223372036854775807L - 1L)"
+    return f"{v!r}D" if math.isfinite(v) else f"double('{v!r}')"
+
+
+def _list(values) -> str:
+    return f"array({', '.join(map(_number, values))})"
+
+
 def _at(values, index: Column) -> Column:
-    """The entry of a literal list at a 0-based index."""
-    return F.element_at(F.lit(list(values)), index + 1)
+    """The entry of a literal list at a 0-based index (written as one SQL literal: it may be long)."""
+    return F.element_at(F.expr(_list(values)), index + 1)
 
 
 def _columns(df: DataFrame, keep: Sequence[str], values: Sequence[Column]) -> DataFrame:
     """Rows (``keep``, column index ``_c``, value ``_x``) of the values that are present."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("_c"), x.alias("_x")) for c, x in enumerate(values)])
-    rows = df.select(*[F.col(f"`{k}`") for k in keep], F.explode(pairs).alias("_e"))
-    return rows.select(*[F.col(f"`{k}`") for k in keep], "_e._c", "_e._x").where(F.col("_x").isNotNull())
+    return df.select(*[F.col(f"`{k}`") for k in keep], F.posexplode(F.array(*values)).alias("_c", "_x")).where(F.col("_x").isNotNull())
 
 
 def _selected(values: DataFrame, by: Sequence[str], shares: Sequence[float], low: Callable[[Column, Column], Column],
@@ -52,10 +62,10 @@ def _selected(values: DataFrame, by: Sequence[str], shares: Sequence[float], low
     near = F.lit(2 * (len(DISTANCES) - 1))
     for i, (_, least) in reversed(list(enumerate(DISTANCES[:-1]))):
         near = F.when(F.col("_n") >= least, 2 * i).otherwise(near)
-    groups = values.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count("_x").alias("_n"), F.percentile_approx(x, probs, ACCURACY).alias("_s"))
+    groups = values.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count("_x").alias("_n"), F.expr(f"percentile_approx(double(_x), {_list(probs)}, {ACCURACY}) AS _s"))
     groups = groups.withColumn("_near", near)
     groups = groups.select(*[F.col(f"`{k}`").alias(f"_g{i}") for i, k in enumerate(keys)], "_n",
-                           *[F.array(*[F.col("_s")[steps * i + side + F.col("_near")] for i in range(len(shares))]).alias(e) for side, e in ((0, "_a"), (1, "_b"))])
+                           *[F.expr("array(" + ", ".join(f"_s[_near + {steps * i + side}]" for i in range(len(shares))) + f") AS {e}") for side, e in ((0, "_a"), (1, "_b"))])
     if by:
         same = reduce(and_, [F.col(f"`{k}`").eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(keys)])
         rows = values.join(groups, same)
@@ -68,7 +78,7 @@ def _selected(values: DataFrame, by: Sequence[str], shares: Sequence[float], low
         place = F.col("_c") * len(shares) + p
         n = _at([got[c]["_n"] if c in got else 0 for c in range(max(got, default=0) + 1)], F.col("_c"))
         lower, upper = _at(of("_a", nothing) or nothing, place), _at(of("_b", nothing) or nothing, place)
-    rows = rows.withColumn("_p", F.explode(F.lit(list(range(len(shares))))))
+    rows = rows.withColumn("_p", F.explode(F.expr(f"sequence(0, {len(shares) - 1})")))
     if only is not None:
         rows = rows.where(_at(only, p) == F.col("_c"))
     keys_in = [f"_g{i}" for i in range(len(keys))]
