@@ -29,14 +29,16 @@ from pyspark.sql import types as T
 
 from clientele.llm.common import mix64
 
-#: Chunks kept in each of the two generations of a worker's cache.
-CACHE = 80_000
+#: Bytes of chunks from which one of the two generations of a worker's cache is full, and of an entry beside its texts.
+CACHE_BYTES = 12 << 20
+ENTRY_BYTES = 280
 #: Bytes of words of one length that are read together.
 GROUP_BYTES = 1 << 20
 #: Bits of the table of pair tests.
 FIT_BITS = 19
 
 _LOADED: dict[str, Tokenizer] = {}
+_OF_PROCESS = ("pieces", "split_special", "fit_key", "fit", "young", "old", "young_bytes")
 _ODD_SPACE = re.compile(r"[\x1c-\x1f]")
 _SPACES = regex.compile(r"[\s--[\x1c-\x1f]]+", flags=regex.V1)
 
@@ -52,10 +54,11 @@ def _byte_letters() -> dict[int, str]:
 class SuffixLinks:
     """Automaton over the vocabulary's byte strings: after each byte of a word, the tokens that end there.
 
-    ``step[state, byte]`` reads a byte within a word and ``stop[state, byte]`` its last byte (the
-    tokens that end words are apart).  ``first[state]`` is the longest token that ends in a state and
-    ``shorter`` the next one, along suffix links.  Rows are NumPy tables, so that many words of one
-    length are read together."""
+    ``step[step_row[state], byte]`` reads a byte within a word and ``stop[stop_row[state], byte]`` its last byte
+    (the tokens that end words are apart).  ``first[state]`` is the longest token that ends in a state and
+    ``shorter`` the next one, along suffix links.  A state that nothing continues shares the row of its suffix
+    link, so a table has a row for each inner node only.  Rows are NumPy tables of the smallest number type, so
+    that many words of one length are read together."""
 
     def __init__(self, inner: dict[bytes, int], final: dict[bytes, int]):
         kids: list[dict[int, int]] = [{}]
@@ -79,11 +82,11 @@ class SuffixLinks:
         for body, i in final.items():
             ends[node(body[:-1])][body[-1]] = i
         n = len(kids)
-        self.step = np.zeros((n, 256), dtype=np.int32)
-        self.stop = np.full((n, 256), -1, dtype=np.int32)
         fail = [0] * n
         first = [-1] * n
         out_token, out_size, shorter = [], [], []
+        step_row, stop_row = np.zeros(n, dtype=np.int32), np.zeros(n, dtype=np.int32)
+        step, stop = [np.zeros(256, dtype=np.int32)], [np.full(256, -1, dtype=np.int32)]
 
         def output(i: int, size: int, then: int) -> int:
             out_token.append(i)
@@ -96,58 +99,44 @@ class SuffixLinks:
             at = queue.popleft()
             up = fail[at]
             if at:
-                self.step[at] = self.step[up]
-                self.stop[at] = self.stop[up]
                 first[at] = output(token[at], depth[at], first[up]) if token[at] >= 0 else first[up]
+                for rows, row, own in ((step, step_row, kids[at]), (stop, stop_row, ends.get(at))):
+                    row[at] = row[up]
+                    if own:
+                        row[at] = len(rows)
+                        rows.append(rows[row[up]].copy())
+            above = step[step_row[up]]
             for byte, i in ends.get(at, {}).items():
-                self.stop[at, byte] = output(i, depth[at] + 1, self.stop[up, byte] if at else -1)
+                stop[stop_row[at]][byte] = output(i, depth[at] + 1, int(stop[stop_row[up]][byte]) if at else -1)
             for byte, kid in kids[at].items():
-                fail[kid] = self.step[up, byte] if at else 0
-                self.step[at, byte] = kid
+                fail[kid] = int(above[byte]) if at else 0
+            for byte, kid in kids[at].items():
+                step[step_row[at]][byte] = kid
                 queue.append(kid)
+        self.step_row, self.stop_row = step_row, stop_row
+        self.step, self.stop = _small(np.array(step)), _small(np.array(stop))
         self.first = np.array(first, dtype=np.int32)
         self.token = np.array(out_token, dtype=np.int32)
         self.size = np.array(out_size, dtype=np.int32)
         self.shorter = np.array(shorter, dtype=np.int32)
 
 
-class Tokenizer:
-    """Word-end BPE read from a vocabulary file; ids and decoded text equal the library's."""
+def _small(table: np.ndarray) -> np.ndarray:
+    """The table in 16 bits if its numbers (from -1 on, kept shifted by one) allow it."""
+    return (table + 1).astype(np.uint16 if table.max() < 65_535 else np.int32)
 
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        model = spec["model"]
-        suffix = model.get("end_of_word_suffix") or ""
-        vocab = model["vocab"]
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.names = {i: t for t, i in (vocab | self.special).items()}
-        self.pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.pieces = regex.compile("\n|" + self.pattern)
-        self.split_special = re.compile("(" + "|".join(re.escape(x) for x in sorted(self.special, key=len, reverse=True)) + ")")
+
+class Merges:
+    """A vocabulary's merges: ``pair`` -> (rank, joined token), and each token's first merge in ``parts``."""
+
+    def __init__(self, vocab: dict[str, int], merges: list):
         self.pair: dict[tuple[int, int], tuple[int, int]] = {}
         self.parts: dict[int, tuple[int, int, int]] = {}
-        for rank, merge in enumerate(model["merges"]):
+        for rank, merge in enumerate(merges):
             a, b = merge if isinstance(merge, list) else merge.split(" ")
             whole = vocab[a + b]
             self.pair[vocab[a], vocab[b]] = (rank, whole)
             self.parts.setdefault(whole, (rank, vocab[a], vocab[b]))
-        byte = {x: b for b, x in _byte_letters().items()}
-        inner, final = {}, {}
-        for token, i in vocab.items():
-            if not self._reachable(i):  # a token that BPE never leaves is no candidate
-                continue
-            if suffix and token.endswith(suffix):
-                final[bytes(byte[x] for x in token[: -len(suffix)])] = i
-            else:
-                inner[bytes(byte[x] for x in token)] = i
-        self.links = SuffixLinks(inner, final if suffix else inner)
-        self.length = np.zeros(max(self.names) + 1, dtype=np.int32)
-        self.length[self.links.token] = self.links.size
-        self.fit_key = np.full(1 << FIT_BITS, -1, dtype=np.int64)
-        self.fit = np.zeros(1 << FIT_BITS, dtype=bool)
-        self.young: dict[str, tuple[bytes, str]] = {}
-        self.old: dict[str, tuple[bytes, str]] = {}
 
     def merged(self, symbols: list[int]) -> list[int]:
         """Plain BPE, merge by merge; only for the vocabulary's own tokens and for tests."""
@@ -167,7 +156,7 @@ class Tokenizer:
             ids = out
         return ids
 
-    def _reachable(self, token: int) -> bool:
+    def reachable(self, token: int) -> bool:
         """Does BPE of the token's own symbols give the token?"""
         stack, base = [token], []
         while stack:
@@ -178,25 +167,83 @@ class Tokenizer:
                 base.append(t)
         return self.merged(base) == [token]
 
-    def compatible(self, left: int, right: int) -> bool:
-        """Would BPE of both tokens' symbols end with exactly these two tokens?
+
+class Tokenizer:
+    """Word-end BPE read from a vocabulary file; ids and decoded text equal the library's."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        model = spec["model"]
+        suffix = model.get("end_of_word_suffix") or ""
+        vocab = model["vocab"]
+        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.names = {i: t for t, i in (vocab | self.special).items()}
+        self.pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
+        merges = Merges(vocab, model["merges"])
+        byte = {x: b for b, x in _byte_letters().items()}
+        inner, final = {}, {}
+        for token, i in vocab.items():
+            if not merges.reachable(i):  # a token that BPE never leaves is no candidate
+                continue
+            if suffix and token.endswith(suffix):
+                final[bytes(byte[x] for x in token[: -len(suffix)])] = i
+            else:
+                inner[bytes(byte[x] for x in token)] = i
+        self.links = SuffixLinks(inner, final if suffix else inner)
+        self.length = np.zeros(max(self.names) + 1, dtype=np.int32)
+        self.length[self.links.token] = self.links.size
+        # merges by pair (sorted keys with their ranks), and each token's own merge: rank (-1: none), left, right
+        keys = np.array([a << 20 | b for a, b in merges.pair], dtype=np.int64)
+        order = np.argsort(keys)
+        self.pair_key = keys[order]
+        self.pair_rank = np.array([rank for rank, _ in merges.pair.values()], dtype=np.int32)[order]
+        self.own = np.full((3, len(self.length)), -1, dtype=np.int32)
+        for whole, part in merges.parts.items():
+            self.own[:, whole] = part
+        self._fresh()
+
+    def _fresh(self) -> None:
+        """What a process keeps for itself: compiled patterns, the table of pair tests and the caches."""
+        self.pieces = regex.compile("\n|" + self.pattern)
+        self.split_special = re.compile("(" + "|".join(re.escape(x) for x in sorted(self.special, key=len, reverse=True)) + ")")
+        self.fit_key = np.full(1 << FIT_BITS, -1, dtype=np.int64)
+        self.fit = np.zeros(1 << FIT_BITS, dtype=bool)
+        self.young: dict[str, tuple[bytes, str]] = {}
+        self.old: dict[str, tuple[bytes, str]] = {}
+        self.young_bytes = 0
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in _OF_PROCESS}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._fresh()
+
+    def compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """For each pair of tokens: would BPE of both tokens' symbols end with exactly these two?
 
         Undo merges from the latest back (of two with one rank the right one is later).  At each
         step the tokens that touch at the border are those that stood there before that merge; a
         merge of theirs that comes before the step undone would have joined them."""
-        limit, a, b = (1 << 60, 0), left, right
-        while True:
-            join = self.pair.get((a, b))
-            if join is not None and (join[0], 1) < limit:
-                return False
-            ra = self.parts[a][0] if a in self.parts else -1
-            rb = self.parts[b][0] if b in self.parts else -1
-            if ra < 0 and rb < 0:
-                return True
-            if ra > rb:
-                limit, a = (ra, 1), self.parts[a][2]
-            else:
-                limit, b = (rb, 2), self.parts[b][1]
+        a, b = left.astype(np.int64), right.astype(np.int64)
+        limit = np.full(len(a), 1 << 60, dtype=np.int64)  # twice the rank undone, one more for the right token's
+        out = np.ones(len(a), dtype=bool)
+        todo = np.arange(len(a))
+        while len(todo):
+            key = a[todo] << 20 | b[todo]
+            at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)
+            joined = (self.pair_key[at] == key) & (2 * self.pair_rank[at].astype(np.int64) < limit[todo])
+            out[todo[joined]] = False
+            ra, rb = self.own[0, a[todo]].astype(np.int64), self.own[0, b[todo]].astype(np.int64)
+            left_last = ra > rb
+            on = ~joined & ((ra >= 0) | (rb >= 0))
+            undo_left, undo_right = todo[on & left_last], todo[on & ~left_last]
+            limit[undo_left], limit[undo_right] = 2 * ra[on & left_last], 2 * rb[on & ~left_last] + 1
+            a[undo_left] = self.own[2, a[undo_left]]
+            b[undo_right] = self.own[1, b[undo_right]]
+            todo = todo[on]
+        return out
 
     def _fits(self, before: np.ndarray, token: np.ndarray) -> np.ndarray:
         """Pair tests; answers are kept in a table of fixed size, where a newer pair takes an older one's place."""
@@ -206,8 +253,7 @@ class Tokenizer:
         miss = np.flatnonzero(self.fit_key[slot] != key)
         if len(miss):
             new, back = np.unique(key[miss], return_inverse=True)
-            ok = np.array([self.compatible(k >> 20, k & 0xFFFFF) for k in new.tolist()], dtype=bool)
-            out[miss] = ok[back]
+            out[miss] = self.compatible(new >> 20, new & 0xFFFFF)[back]
             self.fit_key[slot[miss]] = key[miss]
             self.fit[slot[miss]] = out[miss]
         return out
@@ -224,10 +270,10 @@ class Tokenizer:
         rows = np.arange(n)
         for k in range(size):
             if k < size - 1:
-                state = links.step[state, words[:, k]]
+                state = links.step[links.step_row[state], words[:, k]].astype(np.int32) - 1
                 at = links.first[state]
             else:
-                at = links.stop[state, words[:, k]]
+                at = links.stop[links.stop_row[state], words[:, k]].astype(np.int32) - 1
             todo = rows[at >= 0]
             at = at[todo]
             while len(todo):
@@ -318,10 +364,12 @@ class Tokenizer:
         fresh = need.difference(young)
         have = fresh.intersection(old)
         fresh = self._new_chunks(list(fresh.difference(have))) | {c: old[c] for c in have}
-        if len(young) + len(fresh) > CACHE:
+        if self.young_bytes > CACHE_BYTES:
             self.old = young
             self.young = young = {c: young[c] for c in need.intersection(young)}
+            self.young_bytes = _held(young)
         young |= fresh
+        self.young_bytes += _held(fresh)
         find = young.__getitem__
         out = []
         for parts in split:
@@ -330,10 +378,16 @@ class Tokenizer:
                 got += map(find, part) if isinstance(part, list) else [(np.int32(self.special[part]).tobytes(), part)]
             out.append((b"".join([e[0] for e in got]), " ".join([e[1] for e in got if e[0]])))
         for c in long:
-            del young[c]
+            ids, decoded = young.pop(c)
+            self.young_bytes -= ENTRY_BYTES + 2 * len(c) + len(ids) + len(decoded)
         return out
 
 
+def _held(entries: dict[str, tuple[bytes, str]]) -> int:
+    """About the bytes that cache entries take."""
+    return sum(ENTRY_BYTES + 2 * len(c) + len(ids) + len(decoded) for c, (ids, decoded) in entries.items())
+
+
 def _chunks(text: str) -> list[str]:
     if _ODD_SPACE.search(text):  # control characters that str.split() drops but the pattern keeps
         return [c for c in _SPACES.split(text) if c]
@@ -341,7 +395,7 @@ def _chunks(text: str) -> list[str]:
 
 
 def tokenizer(path: str) -> Tokenizer:
-    """The tokenizer of a vocabulary file, loaded once for each worker process."""
+    """The tokenizer of a vocabulary file, built once for each process (on Spark, in the driver alone)."""
     if path not in _LOADED:
         _LOADED[path] = Tokenizer(path)
     return _LOADED[path]
@@ -355,8 +409,10 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col
                            T.StructField(decoded_col, T.StringType())])
     names = [f.name for f in kept]
 
+    shipped = docs.sparkSession.sparkContext.broadcast(tokenizer(tokenizer_path))  # tables of a few MB, of the vocabulary's size
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokenizer(tokenizer_path)
+        tok = shipped.value
         for whole in batches:
             for lo in range(0, whole.num_rows, 500):
                 batch = whole.slice(lo, 500)

@@ -1,4 +1,6 @@
 import hashlib
+import json
+import pickle
 import random
 
 import numpy as np
@@ -43,16 +45,19 @@ def test_equals_library_on_special_cases(library):
 
 def test_dynamic_programme_equals_merging():
     tok = bpe.tokenizer(PATH)
-    names = {t: i for i, t in tok.names.items()}
+    with open(PATH, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    names, merges = model["vocab"], bpe.Merges(model["vocab"], model["merges"])
     rng = random.Random(6)
     words = ["".join(rng.choice("aeinothr") for _ in range(rng.randrange(1, 30))) for _ in range(500)]
     for word, got in zip(words, tok.encode_words(words)):
-        assert got == tok.merged([*[names[c] for c in word[:-1]], names[word[-1] + "</w>"]])
+        assert got == merges.merged([*[names[c] for c in word[:-1]], names[word[-1] + "</w>"]])
 
 
 def test_cache_turns_over(monkeypatch, library):
-    monkeypatch.setattr(bpe, "CACHE", 50)
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 20_000)
     tok = bpe.Tokenizer(PATH)
+    tok = pickle.loads(pickle.dumps(tok))  # as it is shipped to workers
     for n in range(20):
         text = " ".join(f"w{k}x" for k in range(n * 7, n * 7 + 30)) + " " + "z" * 100
         assert ids(tok.encode_batch([text])[0][0]) == library.encode(text, add_special_tokens=False).ids

@@ -1,6 +1,5 @@
 import re
 
-import duckdb
 import pytest
 from edge import empty, table
 
@@ -62,4 +61,4 @@ def test_edge_and_empty_tables(spark):
 
 
 def test_run(spark):
-    assert pipeline.run(spark, SF).count() > duckdb.sql(f"select count(*) from '{SF}/documents.parquet'").fetchone()[0]
+    assert pipeline.run(spark, SF).count() > read_table(spark, SF, "documents").count()
