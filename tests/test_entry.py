@@ -36,7 +36,7 @@ def test_changed_input_is_read_again(spark, tmp_path):
     import shutil
     from clientele.plans import catalog
     for name in os.listdir(SF001):
-        shutil.copy(os.path.join(SF001, name), tmp_path / name)
+        shutil.copyfile(os.path.join(SF001, name), tmp_path / name)
     before = catalog.base(spark, str(tmp_path)).count()
     fewer = spark.read.parquet(f"{SF001}/customer.parquet").limit(10).toPandas()
     fewer.to_parquet(tmp_path / "customer.parquet")
