@@ -16,19 +16,28 @@ column (``CrossValidator(foldCol=...)``).
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+import functools
+import itertools
+import json
+
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator, ClusteringEvaluator,
                                    MulticlassClassificationEvaluator)
 from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clientele.operators import leafwise as LW
 from clientele.operators import metrics as MT
 from clientele.operators import prep as PR
+from clientele.operators import trees as TR
+from clientele.session import freeze, release
 
 SEED = 42
 
@@ -77,6 +86,28 @@ class FeatureSpec:
         return spec
 
 
+class FeatureManifest(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """The model's inputs in the model's order, whatever columns a table brings: numeric features that are absent are
+    added as 0, absent categories as NULL (all their dummies are 0); other columns stay behind them.
+
+    Persists with the pipeline it stands in."""
+
+    numeric = Param(Params._dummy(), "numeric", "numeric features in order", TypeConverters.toListString)
+    categories = Param(Params._dummy(), "categories", "categorical features in order", TypeConverters.toListString)
+
+    def __init__(self, numeric: list[str] | None = None, categories: list[str] | None = None):
+        super().__init__()
+        self._setDefault(numeric=[], categories=[])
+        self._set(**{k: v for k, v in (("numeric", numeric), ("categories", categories)) if v is not None})
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        numeric, categories = self.getOrDefault(self.numeric), self.getOrDefault(self.categories)
+        have = set(df.columns)
+        cols = [F.col(f"`{c}`") if c in have else F.lit(0.0).alias(c) for c in numeric]
+        cols += [F.col(f"`{c}`") if c in have else F.lit(None).cast("string").alias(c) for c in categories]
+        return df.select(*cols, *[F.col(f"`{c}`") for c in df.columns if c not in {*numeric, *categories}])
+
+
 def prepared(df: DataFrame, spec: FeatureSpec, target: str = "Response") -> DataFrame:
     """Frame with the double ``label`` column the estimators read."""
     return df.withColumn("label", F.col(target).cast("double"))
@@ -94,7 +125,7 @@ def pipeline(spec: FeatureSpec, classifier) -> Pipeline:
     quantile summaries (bounded memory) and keeps them in the model, so
     scoring new rows reuses the training medians.
     """
-    stages = [SQLTransformer(statement=encoder_sql(spec.levels))]
+    stages = [FeatureManifest(spec.numeric, list(spec.levels)), SQLTransformer(statement=encoder_sql(spec.levels))]
     inputs = list(spec.dummies)
     if spec.numeric:
         stages.append(Imputer(strategy="median", inputCols=spec.numeric,
@@ -136,8 +167,61 @@ def boosted_trees(max_iter: int = 100, max_depth: int = 5, step: float = 0.1, su
     return gbt
 
 
+class LeafwiseClassifier:
+    """Leaf-wise boosted trees over a FeatureSpec; fitted, it transforms, scores and saves like a pipeline model."""
+
+    def __init__(self, spec: FeatureSpec, model: LW.LeafwiseModel):
+        self.spec, self.model = spec, model
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        out = self.model.score(encoded(df, self.spec), "_p").withColumn("prediction", (F.col("_p") >= 0.5).cast("double"))
+        return out.withColumn("probability", array_to_vector(F.array(1.0 - F.col("_p"), F.col("_p")))).drop("_p")
+
+    def save(self, path: str) -> None:
+        spark = _spark()
+        self.model.save(spark, f"{path}/trees")
+        text = json.dumps({"numeric": self.spec.numeric, "levels": self.spec.levels})
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/features")
+
+    @classmethod
+    def load(cls, path: str) -> "LeafwiseClassifier":
+        spark = _spark()
+        spec = json.loads(spark.read.text(f"{path}/features", wholetext=True).first()[0])
+        return cls(FeatureSpec(**spec), LW.LeafwiseModel.load(spark, f"{path}/trees"))
+
+
+def encoded(df: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """``df`` with every model column of ``spec`` present (numbers, dummies)."""
+    full = FeatureManifest(spec.numeric, list(spec.levels)).transform(df)
+    return SQLTransformer(statement=encoder_sql(spec.levels)).transform(full)
+
+
+def fit_leafwise(train: DataFrame, spec: FeatureSpec, params: LW.Params | None = None, weight_col: str | None = None,
+                 id_col: str = "ID") -> LeafwiseClassifier:
+    """Leaf-wise boosted trees on the training rows (missing numbers are left to the trees)."""
+    rows = encoded(prepared(train, spec), spec)
+    return LeafwiseClassifier(spec, LW.fit(rows, spec.columns, "label", F.col(id_col), F.col(weight_col) if weight_col else None, params))
+
+
+def tree_attributions(model, df: DataFrame, spec: FeatureSpec, sample: int | None = 100, id_col: str = "ID") -> DataFrame:
+    """(id, feature, attribution, value) of a reproducible sample of rows (all with ``sample=None``): Shapley values of every
+    feature in the model's score - probability for a forest, margin for boosted trees (see :mod:`trees`)."""
+    rows = PR.sample_rows(df, sample, SEED, id_col) if sample else df
+    if isinstance(model, LeafwiseClassifier):
+        return TR.attribution_table(encoded(rows, spec), model.model.ensemble(), id_col)
+    # the fitted stages before the trees give the inputs, gaps filled with the training medians
+    for stage in model.stages[:-2]:
+        rows = stage.transform(rows)
+    inputs = model.stages[-2].getInputCols()
+    names = [c.removeprefix(imputed("")) for c in inputs]
+    rows = rows.select(id_col, *[F.col(f"`{c}`").cast("double").alias(n) for c, n in zip(inputs, names)])
+    return TR.attribution_table(rows, TR.ensemble_of(model.stages[-1], names), id_col)
+
+
 def feature_importance(model: PipelineModel, spec: FeatureSpec) -> DataFrame:
     """(feature, importance) of the fitted tree ensemble, most important first."""
+    if isinstance(model, LeafwiseClassifier):
+        return model.model.importance(_spark()).select("feature", F.col("gain").alias("importance"))
     imp = model.stages[-1].featureImportances.toArray()
     spark = _spark()
     rows = [(c, float(v)) for c, v in zip(spec.columns, imp)]
@@ -192,9 +276,73 @@ def evaluation_frame(model: PipelineModel, test: DataFrame, spec: FeatureSpec) -
     return out.select("label", "prediction", vector_to_array("probability")[1].alias("score"))
 
 
-RF_GRID = {"numTrees": [100, 200], "maxDepth": [30, 10, 20], "minInstancesPerNode": [1, 2]}
-GBT_GRID = {"maxIter": [100, 200], "maxDepth": [3, 6], "stepSize": [0.01, 0.1], "subsamplingRate": [0.8, 1.0]}
-GBT_LEAFWISE_GRID = {"maxIter": [100, 200], "maxDepth": [5, 6], "stepSize": [0.01, 0.1], "subsamplingRate": [0.8, 1.0]}
+# The grids of the three models (24, 32 and 32 points).
+RF_GRID = {"numTrees": [100, 200], "maxDepth": [30, 10, 20], "min_split": [2, 5], "min_leaf": [1, 2]}
+GBT_GRID = {"iterations": [100, 200], "max_depth": [3, 6], "learning_rate": [0.01, 0.1], "subsample": [0.8, 1.0], "colsample": [0.8, 1.0]}
+LEAFWISE_GRID = {"iterations": [100, 200], "num_leaves": [31, 50], "learning_rate": [0.01, 0.1], "subsample": [0.8, 1.0], "colsample": [0.8, 1.0]}
+
+
+def grid_points(grid: dict) -> list[dict]:
+    """All combinations of a grid's values."""
+    return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
+
+
+def fit_point(kind: str, train: DataFrame, spec: FeatureSpec, point: dict, weight_col: str | None = None, scale_pos_weight: float = 1.0):
+    """Fit one grid point of a kind: ``forest`` (Spark ML parameters), ``levelwise`` or ``leafwise`` boosted trees (leafwise.Params;
+    level-wise means a depth limit and no limit of leaves below it)."""
+    point = dict(point)
+    if kind == "forest":
+        # Spark's trees know a least leaf size only; a node of ``min_split`` rows or more has room for two such leaves
+        least = max(point.pop("min_leaf", 1), point.pop("min_split", 2) // 2)
+        classifier = random_forest(weight_col=weight_col).setParams(**point, minInstancesPerNode=least)
+        return pipeline(spec, classifier).fit(prepared(train, spec))
+    if kind == "levelwise":
+        point.setdefault("max_depth", 6)
+        point = {"l2": 1.0, "min_rows": 1, **point, "num_leaves": 2 ** point["max_depth"]}
+    return fit_leafwise(train, spec, LW.Params(**point, scale_pos_weight=scale_pos_weight), None if scale_pos_weight != 1.0 else weight_col)
+
+
+def resumable_grid(train: DataFrame, spec: FeatureSpec, kind: str, grid: dict, folder: str, metric: str = "roc_auc", fold_col: str = "fold",
+                   weight_col: str | None = None, scale_pos_weight: float = 1.0) -> DataFrame:
+    """(point, params, avg_metric) of every grid point, cross-validated over ``fold_col``; best ones first.
+
+    The training rows are written once with the columns the models read; every point's held-out scores of all folds
+    are evaluated in one pass, and its result is a file in ``folder`` (shared storage).  A run that was stopped
+    goes on with the points that have no file; a folder belongs to one table, kind and grid."""
+    spark = train.sparkSession
+    columns = [*spec.numeric, *spec.levels]
+    keep = ["ID", "Response", fold_col, *([weight_col] if weight_col else [])]
+    rows = freeze(train.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, *columns])]))
+    folds = sorted(r[0] for r in rows.select(fold_col).distinct().collect())
+    done = _grid_done(spark, folder)
+    for number, point in enumerate(grid_points(grid)):
+        text = json.dumps(point, sort_keys=True)
+        if text in done:
+            continue
+        parts = []
+        for f in folds:
+            model = fit_point(kind, rows.where(F.col(fold_col) != f), spec, point, weight_col, scale_pos_weight)
+            parts.append(evaluation_frame(model, rows.where(F.col(fold_col) == f), spec).withColumn("model", F.lit(str(f))))
+        scored = functools.reduce(DataFrame.unionByName, parts)
+        column = "roc_auc" if metric == "roc_auc" else "f1_score"
+        value = MT.evaluate_models(scored).agg(F.avg(column)).first()[0]
+        spark.createDataFrame([(number, text, float(value or 0.0))], "point int, params string, avg_metric double").coalesce(1).write.mode("append").parquet(folder)
+    release(rows)
+    return spark.read.schema("point int, params string, avg_metric double").parquet(folder).dropDuplicates(["params"]).orderBy(F.desc("avg_metric"), "point")
+
+
+def _grid_done(spark, folder: str) -> set[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path):
+        return set()
+    return {r[0] for r in spark.read.schema("point int, params string, avg_metric double").parquet(folder).select("params").collect()}
+
+
+def tuned(train: DataFrame, spec: FeatureSpec, kind: str, grid: dict, folder: str, metric: str = "roc_auc", weight_col: str | None = None,
+          scale_pos_weight: float = 1.0):
+    """The best grid point's model, fitted on all training rows."""
+    best = resumable_grid(train, spec, kind, grid, folder, metric, "fold", weight_col, scale_pos_weight).first()
+    return fit_point(kind, train, spec, json.loads(best["params"]), weight_col, scale_pos_weight)
 
 
 def param_grid(classifier, grid: dict) -> list:

@@ -19,8 +19,10 @@ from pyspark.sql import types as T
 
 from clientele.operators import features as FT
 from clientele.operators import gram
-from clientele.operators.ranking import with_slices
+from clientele.operators.ranking import global_rank, with_slices
 from clientele.operators.reports import NUMERIC_TYPES, pair_correlations
+from clientele.operators.selection import literal_at
+from clientele.session import freeze
 
 DATE_PART_COLUMNS = ["Enrollment_Year", "Enrollment_Month", "Enrollment_Quarter"]
 SCORE_COLUMNS = ["R_Score", "F_Score", "M_Score"]
@@ -90,8 +92,9 @@ def category_levels(df: DataFrame, cols) -> dict[str, list[str]]:
     """Level list per column: fixed order for bin/score columns, sorted distinct values otherwise.
 
     The distinct values of every other column come from one distinct over
-    (column, value) pairs, at most MAX_LEVELS of each column (a one-hot
-    encoding has a column for each; more raise an error).
+    (column, value) pairs.  The list is for encodings with a column for each level; a column of more
+    than MAX_LEVELS levels would need as many columns and is refused by name: :func:`sparse_one_hot` encodes
+    any number.
     """
     levels = {c: list(CATEGORY_LEVELS[c]) for c in cols if c in CATEGORY_LEVELS}
     rest = [c for c in cols if c not in levels]
@@ -101,13 +104,40 @@ def category_levels(df: DataFrame, cols) -> dict[str, list[str]]:
         pairs = pairs.where(F.col("value").isNotNull()).distinct()
         too_many = {r[0]: r[1] for r in pairs.groupBy("column").count().where(F.col("count") > MAX_LEVELS).collect()}
         if too_many:
-            raise ValueError(f"too many levels to one-hot encode (limit {MAX_LEVELS}): {too_many}")
+            raise ValueError(f"more than {MAX_LEVELS} levels, encode with sparse_one_hot: {too_many}")
         levels |= {c: [] for c in rest}
         for c, value in sorted(map(tuple, pairs.collect())):
             levels[c].append(value)
     return levels
 
 
+def level_dictionary(df: DataFrame, cols) -> DataFrame:
+    """(column, value, index) of every level of ``cols``: indices count from 0 by column as listed, then by value.
+
+    The levels are ranked where they are (a distinct and a distributed rank), so any number of them works and
+    none reaches the driver; written in the checkpoint folder."""
+    cols = list(cols)
+    place = F.element_at(F.create_map(*[F.lit(x) for i, c in enumerate(cols) for x in (c, i)]), F.col("column"))
+    pairs = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "value")
+    pairs = pairs.where(F.col("value").isNotNull()).distinct().withColumn("_place", place)
+    return freeze(global_rank(pairs, ["_place", "value"]).select("column", "value", (F.col("_rank") - 1).alias("index")))
+
+
+def sparse_one_hot(df: DataFrame, cols, dictionary: DataFrame | None = None, id_col: str = "ID", out: str = "one_hot") -> DataFrame:
+    """``df`` without ``cols`` and with ``out``: the ascending indices of its levels (array of long; each stands for a 1).
+
+    NULL and unseen values have no index.  ``id_col`` need not be unique.  Each column is joined with its part of
+    the dictionary (AQE broadcasts a small part; a large one is a shuffle join by value)."""
+    cols = list(cols)
+    dictionary = level_dictionary(df, cols) if dictionary is None else dictionary
+    rows = df
+    for i, c in enumerate(cols):
+        part = dictionary.where(F.col("column") == c).select(F.col("value").alias(f"_v{i}"), F.col("index").alias(f"_i{i}"))
+        rows = rows.join(part, F.col(f"`{c}`").cast("string") == F.col(f"_v{i}"), "left").drop(f"_v{i}")
+    found = F.array_sort(F.array_compact(F.array(*[F.col(f"_i{i}") for i in range(len(cols))])))
+    return rows.select(*[F.col(f"`{c}`") for c in df.columns if c not in cols], found.alias(out))
+
+
 def dummy_name(col: str, level: str) -> str:
     return f"{col}_{level}"
 
@@ -170,54 +200,104 @@ def yeo_johnson_apply(df: DataFrame, lambdas: dict[str, float]) -> DataFrame:
     return df.withColumns({c: yeo_johnson(F.col(c), lam) for c, lam in lambdas.items()})
 
 
-def _yeo_johnson_col(x: Column, lam: Column) -> Column:
-    """psi_lambda(x) for a per-row lambda column (used while fitting)."""
-    eps = F.lit(1e-12)
-    pos = F.when(F.abs(lam) < eps, F.log1p(x)).otherwise(F.try_divide(F.pow(x + 1.0, lam) - 1.0, lam))
-    two = F.lit(2.0) - lam
-    neg = F.when(F.abs(two) < eps, -F.log1p(-x)).otherwise(-F.try_divide(F.pow(1.0 - x, two) - 1.0, two))
-    return F.when(x >= 0, pos).otherwise(neg)
-
+#: Lambdas tried at once for each column, and the first bracket of the search.
+YJ_POINTS = 9
+YJ_BRACKET = (-2.0, 4.0)
 
-def fit_yeo_johnson(df: DataFrame, cols, lo: float = -3.0, hi: float = 3.0, grid: int = 13,
-                    rounds: int = 3) -> dict[str, float]:
-    """Maximum-likelihood lambda per column (Yeo & Johnson 2000) with a few aggregate passes.
 
-    The columns are unpivoted to (column index, value) rows; each pass is ONE
-    aggregate grouped by column that evaluates a ``grid``-point lambda bracket
-    (var_pop of the transformed values per candidate), after which every
-    column's bracket narrows around its best candidate.  The plan stays the
-    same size whatever the number of columns.
-    """
+def _yj_stats(df: DataFrame, cols) -> tuple[DataFrame, dict[int, tuple]]:
+    """The columns' present values as rows (_c, v), and for each column that is not constant: rows, sum of signed logs, least
+    and greatest log of values from 0 on, the same of negative ones (None without any)."""
     from clientele.operators.reports import column_values
+    v = F.col("v")
+    long = column_values(df, cols).where(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    log = F.log1p(F.abs(v))
+    pos, neg = F.when(v >= 0, log), F.when(v < 0, log)
+    got = long.groupBy("_c").agg(F.count(v), F.sum(F.signum(v) * log), F.min(pos), F.max(pos), F.min(neg), F.max(neg), F.min("v") < F.max("v")).collect()
+    return long, {r[0]: tuple(r)[1:7] for r in got if r[7]}
+
+
+def _yj_likelihoods(long: DataFrame, stats: dict[int, tuple], lambdas: dict[int, list[float]]) -> dict[int, list[float]]:
+    """Log likelihood of each column's lambdas, all from one grouped aggregate.
+
+    With exponents k * log below 1 a value is expm1(k log) / k.  Otherwise it is exp(k log - m) / k, m the greatest
+    exponent that occurs, so that moments neither overflow nor vanish (the logarithm of the variance takes 2 m
+    back); the constant 1 / k matters, and is kept, only where values of both signs meet."""
+    width = max(map(len, lambdas.values()))
+    size = (max(lambdas) + 1) * width
+    flat, scale, one = [0.0] * size, [0.0] * size, [-1.0] * size
+    for c, values in lambdas.items():
+        _, _, *ends = stats[c]
+        for j, lam in enumerate(values):
+            exponents = [k * u for k, u in zip((lam, lam, 2.0 - lam, 2.0 - lam), ends) if u is not None]
+            at = c * width + j
+            flat[at] = lam
+            if max(map(abs, exponents)) >= 1.0:
+                mixed = None not in ends
+                scale[at] = max(exponents + [0.0] * mixed)
+                one[at] = math.exp(-scale[at]) if mixed else 0.0
+    rows = long.where(F.col("_c").isin(list(lambdas))).withColumn("_j", F.explode(F.expr(f"sequence(0, {width - 1})")))
+    place = F.col("_c") * width + F.col("_j")
+    v, lam, m, c0 = F.col("v"), literal_at(flat, place), literal_at(scale, place), literal_at(one, place)
+    log = F.log1p(F.abs(v))
+
+    def power(k: Column, sign: int) -> Column:
+        near = F.when(F.abs(k) < 1e-12, log).otherwise(F.try_divide(F.expm1(k * log), k))
+        far = F.when(F.abs(k) < 1e-12, log * F.exp(-m)).otherwise(F.try_divide(F.exp(k * log - m) - c0, k))
+        return sign * F.when(c0 < 0, near).otherwise(far)
+
+    y = F.when(v >= 0, power(lam, 1)).otherwise(power(2.0 - lam, -1))
+    got = {(r[0], r[1]): r[2] for r in rows.groupBy("_c", "_j").agg(F.var_pop(y)).collect()}
+    out = {}
+    for c, values in lambdas.items():
+        n, logs = stats[c][:2]
+        out[c] = [-n / 2.0 * (math.log(got[c, j]) + 2.0 * scale[c * width + j]) + (lam - 1.0) * logs if got.get((c, j)) else -math.inf
+                  for j, lam in enumerate(values)]
+    return out
+
+
+def yeo_johnson_likelihood(df: DataFrame, cols, lambdas) -> DataFrame:
+    """(column, lambda, log_likelihood) for every column that is not constant and each of the lambdas."""
+    cols, lambdas = list(cols), [float(x) for x in lambdas]
+    long, stats = _yj_stats(df, cols)
+    found = _yj_likelihoods(long, stats, {c: lambdas for c in stats}) if stats else {}
+    return df.sparkSession.createDataFrame([(cols[c], lam, v) for c, values in found.items() for lam, v in zip(lambdas, values)],
+                                           "column string, lambda double, log_likelihood double")
+
+
+def fit_yeo_johnson(df: DataFrame, cols, step: float = 1e-3) -> dict[str, float]:
+    """Maximum-likelihood lambda of each column (Yeo & Johnson 2000); 1 for a column without two distinct values.
+
+    A bracketing search for all columns at once.  A pass is one grouped aggregate that tries YJ_POINTS evenly
+    spaced lambdas of each column's bracket.  With the best one inside, the bracket becomes its two neighbours;
+    at an end, the bracket doubles beyond it, however far the maximum lies.  Once points are ``step``
+    apart, the top of the parabola through the best three is taken (its error is of the order of step squared)."""
     cols = list(cols)
     if not cols:
         return {}
-    long = column_values(df, cols).where(F.col("v").isNotNull())
-    brackets = [(lo, hi) for _ in cols]
-    best = [1.0 for _ in cols]
-    for _ in range(rounds):
-        starts = F.element_at(F.array(*[F.lit(float(b[0])) for b in brackets]), F.col("_c") + 1)
-        steps = F.element_at(F.array(*[F.lit((b[1] - b[0]) / (grid - 1)) for b in brackets]), F.col("_c") + 1)
-        x = F.col("v")
-        aggs = [F.var_pop(_yeo_johnson_col(x, starts + steps * j)).alias(f"v{j}") for j in range(grid)]
-        aggs += [F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("s"), F.count(x).alias("n")]
-        rows = {r["_c"]: r for r in long.groupBy("_c").agg(*aggs).collect()}
-        for i in range(len(cols)):
-            r = rows.get(i)
-            if r is None:
-                continue
-            b0, step = brackets[i][0], (brackets[i][1] - brackets[i][0]) / (grid - 1)
-            scores = []
-            for j in range(grid):
-                v = r[f"v{j}"]
-                lam = b0 + step * j
-                ok = v is not None and v > 0 and math.isfinite(v)
-                scores.append(-r["n"] / 2.0 * math.log(v) + (lam - 1.0) * (r["s"] or 0.0) if ok else -math.inf)
-            j = int(np.argmax(scores))
-            best[i] = b0 + step * j
-            brackets[i] = (best[i] - step, best[i] + step)
-    return {c: float(b) for c, b in zip(cols, best)}
+    long, stats = _yj_stats(df, cols)
+    out = {c: 1.0 for c in range(len(cols))}
+    brackets = {c: YJ_BRACKET for c in stats}
+    for _ in range(60):
+        if not brackets:
+            break
+        points = {c: np.linspace(lo, hi, YJ_POINTS).tolist() for c, (lo, hi) in brackets.items()}
+        for c, values in _yj_likelihoods(long, stats, points).items():
+            (lo, hi), at = brackets[c], int(np.argmax(values))
+            gap = (hi - lo) / (YJ_POINTS - 1)
+            out[c] = points[c][at]
+            if at in (0, YJ_POINTS - 1) and math.isfinite(values[at]) and abs(out[c]) < 1e3:
+                brackets[c] = (lo - (hi - lo), lo + gap) if at == 0 else (hi - gap, hi + (hi - lo))
+            elif gap > step and at not in (0, YJ_POINTS - 1):
+                brackets[c] = (out[c] - gap, out[c] + gap)
+            else:
+                if 0 < at < YJ_POINTS - 1:
+                    a, b, d = values[at - 1:at + 2]
+                    bend = a - 2.0 * b + d
+                    if math.isfinite(bend) and bend < 0:
+                        out[c] += gap * 0.5 * (a - d) / bend
+                del brackets[c]
+    return {name: float(out[c]) for c, name in enumerate(cols)}
 
 
 def standard_scale(df: DataFrame, cols=None, stats: dict[str, tuple[float, float]] | None = None) -> DataFrame:
@@ -373,6 +453,22 @@ def stratified_folds(df: DataFrame, target: str = "Response", k: int = 5, id_col
     return with_slices(keyed, "_h", id_col, [target], [(i, k) for i in range(1, k)], "fold").drop("_h")
 
 
+def fit_numeric_transform(df: DataFrame, target: str = "Response", id_col: str = "ID") -> dict:
+    """Parameters of the numeric preparation: lambdas of Yeo-Johnson (for all numeric columns, if any is skewed) and
+    means and deviations of the transformed columns.  Fit on training rows."""
+    nums = numeric_feature_columns(drop_dates(df), id_col, target)
+    skewed = [r["column"] for r in skewness(df, nums).where("skewed").collect()] if nums else []
+    lambdas = fit_yeo_johnson(df, nums) if skewed else {}
+    return {"numeric": nums, "skewed": skewed, "lambdas": lambdas, "scale": scale_stats(yeo_johnson_apply(df, lambdas), nums)}
+
+
+def apply_numeric_transform(df: DataFrame, params: dict) -> DataFrame:
+    """Yeo-Johnson and standard scaling with fitted parameters; columns that ``df`` lacks are skipped."""
+    have = set(df.columns)
+    out = yeo_johnson_apply(df, {c: lam for c, lam in params["lambdas"].items() if c in have})
+    return standard_scale(out, stats={c: s for c, s in params["scale"].items() if c in have}) if params["scale"] else out
+
+
 def prepare_for_modeling(df: DataFrame, target: str = "Response", id_col: str = "ID",
                          transform: bool = True) -> tuple[DataFrame, dict]:
     """The batch preparation: drop dates, one-hot categoricals, Yeo-Johnson when any column is

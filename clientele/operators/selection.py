@@ -42,7 +42,7 @@ def _list(values) -> str:
     return f"array({', '.join(map(_number, values))})"
 
 
-def _at(values, index: Column) -> Column:
+def literal_at(values, index: Column) -> Column:
     """The entry of a literal list at a 0-based index (written as one SQL literal: it may be long)."""
     return F.element_at(F.expr(_list(values)), index + 1)
 
@@ -76,11 +76,11 @@ def _selected(values: DataFrame, by: Sequence[str], shares: Sequence[float], low
         of = lambda name, none: [v for c in range(max(got, default=-1) + 1) for v in (got[c][name] if c in got else none)]
         nothing = [float("nan")] * len(shares)
         place = F.col("_c") * len(shares) + p
-        n = _at([got[c]["_n"] if c in got else 0 for c in range(max(got, default=0) + 1)], F.col("_c"))
-        lower, upper = _at(of("_a", nothing) or nothing, place), _at(of("_b", nothing) or nothing, place)
+        n = literal_at([got[c]["_n"] if c in got else 0 for c in range(max(got, default=0) + 1)], F.col("_c"))
+        lower, upper = literal_at(of("_a", nothing) or nothing, place), literal_at(of("_b", nothing) or nothing, place)
     rows = rows.withColumn("_p", F.explode(F.expr(f"sequence(0, {len(shares) - 1})")))
     if only is not None:
-        rows = rows.where(_at(only, p) == F.col("_c"))
+        rows = rows.where(literal_at(only, p) == F.col("_c"))
     keys_in = [f"_g{i}" for i in range(len(keys))]
     counted = (rows.where(x <= upper).select(*keys_in, "_p", F.when(x >= lower, F.col("_x")).alias("_v"), n.alias("_n"))
                .groupBy(*keys_in, "_p", "_v").agg(F.count(F.lit(1)).alias("_rows"), F.max("_n").alias("_n")))
@@ -115,7 +115,7 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float], b
     for b in by:
         df = df.where(F.col(f"`{b}`").isNotNull())
     probs = [float(p) for p in probs]
-    place = lambda n, p: (n - 1).cast("double") * _at(probs, p)
+    place = lambda n, p: (n - 1).cast("double") * literal_at(probs, p)
     got = _selected(_columns(df, by, [present(F.col(f"`{c}`")) for c in cols]), by, probs,
                     lambda n, p: F.floor(place(n, p)) + 1, lambda n, p: F.ceil(place(n, p)) + 1)
     t = place(F.col("_n"), F.col("_p"))
@@ -131,7 +131,7 @@ def select_rows(df: DataFrame, orders: Sequence[Sequence[Column]], cuts: Sequenc
     (order, group values, cut) -> the row's key values (None for keys that no tie made necessary); a rank below 1
     has no entry.  The answer is one entry for each order, group and cut: for a bounded number of groups."""
     rows = df.select(*[F.col(f"`{b}`") for b in by], *[k.alias(f"_k{o}_{i}") for o, keys in enumerate(orders) for i, k in enumerate(keys)])
-    place = lambda n, p: rank(n, _at([a for a, _ in cuts], p), _at([b for _, b in cuts], p))
+    place = lambda n, p: rank(n, literal_at([a for a, _ in cuts], p), literal_at([b for _, b in cuts], p))
     firsts = _columns(rows, by, [F.col(f"_k{o}_0") for o in range(len(orders))])
     found = {}  # (order, group, cut) -> (key values so far, rank left among the ties, ties)
     for r in _selected(firsts, by, [a / b for a, b in cuts], place, place).collect():
@@ -151,7 +151,7 @@ def select_rows(df: DataFrame, orders: Sequence[Sequence[Column]], cuts: Sequenc
             tied.append(F.when(reduce(and_, same), F.col(f"_k{o}_{level}")))
         members = [(number, key) for number, mine in enumerate(sets.values()) for key in mine]
         ranks = [found[key][1] for _, key in members]
-        fixed = lambda _, p, ranks=ranks: _at(ranks, p)
+        fixed = lambda _, p, ranks=ranks: literal_at(ranks, p)
         shares = [(r - 0.5) / found[key][2] for r, (_, key) in zip(ranks, members)]
         for r in _selected(_columns(rows, (), tied), (), shares, fixed, fixed, [number for number, _ in members]).collect():
             key = members[r["_p"]][1]

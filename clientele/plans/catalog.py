@@ -638,12 +638,12 @@ def q_metrics_long(spark, d):
     + " FROM (" + " UNION ALL ".join(_evaluate_sql(r, i) for i, r in enumerate(RULES))
     + ") ORDER BY roc_auc DESC, \"order\" LIMIT 1"))
 def q_best_model(spark, d):
+    # all rules' scores in one long table, evaluated in one pass
     f = feat(spark, d)
-    wide = None
-    for i, r in enumerate(RULES):
-        e = _evaluate_rule(f, r, i)
-        wide = e if wide is None else wide.unionByName(e)
-    return RP.round_doubles(MT.best_model(wide, "roc_auc").select(
+    rules = [F.struct(F.lit(r).alias("model"), F.lit(i).alias("order"), F.least(F.expr(e), F.lit(1.0)).alias("score")) for i, (r, e) in enumerate(RULES.items())]
+    long = f.select(F.col("Response").alias("label"), F.explode(F.array(*rules)).alias("r")).select(
+        "label", "r.*", (F.col("r.score") >= 0.5).cast("int").alias("prediction"))
+    return RP.round_doubles(MT.best_model(MT.evaluate_models(long, keep=("order",)), "roc_auc").select(
         "model", "order", "accuracy", "f1_score", "precision", "recall", "roc_auc", "pr_auc"), 6)
 
 
@@ -834,26 +834,37 @@ def q_model_metrics(spark, d):
 def q_permutation_importance(spark, d):
     from clientele.operators import modeling as ML
     model, spec, split = _fitted_forest(spark, d)
-    return ML.permutation_importance(model, split.where(F.col("is_test")), spec,
-                                     ["Recency", "Customer_Tenure_Days", "TotalSpend", "TotalPurchases", "Income"])
+    return ML.permutation_importance(model, split.where(F.col("is_test")), spec)
+
+
+@register("tree_attributions")
+def q_tree_attributions(spark, d):
+    """Attributions of 100 test rows over the fitted forest."""
+    from clientele.operators import modeling as ML
+    model, spec, split = _fitted_forest(spark, d)
+    return ML.tree_attributions(model, split.where(F.col("is_test")), spec, 100)
 
 
 @register("customer_clusters")
 def q_customer_clusters(spark, d):
     from clientele.operators import modeling as ML
-    profile, sil = ML.customer_clusters(feat(spark, d), ["Income", "TotalSpend", "TotalPurchases", "Age",
-                                                          "Customer_Tenure_Days", "Recency"])
+    profile, sil = ML.customer_clusters(feat(spark, d), _MODEL_NUMBERS)
     return profile.withColumn("silhouette", F.lit(sil))
 
 
+#: The registered grid search covers a part of ``modeling.RF_GRID`` with smaller forests: all 24 points over five folds
+#: are 120 fits of up to 200 deep trees (``ML.resumable_grid(train, spec, "forest", ML.RF_GRID, folder)`` runs them).
+_GRID = {"numTrees": [20], "maxDepth": [5, 10], "min_split": [2, 5], "min_leaf": [1]}
+
+
 @register("grid_search")
 def q_grid_search(spark, d):
+    """Cross-validation over the five folds with a result file for each point."""
     from clientele.operators import modeling as ML
+    from clientele.session import frozen_path
     f, spec, split = _model_inputs(spark, d)
     train = PR.stratified_folds(split.where(~F.col("is_test")))
-    grid = {"numTrees": [20, 40], "maxDepth": [5]}
-    _, cvm = ML.grid_search(train, spec, ML.random_forest(20), grid, metric="roc_auc", parallelism=2)
-    return ML.grid_results(cvm, grid)
+    return ML.resumable_grid(train, spec, "forest", _GRID, frozen_path(spark, "grid"))
 
 
 # ------------------------------------------------------------------ 9. remaining sources, cleaning and preparation ops
@@ -946,23 +957,45 @@ def q_class_weights(spark, d):
 
 @register("yeo_johnson_fit")
 def q_yeo_johnson_fit(spark, d):
-    cols = ["Income", "TotalSpend", "AvgSpend", "Spend_per_Year"]
-    lams = PR.fit_yeo_johnson(feat(spark, d), cols)
+    lams = PR.fit_yeo_johnson(feat(spark, d), _MODEL_NUMBERS)
     return spark.createDataFrame([(c, float(v)) for c, v in lams.items()], "column string, lambda double")
 
 
+_YJ_GRID = (-1.0, -0.5, 0.0, 0.5, 1.0, 1.5, 2.0, 2.5)
+
+
+@register("yeo_johnson_likelihood", O.with_features(" UNION ALL ".join(
+    f"SELECT \"column\", CAST({lam} AS DOUBLE) AS lambda, round(-count(*) / 2.0 * ln(var_pop({_yj_sql('v', lam)})) "
+    f"+ ({lam} - 1) * sum(sign(v) * ln(1 + abs(v))), 4) AS log_likelihood FROM ({_long_sql(_MODEL_NUMBERS)}) "
+    "GROUP BY \"column\" HAVING min(v) < max(v)" for lam in _YJ_GRID)))
+def q_yeo_johnson_likelihood(spark, d):
+    return r4(PR.yeo_johnson_likelihood(feat(spark, d), _MODEL_NUMBERS, _YJ_GRID))
+
+
+@register("sparse_one_hot", O.with_features(
+    "SELECT ID, array_to_string(list_sort(list(i)), ',') AS one_hot FROM (SELECT f.ID, l.i FROM feat f LEFT JOIN (SELECT \"column\", value, "
+    "row_number() OVER (ORDER BY place, value COLLATE C) - 1 AS i FROM (SELECT DISTINCT \"column\", value, CASE \"column\" "
+    + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(_CAT_COLS)) + " END AS place FROM (UNPIVOT (SELECT "
+    + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _CAT_COLS) + " FROM feat) ON COLUMNS(*) INTO NAME \"column\" VALUE value))) l ON "
+    + " OR ".join(f"(l.\"column\" = '{c}' AND CAST(f.{c} AS VARCHAR) = l.value)" for c in _CAT_COLS) + ") GROUP BY ID"))
+def q_sparse_one_hot(spark, d):
+    f = PR.sparse_one_hot(feat(spark, d).select("ID", *_CAT_COLS), _CAT_COLS)
+    return f.select("ID", F.array_join(F.col("one_hot").cast("array<string>"), ",").alias("one_hot"))
+
+
 @register("boosted_trees")
 def q_boosted_trees(spark, d):
+    """Level-wise (depth 6) and leaf-wise (31 leaves) boosted trees of 20 iterations, with the rule's weights."""
     from clientele.operators import modeling as ML
     f, spec, split = _model_inputs(spark, d)
+    rule = PR.imbalance_rule(f)
     train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
-    out = None
-    for i, (name, clf) in enumerate([("GBT_levelwise", ML.boosted_trees(20, 6, 0.1)),
-                                     ("GBT_leafwise", ML.boosted_trees(20, 5, 0.1, 0.8))]):
-        model = ML.pipeline(spec, clf).fit(ML.prepared(train, spec))
-        m = MT.evaluate(ML.evaluation_frame(model, test, spec), name).withColumn("order", F.lit(i))
-        out = m if out is None else out.unionByName(m)
-    return out
+    scored = None
+    for i, (name, kind) in enumerate([("GBT_levelwise", "levelwise"), ("GBT_leafwise", "leafwise")]):
+        model = ML.fit_point(kind, train, spec, {"iterations": 20}, scale_pos_weight=rule["scale_pos_weight"])
+        one = ML.evaluation_frame(model, test, spec).select(F.lit(name).alias("model"), F.lit(i).alias("order"), "*")
+        scored = one if scored is None else scored.unionByName(one)
+    return MT.evaluate_models(scored, keep=("order",))
 
 
 @register("top_features")

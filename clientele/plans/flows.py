@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
 from clientele.operators import cleaning, features, quality
-from clientele.session import freeze
+from clientele.session import freeze, frozen_path
 from clientele.sources.csv import CUSTOMER_SCHEMA, read_customers_csv
 from clientele.sources.customer_base import DEFAULT_REFERENCE_DATE, customer_base
 
@@ -53,10 +55,16 @@ def customer_features(spark: SparkSession, sf_dir: str, reference_date: str = DE
 
 
 def run_analysis(spark: SparkSession, sf_dir: str, reference_date: str = DEFAULT_REFERENCE_DATE,
-                 output_dir: str | None = None, num_trees: int = 100, boost_iters: int = 20,
-                 grid: dict | None = None) -> dict:
-    """The whole batch analysis: load -> quality -> clean -> features -> prepare -> train and
-    evaluate (forest + two boosted-tree variants, optional grid search) -> reports -> save.
+                 output_dir: str | None = None, num_trees: int = 100, boost_iters: int = 100,
+                 grids: dict[str, dict] | None = None, grid_dir: str | None = None) -> dict:
+    """The whole batch analysis: load -> quality -> clean -> features -> prepare -> select -> train or tune and
+    evaluate (forest, level-wise and leaf-wise boosted trees) -> reports -> save.
+
+    Preparation is the batch one: dates dropped, rare categories checked, Yeo-Johnson where a column is skewed,
+    standard scaling, with everything fitted on the training rows only; VIF of the features most correlated with the
+    response is reported.  ``grids`` (model name -> grid; ``modeling.RF_GRID``, ``GBT_GRID``, ``LEAFWISE_GRID`` are the
+    full ones) tunes the named models over stratified folds; results are kept in ``grid_dir`` (a folder in the
+    checkpoint folder if none is given), so a stopped run goes on there.
 
     Returns a dict of DataFrames plus ``timings`` (seconds per step) and the
     chosen model name.  With ``output_dir`` every table and model is written
@@ -90,36 +98,41 @@ def run_analysis(spark: SparkSession, sf_dir: str, reference_date: str = DEFAULT
     feats = step("features", lambda: materialize(features.create_features(clean, reference_date)))
     out["features"] = feats
     rule = PR.imbalance_rule(feats)
-    spec = ML.FeatureSpec.from_frame(feats)
     split = step("split", lambda: materialize(PR.stratified_split(feats)))
+    training = split.where(~F.col("is_test"))
+    transform = step("prepare", lambda: PR.fit_numeric_transform(training))
+    out["high_cardinality"] = PR.high_cardinality(feats)
+    top = [r["feature"] for r in PR.target_correlation_topk(training, "Response", 30).collect() if r["feature"] != "Response"]
+    out["vif"] = step("vif", lambda: PR.vif(cleaning.fill_medians(training.select(*top), top), top))
+    ready = materialize(PR.apply_numeric_transform(split, transform))
+    spec = ML.FeatureSpec.from_frame(feats)
     # Folds are assigned within the training rows only (the held-out rows form no fold).
-    train = step("folds", lambda: PR.stratified_folds(split.where(~F.col("is_test"))))
-    test = split.where(F.col("is_test"))
-    weight = None
+    train = step("folds", lambda: PR.stratified_folds(ready.where(~F.col("is_test"))))
+    test = ready.where(F.col("is_test"))
+    weight, positives = None, 1.0
     if rule["imbalanced"]:
         train = PR.with_class_weights(train, rule["weights"])
-        weight = "weight"
+        weight, positives = "weight", rule["scale_pos_weight"]
     importance = step("select", lambda: ML.rf_importance(train, spec, num_trees, weight))
     selected = ML.select_features(importance)
     if not selected:  # one feature alone is above the limit
         selected = [importance.orderBy(F.desc("importance"), "feature").first()["feature"]]
     spec_sel = spec.restrict(selected)
     candidates = {
-        "RandomForest": ML.random_forest(num_trees, weight_col=weight),
-        "GBT_levelwise": ML.boosted_trees(boost_iters, 6, 0.1, weight_col=weight),
-        "GBT_leafwise": ML.boosted_trees(boost_iters, 5, 0.1, 0.8, weight_col=weight),
+        "RandomForest": ("forest", {"numTrees": num_trees}, {"weight_col": weight}),
+        "GBT_levelwise": ("levelwise", {"iterations": boost_iters}, {"scale_pos_weight": positives}),
+        "GBT_leafwise": ("leafwise", {"iterations": boost_iters}, {"weight_col": weight}),
     }
-    models, metrics = {}, None
-    for order, (name, clf) in enumerate(candidates.items()):
-        def fit(clf=clf):
-            if grid and name == "RandomForest":
-                return ML.grid_search(train, spec_sel, clf, grid, rule["metric"])[0]
-            return ML.pipeline(spec_sel, clf).fit(ML.prepared(train, spec_sel))
+    grid_dir = grid_dir or frozen_path(spark, "grid")
+    models, scored = {}, []
+    for order, (name, (kind, point, weights)) in enumerate(candidates.items()):
+        def fit(name=name, kind=kind, point=point, weights=weights):
+            if grids and name in grids:
+                return ML.tuned(train, spec_sel, kind, grids[name], f"{grid_dir}/{name}", rule["metric"], **weights)
+            return ML.fit_point(kind, train, spec_sel, point, **weights)
         models[name] = step(f"train_{name}", fit)
-        ev = ML.evaluation_frame(models[name], test, spec_sel)
-        m = MT.evaluate(ev, name).withColumn("order", F.lit(order))
-        metrics = m if metrics is None else metrics.unionByName(m)
-    metrics = step("evaluate", lambda: materialize(metrics))
+        scored.append(ML.evaluation_frame(models[name], test, spec_sel).select(F.lit(name).alias("model"), F.lit(order).alias("order"), "*"))
+    metrics = step("evaluate", lambda: materialize(MT.evaluate_models(functools.reduce(DataFrame.unionByName, scored), keep=("order",))))
     key = "f1_score" if rule["metric"] == "f1" else "roc_auc"
     best = MT.best_model(metrics, key).first()["model"]
     out.update({
@@ -129,7 +142,8 @@ def run_analysis(spark: SparkSession, sf_dir: str, reference_date: str = DEFAULT
         "campaign_rates": RP.campaign_rates(feats), "age_spend": RP.age_spend(feats),
         "segment_response": RP.segment_response(feats),
         "feature_docs": RP.feature_docs(feats, selected, categorical=PR.SCORE_COLUMNS),
-        "scored": ML.score_customers(models[best], feats, spec_sel),
+        "scored": ML.score_customers(models[best], PR.apply_numeric_transform(feats, transform), spec_sel),
+        "attributions": ML.tree_attributions(models[best], test, spec_sel), "transform": transform,
     })
     if output_dir:
         def save():

@@ -28,8 +28,12 @@ def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
     write_table(df, path, fmt)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model, path: str) -> None:
+    """A fitted pipeline by its ML writer; leaf-wise trees by their own (``LeafwiseClassifier.load`` reads them)."""
+    if isinstance(model, PipelineModel):
+        model.write().overwrite().save(path)
+    else:
+        model.save(path)
 
 
 def load_model(path: str) -> PipelineModel:

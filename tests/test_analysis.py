@@ -2,6 +2,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 SF001 = "/root/testdata/sf0.001"
@@ -10,14 +11,16 @@ SF001 = "/root/testdata/sf0.001"
 def test_run_analysis_writes_outputs(spark):
     from clientele.plans import flows
     out = tempfile.mkdtemp(prefix="clientele-run-")
-    res = flows.run_analysis(spark, SF001, output_dir=out, num_trees=10, boost_iters=5)
+    res = flows.run_analysis(spark, SF001, output_dir=out, num_trees=10, boost_iters=5, grids={"RandomForest": {"numTrees": [5], "maxDepth": [3, 4]}})
     assert res["best_model"] in {"RandomForest", "GBT_levelwise", "GBT_leafwise"}
     m = res["metrics"].collect()
-    assert len(m) == 3 and all(0.0 <= r.roc_auc <= 1.0 for r in m)
+    assert len(m) == 3 and max(r.roc_auc for r in m) > 0.5  # 31 test rows
+    a = res["attributions"].groupBy("ID").agg(F.sum("attribution").alias("total")).count()
+    assert 0 < a <= 100 and res["vif"].count() > 0
     assert res["segment_profile"].count() >= 1
     assert res["scored"].count() == res["features"].count()
     for name in ["processed_data", "segment_profiles", "feature_documentation", "model_results",
-                 "important_features", "RandomForest_model"]:
+                 "important_features", "RandomForest_model", "GBT_leafwise_model"]:
         assert os.path.exists(os.path.join(out, name)), name
     assert set(res["timings"]) >= {"load", "clean", "features", "evaluate", "save"}
 
@@ -45,9 +48,47 @@ def test_stream_scoring(spark):
     assert spark.read.parquet(sink).count() == f.count()
 
 
-def test_run_analysis_with_grid_search(spark):
-    from clientele.plans import flows
-    res = flows.run_analysis(spark, SF001, num_trees=5, boost_iters=3,
-                             grid={"numTrees": [5, 10], "maxDepth": [3]})
-    assert res["metrics"].count() == 3
-    assert "train_RandomForest" in res["timings"]
+def test_grid_goes_on_where_it_stopped(spark, monkeypatch):
+    from clientele.operators import modeling as ML
+    from clientele.operators import prep as PR
+    from clientele.plans import catalog
+    f = catalog.feat(spark, SF001)
+    train = PR.stratified_folds(f, k=2)
+    spec = ML.FeatureSpec(["TotalSpend", "Recency", "TotalAcceptedCampaigns"], {})
+    folder = os.path.join(tempfile.mkdtemp(prefix="clientele-grid-"), "g")
+    grid = {"numTrees": [3, 5], "maxDepth": [3]}
+    fitted, real = [], ML.fit_point
+
+    def counted(kind, rows, sp, point, *args):
+        fitted.append(point["numTrees"])
+        if len(fitted) == 3:
+            raise RuntimeError("stopped")
+        return real(kind, rows, sp, point, *args)
+
+    monkeypatch.setattr(ML, "fit_point", counted)
+    with pytest.raises(RuntimeError):
+        ML.resumable_grid(train, spec, "forest", grid, folder)
+    out = ML.resumable_grid(train, spec, "forest", grid, folder).collect()
+    assert fitted == [3, 3, 5, 5, 5] and len(out) == 2 and all(r.avg_metric > 0.5 for r in out)
+    ML.resumable_grid(train, spec, "forest", grid, folder)
+    assert len(fitted) == 5
+    assert [len(ML.grid_points(g)) for g in (ML.RF_GRID, ML.GBT_GRID, ML.LEAFWISE_GRID)] == [24, 32, 32]
+
+
+def test_manifest_fills_absent_features(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+
+    from clientele.operators import modeling as ML
+    from clientele.plans import catalog
+    f = catalog.feat(spark, SF001)
+    spec = ML.FeatureSpec(["TotalSpend", "Recency", "Age"], {"Education": ["AUTOMOBILE", "BUILDING", "FURNITURE"]})
+    model = ML.pipeline(spec, ML.random_forest(5, max_depth=4)).fit(ML.prepared(f, spec))
+    fewer = f.drop("Age", "Education")
+    full = f.withColumn("Age", F.lit(0.0)).withColumn("Education", F.lit(None).cast("string"))
+    rows = lambda m, df: sorted(map(tuple, ML.score_customers(m, df, spec).select("ID", "Response_Probability").collect()))
+    assert rows(model, fewer) == rows(model, full)
+    model.write().overwrite().save(str(tmp_path / "m"))
+    assert rows(PipelineModel.load(str(tmp_path / "m")), fewer) == rows(model, fewer)
+    leaf = ML.fit_leafwise(f, spec, ML.LW.Params(iterations=3, num_leaves=5))
+    leaf.save(str(tmp_path / "leaf"))
+    assert rows(ML.LeafwiseClassifier.load(str(tmp_path / "leaf")), fewer) == rows(leaf, full)
