@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clientele.llm.common import byte_chunks, mix64, row_sums, utf8_column
@@ -135,17 +135,14 @@ def learn(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str
         return LanguageFilter(languages, _most(languages, sizes), np.zeros(0, np.uint64), np.zeros((0, len(languages)), bool))
     total = F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, float(n))])
     sets = (counts.withColumn("p", F.col("n") / total[F.col("lang")])
-            .groupBy("gram").agg(F.collect_list(F.struct("lang", "p")).alias("all"), F.max("p").alias("top"), F.sum("n").alias("n"))
-            .select("gram", "n", F.transform(F.filter("all", lambda x: x["p"] >= F.col("top") / 2), lambda x: x["lang"]).alias("langs")))
-    # the smallest count that leaves at most the capacity
-    level = F.floor(F.log2("n") * 8).cast("int")
-    left, least = capacity, 0
-    for lv, n in sorted(((r[0], r[1]) for r in sets.groupBy(level).count().collect()), reverse=True):
-        left -= n
-        if left < 0:
-            least = lv + 1
-            break
-    rows = sets.filter(level >= least).orderBy("gram").collect()
+            .groupBy("gram").agg(F.collect_list(F.struct("lang", "p")).alias("all"), F.max("p").alias("top"))
+            .select("gram", F.filter("all", lambda x: x["p"] >= F.col("top") / 2).alias("langs")))
+    # every language has an equal part of the capacity for its most frequent n-grams
+    order = Window.partitionBy("lang").orderBy(F.desc("p"), F.xxhash64("gram"), "gram")
+    first = (sets.select("gram", F.explode("langs").alias("l")).select("gram", "l.*")
+             .withColumn("place", F.row_number().over(order)).filter(F.col("place") <= max(1, capacity // len(languages))))
+    kept = sets.join(first.select("gram").distinct(), "gram", "left_semi")
+    rows = kept.select("gram", F.transform("langs", lambda x: x["lang"]).alias("langs")).orderBy("gram").collect()
     members = np.zeros((len(rows), len(languages)), dtype=bool)
     for i, r in enumerate(rows):
         members[i, r["langs"]] = True

@@ -55,3 +55,18 @@ def test_edge_table(spark):
     assert language_id.learn(empty(spark), F.lit(True)) is None
     assert {r["lang_pred"] for r in language_id.identify(table(spark), None).collect()} == {"und"}
     assert language_id.identify(empty(spark), model).collect() == []
+
+
+def test_rare_language_keeps_its_texts_at_small_capacity(spark):
+    rng = random.Random(12)
+
+    def vocabulary(letters, n):
+        return ["".join(rng.choice(letters) for _ in range(rng.randrange(3, 9))) for _ in range(n)]
+
+    big, rare = vocabulary("abcdefghijklmno", 3000), vocabulary("abcdefghijklmno", 150)
+    text = lambda words: " ".join(rng.choice(words) for _ in range(60))
+    rows = [(i, text(big), "big") for i in range(1500)] + [(5000 + i, text(rare), "rare") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.learn(docs, F.lit(True), capacity=1500)
+    new = spark.createDataFrame([(i, text(rare), "rare") for i in range(8)] + [(9, text(big), "big")], "doc_id long, text string, lang string")
+    assert [r["lang_pred"] for r in language_id.identify(new, model).orderBy("doc_id").collect()] == ["rare"] * 8 + ["big"]
