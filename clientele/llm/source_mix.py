@@ -126,6 +126,27 @@ def _running(words: DataFrame) -> DataFrame:
             .withColumn("_done", F.col("_before") + F.col("_run")))
 
 
+#: NumPy draws hypergeometric numbers below this many blocks.
+_EXACT = 1_000_000_000
+
+
+def _drawn(rng: np.random.Generator, own: np.ndarray, take: int) -> np.ndarray:
+    """A multivariate hypergeometric draw of ``take`` blocks from ``own``.  While _EXACT or more blocks are left, a source's
+    number comes from the normal limit (rounded, within what is possible); the total is exact."""
+    out = np.zeros(len(own), dtype=np.int64)
+    rest = int(own.sum())
+    for i, n in enumerate(own.tolist()):
+        if rest < _EXACT:
+            out[i:] = rng.multivariate_hypergeometric(own[i:], take, method="marginals")
+            break
+        share = n / rest
+        spread = math.sqrt(max(0.0, take * share * (1.0 - share) * ((rest - take) / max(1, rest - 1))))
+        drawn = take * n // rest + round(spread * rng.standard_normal())
+        out[i] = max(0, take - (rest - n), min(n, take, drawn))
+        take, rest = take - int(out[i]), rest - n
+    return out
+
+
 def _split(quotas: pd.DataFrame) -> pd.DataFrame:
     """One node of the tree and the subtree below it: quotas by source of the nodes at its end."""
     quotas = quotas.sort_values("_source", na_position="last", kind="stable")
@@ -138,7 +159,7 @@ def _split(quotas: pd.DataFrame) -> pd.DataFrame:
             continue
         mid = (lo + hi) // 2
         rng = np.random.default_rng([_SEED, lo, hi])
-        left = rng.multivariate_hypergeometric(own, int(own.sum()) * (mid - lo) // (hi - lo), method="marginals")
+        left = _drawn(rng, own, int(own.sum()) * (mid - lo) // (hi - lo))
         todo += [(lo, mid, left, depth + 1), (mid, hi, own - left, depth + 1)]
     return pd.concat(out, ignore_index=True)
 

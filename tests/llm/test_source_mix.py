@@ -1,6 +1,8 @@
 import collections
 import re
 
+import numpy as np
+
 from edge import empty, rows, table, words
 
 from clientele.llm import source_mix
@@ -86,3 +88,13 @@ def test_a_document_with_most_of_a_sources_words(spark):
         for _, text, source in docs:
             size[source] += count(text)
         assert all(abs(taken[s] - (1 + over) * size[s]) <= 30 for s in size), (taken, size)
+
+
+def test_splits_of_more_blocks_than_numpy_draws():
+    rng = np.random.default_rng(3)
+    own = np.array([3_000_000_000, 5, 0, 1_200_000_000, 40], dtype=np.int64)
+    for take in (0, 1, 2_100_000_000, int(own.sum()) - 1, int(own.sum())):
+        drawn = source_mix._drawn(rng, own, take)
+        assert drawn.sum() == take and (drawn >= 0).all() and (drawn <= own).all()
+    half = source_mix._drawn(rng, own, int(own.sum()) // 2)
+    assert abs(half[0] - 1_500_000_000) < 1_000_000
