@@ -54,6 +54,7 @@ _MORE = {
     "email": rf"(?<!{_LOCAL}){_LOCAL}++ ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]++(?: ?(?:\(dot\)|\[dot\]|\.) ?[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9.])[0-9]{1,3} ?\. ?[0-9]{1,3} ?\. ?[0-9]{1,3} ?\. ?[0-9]{1,3}(?![0-9.])",
     "phone": r"(?<![0-9+(.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    # looked for where the text has a digit: a value without any is not key-like
     "secret": r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{20,}+",
 }
 _CUES = r"(?i)call|tel|phone|fax|mail|contact|card|visa|pay|account|host|server|addr"
@@ -61,13 +62,16 @@ _SECRET_CUES = r"""(?i)(?:token|key|secret|passw(?:or)?d|pwd|auth|bearer|credent
 _SPAN = "array<struct<start:int,end:int,value:string,before:string,after:string>>"
 
 
-def _matches(text: Column, pattern: str, possible: Column) -> Column:
-    """All leftmost non-overlapping matches with their places and the text on their sides (as far as the next match).
+def _matched(text: Column, pattern: str, possible: Column) -> tuple[Column, Column]:
+    """All leftmost non-overlapping matches, and the pieces between them (NULL where none is possible)."""
+    return F.when(possible, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))), F.when(possible, F.split(text, pattern, -1))
+
+
+def _placed(hits: Column, gaps: Column) -> Column:
+    """Matches with their places and the text on their sides (as far as the next match).
 
     The pieces between the matches give the offsets.  Growing one array match by match would copy it each time, so
     every block of BLOCK matches sums up what stands before it and grows an array of its own."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
     n = F.size(hits)
     both = F.zip_with(hits, F.slice(gaps, F.lit(1), n), lambda m, p: F.struct(
         m.alias("m"), F.length(p).alias("gap"), (F.length(p) + F.length(m)).alias("step"), F.right(p, F.lit(30)).alias("before")))
@@ -87,9 +91,9 @@ def _matches(text: Column, pattern: str, possible: Column) -> Column:
             return F.aggregate(F.slice(all_, b * BLOCK + 1, F.lit(BLOCK)), start, step, lambda acc: acc["spans"])
         return F.flatten(F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / BLOCK).cast("int")), spans))
 
-    # the zipped pieces are named once, so that blocks do not match the text again
-    found = F.transform(F.array(both), lambda x: F.when(F.size(x) > 0, block(x)).otherwise(F.array().cast(_SPAN)))[0]
-    return F.when(possible, found).otherwise(F.array().cast(_SPAN))
+    none = F.array().cast(_SPAN)
+    found = F.transform(F.array(both), block)[0]  # names the zipped pieces once
+    return F.when(F.coalesce(n, F.lit(0)) > 0, found).otherwise(none)
 
 
 def _digits(value: Column) -> Column:
@@ -167,9 +171,12 @@ def detect(docs: DataFrame, text_col: str = "text") -> DataFrame:
     quads, numbers = text.rlike("[0-9] ?\\. ?[0-9]"), text.rlike("[0-9][ -]?[0-9]")
     possible = {"email": F.contains(text, F.lit("@")), "ip": quads, "card": numbers, "phone": F.contains(text, F.lit("+"))}
     written = F.contains(text, F.lit("(at)")) | F.contains(text, F.lit("[at]"))
-    docs = docs.withColumns({f"_m{k}": _matches(text, _BASE[k], possible[k]) for k in KINDS})
-    proposed = {"email": written, "ip": quads, "phone": numbers, "secret": F.lit(True)}
-    docs = docs.withColumns({f"_p{k}": _matches(text, p, proposed[k]) for k, p in _MORE.items()})
+    proposed = {"email": written, "ip": quads, "phone": numbers, "secret": text.rlike("[0-9]") & text.rlike("[A-Za-z0-9_+/=-]{20}")}
+    patterns = {f"m{k}": (_BASE[k], possible[k]) for k in KINDS} | {f"p{k}": (p, proposed[k]) for k, p in _MORE.items()}
+    # columns of their own, so that each text is matched once: what is built on them reads them several times
+    found = {name: _matched(text, *how) for name, how in patterns.items()}
+    docs = docs.withColumns({f"_h{name}": hits for name, (hits, _) in found.items()} | {f"_g{name}": gaps for name, (_, gaps) in found.items()})
+    docs = docs.withColumns({f"_{name}": _placed(F.col(f"_h{name}"), F.col(f"_g{name}")) for name in patterns})
 
     def passes(kind: str):
         return lambda s: _valid(kind, s["value"])
@@ -187,7 +194,7 @@ def detect(docs: DataFrame, text_col: str = "text") -> DataFrame:
     bare = lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))
     base = F.struct(*[F.transform(f"_b{k}", bare).alias(k) for k in KINDS])
     return docs.withColumn("base", base).withColumn("candidates", F.concat(*parts)).drop(
-        "_text", *[f"_{p}{k}" for p in "mpb" for k in ALL_KINDS])
+        "_text", *[f"_{p}{k}" for p in ("m", "p", "b", "hm", "hp", "gm", "gp") for k in ALL_KINDS])
 
 
 def learn(candidates: DataFrame, sample: int = SAMPLE):
