@@ -20,12 +20,12 @@ import functools
 import itertools
 import json
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator, ClusteringEvaluator,
                                    MulticlassClassificationEvaluator)
-from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -37,6 +37,8 @@ from clientele.operators import leafwise as LW
 from clientele.operators import metrics as MT
 from clientele.operators import prep as PR
 from clientele.operators import trees as TR
+from clientele.operators.ranking import column_quantile_values
+from clientele.operators.selection import present
 from clientele.session import freeze, release
 
 SEED = 42
@@ -120,16 +122,14 @@ def imputed(c: str) -> str:
 def pipeline(spec: FeatureSpec, classifier) -> Pipeline:
     """Encoding, median imputation and assembly frozen into one fitted model.
 
-    Missing numeric inputs take the column median (the interactive scoring
-    rule); ``Imputer`` computes all medians in one pass with mergeable
-    quantile summaries (bounded memory) and keeps them in the model, so
+    Missing numeric inputs take the column's exact median (the interactive scoring
+    rule); all medians come from two scans and stay in the model, so
     scoring new rows reuses the training medians.
     """
     stages = [FeatureManifest(spec.numeric, list(spec.levels)), SQLTransformer(statement=encoder_sql(spec.levels))]
     inputs = list(spec.dummies)
     if spec.numeric:
-        stages.append(Imputer(strategy="median", inputCols=spec.numeric,
-                              outputCols=[imputed(c) for c in spec.numeric]))
+        stages.append(ExactMedians(spec.numeric))
         inputs = [imputed(c) for c in spec.numeric] + inputs
     stages += [VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"), classifier]
     return Pipeline(stages=stages)
@@ -167,6 +167,34 @@ def boosted_trees(max_iter: int = 100, max_depth: int = 5, step: float = 0.1, su
     return gbt
 
 
+class MedianFill(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """``_imp_<column>``: the column as double with gaps (NULL, NaN) filled by a stored number."""
+
+    columns = Param(Params._dummy(), "columns", "columns to fill", TypeConverters.toListString)
+    values = Param(Params._dummy(), "values", "one number for each column", TypeConverters.toListFloat)
+
+    def __init__(self, columns: list[str] | None = None, values: list[float] | None = None):
+        super().__init__()
+        self._set(**{k: v for k, v in (("columns", columns), ("values", values)) if v is not None})
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        pairs = zip(self.getOrDefault(self.columns), self.getOrDefault(self.values))
+        return df.withColumns({imputed(c): F.coalesce(present(F.col(f"`{c}`")), F.lit(v)) for c, v in pairs})
+
+
+class ExactMedians(Estimator):
+    """Fits :class:`MedianFill` with the exact medians of the training rows (two scans for all columns)."""
+
+    def __init__(self, columns: list[str]):
+        super().__init__()
+        self.names = list(columns)
+
+    def _fit(self, df: DataFrame) -> MedianFill:
+        # a column without gaps now may have some when new rows are scored
+        medians = column_quantile_values(df, self.names, [0.5])
+        return MedianFill(self.names, [float(medians[c][0] or 0.0) for c in self.names])
+
+
 class LeafwiseClassifier:
     """Leaf-wise boosted trees over a FeatureSpec; fitted, it transforms, scores and saves like a pipeline model."""
 
@@ -391,24 +419,26 @@ def permutation_importance(model: PipelineModel, test: DataFrame, spec: FeatureS
     from clientele.operators.ranking import ranked
     features = list(features or spec.numeric)
     base = PR.sample_rows(test, sample, SEED, id_col) if sample else test
+    # rows that share an id are rows of their own: each has a place in both orders
+    base = freeze(base.withColumn("_row", F.monotonically_increasing_id()))
     key_a = F.md5(F.col(id_col).cast("string"))
     key_b = F.md5(F.reverse(F.col(id_col).cast("string")))
-    slots = ranked(base.select(id_col, key_a.alias("_ka")), ["_ka", id_col]).select(id_col, F.col("_rank").alias("_i"))
-    donors = ranked(base.select(id_col, key_b.alias("_kb")), ["_kb", id_col]).select(
-        F.col(id_col).alias("_donor_id"), F.col("_rank").alias("_i"))
-    pairs = slots.join(donors, "_i")  # row id -> donor id, one-to-one
-    donor_vals = base.select(F.col(id_col).alias("_donor_id"), *[F.col(c).alias(f"_d_{c}") for c in features])
-    paired = base.join(pairs, id_col).join(donor_vals, "_donor_id")
+    slots = ranked(base.select("_row", id_col, key_a.alias("_ka")), ["_ka", id_col, "_row"]).select("_row", F.col("_rank").alias("_i"))
+    donors = ranked(base.select("_row", id_col, key_b.alias("_kb")), ["_kb", id_col, "_row"]).select(
+        F.col("_row").alias("_donor"), F.col("_rank").alias("_i"))
+    pairs = slots.join(donors, "_i")  # row -> donor row, one-to-one
+    donor_vals = base.select(F.col("_row").alias("_donor"), *[F.col(c).alias(f"_d_{c}") for c in features])
+    paired = base.join(pairs, "_row").join(donor_vals, "_donor")
     # One scoring pass for every feature: each row is repeated once per feature (plus the
     # unpermuted copy, _f = -1) and copy f takes the donor's value of feature f only.
     copies = paired.withColumn("_f", F.explode(F.array(*[F.lit(i) for i in range(-1, len(features))])))
     permuted = copies.withColumns({c: F.when(F.col("_f") == i, F.col(f"_d_{c}")).otherwise(F.col(c))
                                    for i, c in enumerate(features)})
-    permuted = permuted.drop(*[f"_d_{c}" for c in features], "_donor_id", "_i")
+    permuted = permuted.drop(*[f"_d_{c}" for c in features], "_donor", "_i")
     scored = score(model, permuted, spec)
     # The unpermuted probability of the same row: a window over its len(features)+1 copies.
     from pyspark.sql import Window
-    p0 = F.max(F.when(F.col("_f") == -1, F.col("Response_Probability"))).over(Window.partitionBy(id_col))
+    p0 = F.max(F.when(F.col("_f") == -1, F.col("Response_Probability"))).over(Window.partitionBy("_row"))
     names = F.array(*[F.lit(c) for c in features])
     return (scored.withColumn("_p0", p0).where(F.col("_f") >= 0)
             .groupBy("_f").agg(F.avg(F.abs(F.col("Response_Probability") - F.col("_p0"))).alias("importance"))

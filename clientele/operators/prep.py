@@ -414,13 +414,12 @@ def imbalance_rule(df: DataFrame, target: str = "Response", minority_limit_pct:
 
 def imbalance_report(df: DataFrame, target: str = "Response", minority_limit_pct: float = 15.0) -> DataFrame:
     """Per class: count, balanced weight n/(k n_c), minority share, the imbalance flag and the metric
-    the rule selects (f1 when imbalanced, else roc_auc).  One group-by; the window runs over the
-    per-class rows only."""
-    from pyspark.sql import Window
+    the rule selects (f1 when imbalanced, else roc_auc).  One group-by; the totals over the classes enter as a scalar
+    subquery."""
     counts = class_counts(df, target)
-    whole = Window.partitionBy()
-    total, k = F.sum("n").over(whole), F.count(F.lit(1)).over(whole)
-    minority = F.min("n").over(whole) * 100.0 / total
+    whole = counts.agg(F.struct(F.sum("n").alias("total"), F.min("n").alias("least"), F.count(F.lit(1)).alias("k"))).scalar()
+    total, k = whole.getField("total"), whole.getField("k")
+    minority = whole.getField("least") * 100.0 / total
     return counts.select(F.col(target).alias("class"), "n", (total / (k * F.col("n"))).alias("balanced_weight"),
                          minority.alias("minority_pct"), (minority < minority_limit_pct).alias("imbalanced"),
                          F.when(minority < minority_limit_pct, "f1").otherwise("roc_auc").alias("metric"))

@@ -99,12 +99,12 @@ def domain_check(df: DataFrame, col: str = "Year_Birth", lo: int = BIRTH_YEAR_RA
 
 
 def class_balance(df: DataFrame, target: str = "Response", warn_below_pct: float = 10.0) -> DataFrame:
-    """(class, count, pct, minority_pct, imbalanced) - one group-by, then a window over <= a few classes."""
-    from pyspark.sql import Window
+    """(class, count, pct, minority_pct, imbalanced): one group-by; the totals over the classes enter as a scalar
+    subquery, so any number of classes works."""
     counts = df.where(F.col(target).isNotNull()).groupBy(target).agg(F.count(F.lit(1)).alias("count"))
-    whole = Window.partitionBy()
-    total = F.sum("count").over(whole)
-    minority = F.min("count").over(whole) * 100.0 / total
+    whole = counts.agg(F.struct(F.sum("count").alias("total"), F.min("count").alias("least"))).scalar()
+    total = whole.getField("total")
+    minority = whole.getField("least") * 100.0 / total
     return counts.select(F.col(target).alias("class"), "count",
                          (F.col("count") * 100.0 / total).alias("pct"),
                          minority.alias("minority_pct"),

@@ -9,8 +9,6 @@ a mismatch points at a real semantic difference.
 
 from __future__ import annotations
 
-from clientele.functions.binning import cut_sql
-from clientele.operators import features as FT
 from clientele.sources.customer_base import (CAMPAIGN_COLUMNS, CAMPAIGN_YEARS, DEFAULT_REFERENCE_DATE,
                                              ENROLL_FROM, PRIORITIES, PURCHASE_COLUMNS, SPEND_COLUMNS,
                                              SPEND_TYPES)
@@ -116,13 +114,22 @@ def _ratio0(num: str, den: str) -> str:
 
 def feature_ctes(ref: str = DEFAULT_REFERENCE_DATE) -> str:
     year = int(ref[:4])
-    spend = list(FT.SPEND_CATEGORIES)
-    chans = list(FT.CHANNELS)
+    spend_names = {"MntWines": "Wines", "MntFruits": "Fruits", "MntMeatProducts": "Meat", "MntFishProducts": "Fish", "MntSweetProducts": "Sweets",
+                   "MntGoldProds": "Gold"}
+    channel_names = {"NumDealsPurchases": "Deals", "NumWebPurchases": "Web", "NumCatalogPurchases": "Catalog", "NumStorePurchases": "Store"}
+    spend, chans = list(spend_names), list(channel_names)
     props = ",\n    ".join(f"{_ratio0(c, 'TotalSpend')} AS {c}_Proportion" for c in spend)
-    tenure_case = cut_sql("Customer_Tenure_Days", FT.TENURE_EDGES, FT.TENURE_LABELS)
-    gen_case = cut_sql("Age", FT.GENERATION_EDGES, FT.GENERATION_LABELS)
-    age_case = cut_sql("Age", FT.AGE_GROUP_EDGES, FT.AGE_GROUP_LABELS)
-    ls = FT.LIFE_STAGES
+    # Fixed values, written out here so that the SQL does not share them with the code under test.
+    tenure_case = """CASE WHEN Customer_Tenure_Days > 0 AND Customer_Tenure_Days <= 90 THEN 'New (<3mo)'
+      WHEN Customer_Tenure_Days > 90 AND Customer_Tenure_Days <= 365 THEN 'Developing (3-12mo)'
+      WHEN Customer_Tenure_Days > 365 AND Customer_Tenure_Days <= 730 THEN 'Established (1-2yr)'
+      WHEN Customer_Tenure_Days > 730 THEN 'Loyal (>2yr)' END"""
+    gen_case = """CASE WHEN Age > 0 AND Age <= 24 THEN 'Gen Z' WHEN Age > 24 AND Age <= 40 THEN 'Millennials'
+      WHEN Age > 40 AND Age <= 56 THEN 'Gen X' WHEN Age > 56 AND Age <= 75 THEN 'Boomers'
+      WHEN Age > 75 AND Age <= 100 THEN 'Silent' END"""
+    age_case = """CASE WHEN Age > 0 AND Age <= 30 THEN '<30' WHEN Age > 30 AND Age <= 40 THEN '30-40'
+      WHEN Age > 40 AND Age <= 50 THEN '40-50' WHEN Age > 50 AND Age <= 60 THEN '50-60' WHEN Age > 60 AND Age <= 100 THEN '60+' END"""
+    ls = ["Young Single/Couple", "Young Family", "Middle-Aged Single/Couple", "Middle-Aged Family", "Older Single/Couple", "Older Family"]
     life = f"""CASE WHEN Age < 35 AND HasChildren = 0 THEN '{ls[0]}'
       WHEN Age < 35 AND HasChildren > 0 THEN '{ls[1]}'
       WHEN Age >= 35 AND Age < 50 AND HasChildren = 0 THEN '{ls[2]}'
@@ -148,11 +155,11 @@ f2 AS (SELECT *,
     {tenure_case} AS Tenure_Segment,
     {props},
     {' + '.join(f'coalesce(CAST({c} > 0 AS INTEGER), 0)' for c in spend)} AS SpendingDiversity,
-    {_first_max(spend, [FT.SPEND_CATEGORIES[c] for c in spend])} AS PrimarySpendCategory,
+    {_first_max(spend, [spend_names[c] for c in spend])} AS PrimarySpendCategory,
     TotalAcceptedCampaigns / {float(len(CAMPAIGN_COLUMNS))} AS CampaignResponseRate,
     coalesce(CAST(Children > 0 AS INTEGER), 0) AS HasChildren,
     {gen_case} AS Generation,
-    {_first_max(chans, [FT.CHANNELS[c] for c in chans])} AS PreferredChannel,
+    {_first_max(chans, [channel_names[c] for c in chans])} AS PreferredChannel,
     {' + '.join(f'coalesce(CAST({c} > 0 AS INTEGER), 0)' for c in chans)} AS ChannelDiversity,
     {_ratio0('TotalSpend', 'TotalPurchases')} AS AvgSpend,
     row_number() OVER (ORDER BY Customer_Tenure_Days, ID) AS rr,
@@ -182,7 +189,7 @@ feat AS (SELECT * EXCLUDE (Year_Birth),
          WHEN R_Score <= 1 AND F_Score >= 2 AND M_Score >= 2 THEN 'About To Leave'
          WHEN R_Score <= 2 AND F_Score <= 2 AND M_Score <= 2 THEN 'Dormant'
          ELSE 'Others' END AS RFM_Segment,
-    Spend_per_Year * {FT.CLV_YEARS} AS Estimated_CLV
+    Spend_per_Year * 3 AS Estimated_CLV
   FROM f3)"""
 
 

@@ -103,3 +103,26 @@ def release(*frames) -> None:
         del frames, df
         gc.collect()
         spark._jvm.System.gc()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers wherever they run: its sources go to the executors as a zip
+    file through Spark's own file distribution, once for each application."""
+    import os
+    import zipfile
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="clientele-sources-"), "clientele-sources.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in sorted(os.walk(home)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    z.write(file, os.path.relpath(file, os.path.dirname(home)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)

@@ -92,3 +92,16 @@ def test_manifest_fills_absent_features(spark, tmp_path):
     leaf = ML.fit_leafwise(f, spec, ML.LW.Params(iterations=3, num_leaves=5))
     leaf.save(str(tmp_path / "leaf"))
     assert rows(ML.LeafwiseClassifier.load(str(tmp_path / "leaf")), fewer) == rows(leaf, full)
+
+
+def test_medians_are_exact_and_repeated_ids_stay_single(spark):
+    from clientele.operators import modeling as ML
+    rows = [(i % 40, float(i) if i % 4 else None, float(i % 7), i % 2) for i in range(80)]
+    df = spark.createDataFrame(rows, "ID long, x double, z double, Response int")
+    spec = ML.FeatureSpec(["x", "z"], {})
+    model = ML.pipeline(spec, ML.random_forest(5, max_depth=3)).fit(ML.prepared(df, spec))
+    fill = model.stages[2]
+    assert dict(zip(fill.getOrDefault(fill.columns), fill.getOrDefault(fill.values)))["x"] == sorted(float(i) for i in range(80) if i % 4)[30] * 0.5 + sorted(
+        float(i) for i in range(80) if i % 4)[29] * 0.5
+    out = ML.permutation_importance(model, df, spec).collect()
+    assert {r.feature for r in out} == {"x", "z"} and all(0.0 <= r.importance <= 1.0 for r in out)
