@@ -22,7 +22,7 @@ from clientele.operators import gram
 from clientele.operators.ranking import global_rank, with_slices
 from clientele.operators.reports import NUMERIC_TYPES, pair_correlations
 from clientele.operators.selection import literal_at
-from clientele.session import freeze
+from clientele.session import freeze, release
 
 DATE_PART_COLUMNS = ["Enrollment_Year", "Enrollment_Month", "Enrollment_Quarter"]
 SCORE_COLUMNS = ["R_Score", "F_Score", "M_Score"]
@@ -201,7 +201,7 @@ def yeo_johnson_apply(df: DataFrame, lambdas: dict[str, float]) -> DataFrame:
 
 
 #: Lambdas tried at once for each column, and the first bracket of the search.
-YJ_POINTS = 9
+YJ_POINTS = 17
 YJ_BRACKET = (-2.0, 4.0)
 
 
@@ -270,11 +270,13 @@ def fit_yeo_johnson(df: DataFrame, cols, step: float = 1e-3) -> dict[str, float]
 
     A bracketing search for all columns at once.  A pass is one grouped aggregate that tries YJ_POINTS evenly
     spaced lambdas of each column's bracket.  With the best one inside, the bracket becomes its two neighbours;
-    at an end, the bracket doubles beyond it, however far the maximum lies.  Once points are ``step``
+    at an end, four brackets' widths beyond it come next, however far the maximum lies.  Once points are ``step``
     apart, the top of the parabola through the best three is taken (its error is of the order of step squared)."""
     cols = list(cols)
     if not cols:
         return {}
+    # every pass reads these columns only, not what they are computed from
+    df = freeze(df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols]))
     long, stats = _yj_stats(df, cols)
     out = {c: 1.0 for c in range(len(cols))}
     brackets = {c: YJ_BRACKET for c in stats}
@@ -287,7 +289,7 @@ def fit_yeo_johnson(df: DataFrame, cols, step: float = 1e-3) -> dict[str, float]
             gap = (hi - lo) / (YJ_POINTS - 1)
             out[c] = points[c][at]
             if at in (0, YJ_POINTS - 1) and math.isfinite(values[at]) and abs(out[c]) < 1e3:
-                brackets[c] = (lo - (hi - lo), lo + gap) if at == 0 else (hi - gap, hi + (hi - lo))
+                brackets[c] = (lo - 4 * (hi - lo), lo + gap) if at == 0 else (hi - gap, hi + 4 * (hi - lo))
             elif gap > step and at not in (0, YJ_POINTS - 1):
                 brackets[c] = (out[c] - gap, out[c] + gap)
             else:
@@ -297,6 +299,7 @@ def fit_yeo_johnson(df: DataFrame, cols, step: float = 1e-3) -> dict[str, float]
                     if math.isfinite(bend) and bend < 0:
                         out[c] += gap * 0.5 * (a - d) / bend
                 del brackets[c]
+    release(df)
     return {name: float(out[c]) for c, name in enumerate(cols)}
 
 
