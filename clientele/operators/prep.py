@@ -481,7 +481,8 @@ def prepare_for_modeling(df: DataFrame, target: str = "Response", id_col: str =
     levels = category_levels(out, cats)
     out = one_hot(out, cats, levels)
     nums = numeric_feature_columns(out, id_col, target)
-    nums = [c for c in nums if c not in one_hot_exprs(levels)]
+    dummies = set(one_hot_exprs(levels))
+    nums = [c for c in nums if c not in dummies]
     params = {"levels": levels, "numeric": nums, "lambdas": {}, "scale": {}}
     if transform and nums:
         skew = skewness(out, nums).where(F.col("skewed")).count()

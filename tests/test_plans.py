@@ -3,7 +3,7 @@ import pytest
 
 SF001 = "/root/testdata/sf0.001"
 MODEL = {"rf_importance", "score_customers", "predicted_by_segment", "model_metrics", "permutation_importance",
-         "customer_clusters", "grid_search", "boosted_trees", "top_features", "analysis_summary", "yeo_johnson_fit"}
+         "customer_clusters", "grid_search", "boosted_trees", "top_features", "analysis_summary", "yeo_johnson_fit", "tree_attributions"}
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "percentile(", "collect_list("]
 
 
