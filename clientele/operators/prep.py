@@ -203,6 +203,8 @@ def yeo_johnson_apply(df: DataFrame, lambdas: dict[str, float]) -> DataFrame:
 #: Lambdas tried at once for each column, and the first bracket of the search.
 YJ_POINTS = 17
 YJ_BRACKET = (-2.0, 4.0)
+#: A fitted lambda leaves no transformed value beyond exp(YJ_EXPONENT).
+YJ_EXPONENT = 300.0
 
 
 def _yj_stats(df: DataFrame, cols) -> tuple[DataFrame, dict[int, tuple]]:
@@ -300,6 +302,9 @@ def fit_yeo_johnson(df: DataFrame, cols, step: float = 1e-3) -> dict[str, float]
                         out[c] += gap * 0.5 * (a - d) / bend
                 del brackets[c]
     release(df)
+    for c, (_, _, _, up, _, down) in stats.items():  # squares of transformed values stay finite
+        out[c] = min(out[c], YJ_EXPONENT / up) if up else out[c]
+        out[c] = max(out[c], 2.0 - YJ_EXPONENT / down) if down else out[c]
     return {name: float(out[c]) for c, name in enumerate(cols)}
 
 
