@@ -87,3 +87,16 @@ def test_many_models_in_one_pass(spark):
         for c, fn in (("roc_auc", MT.roc_auc), ("pr_auc", MT.pr_auc)):
             assert got[m][c] == pytest.approx(fn(mine).first()[0])
     assert MT.evaluate_models(df.limit(0)).collect() == []
+
+
+def test_yeo_johnson_passes_do_not_multiply_rows(spark):
+    """A pass hands each row over once, however many lambdas it tries; tasks' moments join to those of all rows."""
+    rng = np.random.default_rng(3)
+    p = pd.DataFrame({"a": rng.normal(1e6, 1.0, 3000), "b": np.r_[rng.normal(0, 3, 2998), np.nan, np.inf]})
+    frame, stats = PR._yj_stats(spark.createDataFrame(p).repartition(7), ["a", "b"])
+    assert frame.count() == 3000 and "Generate" not in frame._jdf.queryExecution().executedPlan().toString()
+    lambdas = [-1.0, 0.0, 0.5, 1.0, 2.0]
+    found = PR._yj_likelihoods(frame, stats, {0: lambdas, 1: lambdas})
+    for c, x in enumerate((p["a"].to_numpy(), p["b"].to_numpy()[:2998])):
+        for lam, value in zip(lambdas, found[c]):
+            assert value == pytest.approx(plain_likelihood(x, lam), rel=1e-6)
