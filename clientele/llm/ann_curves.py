@@ -145,11 +145,13 @@ _FOUND = "query_id long, ids array<long>, scores array<double>"
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
-    """Merge finds: each query's k best distinct rows."""
-    pairs = F.zip_with("ids", "scores", lambda i, s: F.struct((-s).alias("less"), i.alias("vec_id")))
-    best = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(pairs)))), 1, k)
-    rows = found.groupBy("query_id").agg(best.alias("best")).select("query_id", F.posexplode("best").alias("rank", "hit"))
-    return rows.select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.less")).alias("score"))
+    """Merge finds: each query's k best distinct rows.
+
+    A query's finds are rows of its partition: comparing them within one array costs the square of their number."""
+    hits = found.repartition("query_id").select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("hit"))
+    hits = hits.select("query_id", F.col("hit.ids").alias("vec_id"), F.col("hit.scores").alias("score")).distinct()
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:

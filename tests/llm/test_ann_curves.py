@@ -74,3 +74,11 @@ def test_hilbert_steps_to_neighbours():
     assert sorted(place) == list(range(512))
     path = cells[np.argsort(place)]
     assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_finds_are_merged_without_comparing_them_pairwise(spark):
+    found = spark.createDataFrame([(1, [5, 7, 9], [3.0, 2.0, 2.0]), (1, [7, 5, 4], [2.0, 3.0, 3.0]), (1, [9, 9], [2.0, 4.0]), (2, [], []), (3, [8], [-1.0])],
+                                  ann_curves._FOUND)
+    out = ann_curves._ranked(found, 4)
+    assert [tuple(r) for r in out.orderBy("query_id", "rank").collect()] == [(1, 1, 9, 4.0), (1, 2, 4, 3.0), (1, 3, 5, 3.0), (1, 4, 7, 2.0), (3, 1, 8, -1.0)]
+    assert "array_distinct" not in out._jdf.queryExecution().toString()  # it takes the square of the finds on structs
