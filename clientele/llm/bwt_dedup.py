@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientele.llm.common import byte_chunks, mix64, prefix_sums, row_key, shuffle_partitions, span_hashes, utf8_column
+from clientele.llm.common import byte_chunks, mix64, prefix_sums, row_key, row_sums, shuffle_partitions, span_hashes, utf8_column, window_hashes
 from clientele.session import freeze, release
 
 LENGTH = 200
@@ -67,23 +67,26 @@ def _runs(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
     if len(data) < LENGTH:
         return tuple(np.zeros(0, np.int64) for _ in range(4)) + tuple(np.zeros(0, np.uint64) for _ in range(2))
     sums = prefix_sums(data)
-    place = np.arange(len(data) - GRAM + 1)
-    grams = span_hashes(sums, place, place + GRAM)
-    low = grams & ~np.uint64(_PLACE) | place.astype(np.uint64)
+    grams = window_hashes(sums, GRAM)
+    low = grams & ~np.uint64(_PLACE)
+    low |= np.arange(len(grams), dtype=np.uint64)
     width, want = 1, LENGTH - GRAM + 1
     while 2 * width <= want:
         low = np.minimum(low[:-width], low[width:])
         width *= 2
     low = np.minimum(low[:len(low) - (want - width)], low[want - width:])
-    least = (low & np.uint64(_PLACE)).astype(np.int64)
-    row = np.repeat(np.arange(len(offs) - 1), np.diff(offs))[:len(least)]
-    inside = np.arange(len(least)) + LENGTH <= offs[row + 1]
-    change = (least[1:] != least[:-1]) | (row[1:] != row[:-1])
+    low &= np.uint64(_PLACE)
+    n = len(low)
+    inside = np.repeat(offs[1:] - LENGTH, np.diff(offs))[:n] >= np.arange(n)
+    change = low[1:] != low[:-1]
+    border = offs[1:-1] - 1
+    change[border[(border >= 0) & (border < n - 1)]] = True
     start, end = inside.copy(), inside.copy()
     start[1:] &= change | ~inside[:-1]
     end[:-1] &= change | ~inside[1:]
     first, last = np.flatnonzero(start), np.flatnonzero(end)
-    return row[first], first, last, least[first], grams[least[first]], span_hashes(sums, first, last + LENGTH)
+    at = low[first].astype(np.int64)
+    return np.searchsorted(offs, first, side="right") - 1, first, last, at, grams[at], span_hashes(sums, first, last + LENGTH)
 
 
 def merge_interleaved(interval: np.ndarray, symbols: list[np.ndarray]) -> np.ndarray:
@@ -264,6 +267,28 @@ def _counted(pieces: DataFrame) -> DataFrame:
     return places.mapInArrow(joined, _LOOKED)
 
 
+def _removed(data: np.ndarray, offs: np.ndarray, row: np.ndarray, number: np.ndarray, ranges: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Removed stretches of bytes (first place, end) of the texts, from their marks: the row, the run's number in it
+    and its ranges (null: the whole run).  Stretches that touch are one, but none goes beyond its text."""
+    if not len(row):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    of, begin, end = _runs(data, offs)[:3]
+    run = np.searchsorted(of, row) + number
+    whole = ranges.is_null().to_numpy(zero_copy_only=False)
+    parts = ranges.drop_null()
+    pairs = np.frombuffer(b"".join(parts.to_pylist()), dtype=np.int32).reshape(-1, 2)
+    times = np.diff(np.frombuffer(parts.buffers()[1], np.int32)[parts.offset:parts.offset + len(parts) + 1]) // 8 if len(parts) else []
+    shift = np.repeat(begin[run[~whole]], times)
+    first = np.concatenate([begin[run[whole]], shift + pairs[:, 0]])
+    last = np.concatenate([end[run[whole]], shift + pairs[:, 1]]) + LENGTH
+    order = np.argsort(first, kind="stable")
+    first, last = first[order], np.maximum.accumulate(last[order])
+    text = np.searchsorted(offs, first, side="right")
+    new = np.ones(len(first), dtype=bool)
+    new[1:] = (first[1:] > last[:-1]) | (text[1:] != text[:-1])
+    return first[new], last[np.append(new[1:], True)]
+
+
 def deduplicate(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows with ``n_bytes``, ``kept`` (the remaining bytes) and ``spans`` (removed stretches of bytes, end exclusive), and the
     columns named in ``keep``."""
@@ -276,39 +301,25 @@ def deduplicate(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] =
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marked = batch.column(batch.schema.get_field_index("marks")).to_pylist()
+            marked = batch.column(batch.schema.get_field_index("marks"))
+            ends = np.concatenate([[0], np.cumsum(marked.value_lengths().fill_null(0).to_numpy())])
+            flat = marked.flatten()
+            number, ranges = flat.field("j").to_numpy(), flat.field("ranges")
             for lo, hi, data, offs in byte_chunks(utf8_column(batch, "_text")):
-                runs = _runs(data, offs) if any(marked[lo:hi]) else None
-                base = np.searchsorted(runs[0], np.arange(hi - lo)) if runs else None
-                kept, spans = [], []
-                for r in range(hi - lo):
-                    text = data[offs[r]:offs[r + 1]]
-                    gone = []
-                    for mark in marked[lo + r] or ():
-                        run = base[r] + mark["j"]
-                        first, last = int(runs[1][run] - offs[r]), int(runs[2][run] - offs[r])
-                        if mark["ranges"] is None:
-                            gone.append((first, last + LENGTH))
-                        else:
-                            pairs = np.frombuffer(mark["ranges"], dtype=np.int32).reshape(-1, 2)
-                            gone += [(first + a, first + b + LENGTH) for a, b in pairs.tolist()]
-                    merged = []
-                    for a, b in sorted(gone):
-                        if merged and a <= merged[-1][1]:
-                            merged[-1][1] = max(merged[-1][1], b)
-                        else:
-                            merged.append([a, b])
-                    left, at = [], 0
-                    for a, b in merged:
-                        left.append(text[at:a].tobytes())
-                        at = b
-                    left.append(text[at:].tobytes())
-                    kept.append(b"".join(left))
-                    spans.append([{"start": a, "end": b} for a, b in merged])
-                own = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([own.column(0), pa.array(np.diff(offs)),
-                                                  pa.array(kept, pa.binary()),
-                                                  pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
+                own = slice(int(ends[lo]), int(ends[hi]))
+                row = np.repeat(np.arange(hi - lo), np.diff(ends[lo:hi + 1]))
+                first, last = _removed(data, offs, row, number[own], ranges[own])
+                row = np.searchsorted(offs, first, side="right") - 1
+                edge = np.zeros(len(data) + 1, dtype=np.int8)
+                edge[first] += 1
+                np.subtract.at(edge, last, 1)  # a span may end where the next text's begins
+                rest = data[np.cumsum(edge[:-1], dtype=np.int8) == 0] if len(first) else data
+                gone = row_sums(last - first, np.searchsorted(row, np.arange(hi - lo + 1)))
+                kept = np.concatenate([[0], np.cumsum(np.diff(offs) - gone)]).astype(np.int32)
+                spans = pa.StructArray.from_arrays([pa.array(first - offs[row]), pa.array(last - offs[row])], ["start", "end"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(np.diff(offs)),
+                                                  pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(kept), pa.py_buffer(np.ascontiguousarray(rest))]),
+                                                  pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(hi - lo + 1)).astype(np.int32)), spans)],
                                                  names=["_doc", "n_bytes", "kept", "spans"])
 
     return (source.join(marks, "_row", "left").select("_doc", "_text", "marks")

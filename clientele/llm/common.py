@@ -106,6 +106,20 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix64((sums[ends] - sums[starts]) * shift[starts] + (ends - starts).astype(np.uint64))
 
 
+def window_hashes(sums: np.ndarray, size: int) -> np.ndarray:
+    """:func:`span_hashes` of the span of ``size`` bytes from every place that has room for it."""
+    x = sums[size:] - sums[:-size]
+    x *= powers(_INV, len(sums))[:len(x)]
+    x += np.uint64(size)
+    rest = x >> np.uint64(33)  # mix64 in place
+    x ^= rest
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x *= np.uint64(factor)
+        np.right_shift(x, np.uint64(33), out=rest)
+        x ^= rest
+    return x
+
+
 def spans(inside: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of ``inside``, cut at the row offsets."""
     if len(inside) == 0:

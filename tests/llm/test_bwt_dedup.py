@@ -57,3 +57,23 @@ def test_long_texts_are_read_in_overlapping_parts(monkeypatch):
     whole = bwt_dedup._runs(data, np.array([0, len(data)]))
     starts = np.concatenate([np.arange(a, b + 1) for a, b in zip(whole[1], whole[2])])
     assert starts.tolist() == list(range(len(data) - 199))  # every start is in exactly one run
+
+
+def test_removed_stretches_of_a_batch():
+    """Marks become stretches for all texts at once: overlaps join, neighbours in other texts do not, unmarked and empty texts keep all."""
+    import numpy as np
+    import pyarrow as pa
+
+    from clientele.llm.common import prefix_sums, span_hashes, window_hashes
+    texts = [words(1, 90).encode(), b"", words(2, 90).encode(), words(3, 10).encode(), b"a" * 200, b"b" * 200]
+    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    offs = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    sums, at = prefix_sums(data), np.arange(len(data) - 15)
+    assert (window_hashes(sums, 16) == span_hashes(sums, at, at + 16)).all()
+    row, first, last = bwt_dedup._runs(data, offs)[:3]
+    assert set(row.tolist()) == {0, 2, 4, 5}
+    inner = int(np.flatnonzero(row == 2)[1])
+    marks = [(0, 0, None), (0, 1, None), (2, inner - int(np.searchsorted(row, 2)), np.array([[0, 0]], np.int32).tobytes()), (4, 0, None), (5, 0, None)]
+    begin, end = bwt_dedup._removed(data, offs, *[np.array([m[k] for m in marks]) for k in (0, 1)], pa.array([m[2] for m in marks], pa.binary()))
+    assert list(zip(begin.tolist(), end.tolist())) == [(0, int(last[1]) + 200), (int(first[inner]), int(first[inner]) + 200),
+                                                       (int(offs[4]), int(offs[5])), (int(offs[5]), int(offs[6]))]
