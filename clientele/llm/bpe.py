@@ -14,6 +14,7 @@ columns pass through unchanged, and an input column called like an output column
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import unicodedata
@@ -301,26 +302,31 @@ class Tokenizer:
         order = np.lexsort((back, row))
         return np.concatenate(steps)[order], np.bincount(row, minlength=n)
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Ids of each piece (already normalised, not empty)."""
+    def _words(self, words: list[str]) -> list[tuple[bytes, str]]:
+        """Ids (as bytes) and tokens joined by one space, of each piece (already normalised, not empty)."""
         raw = [w.encode("utf-8") for w in words]
         sizes = np.array([len(w) for w in raw], dtype=np.int64)
-        out: list[list[int]] = [[]] * len(words)
+        out: list[tuple[bytes, str]] = [(b"", "")] * len(words)
         order = np.argsort(sizes, kind="stable")
         cuts = np.flatnonzero(np.diff(sizes[order], prepend=-1))
+        name, join = self.names.__getitem__, " ".join
         for lo, hi in zip(cuts, [*cuts[1:], len(words)]):
             size = int(sizes[order[lo]])
             group = max(1, GROUP_BYTES // size)
             for at in range(lo, hi, group):
                 own = order[at:min(at + group, hi)].tolist()
                 ids, counts = self._same_length(np.frombuffer(b"".join([raw[i] for i in own]), dtype=np.uint8).reshape(len(own), size))
-                ids, ends = ids.tolist(), np.cumsum(counts).tolist()
+                tokens, flat = list(map(name, ids.tolist())), ids.astype(np.int32).tobytes()
                 start = 0
-                for i, end in zip(own, ends):
-                    out[i] = ids[start:end]
+                for i, end in zip(own, np.cumsum(counts).tolist()):
+                    out[i] = (flat[4 * start:4 * end], tokens[start] if end == start + 1 else join(tokens[start:end]))
                     start = end
         return out
 
+    def encode_words(self, words: list[str]) -> list[list[int]]:
+        """Ids of each piece (already normalised, not empty)."""
+        return [np.frombuffer(ids, dtype=np.int32).tolist() for ids, _ in self._words(words)]
+
     def _pattern(self, newer: list[str]) -> regex.Pattern:
         """The piece pattern with code points that no Unicode version known here assigns as symbols,
         as the library classes them (the regex module knows newer letters)."""
@@ -338,15 +344,15 @@ class Tokenizer:
         words = list(dict.fromkeys(pieces))
         if "\n" in words:
             words.remove("\n")
-        known = dict(zip(words, self.encode_words(words)))
-        names, out, ids, k = self.names, {}, [], 0
+        known = dict(zip(words, self._words(words)))
+        out, got, k = {}, [], 0
         for piece in pieces:
-            if piece == "\n":
-                out[chunks[k]] = (np.array(ids, dtype=np.int32).tobytes(), " ".join([names[i] for i in ids]))
-                ids, k = [], k + 1
-            else:
-                ids += known[piece]
-        out[chunks[k]] = (np.array(ids, dtype=np.int32).tobytes(), " ".join([names[i] for i in ids]))
+            if piece != "\n":
+                got.append(known[piece])
+                continue
+            out[chunks[k]] = got[0] if len(got) == 1 else _joined(got)
+            got, k = [], k + 1
+        out[chunks[k]] = _joined(got)
         return out
 
     def _split(self, text: str) -> list[list[str] | str]:
@@ -356,14 +362,26 @@ class Tokenizer:
         return [part if k % 2 else _chunks(part) for k, part in enumerate(self.split_special.split(text))]
 
     def encode_batch(self, texts: list[str]) -> list[tuple[bytes, str]]:
-        """For each whole text its ids as int32 bytes, and its tokens joined by one space."""
+        """For each whole text its ids as int32 bytes, and its tokens joined by one space.
+
+        Cache entries make no cycles: the cycle collector, which would walk the caches again and again, waits meanwhile."""
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encoded(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encoded(self, texts: list[str]) -> list[tuple[bytes, str]]:
         split = [self._split(t) for t in texts]
         need = set().union(*[part for parts in split for part in parts if isinstance(part, list)])
-        long = {c for c in need if len(c) > 64}
         young, old = self.young, self.old
         fresh = need.difference(young)
         have = fresh.intersection(old)
-        fresh = self._new_chunks(list(fresh.difference(have))) | {c: old[c] for c in have}
+        fresh = self._new_chunks(list(fresh.difference(have)))
+        long = [c for c in fresh if len(c) > 64]  # long ones are not kept
+        fresh |= {c: old[c] for c in have}
         if self.young_bytes > CACHE_BYTES:
             self.old = young
             self.young = young = {c: young[c] for c in need.intersection(young)}
@@ -376,16 +394,24 @@ class Tokenizer:
             got: list[tuple[bytes, str]] = []
             for part in parts:
                 got += map(find, part) if isinstance(part, list) else [(np.int32(self.special[part]).tobytes(), part)]
-            out.append((b"".join([e[0] for e in got]), " ".join([e[1] for e in got if e[0]])))
+            out.append(_joined(got))
         for c in long:
             ids, decoded = young.pop(c)
             self.young_bytes -= ENTRY_BYTES + 2 * len(c) + len(ids) + len(decoded)
         return out
 
 
+def _joined(got: list[tuple[bytes, str]]) -> tuple[bytes, str]:
+    """One entry of entries that follow each other; those without ids add nothing."""
+    if not got:
+        return b"", ""
+    ids, tokens = zip(*got)
+    return b"".join(ids), " ".join(filter(None, tokens))
+
+
 def _held(entries: dict[str, tuple[bytes, str]]) -> int:
     """About the bytes that cache entries take."""
-    return sum(ENTRY_BYTES + 2 * len(c) + len(ids) + len(decoded) for c, (ids, decoded) in entries.items())
+    return ENTRY_BYTES * len(entries) + 2 * sum(map(len, entries)) + sum([len(ids) + len(decoded) for ids, decoded in entries.values()])
 
 
 def _chunks(text: str) -> list[str]:

@@ -74,3 +74,20 @@ def test_edge_table(spark, library):
                      hashlib.sha256(library.decode(e, skip_special_tokens=False).encode()).hexdigest()))
     assert got == sorted(want)
     assert bpe.digests(bpe.encode(empty(spark), PATH)).collect() == []
+
+
+def test_no_cycle_collection_while_encoding():
+    import gc
+    tok = bpe.Tokenizer(PATH)
+    seen = []
+    watch = lambda phase, info: seen.append(phase)
+    gc.collect()
+    gc.callbacks.append(watch)
+    try:
+        tok._encoded([" ".join(f"w{k}x{k % 7}" for k in range(30_000))])
+        plain, seen[:] = len(seen), []
+        tok.encode_batch([" ".join(f"v{k}y{k % 7}" for k in range(30_000))])
+    finally:
+        gc.callbacks.remove(watch)
+    assert plain > 2 and len(seen) <= 2  # at most one, when it is on again
+    assert gc.isenabled()
