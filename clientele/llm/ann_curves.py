@@ -145,13 +145,29 @@ _FOUND = "query_id long, ids array<long>, scores array<double>"
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
-    """Merge finds: each query's k best distinct rows.
-
-    A query's finds are rows of its partition: comparing them within one array costs the square of their number."""
-    hits = found.repartition("query_id").select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("hit"))
-    hits = hits.select("query_id", F.col("hit.ids").alias("vec_id"), F.col("hit.scores").alias("score")).distinct()
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    """Merge finds: each query's k best distinct rows, best first, ties to the smaller id."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        for group in groups(batches, 1):
+            ids, score = (group.column(c).flatten().to_numpy() for c in (1, 2))
+            order = np.lexsort((ids, -score))
+            ids, score = ids[order], score[order]
+            new = np.ones(len(ids), dtype=bool)
+            new[1:] = (ids[1:] != ids[:-1]) | (score[1:] != score[:-1])
+            at = np.flatnonzero(new)[:k]
+            held.append((np.full(len(at), group.column(0)[0].as_py()), np.arange(1, len(at) + 1, dtype=np.int32), ids[at], score[at]))
+            if len(held) == 500:
+                yield batch(held)
+                held = []
+        if held:
+            yield batch(held)
+
+    def batch(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=["query_id", "rank", "vec_id", "score"])
+
+    rows = found.repartition("query_id").sortWithinPartitions("query_id")
+    return rows.mapInArrow(merge, "query_id long, rank int, vec_id long, score double")
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
