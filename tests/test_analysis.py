@@ -108,22 +108,24 @@ def test_medians_are_exact_and_repeated_ids_stay_single(spark):
 
 
 def test_folds_are_fitted_side_by_side(spark, monkeypatch, tmp_path):
-    """Two fits wait for each other: one after the other they would never meet; few run at once when forests are large."""
+    """Two fits after the first fold's wait for each other: one after the other they would never meet; few run at once when forests are large."""
     import threading
 
     from clientele.operators import modeling as ML
-    meet = threading.Barrier(2)
+    meet, calls = threading.Barrier(2), []
 
     def fit(kind, train, spec, point, *more):
-        meet.wait(60)
+        calls.append(point)
+        if len(calls) > 1:
+            meet.wait(60)
         return sorted(r[0] for r in train.select("ID").collect())
 
     frame = lambda model, test, spec: ML._spark().createDataFrame([(0.0, 0.0, 0.1), (1.0, 1.0, 0.9)], "label double, prediction double, score double")
     monkeypatch.setattr(ML, "fit_point", fit)
     monkeypatch.setattr(ML, "evaluation_frame", frame)
-    rows = spark.createDataFrame([(i, i % 2, i % 4 // 2, float(i)) for i in range(8)], "ID long, Response int, fold int, x double")
+    rows = spark.createDataFrame([(i, i % 2, i // 2 % 3, float(i)) for i in range(12)], "ID long, Response int, fold int, x double")
     out = ML.resumable_grid(rows, ML.FeatureSpec(["x"], {}), "forest", {"maxDepth": [3], "numTrees": [2]}, str(tmp_path / "grid")).collect()
-    assert [r["avg_metric"] for r in out] == [1.0]
+    assert [r["avg_metric"] for r in out] == [1.0] and len(calls) == 3
     assert ML.fits_at_once("forest", {"maxDepth": 10, "numTrees": 20}, 900_000) == 5
     assert ML.fits_at_once("forest", {"maxDepth": 30, "numTrees": 100}, 12_000) == 5
     assert ML.fits_at_once("forest", {"maxDepth": 30, "numTrees": 100}, 900_000) == 1
