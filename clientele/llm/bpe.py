@@ -15,7 +15,10 @@ columns pass through unchanged, and an input column called like an output column
 from __future__ import annotations
 
 import gc
+import gzip
+import io
 import json
+import pickle
 import re
 import unicodedata
 from collections import defaultdict, deque
@@ -39,6 +42,7 @@ GROUP_BYTES = 1 << 20
 FIT_BITS = 19
 
 _LOADED: dict[str, Tokenizer] = {}
+_PACKED: dict[str, Packed] = {}
 _OF_PROCESS = ("pieces", "split_special", "fit_key", "fit", "young", "old", "young_bytes")
 _ODD_SPACE = re.compile(r"[\x1c-\x1f]")
 _SPACES = regex.compile(r"[\s--[\x1c-\x1f]]+", flags=regex.V1)
@@ -87,7 +91,10 @@ class SuffixLinks:
         first = [-1] * n
         out_token, out_size, shorter = [], [], []
         step_row, stop_row = np.zeros(n, dtype=np.int32), np.zeros(n, dtype=np.int32)
-        step, stop = [np.zeros(256, dtype=np.int32)], [np.full(256, -1, dtype=np.int32)]
+        step = _table(1 + sum(map(bool, kids[1:])), n - 1)
+        stop = _table(1 + len(ends.keys() - {0}), len(inner) + len(final) - 1)
+        step[0] = 1
+        used = [1, 1]
 
         def output(i: int, size: int, then: int) -> int:
             out_token.append(i)
@@ -101,30 +108,30 @@ class SuffixLinks:
             up = fail[at]
             if at:
                 first[at] = output(token[at], depth[at], first[up]) if token[at] >= 0 else first[up]
-                for rows, row, own in ((step, step_row, kids[at]), (stop, stop_row, ends.get(at))):
+                for k, (rows, row, own) in enumerate(((step, step_row, kids[at]), (stop, stop_row, ends.get(at)))):
                     row[at] = row[up]
                     if own:
-                        row[at] = len(rows)
-                        rows.append(rows[row[up]].copy())
+                        row[at] = used[k]
+                        rows[used[k]] = rows[row[up]]
+                        used[k] += 1
             above = step[step_row[up]]
             for byte, i in ends.get(at, {}).items():
-                stop[stop_row[at]][byte] = output(i, depth[at] + 1, int(stop[stop_row[up]][byte]) if at else -1)
+                stop[stop_row[at], byte] = output(i, depth[at] + 1, int(stop[stop_row[up], byte]) - 1 if at else -1) + 1
             for byte, kid in kids[at].items():
-                fail[kid] = int(above[byte]) if at else 0
+                fail[kid] = int(above[byte]) - 1 if at else 0
             for byte, kid in kids[at].items():
-                step[step_row[at]][byte] = kid
+                step[step_row[at], byte] = kid + 1
                 queue.append(kid)
-        self.step_row, self.stop_row = step_row, stop_row
-        self.step, self.stop = _small(np.array(step)), _small(np.array(stop))
+        self.step_row, self.stop_row, self.step, self.stop = step_row, stop_row, step, stop
         self.first = np.array(first, dtype=np.int32)
         self.token = np.array(out_token, dtype=np.int32)
         self.size = np.array(out_size, dtype=np.int32)
         self.shorter = np.array(shorter, dtype=np.int32)
 
 
-def _small(table: np.ndarray) -> np.ndarray:
-    """The table in 16 bits if its numbers (from -1 on, kept shifted by one) allow it."""
-    return (table + 1).astype(np.uint16 if table.max() < 65_535 else np.int32)
+def _table(rows: int, largest: int) -> np.ndarray:
+    """A table for numbers from -1 on, kept shifted by one, in 16 bits if the largest allows it."""
+    return np.zeros((rows, 256), dtype=np.uint16 if largest < 65_535 else np.int32)
 
 
 class Merges:
@@ -421,12 +428,37 @@ def _chunks(text: str) -> list[str]:
 
 
 def tokenizer(path: str) -> Tokenizer:
-    """The tokenizer of a vocabulary file, built once for each process (on Spark, in the driver alone)."""
+    """The tokenizer of a vocabulary file, built once for each process."""
     if path not in _LOADED:
         _LOADED[path] = Tokenizer(path)
     return _LOADED[path]
 
 
+class Packed:
+    """A tokenizer as compressed bytes; whoever unpickles it has the tokenizer."""
+
+    def __init__(self, tok: Tokenizer):
+        out = io.BytesIO()
+        with gzip.GzipFile(fileobj=out, mode="wb", compresslevel=1, mtime=0) as f:
+            pickle.dump(tok, f, protocol=5)
+        self.data = out.getvalue()
+
+    def __reduce__(self) -> tuple:
+        return _unpacked, (self.data,)
+
+
+def _unpacked(data: bytes) -> Tokenizer:
+    with gzip.GzipFile(fileobj=io.BytesIO(data)) as f:
+        return pickle.load(f)
+
+
+def packed(path: str) -> Packed:
+    """The packed tokenizer of a vocabulary file: built once for each driver, which keeps these bytes alone."""
+    if path not in _PACKED:
+        _PACKED[path] = Packed(Tokenizer(path))
+    return _PACKED[path]
+
+
 def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col: str = "ids",
            decoded_col: str = "decoded") -> DataFrame:
     """Add the ids of every whole text and the text decoded from them.  No shuffle."""
@@ -435,7 +467,7 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col
                            T.StructField(decoded_col, T.StringType())])
     names = [f.name for f in kept]
 
-    shipped = docs.sparkSession.sparkContext.broadcast(tokenizer(tokenizer_path))  # tables of a few MB, of the vocabulary's size
+    shipped = docs.sparkSession.sparkContext.broadcast(packed(tokenizer_path))  # a few MB, of the vocabulary's size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = shipped.value

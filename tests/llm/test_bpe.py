@@ -91,3 +91,29 @@ def test_no_cycle_collection_while_encoding():
         gc.callbacks.remove(watch)
     assert plain > 2 and len(seen) <= 2  # at most one, when it is on again
     assert gc.isenabled()
+
+
+def test_driver_keeps_only_packed_tables(spark, monkeypatch, library):
+    monkeypatch.setattr(bpe, "_LOADED", {})
+    monkeypatch.setattr(bpe, "_PACKED", {})
+    assert bpe.encode(table(spark), PATH).count() == len(rows())
+    assert not bpe._LOADED and list(bpe._PACKED) == [PATH]
+    whole = pickle.dumps(bpe._PACKED[PATH])
+    assert len(whole) < 6 << 20
+    tok = pickle.loads(whole)
+    text = "An example, with 3 naïve words; 你好 "
+    assert ids(tok.encode_batch([text])[0][0]) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_tables_are_built_in_place():
+    import tracemalloc
+    rng = random.Random(3)
+    words = {bytes(rng.randrange(256) for _ in range(rng.randrange(2, 6))): i for i in range(3000)}
+    tracemalloc.start()
+    try:
+        links = bpe.SuffixLinks(words, words)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert links.step.dtype == links.stop.dtype == np.uint16
+    assert peak < 3 * (links.step.nbytes + links.stop.nbytes)
